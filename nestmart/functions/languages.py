@@ -14,6 +14,8 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .values import values_frame
+
 # ISO 639-1 codes are two letters: at most 26 * 26 entries.
 MAX_CODES = 26 * 26
 
@@ -55,7 +57,7 @@ def language_names(spark: SparkSession) -> DataFrame:
     except Exception:
         rows = tuple(sorted(_FALLBACK.items()))
     assert len(rows) <= MAX_CODES
-    return spark.createDataFrame(list(rows), "code string, english_name string")
+    return values_frame(spark, list(rows), ["code", "english_name"])
 
 
 def with_language_name(df: DataFrame, code_col: str, output: str = "name") -> DataFrame:

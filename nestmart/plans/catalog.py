@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.nested import nest_json
+from ..functions.values import values_frame
 from ..schemas import SOURCE_SCHEMAS
 from ..sources import read_parquet_table
 
@@ -57,8 +58,10 @@ def load_tables(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataF
 
 
 def region_languages(spark: SparkSession) -> DataFrame:
-    rows = [(r, code, native) for r, (code, native) in REGION_LANGUAGE.items()]
-    return spark.createDataFrame(rows, "r_name string, lang_code string, lang_native string")
+    """The mapping as a SQL ``VALUES`` relation, which carries size
+    statistics (an RDD-backed frame would look unboundedly large to the
+    planner and block broadcast joins downstream)."""
+    return values_frame(spark, [(r, code, native) for r, (code, native) in REGION_LANGUAGE.items()], ["r_name", "lang_code", "lang_native"])
 
 
 def _supplier_geo(t: Mapping[str, DataFrame]) -> DataFrame:

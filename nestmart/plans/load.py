@@ -12,6 +12,7 @@ is retried).
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +59,7 @@ def run_load(
     mode: str = "append",
     reproducible: bool = False,
     nested_mode: str = "strict",
+    parallelism: int = 4,
 ) -> DataFrame:
     """Load every family into ``database`` and return the gate report.
 
@@ -66,10 +68,27 @@ def run_load(
     """
     create_all(spark, database, location)
     raw = read_sources(spark, prefixes)
+    frames: dict[str, DataFrame] = {}
     if "movies_metadata" in raw:
         staged = stage_movies(raw["movies_metadata"], reproducible)
-        movie_tables = tables.build_warehouse({}, reproducible, nested_mode, staged=staged)
-        write_all(movie_tables, database, mode)
+        frames.update(tables.build_warehouse({}, reproducible, nested_mode, staged=staged))
     rest = {k: v for k, v in raw.items() if k != "movies_metadata"}
-    write_all(tables.build_warehouse(rest, reproducible, nested_mode), database, mode)
+    frames.update(tables.build_warehouse(rest, reproducible, nested_mode))
+    write_concurrently(frames, database, mode, parallelism)
     return quality.gate(read_all(spark, database))
+
+
+def write_concurrently(frames: Mapping[str, DataFrame], database: str, mode: str, parallelism: int = 4) -> None:
+    """Write independent tables as concurrent Spark jobs.
+
+    Each table is its own job; small dimensions leave most of a cluster idle,
+    so several run side by side (as the original ran its families in
+    parallel).  Any failure is re-raised after the others finish.
+    """
+    if parallelism <= 1:
+        write_all(frames, database, mode)
+        return
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        futures = [pool.submit(write_all, {name: df}, database, mode) for name, df in frames.items()]
+        for f in futures:
+            f.result()

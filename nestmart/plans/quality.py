@@ -44,27 +44,126 @@ def some_positive_rule(df: DataFrame, table: str, column: str) -> DataFrame:
 
 
 def pk_rules(df: DataFrame, table: str, key: list[str]) -> DataFrame:
-    """Duplicate key values and null keys (Q4)."""
+    """Null keys and duplicated key values, from one grouping (Q4).
+
+    Rows with a null key form groups too; their sizes add up to the null
+    count, so both rules cost one shuffle.
+    """
     label = ",".join(key)
     any_null = F.lit(False)
     for k in key:
         any_null = any_null | F.col(k).isNull()
-    nulls = _row(df, "pk_not_null", table, label, F.count_if(any_null))
-    per_key = df.filter(~any_null).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    dups = _row(per_key, "pk_unique", table, label, F.count_if(F.col("n") > 1))
-    return nulls.unionByName(dups)
+    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    both = per_key.agg(
+        F.coalesce(F.sum(F.when(any_null, F.col("n"))), F.lit(0)).cast("long").alias("nulls"),
+        F.count_if(~any_null & (F.col("n") > 1)).cast("long").alias("dups"),
+    )
+    return both.select(
+        F.lit(table).alias("table"),
+        F.lit(label).alias("column"),
+        F.expr("stack(2, 'pk_not_null', nulls, 'pk_unique', dups) AS (rule, violations)"),
+    ).select("rule", "table", "column", "violations")
 
 
 def orphan_rule(child: DataFrame, table: str, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child rows whose non-null ``column`` has no parent row (Q5)."""
-    per_key = child.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("__nm_k")).agg(F.count(F.lit(1)).alias("n"))
-    parent_keys = parent.select(F.col(parent_column).alias("__nm_k")).distinct()
-    orphans = per_key.join(parent_keys, "__nm_k", "left_anti")
-    return _row(orphans, "fk_orphans", table, column, F.coalesce(F.sum("n"), F.lit(0)))
+    return orphan_rules([(child, table, column)], parent, parent_column)
+
+
+def orphan_rules(children, parent: DataFrame, parent_column: str) -> DataFrame:
+    """Orphan counts of several child tables against one parent, in one pass.
+
+    The children's key columns are unioned and counted per (table, key) with
+    map-side combine, the distinct parent keys are anti-joined once, and a
+    zero row per child keeps rules without orphans in the report.
+    """
+    spark = parent.sparkSession
+    key_type = parent.schema[parent_column].dataType
+    keys = None
+    for child, table, column in children:
+        part = child.filter(F.col(column).isNotNull()).select(
+            F.lit(table).alias("table"), F.lit(column).alias("column"), F.col(column).cast(key_type).alias("__nm_k")
+        )
+        keys = part if keys is None else keys.unionByName(part)
+    per_key = keys.groupBy("table", "column", "__nm_k").agg(F.count(F.lit(1)).alias("n"))
+    parent_keys = parent.select(F.col(parent_column).cast(key_type).alias("__nm_k")).distinct()
+    orphans = per_key.join(parent_keys, "__nm_k", "left_anti").groupBy("table", "column").agg(F.sum("n").alias("violations"))
+    zeros = spark.createDataFrame([(t, c, 0) for _, t, c in children], "table string, column string, violations long")
+    totals = orphans.unionByName(zeros).groupBy("table", "column").agg(F.sum("violations").cast("long").alias("violations"))
+    return totals.select(F.lit("fk_orphans").alias("rule"), "table", "column", "violations")
+
+
+def _zeros(spark, labels) -> DataFrame:
+    return spark.createDataFrame([(t, c, 0) for t, c in labels], "table string, column string, violations long")
+
+
+def pk_rules_many(items, spark) -> DataFrame:
+    """``pk_rules`` for many single-column keys, one shuffle per key type.
+
+    Keys of the same type from all tables are unioned, tagged with their
+    table, and grouped once; per table we get null keys and duplicated keys.
+    """
+    by_type: dict[str, list] = {}
+    for df, table, column in items:
+        by_type.setdefault(df.schema[column].dataType.simpleString(), []).append((df, table, column))
+    out = None
+    for group in by_type.values():
+        keys = None
+        for df, table, column in group:
+            part = df.select(F.lit(table).alias("table"), F.lit(column).alias("column"), F.col(column).alias("__nm_k"))
+            keys = part if keys is None else keys.unionByName(part)
+        per_key = keys.groupBy("table", "column", "__nm_k").agg(F.count(F.lit(1)).alias("n"))
+        stats = per_key.groupBy("table", "column").agg(
+            F.coalesce(F.sum(F.when(F.col("__nm_k").isNull(), F.col("n"))), F.lit(0)).cast("long").alias("nulls"),
+            F.count_if(F.col("__nm_k").isNotNull() & (F.col("n") > 1)).cast("long").alias("dups"),
+        )
+        zero = _zeros(spark, [(t, c) for _, t, c in group]).select("table", "column", F.lit(0).cast("long").alias("nulls"), F.lit(0).cast("long").alias("dups"))
+        stats = stats.unionByName(zero).groupBy("table", "column").agg(F.sum("nulls").alias("nulls"), F.sum("dups").alias("dups"))
+        rows = stats.select("table", "column", F.expr("stack(2, 'pk_not_null', nulls, 'pk_unique', dups) AS (rule, violations)"))
+        out = rows if out is None else out.unionByName(rows)
+    return out.select("rule", "table", "column", F.col("violations").cast("long"))
+
+
+def orphan_rules_many(links, spark) -> DataFrame:
+    """Orphan counts for many (child, parent) links, one pass per key type.
+
+    ``links`` holds ``(child_df, table, column, parent_df, parent_name,
+    parent_column)``.  Child keys are unioned and counted per (parent,
+    table, column, key) with map-side combine; distinct parent keys tagged
+    with the parent's name are anti-joined once.
+    """
+    by_type: dict[str, list] = {}
+    for link in links:
+        parent_df, parent_column = link[3], link[5]
+        by_type.setdefault(parent_df.schema[parent_column].dataType.simpleString(), []).append(link)
+    out = None
+    for group in by_type.values():
+        children = parents = None
+        seen_parents = set()
+        for child, table, column, parent, parent_name, parent_column in group:
+            key_type = parent.schema[parent_column].dataType
+            part = child.filter(F.col(column).isNotNull()).select(
+                F.lit(parent_name).alias("parent"), F.lit(table).alias("table"), F.lit(column).alias("column"),
+                F.col(column).cast(key_type).alias("__nm_k"),
+            )
+            children = part if children is None else children.unionByName(part)
+            if parent_name not in seen_parents:
+                seen_parents.add(parent_name)
+                pk = parent.select(F.lit(parent_name).alias("parent"), F.col(parent_column).alias("__nm_k"))
+                parents = pk if parents is None else parents.unionByName(pk)
+        per_key = children.groupBy("parent", "table", "column", "__nm_k").agg(F.count(F.lit(1)).alias("n"))
+        orphans = per_key.join(parents.distinct(), ["parent", "__nm_k"], "left_anti")
+        counts = orphans.groupBy("table", "column").agg(F.sum("n").cast("long").alias("violations"))
+        counts = counts.unionByName(_zeros(spark, [(l[1], l[2]) for l in group]))
+        counts = counts.groupBy("table", "column").agg(F.sum("violations").cast("long").alias("violations"))
+        rows = counts.select(F.lit("fk_orphans").alias("rule"), "table", "column", "violations")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def gate(tables: Mapping[str, DataFrame], keys: bool = True) -> DataFrame:
     """All rules over the warehouse frames present in ``tables``."""
+    spark = next(iter(tables.values())).sparkSession
     parts: list[DataFrame] = []
     if "dim_movies" in tables:
         parts.append(null_rule(tables["dim_movies"], "dim_movies", "id"))
@@ -73,12 +172,19 @@ def gate(tables: Mapping[str, DataFrame], keys: bool = True) -> DataFrame:
     if "fact_movie_sales" in tables:
         parts.append(some_positive_rule(tables["fact_movie_sales"], "fact_movie_sales", "revenue"))
     if keys:
-        for name, df in tables.items():
-            if name in TABLES:
-                parts.append(pk_rules(df, name, list(TABLES[name].primary_key)))
-        for name, fk in foreign_keys():
-            if name in tables and fk.parent in tables:
-                parts.append(orphan_rule(tables[name], name, fk.column, tables[fk.parent], fk.parent_column))
+        singles = [(df, n, TABLES[n].primary_key[0]) for n, df in tables.items() if n in TABLES and len(TABLES[n].primary_key) == 1]
+        if singles:
+            parts.append(pk_rules_many(singles, spark))
+        for n, df in tables.items():
+            if n in TABLES and len(TABLES[n].primary_key) > 1:
+                parts.append(pk_rules(df, n, list(TABLES[n].primary_key)))
+        links = [
+            (tables[n], n, fk.column, tables[fk.parent], fk.parent, fk.parent_column)
+            for n, fk in foreign_keys()
+            if n in tables and fk.parent in tables
+        ]
+        if links:
+            parts.append(orphan_rules_many(links, spark))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
