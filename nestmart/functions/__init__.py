@@ -7,6 +7,7 @@ from .nested import (
     nest_json,
     nested_parse_report,
     parse_dict,
+    parse_elements,
     parse_list,
     repair_pyliteral,
 )
@@ -32,6 +33,7 @@ __all__ = [
     "nested_parse_report",
     "not_equal_keep_null",
     "parse_dict",
+    "parse_elements",
     "parse_list",
     "repair_pyliteral",
     "safe_cast",

@@ -32,6 +32,7 @@ from .scalar import safe_cast
 
 LIST_OF_TEXT = T.ArrayType(T.StringType())
 TEXT_MAP = T.MapType(T.StringType(), T.StringType())
+LIST_OF_MAPS = T.ArrayType(TEXT_MAP)
 
 # Lenient JSON reader options used for repaired Python-literal text.
 _PYLITERAL_OPTIONS = {
@@ -111,6 +112,31 @@ def parse_dict(element: Column) -> Column:
     return F.from_json(element, TEXT_MAP)
 
 
+def _elements(text: Column, options: Mapping[str, str] | None = None) -> Column:
+    """Text -> ``array<map<string,string>>`` with two-step semantics.
+
+    One parse straight into maps is about twice as fast and gives the same
+    maps whenever it succeeds; it returns null only where some element is not
+    an object (``[1, 2]``), and there the lazy ``coalesce`` falls back to the
+    element-wise parse (list of texts, then each text to a map), which keeps
+    such elements as null maps.
+    """
+    opts = dict(options or {})
+    direct = F.from_json(text, LIST_OF_MAPS, opts)
+    stepwise = F.transform(F.from_json(text, LIST_OF_TEXT, opts), lambda e: F.from_json(e, TEXT_MAP, opts))
+    return F.coalesce(direct, stepwise)
+
+
+def parse_elements(text: Column, mode: str = "strict") -> Column:
+    """Text -> list of dicts (N1 + N3 in one expression)."""
+    strict = _elements(text)
+    if mode == "strict":
+        return strict
+    if mode == "pyliteral":
+        return F.coalesce(strict, _elements(repair_pyliteral(text), _PYLITERAL_OPTIONS))
+    raise ValueError(f"unknown mode {mode!r}")
+
+
 def explode_json(
     df: DataFrame,
     column: str,
@@ -124,9 +150,8 @@ def explode_json(
     in key order.
     """
     keys = _as_keys(keys)
-    elem, parsed = "__nm_elem", "__nm_map"
-    exploded = df.select("*", F.explode(parse_list(F.col(column), mode)).alias(elem))
-    mapped = exploded.select(*df.columns, parse_dict(F.col(elem)).alias(parsed))
+    parsed = "__nm_map"
+    mapped = df.select("*", F.explode(parse_elements(F.col(column), mode)).alias(parsed))
 
     def lookup(k: Key) -> Column:
         value = F.col(parsed).getItem(k.dict_key)

@@ -93,15 +93,18 @@ def orphan_rules(children, parent: DataFrame, parent_column: str) -> DataFrame:
     return totals.select(F.lit("fk_orphans").alias("rule"), "table", "column", "violations")
 
 
-def _zeros(spark, labels) -> DataFrame:
-    return spark.createDataFrame([(t, c, 0) for t, c in labels], "table string, column string, violations long")
+def _labels(spark, labels) -> DataFrame:
+    """``(tag, table, column)`` for the small integer tags used while grouping."""
+    return spark.createDataFrame([(i, t, c) for i, (t, c) in enumerate(labels)], "tag int, table string, column string")
 
 
 def pk_rules_many(items, spark) -> DataFrame:
     """``pk_rules`` for many single-column keys, one shuffle per key type.
 
-    Keys of the same type from all tables are unioned, tagged with their
-    table, and grouped once; per table we get null keys and duplicated keys.
+    Keys of the same type from all tables are unioned, tagged with a small
+    integer standing for their table, and grouped once (map-side combine);
+    per table we get null keys and duplicated keys.  Names are attached to
+    the per-table result only, so the grouped rows stay narrow.
     """
     by_type: dict[str, list] = {}
     for df, table, column in items:
@@ -109,17 +112,22 @@ def pk_rules_many(items, spark) -> DataFrame:
     out = None
     for group in by_type.values():
         keys = None
-        for df, table, column in group:
-            part = df.select(F.lit(table).alias("table"), F.lit(column).alias("column"), F.col(column).alias("__nm_k"))
+        for tag, (df, _, column) in enumerate(group):
+            part = df.select(F.lit(tag).alias("tag"), F.col(column).alias("__nm_k"))
             keys = part if keys is None else keys.unionByName(part)
-        per_key = keys.groupBy("table", "column", "__nm_k").agg(F.count(F.lit(1)).alias("n"))
-        stats = per_key.groupBy("table", "column").agg(
-            F.coalesce(F.sum(F.when(F.col("__nm_k").isNull(), F.col("n"))), F.lit(0)).cast("long").alias("nulls"),
-            F.count_if(F.col("__nm_k").isNotNull() & (F.col("n") > 1)).cast("long").alias("dups"),
+        per_key = keys.groupBy("tag", "__nm_k").agg(F.count(F.lit(1)).alias("n"))
+        stats = per_key.groupBy("tag").agg(
+            F.sum(F.when(F.col("__nm_k").isNull(), F.col("n"))).alias("nulls"),
+            F.count_if(F.col("__nm_k").isNotNull() & (F.col("n") > 1)).alias("dups"),
         )
-        zero = _zeros(spark, [(t, c) for _, t, c in group]).select("table", "column", F.lit(0).cast("long").alias("nulls"), F.lit(0).cast("long").alias("dups"))
-        stats = stats.unionByName(zero).groupBy("table", "column").agg(F.sum("nulls").alias("nulls"), F.sum("dups").alias("dups"))
-        rows = stats.select("table", "column", F.expr("stack(2, 'pk_not_null', nulls, 'pk_unique', dups) AS (rule, violations)"))
+        labels = _labels(spark, [(t, c) for _, t, c in group])
+        rows = labels.join(stats, "tag", "left").select(
+            "table",
+            "column",
+            F.coalesce(F.col("nulls"), F.lit(0)).cast("long").alias("nulls"),
+            F.coalesce(F.col("dups"), F.lit(0)).cast("long").alias("dups"),
+        )
+        rows = rows.select("table", "column", F.expr("stack(2, 'pk_not_null', nulls, 'pk_unique', dups) AS (rule, violations)"))
         out = rows if out is None else out.unionByName(rows)
     return out.select("rule", "table", "column", F.col("violations").cast("long"))
 
@@ -128,9 +136,9 @@ def orphan_rules_many(links, spark) -> DataFrame:
     """Orphan counts for many (child, parent) links, one pass per key type.
 
     ``links`` holds ``(child_df, table, column, parent_df, parent_name,
-    parent_column)``.  Child keys are unioned and counted per (parent,
-    table, column, key) with map-side combine; distinct parent keys tagged
-    with the parent's name are anti-joined once.
+    parent_column)``.  Child keys are tagged with a small integer per link
+    and a small integer per parent, counted per (link, key) with map-side
+    combine, and anti-joined once against the distinct keys of all parents.
     """
     by_type: dict[str, list] = {}
     for link in links:
@@ -139,24 +147,24 @@ def orphan_rules_many(links, spark) -> DataFrame:
     out = None
     for group in by_type.values():
         children = parents = None
-        seen_parents = set()
-        for child, table, column, parent, parent_name, parent_column in group:
+        parent_tags: dict[str, int] = {}
+        for tag, (child, _, column, parent, parent_name, parent_column) in enumerate(group):
             key_type = parent.schema[parent_column].dataType
+            if parent_name not in parent_tags:
+                parent_tags[parent_name] = len(parent_tags)
+                pk = parent.select(F.lit(parent_tags[parent_name]).alias("ptag"), F.col(parent_column).alias("__nm_k"))
+                parents = pk if parents is None else parents.unionByName(pk)
             part = child.filter(F.col(column).isNotNull()).select(
-                F.lit(parent_name).alias("parent"), F.lit(table).alias("table"), F.lit(column).alias("column"),
-                F.col(column).cast(key_type).alias("__nm_k"),
+                F.lit(tag).alias("tag"), F.lit(parent_tags[parent_name]).alias("ptag"), F.col(column).cast(key_type).alias("__nm_k")
             )
             children = part if children is None else children.unionByName(part)
-            if parent_name not in seen_parents:
-                seen_parents.add(parent_name)
-                pk = parent.select(F.lit(parent_name).alias("parent"), F.col(parent_column).alias("__nm_k"))
-                parents = pk if parents is None else parents.unionByName(pk)
-        per_key = children.groupBy("parent", "table", "column", "__nm_k").agg(F.count(F.lit(1)).alias("n"))
-        orphans = per_key.join(parents.distinct(), ["parent", "__nm_k"], "left_anti")
-        counts = orphans.groupBy("table", "column").agg(F.sum("n").cast("long").alias("violations"))
-        counts = counts.unionByName(_zeros(spark, [(l[1], l[2]) for l in group]))
-        counts = counts.groupBy("table", "column").agg(F.sum("violations").cast("long").alias("violations"))
-        rows = counts.select(F.lit("fk_orphans").alias("rule"), "table", "column", "violations")
+        per_key = children.groupBy("tag", "ptag", "__nm_k").agg(F.count(F.lit(1)).alias("n"))
+        orphans = per_key.join(parents.distinct(), ["ptag", "__nm_k"], "left_anti")
+        counts = orphans.groupBy("tag").agg(F.sum("n").alias("violations"))
+        labels = _labels(spark, [(l[1], l[2]) for l in group])
+        rows = labels.join(counts, "tag", "left").select(
+            F.lit("fk_orphans").alias("rule"), "table", "column", F.coalesce(F.col("violations"), F.lit(0)).cast("long").alias("violations")
+        )
         out = rows if out is None else out.unionByName(rows)
     return out
 
