@@ -165,25 +165,28 @@ def explode_json(
     return mapped.select(*kept, *added)
 
 
-def nested_parse_report(df: DataFrame, column: str) -> DataFrame:
+def nested_parse_report(df: DataFrame, column: str, by: Sequence[str] | None = None) -> DataFrame:
     """Counts of what ``explode_json`` drops for ``column``, in one pass.
 
     ``unparsed`` rows have text that strict parsing rejects (all of their
     elements are lost in strict mode); ``repairable`` of those parse after the
-    Python-literal repair.
+    Python-literal repair.  ``by`` gives one row per group instead of one.
     """
     text = F.col(column)
     strict = parse_list(text, "strict")
     lenient = parse_list(text, "pyliteral")
     has_text = text.isNotNull() & (F.trim(text) != "")
-    return df.agg(
+    aggs = [
         F.count(F.lit(1)).alias("rows"),
         F.count_if(~has_text | text.isNull()).alias("null_or_blank"),
         F.count_if(has_text & strict.isNotNull() & (F.size(strict) == 0)).alias("empty_list"),
         F.count_if(has_text & strict.isNull()).alias("unparsed"),
         F.count_if(has_text & strict.isNull() & lenient.isNotNull()).alias("repairable"),
-        F.sum(F.when(strict.isNotNull(), F.size(strict)).otherwise(0)).alias("elements"),
-    ).select(F.lit(column).alias("column"), "*")
+        F.coalesce(F.sum(F.when(strict.isNotNull(), F.size(strict)).otherwise(0)), F.lit(0)).alias("elements"),
+    ]
+    if by:
+        return df.groupBy(*by).agg(*aggs)
+    return df.agg(*aggs).select(F.lit(column).alias("column"), "*")
 
 
 def nest_json(

@@ -289,3 +289,44 @@ SQL: dict[str, str] = {
         SELECT DISTINCT CAST(p.p_partkey AS INTEGER) AS id, p.p_name AS name
         FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
 }
+
+
+_LI_G = f"({_LINES}) li JOIN ({_GENRE_IDS}) g ON li.p_type = g.p_type"
+
+SQL.update({
+    "conform_lengths": """
+        SELECT 'dim_cast' AS "table", count(*) FILTER (WHERE strlen(text) > 255) AS violations FROM documents""",
+    "parse_losses": """
+        SELECT c_mktsegment AS segment, count(*) AS rows,
+               count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS null_or_blank,
+               count(*) FILTER (WHERE c_mktsegment = 'FURNITURE') AS empty_list,
+               count(*) FILTER (WHERE c_mktsegment IN ('HOUSEHOLD', 'MACHINERY')) AS unparsed,
+               count(*) FILTER (WHERE c_mktsegment = 'HOUSEHOLD') AS repairable,
+               CASE WHEN c_mktsegment IN ('HOUSEHOLD', 'MACHINERY', 'FURNITURE', 'BUILDING') THEN 0 ELSE 2 * count(*) END AS elements
+        FROM customer GROUP BY c_mktsegment""",
+    "table_dim_movies": """
+        SELECT CAST(o_orderkey AS INTEGER) AS id, 'Order #' || o_orderkey AS title,
+               'Order "' || o_orderkey || '", ' || o_orderpriority AS original_title,
+               'Priority ' || o_orderpriority || ', status ' || o_orderstatus AS overview,
+               o_orderstatus AS status, CAST(o_orderdate AS DATE) AS release_date, o_orderpriority = '1-URGENT' AS video
+        FROM orders""",
+    "table_dim_genres": f"SELECT DISTINCT g.genre_id AS id, li.p_type AS name FROM {_LI_G}",
+    "table_movie_genres": f"SELECT DISTINCT CAST(li.l_orderkey AS INTEGER) AS movie_id, g.genre_id FROM {_LI_G}",
+    "table_dim_companies": f"SELECT DISTINCT CAST(substr(p_brand, 7) AS INTEGER) AS id, p_brand AS name FROM ({_LINES})",
+    "table_movie_production_companies": f"""
+        SELECT DISTINCT CAST(l_orderkey AS INTEGER) AS movie_id, CAST(substr(p_brand, 7) AS INTEGER) AS company_id FROM ({_LINES})""",
+    "table_dim_countries": f"SELECT DISTINCT lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS iso_code, n_name AS name FROM ({_LINES})",
+    "table_movie_countries": f"""
+        SELECT DISTINCT CAST(l_orderkey AS INTEGER) AS movie_id, lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS country_code FROM ({_LINES})""",
+    "table_movie_languages": f"SELECT CAST(l_orderkey AS INTEGER) AS movie_id, lang_code AS language_code FROM ({_MOVIE_LANGS})",
+    "table_movie_cast": f"SELECT CAST(l_orderkey AS INTEGER) AS movie_id, CAST(l_suppkey AS INTEGER) AS cast_id FROM ({_LINES})",
+    "table_dim_crew": f"""
+        SELECT DISTINCT CAST(l_partkey AS INTEGER) AS id, p_name AS name, p_type AS department,
+               {_GENDER.format(x='CAST(floor(p_size / 13) AS INTEGER)')} AS gender, p_brand AS job
+        FROM ({_LINES})""",
+    "table_movie_crew": f"SELECT CAST(l_orderkey AS INTEGER) AS movie_id, CAST(l_partkey AS INTEGER) AS crew_id FROM ({_LINES})",
+    "table_dim_keywords": """
+        SELECT DISTINCT CAST(p.p_partkey AS INTEGER) AS id, p.p_name AS name
+        FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
+    "table_fact_rating": _RATING_STATS,
+})

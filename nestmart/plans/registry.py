@@ -383,6 +383,70 @@ def incremental_dims(spark, sf_dir):
     return dim.select("id", "name")
 
 
+# --- one check per table builder (values, not just counts) -----------------
+def _family_tables(spark: SparkSession, sf_dir: str, family: str) -> dict[str, DataFrame]:
+    t = catalog.load_tables(spark, sf_dir)
+    frames = {
+        "movies_metadata": catalog.movies_frame,
+        "credits": catalog.credits_frame,
+        "keywords": catalog.keywords_frame,
+        "ratings": catalog.ratings_frame,
+    }
+    return tables.build_warehouse({family: frames[family](t)})
+
+
+_TABLE_FAMILY = {
+    "dim_movies": "movies_metadata",
+    "dim_genres": "movies_metadata",
+    "movie_genres": "movies_metadata",
+    "dim_companies": "movies_metadata",
+    "movie_production_companies": "movies_metadata",
+    "dim_countries": "movies_metadata",
+    "movie_countries": "movies_metadata",
+    "movie_languages": "movies_metadata",
+    "movie_cast": "credits",
+    "dim_crew": "credits",
+    "movie_crew": "credits",
+    "dim_keywords": "keywords",
+    "fact_rating": "ratings",
+}
+
+
+def _table_query(name: str) -> Query:
+    def query(spark, sf_dir):
+        return _no_audit(_family_tables(spark, sf_dir, _TABLE_FAMILY[name])[name])
+
+    query.__name__ = f"table_{name}"
+    query.__doc__ = f"``{name}`` as built from the derived catalog (audit column dropped)."
+    return query
+
+
+def conform_lengths(spark, sf_dir):
+    """Rows that break a declared length (K4): document texts as cast names."""
+    docs = _t(spark, sf_dir, "documents")
+    as_cast = docs.select(
+        F.col("doc_id").cast("int").alias("id"), F.col("text").alias("name"),
+        F.col("lang").alias("character"), F.lit(None).cast("string").alias("gender"),
+    )
+    return sink.conform_report({"dim_cast": as_cast})
+
+
+def parse_losses(spark, sf_dir):
+    """What strict parsing drops, per kind of defect (Q6 parse-loss counts)."""
+    c = _t(spark, sf_dir, "customer")
+    seg = F.col("c_mktsegment")
+    item = F.concat(F.lit("{'id': "), F.col("c_custkey").cast("string"), F.lit(", 'name': '"), F.col("c_name"), F.lit("'"))
+    text = (
+        F.when(seg == "HOUSEHOLD", F.concat(F.lit("["), item, F.lit(", 'x': None}]")))
+        .when(seg == "MACHINERY", F.concat(F.lit("["), item))
+        .when(seg == "FURNITURE", F.lit("[]"))
+        .when(seg == "BUILDING", F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("["), item, F.lit("}, "), item, F.lit("}]")))
+    )
+    nested = c.select(seg.alias("segment"), text.alias("people"))
+    return fn.nested_parse_report(nested, "people", by=["segment"])
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in [
@@ -432,5 +496,8 @@ QUERIES: dict[str, Query] = {
         full_load,
         incremental_ingest,
         incremental_dims,
+        conform_lengths,
+        parse_losses,
+        *[_table_query(name) for name in _TABLE_FAMILY],
     ]
 }
