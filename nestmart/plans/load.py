@@ -11,6 +11,7 @@ is retried).
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
@@ -22,6 +23,8 @@ from ..sinks.warehouse import create_all, read_all, write_all
 from ..sources.csv import read_prefix, write_csv
 from . import quality, tables
 
+log = logging.getLogger(__name__)
+
 FAMILIES = ("movies_metadata", "keywords", "credits", "ratings")
 
 
@@ -74,11 +77,13 @@ def run_load(
         frames.update(tables.build_warehouse({}, reproducible, nested_mode, staged=staged))
     rest = {k: v for k, v in raw.items() if k != "movies_metadata"}
     frames.update(tables.build_warehouse(rest, reproducible, nested_mode))
-    write_concurrently(frames, database, mode, parallelism)
+    counts = write_concurrently(frames, database, mode, parallelism)
+    for name, rows in counts.items():
+        log.info("wrote %s rows to %s.%s", rows, database, name)
     return quality.gate(read_all(spark, database))
 
 
-def write_concurrently(frames: Mapping[str, DataFrame], database: str, mode: str, parallelism: int = 4) -> None:
+def write_concurrently(frames: Mapping[str, DataFrame], database: str, mode: str, parallelism: int = 4) -> dict[str, int]:
     """Write independent tables as concurrent Spark jobs.
 
     Each table is its own job; small dimensions leave most of a cluster idle,
@@ -86,9 +91,10 @@ def write_concurrently(frames: Mapping[str, DataFrame], database: str, mode: str
     parallel).  Any failure is re-raised after the others finish.
     """
     if parallelism <= 1:
-        write_all(frames, database, mode)
-        return
+        return write_all(frames, database, mode)
+    counts: dict[str, int] = {}
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         futures = [pool.submit(write_all, {name: df}, database, mode) for name, df in frames.items()]
         for f in futures:
-            f.result()
+            counts.update(f.result())
+    return counts

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import safe_cast
+from ..operators.aggregate import observed
 from ..operators.keys import with_row_id
 from ..schemas import CREATE_ORDER, TABLES, Table
 
@@ -72,24 +73,33 @@ def write_table(
     database: str,
     name: str,
     mode: str = "append",
-) -> DataFrame:
-    """Conform and write one target table (K1).
+) -> int:
+    """Conform and write one target table (K1); returns the rows written.
 
     For ``append`` the bridge ids continue after the stored maximum, so a
-    second batch never reuses an id.
+    second batch never reuses an id.  The row count is observed during the
+    write itself (A2), not by a separate ``count()`` job.
     """
     spark = df.sparkSession
     t = TABLES[name]
     offset = current_max_id(spark, database, t) if mode == "append" else 0
-    conformed = conform(df, t, offset)
+    conformed, rows = observed(conform(df, t, offset), f"rows_{name}")
     conformed.write.mode(mode).format("parquet").insertInto(f"{database}.{name}", overwrite=(mode == "overwrite"))
-    return conformed
+    spark.catalog.refreshTable(f"{database}.{name}")
+    return int(rows.get.get("rows", 0))
 
 
-def write_all(frames: Mapping[str, DataFrame], database: str, mode: str = "append") -> None:
-    for name in CREATE_ORDER:
-        if name in frames:
-            write_table(frames[name], database, name, mode)
+def write_all(frames: Mapping[str, DataFrame], database: str, mode: str = "append") -> dict[str, int]:
+    """Write the given frames in creation order; returns rows per table."""
+    return {name: write_table(frames[name], database, name, mode) for name in CREATE_ORDER if name in frames}
+
+
+def refresh_all(spark: SparkSession, database: str, tables=None) -> None:
+    """Drop cached file listings of the warehouse tables in this session
+    (another session, e.g. a stream's, may have rewritten them)."""
+    for name in tables or CREATE_ORDER:
+        if spark.catalog.tableExists(f"{database}.{name}"):
+            spark.catalog.refreshTable(f"{database}.{name}")
 
 
 def read_all(spark: SparkSession, database: str, tables=None) -> dict[str, DataFrame]:

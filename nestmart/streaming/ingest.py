@@ -25,8 +25,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.scalar import with_audit
 from ..operators.joins import anti_join
 from ..plans import tables
-from ..schemas import QUOTED_SOURCES, SOURCE_SCHEMAS, TABLES
-from ..sinks.warehouse import create_all, write_table
+from ..schemas import QUOTED_SOURCES, SOURCE_SCHEMAS
+from ..sinks.warehouse import create_all, refresh_all, write_table
 
 _DIM_KEY = {
     "dim_movies": "id",
@@ -91,8 +91,6 @@ def process_batch(batch: DataFrame, batch_id: int, family: str, database: str, s
     for name, df in frames.items():
         if name in _DIM_KEY:
             _append_new_keys(df, database, name)
-        elif TABLES[name].identity:
-            write_table(df, database, name, "append")
         else:
             write_table(df, database, name, "append")
 
@@ -132,3 +130,4 @@ def run_ingest(spark: SparkSession, family: str, landing_dir: str, database: str
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    refresh_all(spark, database)

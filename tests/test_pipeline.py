@@ -189,3 +189,13 @@ def test_newline_in_quoted_field(spark, tmp_root):
     assert multi == [(1, "line one\nline two", 5), (2, "plain", 6)]
     single = read_csv(spark, path, schema).filter("id IS NOT NULL").collect()
     assert sorted(r.id for r in single) == [1, 2]
+
+
+def test_write_reports_observed_rows(spark, sources, tmp_root):
+    from nestmart.plans import tables
+    from nestmart.sinks.warehouse import create_all, write_table
+
+    create_all(spark, "nm_fixture_f", os.path.join(tmp_root, "f"), ["movie_keywords"])
+    raw = load.read_sources(spark, {"keywords": sources["keywords"]})
+    _, bridge = tables.keywords(raw["keywords"])
+    assert write_table(bridge, "nm_fixture_f", "movie_keywords") == 4
