@@ -120,7 +120,7 @@ def movies_frame(t: Mapping[str, DataFrame]) -> DataFrame:
         "budget": F.col("o_totalprice") / 2,
         "genres": F.col("genres"),
         "homepage": F.lit(None).cast("string"),
-        "id": key.cast("int"),
+        "id": key.try_cast("int"),
         "imdb_id": F.concat(F.lit("tt"), F.lpad(key.cast("string"), 7, "0")),
         "original_language": F.col("original_language"),
         "original_title": F.concat(F.lit('Order "'), key.cast("string"), F.lit('", '), F.col("o_orderpriority")),
@@ -141,7 +141,9 @@ def movies_frame(t: Mapping[str, DataFrame]) -> DataFrame:
         "vote_count": F.col("lines"),
     }
     schema = SOURCE_SCHEMAS["movies_metadata"]
-    return m.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
+    # try_cast: a key outside the declared type becomes null, exactly as a CSV
+    # scan with the declared schema would read it (and T1 then drops it).
+    return m.select(*[cols[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def credits_frame(t: Mapping[str, DataFrame], chunk: int = CHUNK) -> DataFrame:
@@ -161,7 +163,7 @@ def credits_frame(t: Mapping[str, DataFrame], chunk: int = CHUNK) -> DataFrame:
         "job": F.col("p_brand"),
     }
     nested = nest_json(lines, ["l_orderkey"], cast_el, "cast", chunk, extra={"crew": crew_el})
-    return nested.select("cast", "crew", F.col("l_orderkey").cast("int").alias("id"))
+    return nested.select("cast", "crew", F.col("l_orderkey").try_cast("int").alias("id"))
 
 
 def keywords_frame(t: Mapping[str, DataFrame], chunk: int = CHUNK) -> DataFrame:
@@ -169,15 +171,15 @@ def keywords_frame(t: Mapping[str, DataFrame], chunk: int = CHUNK) -> DataFrame:
     li = t["lineitem"].select("l_orderkey", "l_partkey")
     li = li.join(t["part"].select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
     nested = nest_json(li, ["l_orderkey"], {"id": F.col("p_partkey"), "name": F.col("p_name")}, "keywords", chunk)
-    return nested.select(F.col("l_orderkey").cast("int").alias("id"), "keywords")
+    return nested.select(F.col("l_orderkey").try_cast("int").alias("id"), "keywords")
 
 
 def ratings_frame(t: Mapping[str, DataFrame]) -> DataFrame:
     """One rating per lineitem, 1-5 from the quantity; epoch-second time."""
     li = t["lineitem"]
     return li.select(
-        F.col("l_suppkey").cast("int").alias("userId"),
-        F.col("l_orderkey").cast("int").alias("movieId"),
+        F.col("l_suppkey").try_cast("int").alias("userId"),
+        F.col("l_orderkey").try_cast("int").alias("movieId"),
         F.ceil(F.col("l_quantity") / 10).cast("float").alias("rating"),
         (F.unix_date(F.to_date(F.col("l_shipdate"))) * 86400).cast("int").alias("timestamp"),
     )

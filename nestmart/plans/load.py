@@ -38,10 +38,15 @@ def write_sources(frames: Mapping[str, DataFrame], root: str) -> dict[str, str]:
     return out
 
 
-def read_sources(spark: SparkSession, prefixes: Mapping[str, str]) -> dict[str, DataFrame]:
-    """One prefix scan per family with its declared schema and dialect."""
+def read_sources(spark: SparkSession, prefixes: Mapping[str, str], multi_line: bool = False) -> dict[str, DataFrame]:
+    """One prefix scan per family with its declared schema and dialect.
+
+    ``multi_line`` keeps newlines inside quoted fields (files are then read
+    whole, one task per file); the default splits records at every newline,
+    as the original did.
+    """
     return {
-        family: read_prefix(spark, prefix, SOURCE_SCHEMAS[family], quoted=family in QUOTED_SOURCES)
+        family: read_prefix(spark, prefix, SOURCE_SCHEMAS[family], quoted=family in QUOTED_SOURCES, multi_line=multi_line and family in QUOTED_SOURCES)
         for family, prefix in prefixes.items()
     }
 
@@ -63,6 +68,7 @@ def run_load(
     reproducible: bool = False,
     nested_mode: str = "strict",
     parallelism: int = 4,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Load every family into ``database`` and return the gate report.
 
@@ -70,7 +76,7 @@ def run_load(
     ``quality.enforce`` to stop on failures.
     """
     create_all(spark, database, location)
-    raw = read_sources(spark, prefixes)
+    raw = read_sources(spark, prefixes, multi_line)
     frames: dict[str, DataFrame] = {}
     if "movies_metadata" in raw:
         staged = stage_movies(raw["movies_metadata"], reproducible)
