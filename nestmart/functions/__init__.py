@@ -10,6 +10,7 @@ from .nested import (
     parse_elements,
     parse_list,
     repair_pyliteral,
+    scan_chunks,
 )
 from .scalar import (
     GENDER_LABELS,
@@ -37,6 +38,7 @@ __all__ = [
     "parse_list",
     "repair_pyliteral",
     "safe_cast",
+    "scan_chunks",
     "unknown_language",
     "with_audit",
     "with_language_name",

@@ -189,6 +189,17 @@ def nested_parse_report(df: DataFrame, column: str, by: Sequence[str] | None = N
     return df.agg(*aggs).select(F.lit(column).alias("column"), "*")
 
 
+def scan_chunks(df: DataFrame, max_elements: int = 1000, column: str = "__nm_chunk") -> DataFrame:
+    """Tag rows with a chunk number: runs of ``max_elements`` consecutive rows
+    of one input partition share a number.
+
+    Call it directly on a file scan, before any shuffle: the scan's
+    partitions and row order are fixed, so a retried task assigns the same
+    numbers.
+    """
+    return df.withColumn(column, F.floor(F.monotonically_increasing_id() / F.lit(max_elements)))
+
+
 def nest_json(
     df: DataFrame,
     key: Sequence[str],
@@ -196,25 +207,27 @@ def nest_json(
     output: str,
     max_elements: int = 1000,
     extra: Mapping[str, Column] | None = None,
+    chunk: str | None = None,
 ) -> DataFrame:
-    """Inverse of ``explode_json``: one JSON list text per key.
+    """Inverse of ``explode_json``: one JSON list text per key and chunk.
 
     Every input row becomes one object ``{name: expr, ...}``.  A key's list is
-    split into chunks of at most ``max_elements`` objects, so a hot key never
-    builds one unbounded value in one task; each chunk is one output row and
-    exploding all of them returns the original bag.  ``collect_list`` is
-    combined map-side (partial aggregation) before the shuffle.
+    split into chunks of at most ``max_elements`` objects (the ``chunk``
+    column from ``scan_chunks``, or consecutive rows of one partition if not
+    given), so a hot key never builds one unbounded value in one task; each
+    chunk is one output row and exploding all of them returns the original
+    bag.  ``collect_list`` is combined map-side before the shuffle.
 
     ``extra`` adds further list columns built from the same rows.
     """
-    chunk = F.floor(F.monotonically_increasing_id() / F.lit(max_elements))
+    chunk_col = F.col(chunk) if chunk else F.floor(F.monotonically_increasing_id() / F.lit(max_elements))
     lists = {output: elements, **(extra or {})}
     staged = df.select(
         *[F.col(k) for k in key],
-        chunk.alias("__nm_chunk"),
+        chunk_col.alias("__nm_chunk_key"),
         *[F.struct(*[expr.alias(name) for name, expr in spec.items()]).alias(f"__nm_{col}") for col, spec in lists.items()],
     )
-    grouped = staged.groupBy(*key, "__nm_chunk").agg(
+    grouped = staged.groupBy(*key, "__nm_chunk_key").agg(
         *[F.collect_list(f"__nm_{col}").alias(f"__nm_{col}") for col in lists]
     )
     return grouped.select(*key, *[F.to_json(f"__nm_{col}").alias(col) for col in lists])

@@ -35,7 +35,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.nested import nest_json
+from ..functions.nested import nest_json, scan_chunks
 from ..functions.values import values_frame
 from ..schemas import SOURCE_SCHEMAS
 from ..sources import read_parquet_table
@@ -89,9 +89,12 @@ def _part_genre(t: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def _lines(t: Mapping[str, DataFrame]) -> DataFrame:
-    """lineitem with its part and supplier attributes."""
-    li = t["lineitem"].select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_shipdate")
+def _lines(t: Mapping[str, DataFrame], chunk: int = CHUNK) -> DataFrame:
+    """lineitem with its part and supplier attributes; ``__nm_chunk`` is
+    assigned on the scan, so it is stable under task retries."""
+    li = scan_chunks(t["lineitem"], chunk).select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_shipdate", "__nm_chunk"
+    )
     li = li.join(_part_genre(t), F.col("l_partkey") == F.col("p_partkey"))
     return li.join(_supplier_geo(t), F.col("l_suppkey") == F.col("s_suppkey"))
 
@@ -148,7 +151,7 @@ def movies_frame(t: Mapping[str, DataFrame]) -> DataFrame:
 
 def credits_frame(t: Mapping[str, DataFrame], chunk: int = CHUNK) -> DataFrame:
     """``(cast, crew, id)``: suppliers as cast, parts as crew, per lineitem."""
-    lines = _lines(t)
+    lines = _lines(t, chunk)
     cast_el = {
         "id": F.col("s_suppkey"),
         "name": F.col("s_name"),
@@ -162,15 +165,15 @@ def credits_frame(t: Mapping[str, DataFrame], chunk: int = CHUNK) -> DataFrame:
         "gender": F.floor(F.col("p_size") / 13).cast("int"),
         "job": F.col("p_brand"),
     }
-    nested = nest_json(lines, ["l_orderkey"], cast_el, "cast", chunk, extra={"crew": crew_el})
+    nested = nest_json(lines, ["l_orderkey"], cast_el, "cast", chunk, extra={"crew": crew_el}, chunk="__nm_chunk")
     return nested.select("cast", "crew", F.col("l_orderkey").try_cast("int").alias("id"))
 
 
 def keywords_frame(t: Mapping[str, DataFrame], chunk: int = CHUNK) -> DataFrame:
     """``(id, keywords)``: the order's part names, per lineitem."""
-    li = t["lineitem"].select("l_orderkey", "l_partkey")
+    li = scan_chunks(t["lineitem"], chunk).select("l_orderkey", "l_partkey", "__nm_chunk")
     li = li.join(t["part"].select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
-    nested = nest_json(li, ["l_orderkey"], {"id": F.col("p_partkey"), "name": F.col("p_name")}, "keywords", chunk)
+    nested = nest_json(li, ["l_orderkey"], {"id": F.col("p_partkey"), "name": F.col("p_name")}, "keywords", chunk, chunk="__nm_chunk")
     return nested.select(F.col("l_orderkey").try_cast("int").alias("id"), "keywords")
 
 
