@@ -35,6 +35,7 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.parquet.aggregatePushdown", "true")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)

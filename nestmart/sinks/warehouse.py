@@ -64,7 +64,10 @@ def current_max_id(spark: SparkSession, database: str, table: Table) -> int:
     """Largest surrogate id already stored (0 for an empty table)."""
     if not table.identity:
         return 0
-    row = spark.table(f"{database}.{table.name}").agg(F.max(table.identity)).first()
+    stored = spark.table(f"{database}.{table.name}")
+    if not stored.inputFiles():  # file listing only: a new table costs no job
+        return 0
+    row = stored.agg(F.max(table.identity)).first()  # footer stats with aggregate pushdown
     return int(row[0] or 0)
 
 
