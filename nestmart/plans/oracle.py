@@ -330,3 +330,21 @@ SQL.update({
         FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
     "table_fact_rating": _RATING_STATS,
 })
+
+_HOT = "CAST(CASE WHEN l.l_linenumber <= 2 THEN 0 ELSE l.l_orderkey END AS INTEGER)"
+
+SQL.update({
+    "hot_key_bridge": f"""
+        SELECT {_HOT} AS movie_id, CAST(l.l_partkey AS INTEGER) AS keyword_id
+        FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
+    "hot_key_ratings": f"""
+        SELECT {_HOT} AS movie_id, CAST(count(*) AS INTEGER) AS ratings_count,
+               avg(CAST(ceil(l.l_quantity / 10) AS FLOAT)) AS ratings_average,
+               CAST(min(CAST(ceil(l.l_quantity / 10) AS FLOAT)) AS DOUBLE) AS min_rate,
+               CAST(max(CAST(ceil(l.l_quantity / 10) AS FLOAT)) AS DOUBLE) AS max_rate
+        FROM lineitem l GROUP BY 1""",
+    "hot_key_semi": f"""
+        SELECT CAST(o.o_orderkey AS INTEGER) AS id FROM orders o
+        WHERE EXISTS (SELECT 1 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+                      WHERE p.p_type = 'PROMO' AND {_HOT} = o.o_orderkey)""",
+})

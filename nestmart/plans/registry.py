@@ -446,6 +446,42 @@ def parse_losses(spark, sf_dir):
     nested = c.select(seg.alias("segment"), text.alias("people"))
     return fn.nested_parse_report(nested, "people", by=["segment"])
 
+# --- one hot key holding about a third of the rows ----------------------------
+def _hot_movie(col: str = "l_orderkey") -> F.Column:
+    """Lineitems 1 and 2 of every order (about 29% of all rows) re-keyed to
+    movie 0, the rest keep their order: one key with a third of the data."""
+    return F.when(F.col("l_linenumber") <= 2, F.lit(0)).otherwise(F.col(col)).try_cast("int")
+
+
+def hot_key_bridge(spark, sf_dir):
+    """Keywords of a hot movie: nested in bounded chunks, exploded back."""
+    t = catalog.load_tables(spark, sf_dir, ["lineitem", "part"])
+    li = fn.scan_chunks(t["lineitem"], catalog.CHUNK).select(_hot_movie().alias("movie"), "l_partkey", "__nm_chunk")
+    li = li.join(t["part"].select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+    nested = fn.nest_json(li, ["movie"], {"id": F.col("p_partkey"), "name": F.col("p_name")}, "keywords", catalog.CHUNK, chunk="__nm_chunk")
+    _, bridge = tables.keywords(nested.withColumnRenamed("movie", "id"))
+    return bridge
+
+
+def hot_key_ratings(spark, sf_dir):
+    """``fact_rating`` when one movie holds about a third of all ratings."""
+    li = _t(spark, sf_dir, "lineitem").select(_hot_movie().alias("movieId"), "l_suppkey", "l_quantity")
+    ratings = li.select(
+        F.col("l_suppkey").try_cast("int").alias("userId"), "movieId",
+        F.ceil(F.col("l_quantity") / 10).cast("float").alias("rating"),
+    )
+    return _no_audit(tables.fact_rating(ratings))
+
+
+def hot_key_semi(spark, sf_dir):
+    """Movies with a PROMO part, when one movie holds a third of the bridge rows."""
+    li = _t(spark, sf_dir, "lineitem").select(_hot_movie().alias("movie_id"), "l_partkey")
+    promo = _t(spark, sf_dir, "part").filter(F.col("p_type") == "PROMO").select("p_partkey")
+    hits = ops.semi_join(li, promo, ["l_partkey"], ["p_partkey"])
+    movies = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").try_cast("int").alias("id"))
+    return ops.semi_join(movies, hits, ["id"], ["movie_id"])
+
+
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
@@ -498,6 +534,9 @@ QUERIES: dict[str, Query] = {
         incremental_dims,
         conform_lengths,
         parse_losses,
+        hot_key_bridge,
+        hot_key_ratings,
+        hot_key_semi,
         *[_table_query(name) for name in _TABLE_FAMILY],
     ]
 }

@@ -94,3 +94,19 @@ def test_nest_then_explode_returns_the_bag(spark, rows, chunk):
     nested = nest_json(df, ["k"], {"id": F.col("id"), "name": F.col("name")}, "items", max_elements=chunk)
     back = explode_json(nested, "items", KEYS).select("k", "id", "name")
     assert sorted(map(tuple, back.collect())) == sorted(rows)
+
+
+def test_hot_key_lists_stay_bounded(spark):
+    from nestmart.functions import scan_chunks
+
+    # one key with a third of 3,000 rows, spread over 4 partitions
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"), F.col("id").cast("int").alias("id"),
+        F.lit("x").alias("name"),
+    ).repartition(4)
+    tagged = scan_chunks(df, 50)
+    nested = nest_json(tagged, ["k"], {"id": F.col("id"), "name": F.col("name")}, "items", 50, chunk="__nm_chunk")
+    sizes = [r.n for r in nested.select(F.size(F.from_json("items", "array<string>")).alias("n")).collect()]
+    assert max(sizes) <= 50
+    back = explode_json(nested, "items", KEYS)
+    assert back.filter("k = 0").count() == 1000 and back.count() == 3000
