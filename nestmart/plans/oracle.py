@@ -208,13 +208,13 @@ SQL: dict[str, str] = {
         FROM lineitem GROUP BY l_partkey""",
     "row_counts": " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}" for t in _ALL_TABLES),
     "profile": " UNION ALL ".join(
-        f"SELECT 'customer' AS \"table\", '{c}' AS \"column\", count(*) AS rows, count(*) FILTER (WHERE {e} IS NULL) AS nulls FROM customer"
-        for c, e in [
-            ("c_custkey", "c_custkey"),
-            ("c_name", "c_name"),
-            ("c_nationkey", "c_nationkey"),
-            ("c_acctbal", "CASE WHEN c_acctbal >= 0 THEN c_acctbal END"),
-            ("c_mktsegment", "c_mktsegment"),
+        f"SELECT 'customer' AS \"table\", '{c}' AS \"column\", '{t}' AS type, count(*) AS rows, count(*) FILTER (WHERE {e} IS NULL) AS nulls FROM customer"
+        for c, t, e in [
+            ("c_custkey", "bigint", "c_custkey"),
+            ("c_name", "string", "c_name"),
+            ("c_nationkey", "int", "c_nationkey"),
+            ("c_acctbal", "double", "CASE WHEN c_acctbal >= 0 THEN c_acctbal END"),
+            ("c_mktsegment", "string", "c_mktsegment"),
         ]
     ),
     "sorted_orders": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey DESC",
@@ -348,3 +348,11 @@ SQL.update({
         WHERE EXISTS (SELECT 1 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
                       WHERE p.p_type = 'PROMO' AND {_HOT} = o.o_orderkey)""",
 })
+
+SQL.update({
+    "question_b1_original": f"""
+        SELECT CAST(o.o_orderkey AS INTEGER) AS id, 'Order #' || o.o_orderkey AS title FROM orders o
+        LEFT JOIN (SELECT l_orderkey, min(lang_code) AS lang FROM ({_MOVIE_LANGS}) GROUP BY l_orderkey) x
+          ON x.l_orderkey = o.o_orderkey
+        WHERE {_year('o.o_orderdate', B1_YEAR)} AND x.lang IS DISTINCT FROM '{B1_LANGUAGE}'""",
+})

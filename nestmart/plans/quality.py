@@ -213,10 +213,11 @@ def enforce(report: DataFrame) -> list[tuple]:
 
 
 def profile(df: DataFrame, table: str) -> DataFrame:
-    """Rows and nulls per column, one pass (Q6): ``(table, column, rows, nulls)``."""
+    """Schema, rows and nulls per column in one pass (Q6):
+    ``(table, column, type, rows, nulls)``."""
     aggs = [F.count(F.lit(1)).alias("__nm_rows")] + [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]
     wide = df.agg(*aggs)
-    pairs = ", ".join(f"'{c}', n{i}" for i, c in enumerate(df.columns))
-    return wide.selectExpr(f"'{table}' AS table", "__nm_rows AS rows", f"stack({len(df.columns)}, {pairs}) AS (column, nulls)").select(
-        "table", "column", "rows", "nulls"
-    )
+    triples = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}', n{i}" for i, f in enumerate(df.schema.fields))
+    return wide.selectExpr(
+        f"'{table}' AS table", "__nm_rows AS rows", f"stack({len(df.columns)}, {triples}) AS (column, type, nulls)"
+    ).select("table", "column", "type", "rows", "nulls")

@@ -37,6 +37,14 @@ def question_b1(w: Mapping[str, DataFrame], year: int, language: str = "en") ->
     return other.select("id", "title")
 
 
+def question_b1_original(movies: DataFrame, year: int, language: str = "en") -> DataFrame:
+    """B1 on the staged movies' ``original_language`` (the profiling variant):
+    released in ``year`` and not originally in ``language``; a missing
+    language counts as different (null-safe, as the pandas ``!=`` did)."""
+    released = in_year(movies, "release_date", year)
+    return released.filter(~F.col("original_language").eqNullSafe(F.lit(language))).select("id", "title")
+
+
 def question_b2(w: Mapping[str, DataFrame], first: str, last: str) -> DataFrame:
     """Women (gender ``F``) in the cast or crew of movies released in
     ``[first, last]``: distinct people per role and overall."""

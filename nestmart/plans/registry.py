@@ -322,6 +322,11 @@ def question_b1(spark, sf_dir):
     return questions.question_b1(_warehouse(spark, sf_dir), B1_YEAR, B1_LANGUAGE)
 
 
+def question_b1_original(spark, sf_dir):
+    raw = catalog.derive_catalog(spark, sf_dir)["movies_metadata"]
+    return questions.question_b1_original(tables.staged_movies(raw), B1_YEAR, B1_LANGUAGE)
+
+
 def question_b2(spark, sf_dir):
     return questions.question_b2(_warehouse(spark, sf_dir), B2_FIRST, B2_LAST)
 
@@ -524,6 +529,7 @@ QUERIES: dict[str, Query] = {
         quality_gate,
         quality_gate_defects,
         question_b1,
+        question_b1_original,
         question_b2,
         question_b3,
         question_b4,

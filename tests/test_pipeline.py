@@ -199,3 +199,11 @@ def test_write_reports_observed_rows(spark, sources, tmp_root):
     raw = load.read_sources(spark, {"keywords": sources["keywords"]})
     _, bridge = tables.keywords(raw["keywords"])
     assert write_table(bridge, "nm_fixture_f", "movie_keywords") == 4
+
+
+def test_question_b1_on_original_language(spark, sources):
+    from nestmart.plans import tables
+
+    raw = load.read_sources(spark, {"movies_metadata": sources["movies_metadata"]})
+    staged = tables.staged_movies(raw["movies_metadata"])
+    assert _rows(questions.question_b1_original(staged, 2020, "en"), "id") == [(30,)]
