@@ -372,20 +372,22 @@ def incremental_ingest(spark, sf_dir):
 
 
 def incremental_dims(spark, sf_dir):
-    """Keywords landing in two drops: dimension keys appended once."""
+    """Keywords landing in two drops (orders before 1998, then the rest):
+    dimension keys are appended once."""
     root = scratch_path(spark, "ingest-kw")
     t = catalog.load_tables(spark, sf_dir, ["lineitem", "part", "orders"])
-    kw = catalog.keywords_frame(t)
+    early = t["orders"].filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")).select("o_orderkey")
+    drops = [
+        ops.semi_join(t["lineitem"], early, ["l_orderkey"], ["o_orderkey"]),
+        ops.anti_join(t["lineitem"], early, ["l_orderkey"], ["o_orderkey"]),
+    ]
     db, location = _database(spark, "ingest-kw-db")
     sink.create_all(spark, db, location, ["dim_keywords", "movie_keywords"])
     landing = f"{root}/landing"
-    first = F.col("id") < 7500
-    write_csv(kw.filter(first), f"{landing}/drop1", quoted=True)
-    run_ingest(spark, "keywords", f"{landing}/*", db, f"{root}/checkpoint")
-    write_csv(kw.filter(~first), f"{landing}/drop2", quoted=True)
-    run_ingest(spark, "keywords", f"{landing}/*", db, f"{root}/checkpoint")
-    dim = spark.table(f"{db}.dim_keywords")
-    return dim.select("id", "name")
+    for i, lines in enumerate(drops, start=1):
+        write_csv(catalog.keywords_frame({**t, "lineitem": lines}), f"{landing}/drop{i}", quoted=True)
+        run_ingest(spark, "keywords", f"{landing}/*", db, f"{root}/checkpoint")
+    return spark.table(f"{db}.dim_keywords").select("id", "name")
 
 
 # --- one check per table builder (values, not just counts) -----------------

@@ -7,7 +7,9 @@ file is loaded exactly once, and a failed batch is replayed with the same id.
 
 Per micro-batch (``foreachBatch``):
 
-* movies already loaded are skipped (anti-join on ``dim_movies.id``);
+* movies already loaded are skipped (anti-join on ``dim_movies.id``, written
+  once per batch id to the checkpoint folder, so every table of the batch
+  sees the same new movies and a replay rewrites the same files);
 * dimension rows are appended only for keys not stored yet;
 * bridge rows are appended with ids after the stored maximum;
 * ``fact_rating`` is kept as mergeable partial state (count, sum, min, max
@@ -83,9 +85,14 @@ def process_batch(batch: DataFrame, batch_id: int, family: str, database: str, s
         _merge_ratings(batch, database, state_root, batch_id)
         return
     if family == "movies_metadata":
-        stored = batch.sparkSession.table(f"{database}.dim_movies")
-        movies = anti_join(tables.staged_movies(batch), stored, ["id"])
-        frames = tables.build_warehouse({}, staged=movies)
+        # Materialize the batch's new movies before writing anything: the
+        # anti-join reads dim_movies, which this batch is about to extend, so a
+        # lazy frame would find nothing new for the tables written after it.
+        spark = batch.sparkSession
+        stored = spark.table(f"{database}.dim_movies")
+        path = f"{state_root}/movies-batch-{batch_id}"
+        anti_join(tables.staged_movies(batch), stored, ["id"]).write.mode("overwrite").parquet(path)
+        frames = tables.build_warehouse({}, staged=spark.read.parquet(path))
     else:
         frames = tables.build_warehouse({family: batch})
     for name, df in frames.items():

@@ -43,3 +43,31 @@ def test_dimension_keys_appended_once(spark, tmp_root):
     bridge = spark.table(f"{db}.movie_keywords").collect()
     assert sorted((r.movie_id, r.keyword_id) for r in bridge) == [(10, 1), (10, 2), (20, 1), (20, 3)]
     assert len({r.id for r in bridge}) == 4
+
+
+def test_movies_ingest_skips_loaded_movies(spark, tmp_root):
+    from .test_pipeline import MOVIES_HEADER, _movie
+
+    db = "nm_stream_c"
+    create_all(spark, db, os.path.join(tmp_root, "wh"))
+    landing, ckpt = os.path.join(tmp_root, "landing"), os.path.join(tmp_root, "ckpt")
+    action = "[{'id': 28, 'name': 'Action'}]"
+    langs = "[{'iso_639_1': 'en', 'name': 'English'}]"
+    first = _movie(10, action, "[{'name': 'Studio A', 'id': 1}]", "[{'iso_3166_1': 'DE', 'name': 'Germany'}]", langs, "2004-05-01", "1000.0", "First")
+    write_text(f"{landing}/m1.csv", MOVIES_HEADER + first)
+    run_ingest(spark, "movies_metadata", landing, db, ckpt)
+    second = _movie(50, "[{'id': 28, 'name': 'Action'}, {'id': 18, 'name': 'Drama'}]", "[{'name': 'Studio A', 'id': 1}]",
+                    "[{'iso_3166_1': 'FR', 'name': 'France'}]", langs, "2010-01-01", "10.0", "Second")
+    write_text(f"{landing}/m2.csv", MOVIES_HEADER + first + second)  # movie 10 delivered again
+    run_ingest(spark, "movies_metadata", landing, db, ckpt)
+
+    def rows(table, *cols):
+        return sorted(tuple(r) for r in spark.table(f"{db}.{table}").select(*cols).collect())
+
+    assert rows("dim_movies", "id") == [(10,), (50,)]
+    assert rows("movie_genres", "movie_id", "genre_id") == [(10, 28), (50, 18), (50, 28)]
+    assert rows("dim_genres", "id") == [(18,), (28,)]
+    assert rows("dim_companies", "id") == [(1,)]
+    assert rows("dim_countries", "iso_code") == [("DE",), ("FR",)]
+    assert rows("dim_languages", "iso_code", "name") == [("en", "English")]
+    assert rows("fact_movie_sales", "movie_id", "revenue") == [(10, 1000.0), (50, 10.0)]
