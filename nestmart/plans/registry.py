@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import functions as fn
 from .. import operators as ops
 from ..schemas import SOURCE_SCHEMAS
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sinks import warehouse as sink
 from ..sources import read_csv, read_parquet_table, read_prefix, register_view, write_csv
 from ..streaming.ingest import run_ingest
@@ -36,8 +36,17 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_parquet_table(spark, sf_dir, name)
 
 
-def _warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return tables.build_warehouse(catalog.derive_catalog(spark, sf_dir))
+def _warehouse(spark: SparkSession, sf_dir: str, materialize: bool = False) -> dict[str, DataFrame]:
+    """The 17 frames built from the derived catalog.
+
+    ``materialize`` checkpoints the four catalog frames first (reliable
+    checkpoint in the shared folder), for plans with many branches such as
+    the gate, which would otherwise derive the catalog once per branch.
+    """
+    sources = catalog.derive_catalog(spark, sf_dir)
+    if materialize:
+        sources = {name: cut_lineage(df) for name, df in sources.items()}
+    return tables.build_warehouse(sources)
 
 
 def _no_audit(df: DataFrame) -> DataFrame:
@@ -306,13 +315,13 @@ def _conformed(w: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def quality_gate(spark, sf_dir):
-    return quality.gate(_conformed(_warehouse(spark, sf_dir)))
+    return quality.gate(_conformed(_warehouse(spark, sf_dir, materialize=True)))
 
 
 def quality_gate_defects(spark, sf_dir):
     """Gate over a partial load: ``dim_movies`` holds only movies released
     before 2000, so every movie reference to a later movie is an orphan."""
-    w = _conformed(_warehouse(spark, sf_dir))
+    w = _conformed(_warehouse(spark, sf_dir, materialize=True))
     w["dim_movies"] = w["dim_movies"].filter(F.col("release_date") < F.lit("2000-01-01").cast("date"))
     return quality.gate(w)
 
