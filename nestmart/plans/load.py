@@ -69,13 +69,15 @@ def run_load(
     nested_mode: str = "strict",
     parallelism: int = 4,
     multi_line: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Load every family into ``database`` and return the gate report.
 
     The report is a frame ``(rule, table, column, violations)``; pass it to
-    ``quality.enforce`` to stop on failures.
+    ``quality.enforce`` to stop on failures.  ``buckets`` creates new tables
+    bucketed by movie id (see ``sinks.warehouse.create_all``).
     """
-    create_all(spark, database, location)
+    create_all(spark, database, location, buckets=buckets)
     raw = read_sources(spark, prefixes, multi_line)
     frames: dict[str, DataFrame] = {}
     if "movies_metadata" in raw:

@@ -242,5 +242,15 @@ CREATE_ORDER = [
 assert sorted(CREATE_ORDER) == sorted(TABLES)
 
 
+def movie_key(table: str) -> str | None:
+    """The column holding the movie id (the natural bucketing key), if any."""
+    if table == "dim_movies":
+        return "id"
+    for fk in TABLES[table].foreign_keys:
+        if fk.parent == "dim_movies":
+            return fk.column
+    return None
+
+
 def foreign_keys() -> list[tuple[str, ForeignKey]]:
     return [(t, fk) for t in CREATE_ORDER for fk in TABLES[t].foreign_keys]

@@ -207,3 +207,31 @@ def test_question_b1_on_original_language(spark, sources):
     raw = load.read_sources(spark, {"movies_metadata": sources["movies_metadata"]})
     staged = tables.staged_movies(raw["movies_metadata"])
     assert _rows(questions.question_b1_original(staged, 2020, "en"), "id") == [(30,)]
+
+
+def test_bucketed_warehouse_joins_without_shuffle(spark, sources, tmp_root):
+    from nestmart.sinks.warehouse import bucket_count
+
+    report, w = _load(spark, sources, tmp_root, "nm_fixture_g")
+    plain = {k: v for k, v in report.items()}
+    report_b = load.run_load(spark, sources, "nm_fixture_h", os.path.join(tmp_root, "h"), buckets=4)
+    assert {(r.rule, r.table, r.column): r.violations for r in report_b.collect()} == plain
+    wb = sink.read_all(spark, "nm_fixture_h")
+    assert bucket_count(spark, "nm_fixture_h", "movie_genres") == 4
+    assert bucket_count(spark, "nm_fixture_h", "dim_genres") is None
+    for name in ["dim_movies", "movie_genres", "movie_cast", "fact_rating"]:
+        assert sorted(map(tuple, wb[name].drop("id", "last_updated").collect()), key=repr) == sorted(
+            map(tuple, w[name].drop("id", "last_updated").collect()), key=repr
+        )
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        q = questions.question_b1(wb, 2020, "en")
+        plan = q._jdf.queryExecution().executedPlan().toString()
+        assert _rows(q, "id") == [(30,)]
+        assert "Exchange" not in plan
+    finally:
+        for k, v in saved.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
