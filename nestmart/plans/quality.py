@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from ..schemas import TABLES, foreign_keys
 
-REPORT_SCHEMA = "rule string, table string, column string, violations long"
 
 
 def _row(df: DataFrame, rule: str, table: str, column: str, violations: F.Column) -> DataFrame:

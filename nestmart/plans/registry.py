@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from .. import operators as ops
-from ..schemas import SOURCE_SCHEMAS
 from ..session import cut_lineage, scratch_path
 from ..sinks import warehouse as sink
 from ..sources import read_csv, read_parquet_table, read_prefix, register_view, write_csv
