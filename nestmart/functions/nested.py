@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .pyliteral import python_literal_to_json
 from .scalar import safe_cast
 
 LIST_OF_TEXT = T.ArrayType(T.StringType())
@@ -128,12 +129,22 @@ def _elements(text: Column, options: Mapping[str, str] | None = None) -> Column:
 
 
 def parse_elements(text: Column, mode: str = "strict") -> Column:
-    """Text -> list of dicts (N1 + N3 in one expression)."""
+    """Text -> list of dicts (N1 + N3 in one expression).
+
+    ``strict``: JSON with single quotes allowed (the original behavior).
+    ``pyliteral``: rejected rows get a JVM-side regex repair first.
+    ``python``: rejected rows are decoded exactly by ``ast.literal_eval`` in a
+    vectorized (Arrow) pandas UDF; rows that parse strictly reach the UDF as
+    nulls, so Python only does work for the rejected ones.
+    """
     strict = _elements(text)
     if mode == "strict":
         return strict
     if mode == "pyliteral":
         return F.coalesce(strict, _elements(repair_pyliteral(text), _PYLITERAL_OPTIONS))
+    if mode == "python":
+        rejected = F.when(strict.isNull(), text)
+        return F.coalesce(strict, _elements(python_literal_to_json(rejected)))
     raise ValueError(f"unknown mode {mode!r}")
 
 

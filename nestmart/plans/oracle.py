@@ -356,3 +356,5 @@ SQL.update({
           ON x.l_orderkey = o.o_orderkey
         WHERE {_year('o.o_orderdate', B1_YEAR)} AND x.lang IS DISTINCT FROM '{B1_LANGUAGE}'""",
 })
+
+SQL["json_python_literal"] = SQL["json_pyliteral"]

@@ -144,7 +144,8 @@ def json_dim(spark, sf_dir):
     return _no_audit(dim)
 
 
-def json_pyliteral(spark, sf_dir):
+def _customers_as_literals(spark, sf_dir, mode):
+    """Customers rendered as Python-literal text, then exploded in ``mode``."""
     c = _t(spark, sf_dir, "customer")
     segment = F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.lit("None")).otherwise(
         F.concat(F.lit("'"), F.col("c_mktsegment"), F.lit("'"))
@@ -160,7 +161,18 @@ def json_pyliteral(spark, sf_dir):
     nested = c.select(text.alias("customers"))
     keys = [fn.Key("id", "id", "long"), fn.Key("name", "name"), fn.Key("segment", "segment"),
             fn.Key("vip", "vip"), fn.Key("note", "note"), fn.Key("tag", "tag")]
-    return fn.explode_json(nested, "customers", keys, mode="pyliteral").drop("customers")
+    return fn.explode_json(nested, "customers", keys, mode=mode).drop("customers")
+
+
+def json_pyliteral(spark, sf_dir):
+    """P5 with the JVM-side regex repair."""
+    return _customers_as_literals(spark, sf_dir, "pyliteral")
+
+
+def json_python_literal(spark, sf_dir):
+    """P5 with exact ``ast.literal_eval`` decoding (Arrow pandas UDF) of the
+    rows strict parsing rejects."""
+    return _customers_as_literals(spark, sf_dir, "python")
 
 
 def movies_staged(spark, sf_dir):
@@ -514,6 +526,7 @@ QUERIES: dict[str, Query] = {
         json_bridge,
         json_dim,
         json_pyliteral,
+        json_python_literal,
         movies_staged,
         fact_sales,
         language_dim,

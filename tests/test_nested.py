@@ -110,3 +110,10 @@ def test_hot_key_lists_stay_bounded(spark):
     assert max(sizes) <= 50
     back = explode_json(nested, "items", KEYS)
     assert back.filter("k = 0").count() == 1000 and back.count() == 3000
+
+
+def test_python_mode_decodes_exactly(spark):
+    text = "[{'id': 1, 'name': 'Yes, None, maybe', 'x': None, 'pair': (1, 2)}, {'id': 2, 'name': 'Ana\\xa0Lu', 'ok': True}]"
+    keys = [Key("id", "id", "int"), Key("name", "name"), Key("pair", "pair"), Key("ok", "ok")]
+    rows = _explode(spark, [text, "[{'id': 3, 'name': 'fine'}]", "not a literal", None], mode="python", keys=keys)
+    assert rows == [(0, 1, "Yes, None, maybe", "[1,2]", None), (0, 2, "Ana\xa0Lu", None, "true"), (1, 3, "fine", None, None)]
