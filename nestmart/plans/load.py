@@ -66,6 +66,11 @@ def stage_movies(raw: DataFrame, reproducible: bool = False) -> DataFrame:
     return _stage(tables.staged_movies(raw, reproducible), "staged-movies")
 
 
+def stage_elements(staged: DataFrame, nested_mode: str = "strict") -> DataFrame:
+    """The movies' four list columns, parsed once and written to the shared folder."""
+    return _stage(tables.movie_elements(staged, nested_mode), "staged-elements")
+
+
 def stage_people(raw: DataFrame, nested_mode: str = "strict") -> DataFrame:
     """Cast and crew elements, parsed once and written to the shared folder."""
     return _stage(tables.credit_people(raw, nested_mode), "staged-people")
@@ -94,7 +99,8 @@ def run_load(
     frames: dict[str, DataFrame] = {}
     if "movies_metadata" in raw:
         staged = stage_movies(raw["movies_metadata"], reproducible)
-        frames.update(tables.build_warehouse({}, reproducible, nested_mode, staged=staged))
+        elements = stage_elements(staged, nested_mode)
+        frames.update(tables.build_warehouse({}, reproducible, nested_mode, staged=staged, elements=elements))
     people = stage_people(raw["credits"], nested_mode) if "credits" in raw else None
     rest = {k: v for k, v in raw.items() if k not in ("movies_metadata", "credits")}
     frames.update(tables.build_warehouse(rest, reproducible, nested_mode, people=people))

@@ -133,6 +133,60 @@ def crew(credits: DataFrame, reproducible: bool = False, mode: str = "strict"):
     return _people(credits, "crew", CREW_KEYS, ["id", "name", "department", "gender", "job"], "crew_id", reproducible, mode)
 
 
+# Movie list columns -> (kind, key of the id, id type).
+MOVIE_LISTS = {
+    "genres": ("genre", "id", "int"),
+    "production_companies": ("company", "id", "int"),
+    "production_countries": ("country", "iso_3166_1", None),
+    "spoken_languages": ("language", "iso_639_1", None),
+}
+
+
+def movie_elements(movies: DataFrame, mode: str = "strict") -> DataFrame:
+    """All four movie list columns in one pass: ``(movie_id, kind, key,
+    name)``, ``key`` still text.  One generator over the concatenated lists,
+    so the eight genre/company/country/language tables can share one parse."""
+    empty = F.array().cast("array<struct<kind:string,key:string,name:string>>")
+    lists = []
+    def element(kind: str, id_key: str):
+        return lambda m: F.struct(F.lit(kind).alias("kind"), m.getItem(id_key).alias("key"), m.getItem("name").alias("name"))
+
+    for column, (kind, id_key, _) in MOVIE_LISTS.items():
+        parsed = F.transform(parse_elements(F.col(column), mode), element(kind, id_key))
+        lists.append(F.coalesce(parsed, empty))
+    rows = movies.select(F.col("id").alias("movie_id"), F.explode(F.concat(*lists)).alias("e"))
+    return rows.select("movie_id", "e.kind", "e.key", "e.name")
+
+
+def movie_list_tables(elements: DataFrame, reproducible: bool = False, sort_languages: bool = True) -> dict[str, DataFrame]:
+    """The eight genre/company/country/language tables from ``movie_elements``
+    rows: same result as ``genres``, ``companies``, ``countries``, ``languages``."""
+    out = {}
+    names = {
+        "genre": ("dim_genres", "movie_genres", "genre_id"),
+        "company": ("dim_companies", "movie_production_companies", "company_id"),
+        "country": ("dim_countries", "movie_countries", "country_code"),
+        "language": ("dim_languages", "movie_languages", "language_code"),
+    }
+    for _, (kind, _, id_type) in MOVIE_LISTS.items():
+        dim_name, bridge_name, ref = names[kind]
+        rows = elements.filter(F.col("kind") == kind)
+        key = safe_cast(F.col("key"), id_type) if id_type else F.col("key")
+        rows = rows.select("movie_id", key.alias(ref), F.col("name").alias("__nm_name"))
+        dim = _dedup(rows.select(ref, "__nm_name"), ref, reproducible)
+        if kind == "language":
+            dim = dim.withColumnsRenamed({ref: "iso_code", "__nm_name": "original_name"})
+            dim = with_language_name(dim, "iso_code", "name").select("iso_code", "name", "original_name")
+            dim = with_audit(dim)
+            if sort_languages:
+                dim = dim.orderBy("iso_code")
+        else:
+            dim = with_audit(dim.withColumnsRenamed({ref: "iso_code" if kind == "country" else "id", "__nm_name": "name"}))
+        out[dim_name] = dim
+        out[bridge_name] = rows.select("movie_id", ref)
+    return out
+
+
 PEOPLE_COLUMNS = ["movie_id", "role", "id", "name", "character", "gender", "department", "job"]
 
 
@@ -202,22 +256,27 @@ def build_warehouse(
     mode: str = "strict",
     staged: DataFrame | None = None,
     people: DataFrame | None = None,
+    elements: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """All 17 target frames from the four raw source frames.
 
     ``staged`` lets the caller pass a materialized ``staged_movies`` so the
-    ten movie outputs share one scan; ``people`` likewise a materialized
-    ``credit_people`` for the four cast/crew outputs.
+    ten movie outputs share one scan; ``elements`` a materialized
+    ``movie_elements`` of it for the eight list outputs, and ``people`` a
+    materialized ``credit_people`` for the four cast/crew outputs.
     """
     out: dict[str, DataFrame] = {}
     if "movies_metadata" in sources or staged is not None:
         movies = staged if staged is not None else staged_movies(sources["movies_metadata"], reproducible)
         out["dim_movies"] = dim_movies(movies)
         out["fact_movie_sales"] = fact_movie_sales(movies)
-        out["dim_genres"], out["movie_genres"] = genres(movies, reproducible, mode)
-        out["dim_companies"], out["movie_production_companies"] = companies(movies, reproducible, mode)
-        out["dim_countries"], out["movie_countries"] = countries(movies, reproducible, mode)
-        out["dim_languages"], out["movie_languages"] = languages(movies, reproducible, mode)
+        if elements is not None:
+            out.update(movie_list_tables(elements, reproducible))
+        else:
+            out["dim_genres"], out["movie_genres"] = genres(movies, reproducible, mode)
+            out["dim_companies"], out["movie_production_companies"] = companies(movies, reproducible, mode)
+            out["dim_countries"], out["movie_countries"] = countries(movies, reproducible, mode)
+            out["dim_languages"], out["movie_languages"] = languages(movies, reproducible, mode)
     if people is not None:
         out.update(people_tables(people, reproducible))
     elif "credits" in sources:

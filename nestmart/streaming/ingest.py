@@ -20,6 +20,7 @@ Per micro-batch (``foreachBatch``):
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -121,7 +122,12 @@ def start_ingest(
     state_root = f"{checkpoint}/state"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, family, database, state_root)
+        # several tables are written from one batch: read its files once
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            process_batch(batch, batch_id, family, database, state_root)
+        finally:
+            batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(apply)

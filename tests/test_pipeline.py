@@ -248,3 +248,19 @@ def test_people_pass_equals_separate_explodes(spark, sources):
         for name, df in sep.items():
             assert one_pass[name].columns == df.columns
             assert _rows(one_pass[name].drop("last_updated"), "*") == _rows(df.drop("last_updated"), "*")
+
+
+def test_movie_elements_pass_equals_separate_explodes(spark, sources):
+    from nestmart.plans import tables
+
+    raw = load.read_sources(spark, {"movies_metadata": sources["movies_metadata"]})["movies_metadata"]
+    staged = tables.staged_movies(raw)
+    for mode in ["strict", "pyliteral"]:
+        one_pass = tables.movie_list_tables(tables.movie_elements(staged, mode))
+        sep = {}
+        for fn_, names in [(tables.genres, ("dim_genres", "movie_genres")), (tables.companies, ("dim_companies", "movie_production_companies")),
+                           (tables.countries, ("dim_countries", "movie_countries")), (tables.languages, ("dim_languages", "movie_languages"))]:
+            sep.update(zip(names, fn_(staged, mode=mode)))
+        for name, df in sep.items():
+            assert one_pass[name].columns == df.columns, name
+            assert _rows(one_pass[name].drop("last_updated"), "*") == _rows(df.drop("last_updated"), "*"), name
