@@ -102,8 +102,11 @@ def run_load(
         elements = stage_elements(staged, nested_mode)
         frames.update(tables.build_warehouse({}, reproducible, nested_mode, staged=staged, elements=elements))
     people = stage_people(raw["credits"], nested_mode) if "credits" in raw else None
-    rest = {k: v for k, v in raw.items() if k not in ("movies_metadata", "credits")}
-    frames.update(tables.build_warehouse(rest, reproducible, nested_mode, people=people))
+    keyword_rows = (
+        _stage(tables.keyword_elements(raw["keywords"], nested_mode), "staged-keywords") if "keywords" in raw else None
+    )
+    rest = {k: v for k, v in raw.items() if k not in ("movies_metadata", "credits", "keywords")}
+    frames.update(tables.build_warehouse(rest, reproducible, nested_mode, people=people, keyword_rows=keyword_rows))
     counts = write_concurrently(frames, database, mode, parallelism)
     for name, rows in counts.items():
         log.info("wrote %s rows to %s.%s", rows, database, name)

@@ -231,6 +231,20 @@ def people_tables(people: DataFrame, reproducible: bool = False) -> dict[str, Da
     return out
 
 
+def keyword_elements(raw_keywords: DataFrame, mode: str = "strict") -> DataFrame:
+    """``(movie_id, id, name)`` per keyword element, parsed once."""
+    exploded = explode_json(raw_keywords.withColumnRenamed("id", "movie_id"), "keywords", KEYWORD_KEYS, mode=mode)
+    return exploded.select("movie_id", "id", "name")
+
+
+def keyword_tables(elements: DataFrame, reproducible: bool = False) -> dict[str, DataFrame]:
+    """T10 from ``keyword_elements`` rows: same result as ``keywords``."""
+    return {
+        "dim_keywords": with_audit(_dedup(elements.select("id", "name"), "id", reproducible)),
+        "movie_keywords": elements.select("movie_id", F.col("id").alias("keyword_id")),
+    }
+
+
 def keywords(raw_keywords: DataFrame, reproducible: bool = False, mode: str = "strict"):
     """``dim_keywords`` and ``movie_keywords``."""
     exploded = explode_json(raw_keywords.withColumnRenamed("id", "movie_id"), "keywords", KEYWORD_KEYS, mode=mode)
@@ -257,6 +271,7 @@ def build_warehouse(
     staged: DataFrame | None = None,
     people: DataFrame | None = None,
     elements: DataFrame | None = None,
+    keyword_rows: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """All 17 target frames from the four raw source frames.
 
@@ -282,7 +297,9 @@ def build_warehouse(
     elif "credits" in sources:
         out["dim_cast"], out["movie_cast"] = cast(sources["credits"], reproducible, mode)
         out["dim_crew"], out["movie_crew"] = crew(sources["credits"], reproducible, mode)
-    if "keywords" in sources:
+    if keyword_rows is not None:
+        out.update(keyword_tables(keyword_rows, reproducible))
+    elif "keywords" in sources:
         out["dim_keywords"], out["movie_keywords"] = keywords(sources["keywords"], reproducible, mode)
     if "ratings" in sources:
         out["fact_rating"] = fact_rating(sources["ratings"])
