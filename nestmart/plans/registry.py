@@ -17,7 +17,7 @@ from .. import functions as fn
 from .. import operators as ops
 from ..session import cut_lineage, scratch_path
 from ..sinks import warehouse as sink
-from ..sources import read_csv, read_parquet_table, read_prefix, register_view, write_csv
+from ..sources import TABLE_NAMES, read_csv, read_parquet_table, read_prefix, register_view, write_csv
 from ..streaming.ingest import run_ingest
 from . import catalog, load, quality, questions, tables
 
@@ -221,8 +221,6 @@ def group_stats(spark, sf_dir):
 
 
 def row_counts(spark, sf_dir):
-    from ..sources import TABLE_NAMES
-
     return ops.row_counts({n: _t(spark, sf_dir, n) for n in TABLE_NAMES})
 
 
