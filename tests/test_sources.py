@@ -33,3 +33,18 @@ def test_prefix_matches_siblings_and_subfolders_not_others(spark, tmp_root):
     write_text(os.path.join(tmp_root, "other.csv"), body.format(4))
     df = read_prefix(spark, os.path.join(tmp_root, "kw"), KEYWORDS_SCHEMA)
     assert sorted(r.id for r in df.collect()) == [1, 2, 3]
+
+
+def test_csv_binds_by_position_and_nulls_only_bad_fields(spark, tmp_root):
+    from pyspark.sql import types as T
+
+    from nestmart.sources import read_csv
+
+    # header names differ from the schema: columns still bind by position
+    path = write_text(os.path.join(tmp_root, "r", "a.csv"), "x,y,z\n1,81.0,ok\nnope,7,fine\n")
+    schema = T.StructType([
+        T.StructField("id", T.IntegerType()), T.StructField("runtime", T.IntegerType()), T.StructField("title", T.StringType()),
+    ])
+    rows = sorted((tuple(r) for r in read_csv(spark, path, schema).collect()), key=repr)
+    # '81.0' is no int (null), 'nope' is no int (null); the rest of each row is kept
+    assert rows == sorted([(1, None, "ok"), (None, 7, "fine")], key=repr)
