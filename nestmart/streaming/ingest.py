@@ -80,6 +80,13 @@ def _merge_ratings(batch: DataFrame, database: str, state_root: str, batch_id: i
     write_table(fact, database, "fact_rating", "overwrite")
 
 
+def _stage_batch(df: DataFrame, path: str) -> DataFrame:
+    """Parse a batch's nested lists once: write under the batch id (a replay
+    overwrites the same folder) and read back for every table it feeds."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def process_batch(batch: DataFrame, batch_id: int, family: str, database: str, state_root: str) -> None:
     """Apply one micro-batch of ``family`` rows to the warehouse."""
     if family == "ratings":
@@ -93,7 +100,15 @@ def process_batch(batch: DataFrame, batch_id: int, family: str, database: str, s
         stored = spark.table(f"{database}.dim_movies")
         path = f"{state_root}/movies-batch-{batch_id}"
         anti_join(tables.staged_movies(batch), stored, ["id"]).write.mode("overwrite").parquet(path)
-        frames = tables.build_warehouse({}, staged=spark.read.parquet(path))
+        movies = spark.read.parquet(path)
+        elements = _stage_batch(tables.movie_elements(movies), f"{state_root}/elements-batch-{batch_id}")
+        frames = tables.build_warehouse({}, staged=movies, elements=elements)
+    elif family == "credits":
+        people = _stage_batch(tables.credit_people(batch), f"{state_root}/people-batch-{batch_id}")
+        frames = tables.build_warehouse({}, people=people)
+    elif family == "keywords":
+        rows = _stage_batch(tables.keyword_elements(batch), f"{state_root}/keywords-batch-{batch_id}")
+        frames = tables.build_warehouse({}, keyword_rows=rows)
     else:
         frames = tables.build_warehouse({family: batch})
     for name, df in frames.items():

@@ -71,3 +71,19 @@ def test_movies_ingest_skips_loaded_movies(spark, tmp_root):
     assert rows("dim_countries", "iso_code") == [("DE",), ("FR",)]
     assert rows("dim_languages", "iso_code", "name") == [("en", "English")]
     assert rows("fact_movie_sales", "movie_id", "revenue") == [(10, 1000.0), (50, 10.0)]
+
+
+def test_credits_ingest_appends_people_once(spark, tmp_root):
+    db = "nm_stream_d"
+    create_all(spark, db, os.path.join(tmp_root, "wh"), ["dim_cast", "movie_cast", "dim_crew", "movie_crew"])
+    landing, ckpt = os.path.join(tmp_root, "landing"), os.path.join(tmp_root, "ckpt")
+    head = "cast,crew,id\n"
+    ann = "{'character': 'Hero', 'gender': 1, 'id': 100, 'name': 'Ann'}"
+    write_text(f"{landing}/c1.csv", head + f"\"[{ann}]\",\"[{{'department': 'Art', 'gender': 2, 'id': 7, 'job': 'Painter', 'name': 'Bob'}}]\",10\n")
+    run_ingest(spark, "credits", landing, db, ckpt)
+    write_text(f"{landing}/c2.csv", head + f"\"[{ann}, {{'character': 'Twin', 'gender': 0, 'id': 101, 'name': 'Cy'}}]\",[],20\n")
+    run_ingest(spark, "credits", landing, db, ckpt)
+    cast = sorted((r.id, r.name, r.gender) for r in spark.table(f"{db}.dim_cast").collect())
+    assert cast == [(100, "Ann", "F"), (101, "Cy", "U")]
+    assert sorted((r.movie_id, r.cast_id) for r in spark.table(f"{db}.movie_cast").collect()) == [(10, 100), (20, 100), (20, 101)]
+    assert sorted((r.id, r.job, r.gender) for r in spark.table(f"{db}.dim_crew").collect()) == [(7, "Painter", "M")]
