@@ -10,6 +10,8 @@ Per micro-batch (``foreachBatch``):
 * movies already loaded are skipped (anti-join on ``dim_movies.id``, written
   once per batch id to the checkpoint folder, so every table of the batch
   sees the same new movies and a replay rewrites the same files);
+* nested lists are parsed once per batch into a folder named by the batch id
+  (overwritten on replay) that feeds every table of the family;
 * dimension rows are appended only for keys not stored yet;
 * bridge rows are appended with ids after the stored maximum;
 * ``fact_rating`` is kept as mergeable partial state (count, sum, min, max
