@@ -96,15 +96,26 @@ def run_load(
     """
     create_all(spark, database, location, buckets=buckets)
     raw = read_sources(spark, prefixes, multi_line)
-    frames: dict[str, DataFrame] = {}
-    if "movies_metadata" in raw:
+
+    def movies_chain():
         staged = stage_movies(raw["movies_metadata"], reproducible)
-        elements = stage_elements(staged, nested_mode)
+        return staged, stage_elements(staged, nested_mode)
+
+    # independent staging jobs run side by side (movies -> lists is a chain)
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, 3))) as pool:
+        movies_f = pool.submit(movies_chain) if "movies_metadata" in raw else None
+        people_f = pool.submit(stage_people, raw["credits"], nested_mode) if "credits" in raw else None
+        keywords_f = (
+            pool.submit(_stage, tables.keyword_elements(raw["keywords"], nested_mode), "staged-keywords") if "keywords" in raw else None
+        )
+        movies = movies_f.result() if movies_f else None
+        people = people_f.result() if people_f else None
+        keyword_rows = keywords_f.result() if keywords_f else None
+
+    frames: dict[str, DataFrame] = {}
+    if movies is not None:
+        staged, elements = movies
         frames.update(tables.build_warehouse({}, reproducible, nested_mode, staged=staged, elements=elements))
-    people = stage_people(raw["credits"], nested_mode) if "credits" in raw else None
-    keyword_rows = (
-        _stage(tables.keyword_elements(raw["keywords"], nested_mode), "staged-keywords") if "keywords" in raw else None
-    )
     rest = {k: v for k, v in raw.items() if k not in ("movies_metadata", "credits", "keywords")}
     frames.update(tables.build_warehouse(rest, reproducible, nested_mode, people=people, keyword_rows=keyword_rows))
     counts = write_concurrently(frames, database, mode, parallelism)
