@@ -129,3 +129,14 @@ def test_mixed_direction_dedup_matches_window(spark, rows, dirs):
     # ties on all order columns may pick different rows; compare the order values
     key = lambda r: (r.k, r.n, r.d, r.s)
     assert sorted(map(key, got.collect()), key=repr) == sorted(map(key, want.collect()), key=repr)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.integers(30, 300), st.integers(1, 6))
+def test_dense_id_with_hot_first_column(spark, n, parts):
+    # a third of the rows share one date; the second column makes the order total
+    rows = [(dt.date(2000, 1, 1) if k % 3 == 0 else dt.date(2000, 1, 2 + k % 5), k) for k in range(n)]
+    df = spark.createDataFrame(rows, "d date, k int").repartition(3)
+    got = sorted((r.id, r.k) for r in ops.with_dense_id(df, ["d", "k"], num_partitions=parts).collect())
+    want = [(i, k) for i, (_, k) in enumerate(sorted(rows), start=1)]
+    assert got == want
