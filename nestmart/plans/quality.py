@@ -168,8 +168,19 @@ def orphan_rules_many(links, spark) -> DataFrame:
     return out
 
 
-def gate(tables: Mapping[str, DataFrame], keys: bool = True) -> DataFrame:
-    """All rules over the warehouse frames present in ``tables``."""
+def length_rule(df: DataFrame, table: str) -> DataFrame:
+    """Rows with a value longer (in bytes) than its declared varchar/char
+    limit (K4): the warehouse would reject them."""
+    from ..sinks.warehouse import length_violations
+
+    return _row(df, "max_length", table, "*", F.count_if(length_violations(df, TABLES[table])))
+
+
+def gate(tables: Mapping[str, DataFrame], keys: bool = True, lengths: bool = False) -> DataFrame:
+    """All rules over the warehouse frames present in ``tables``.
+
+    ``lengths`` adds one declared-length rule per table (K4).
+    """
     spark = next(iter(tables.values())).sparkSession
     parts: list[DataFrame] = []
     if "dim_movies" in tables:
@@ -192,6 +203,10 @@ def gate(tables: Mapping[str, DataFrame], keys: bool = True) -> DataFrame:
         ]
         if links:
             parts.append(orphan_rules_many(links, spark))
+    if lengths:
+        for name, df in tables.items():
+            if name in TABLES and any(c.max_len for c in TABLES[name].columns):
+                parts.append(length_rule(df, name))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

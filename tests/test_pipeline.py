@@ -264,3 +264,14 @@ def test_movie_elements_pass_equals_separate_explodes(spark, sources):
         for name, df in sep.items():
             assert one_pass[name].columns == df.columns, name
             assert _rows(one_pass[name].drop("last_updated"), "*") == _rows(df.drop("last_updated"), "*"), name
+
+
+def test_gate_length_rules(spark, sources, tmp_root):
+    from pyspark.sql import functions as F
+
+    _, w = _load(spark, sources, tmp_root, "nm_fixture_i")
+    report = {(r.rule, r.table): r.violations for r in quality.gate(w, keys=False, lengths=True).collect()}
+    assert report[("max_length", "dim_cast")] == 0 and report[("max_length", "movie_countries")] == 0
+    long_name = dict(w, dim_cast=w["dim_cast"].withColumn("name", F.concat(F.col("name"), F.lit("x" * 300))))
+    report = {(r.rule, r.table): r.violations for r in quality.gate(long_name, keys=False, lengths=True).collect()}
+    assert report[("max_length", "dim_cast")] == 5
