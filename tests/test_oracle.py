@@ -63,3 +63,17 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(cols)
     assert len(got) == len(want)
     assert _canon(df.columns, got) == _canon(cols, want)
+
+
+@pytest.mark.parametrize("name", ["date_range", "year_filter", "question_b4", "incremental_ingest", "surrogate_key"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    saved = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = QUERIES[name](spark, SF_SMALL)
+        got = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", saved)
+    cur = duck.execute(SQL[name])
+    cols = [d[0] for d in cur.description]
+    assert _canon(df.columns, got) == _canon(cols, cur.fetchall())
