@@ -4,20 +4,40 @@ Parquet and read again as the next one's input."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from nestmart.llm import packing, perplexity
-from nestmart.llm.common import stored, table
+from nestmart.llm import decontaminate, line_dedup, order_minhash, packing, perplexity
+from nestmart.llm.common import keep_ids, stored, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return perplexity.keep_good(docs)
 
 
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_lines(docs, line_dedup.find_lines(docs))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = order_minhash.near_duplicates(docs).where(F.col("class_id") == F.col("doc_id"))
+    return keep_ids(docs, kept.select("doc_id"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs)
 
 
-STAGES = [("quality rules", quality_rules), ("packing", pack)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup_stage),
+    ("near dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("packing", pack),
+]
 
 #: The language model and the alignments have no SQL form; tests hold run()
 #: against brute force.
