@@ -39,9 +39,13 @@ FEED = np.zeros(256, bool)
 FEED[0x0A] = True
 
 
+#: Token identity: the upper 44 bits of its hash.
+DROP = np.uint64(20)
+
+
 class _Lines:
     """Lines with a word of a chunk: row, number in the row, and their distinct
-    tokens ``token`` (line l owns first[l] .. first[l + 1], by hash)."""
+    tokens ``token`` (line l owns first[l] .. first[l + 1], ascending)."""
 
     def __init__(self, chunk: tb.Chunk):
         w = tb.words(chunk)
@@ -53,8 +57,13 @@ class _Lines:
         at = np.flatnonzero(new)
         self.row = w.row[at]
         self.number = line[at] - feeds[chunk.offsets[:-1]][self.row]
-        order = np.lexsort((w.hashes, l_of))
-        h, l_of = w.hashes[order], l_of[order]
+        h = w.hashes >> DROP
+        if len(at) < 1 << 20:  # line and token fit one number: sort values
+            both = np.sort((l_of.astype(np.uint64) << np.uint64(44)) | h)
+            h, l_of = both & np.uint64((1 << 44) - 1), (both >> np.uint64(44)).astype(np.int64)
+        else:
+            order = np.lexsort((h, l_of))
+            h, l_of = h[order], l_of[order]
         keep = np.ones(len(h), bool)
         keep[1:] = (h[1:] != h[:-1]) | (l_of[1:] != l_of[:-1])
         self.token, self.line = h[keep], l_of[keep]
@@ -62,18 +71,26 @@ class _Lines:
         self.size = np.diff(self.first)
 
     def names(self) -> tuple[np.ndarray, np.ndarray]:
-        """128-bit name of each token set."""
+        """96-bit name of each token set."""
         out = []
         for salt in (0, 0x2545F491):
             sums = np.concatenate([[np.uint64(0)], np.cumsum(tb.mix(self.token + np.uint64(salt)))])
-            out.append(tb.mix(sums[self.first[1:]] - sums[self.first[:-1]] + self.size.astype(np.uint64)).view(np.int64))
-        return out[0], out[1]
+            out.append(tb.mix(sums[self.first[1:]] - sums[self.first[:-1]] + self.size.astype(np.uint64)))
+        return out[0].view(np.int64), (out[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+COLUMNS = ["kind", "doc_id", "number", "h1", "h2"]
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """Lines (kind 0: doc_id, number, name, size) and token counters (kind 1:
-    bucket in ``doc_id``, count in ``h1``)."""
-    columns = ["kind", "doc_id", "number", "h1", "h2", "size"]
+    """Lines (kind 0: doc_id, number, name), token counters (kind 1: bucket in
+    ``doc_id``, count in ``h1``) and lines per document (kind 2: count in ``h1``)."""
+
+    def rows(kind, doc_id, number, h1, h2):
+        n = len(doc_id)
+        full = lambda x: x if isinstance(x, np.ndarray) else np.full(n, x)
+        types = (pa.int8(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(full(x), t) for x, t in zip((kind, doc_id, number, h1, h2), types, strict=True)], COLUMNS)
 
     def run(batches):
         table = np.zeros(BUCKETS, np.int64)
@@ -81,17 +98,23 @@ def scan(docs: DataFrame) -> DataFrame:
             for chunk in tb.chunks(batch.column("text")):
                 ls = _Lines(chunk)
                 table += np.bincount((ls.token % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
-                ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[chunk.lo : chunk.hi][ls.row]
-                h1, h2 = ls.names()
-                yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(ids), np.int8)), pa.array(ids, pa.int64()), pa.array(ls.number, pa.int32()), pa.array(h1), pa.array(h2), pa.array(ls.size, pa.int32())], columns)
+                ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[chunk.lo : chunk.hi]
+                yield rows(0, ids[ls.row], ls.number, *ls.names())
+                yield rows(2, ids, 0, np.bincount(ls.row, minlength=chunk.rows), 0)
         at = np.flatnonzero(table)
-        none = np.zeros(len(at))
-        yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(at), np.int8)), pa.array(at), pa.array(none, pa.int32()), pa.array(table[at]), pa.array(none, pa.int64()), pa.array(none, pa.int32())], columns)
+        yield rows(1, at, 0, table[at], 0)
+
+    return map_partitions(docs, run, "kind byte, doc_id long, number int, h1 long, h2 int")
 
-    return map_partitions(docs, run, "kind byte, doc_id long, number int, h1 long, h2 long, size int")
 
+#: Prefix entry; ``pos`` holds at most 65535 (a smaller place only weakens its filter).
+ENTRY = np.dtype([("group", "<u4"), ("h1", "<i8"), ("h2", "<i4"), ("parity", "<u8"), ("size", "<u4"), ("pos", "<u2")])
 
-ENTRY = np.dtype([("group", "<u8"), ("h1", "<i8"), ("h2", "<i8"), ("parity", "<u8"), ("size", "<u4"), ("pos", "<u4")])
+
+def _once(entries: np.ndarray) -> np.ndarray:
+    """One entry per group and set."""
+    key = tb.mix((entries["group"].astype(np.uint64) << np.uint64(32)) ^ entries["h1"].view(np.uint64))
+    return entries[np.unique(key, return_index=True)[1]]
 
 
 def _least_overlap(a: np.ndarray, b: np.ndarray, t: float) -> np.ndarray:
@@ -104,14 +127,13 @@ def index(docs: DataFrame, table: np.ndarray, threshold: float, block: int, part
     sent = docs.sparkSession.sparkContext.broadcast(table)  # BUCKETS counters
 
     def run(batches):
-        rarity = sent.value
+        counts = sent.value
+        rank = np.minimum(6 * np.log2(counts), 255).astype(np.uint64)  # rarity in steps of an eighth
         held, count = [], 0
 
         def flush():
-            entries = np.concatenate(held)
-            _, once = np.unique(tb.mix(entries["group"] ^ entries["h1"].view(np.uint64)), return_index=True)
-            entries = entries[once]
-            part = (entries["group"] % np.uint64(parts)).astype(np.int64)
+            entries = _once(np.concatenate(held))
+            part = (entries["group"] % np.uint32(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[order], np.arange(parts + 1))
             full = np.flatnonzero(np.diff(cuts))
@@ -123,22 +145,28 @@ def index(docs: DataFrame, table: np.ndarray, threshold: float, block: int, part
                 if not len(ls.size):
                     continue
                 h1, h2 = ls.names()
-                df = rarity[(ls.token % np.uint64(BUCKETS)).astype(np.int64)]
-                order = np.lexsort((ls.token, df, ls.line))
-                token, df = ls.token[order], df[order]
-                pos = np.arange(len(token)) - ls.first[ls.line]
-                parity = np.bitwise_xor.reduceat(np.uint64(1) << (tb.mix(token) >> np.uint64(58)), ls.first[:-1])
+                parity = np.bitwise_xor.reduceat(np.uint64(1) << (tb.mix(ls.token) >> np.uint64(58)), ls.first[:-1])
+                bucket = (ls.token % np.uint64(BUCKETS)).astype(np.int64)
+                ranked = (rank[bucket] << np.uint64(36)) | (ls.token >> np.uint64(8))
+                df = counts[bucket]
+                if len(ls.size) < 1 << 20:
+                    # the bucket of a token is not part of its rank: carry it by sorting places
+                    order = np.argsort((ls.line.astype(np.uint64) << np.uint64(44)) | ranked)
+                else:
+                    order = np.lexsort((ranked, ls.line))
+                pos = np.arange(len(ranked)) - ls.first[ls.line]
                 size = ls.size[ls.line]
                 ok = np.flatnonzero((pos < size - np.ceil(threshold * size - 1e-9) + 1) & (size + 1 >= smallest - 1e-9))
-                line = ls.line[ok]
-                blocks = (df[ok] + block - 1) // block
+                line, from_ = ls.line[ok], order[ok]
+                blocks = (df[from_] + block - 1) // block
                 mine = (tb.mix(h1[line].view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)
                 at = np.repeat(np.arange(len(ok)), blocks)
                 other = np.arange(len(at)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
                 lo, hi = np.minimum(mine[at], other), np.maximum(mine[at], other)
                 e = np.empty(len(at), ENTRY)
-                e["group"] = tb.mix(token[ok][at] + (lo * 1_000_003 + hi).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-                e["h1"], e["h2"], e["parity"], e["size"], e["pos"] = h1[line][at], h2[line][at], parity[line][at], size[ok][at], pos[ok][at]
+                e["group"] = tb.mix(ranked[from_][at] + (lo * 1_000_003 + hi).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+                e["h1"], e["h2"], e["parity"], e["size"] = h1[line][at], h2[line][at], parity[line][at], size[ok][at]
+                e["pos"] = np.minimum(pos[ok], 65535)[at]
                 held.append(e)
                 count += len(e)
                 if count > 1 << 20:
@@ -150,11 +178,11 @@ def index(docs: DataFrame, table: np.ndarray, threshold: float, block: int, part
     return map_partitions(docs.select("text"), run, "part int, entries binary")
 
 
-def candidates(entries: np.ndarray, threshold: float, at_once: int = 1 << 21):
+def candidates(entries: np.ndarray, threshold: float, at_once: int = 1 << 18):
     """Pairs of entry numbers that pass all filters, in bounded runs."""
-    order = np.lexsort((entries["size"], entries["group"]))
+    order = np.argsort((entries["group"].astype(np.uint64) << np.uint64(32)) | entries["size"])
     e = entries[order]
-    group, size = e["group"], e["size"].astype(np.int64)
+    group, size, place = e["group"], e["size"].astype(np.int64), e["pos"].astype(np.int64)
     run = np.cumsum(np.concatenate([[0], group[1:] != group[:-1]])) if len(e) else np.zeros(0, np.int64)
     span = int(size.max() / threshold) + 2 if len(e) else 1
     key = run * span + size
@@ -169,7 +197,7 @@ def candidates(entries: np.ndarray, threshold: float, at_once: int = 1 << 21):
             i = np.searchsorted(total, k, "right") - 1
             j = i + 1 + (k - total[i])
             need = _least_overlap(size[i], size[j], threshold)
-            ok = 1 + np.minimum(size[i] - e["pos"][i], size[j] - e["pos"][j]) - 1 >= need
+            ok = np.minimum(size[i] - place[i], size[j] - place[j]) >= need
             ok &= np.bitwise_count(e["parity"][i] ^ e["parity"][j]) <= size[i] + size[j] - 2 * need
             ok &= (e["h1"][i] != e["h1"][j]) | (e["h2"][i] != e["h2"][j])
             yield order[i[ok]], order[j[ok]]
@@ -179,35 +207,41 @@ def candidates(entries: np.ndarray, threshold: float, at_once: int = 1 << 21):
 def _pairs(packed: DataFrame, threshold: float) -> DataFrame:
     def run(batches):
         blobs = [x.as_py() for b in batches for x in b.column("entries")]
-        entries = np.frombuffer(b"".join(blobs), ENTRY)
-        _, once = np.unique(tb.mix(entries["group"] ^ entries["h1"].view(np.uint64)), return_index=True)
-        entries = entries[once]
+        entries = _once(np.frombuffer(b"".join(blobs), ENTRY))
         for i, j in candidates(entries, threshold):
             a, b = entries[i], entries[j]
             swap = (a["h1"] > b["h1"]) | ((a["h1"] == b["h1"]) & (a["h2"] > b["h2"]))
             a, b = np.where(swap, b, a), np.where(swap, a, b)
-            both = np.unique(np.stack([a["h1"], a["h2"], b["h1"], b["h2"]]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in both], ["a1", "a2", "b1", "b2"])
+            both = np.unique(np.stack([a["h1"], a["h2"].astype(np.int64), b["h1"], b["h2"].astype(np.int64)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(both, (pa.int64(), pa.int32()) * 2, strict=True)], ["a1", "a2", "b1", "b2"])
 
-    return map_partitions(packed.select("entries"), run, "a1 long, a2 long, b1 long, b2 long")
+    return map_partitions(packed.select("entries"), run, "a1 long, a2 int, b1 long, b2 int")
 
 
-def _token_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Token sets (sorted hashes) of the lines wanted (doc_id, number)."""
-    by_doc = wanted.groupBy("doc_id").agg(F.collect_set("number").alias("numbers"))  # bounded by the document
+FILTER = 1 << 22
 
-    def step(batch):
-        for chunk in tb.chunks(batch.column("text")):
-            ls = _Lines(chunk)
-            h1, h2 = ls.names()
-            pick = []
-            for r in range(chunk.rows):
-                lo, hi = np.searchsorted(ls.row, [r, r + 1])
-                pick.append(lo + np.flatnonzero(np.isin(ls.number[lo:hi], batch.column("numbers")[chunk.lo + r].as_py())))
-            pick = np.concatenate(pick).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(h1[pick]), pa.array(h2[pick]), pa.array([ls.token[ls.first[x] : ls.first[x + 1]].tobytes() for x in pick], pa.binary())], ["h1", "h2", "tokens"])
 
-    return map_batches(docs.join(by_doc, "doc_id").select("text", "numbers"), step, "h1 long, h2 long, tokens binary").dropDuplicates(["h1", "h2"])
+def _token_sets(docs: DataFrame, ends: DataFrame) -> DataFrame:
+    """Token sets of the candidates: a pass over the texts that lets through the sets
+    whose slot in a filter of ``FILTER`` slots is taken, then a join."""
+    slots = np.zeros(FILTER, bool)
+    for r in ends.select(F.pmod("h1", F.lit(FILTER)).alias("s")).distinct().toLocalIterator():  # at most FILTER rows
+        slots[r["s"]] = True
+    sent = docs.sparkSession.sparkContext.broadcast(np.packbits(slots))
+
+    def run(batches):
+        taken, seen = np.unpackbits(sent.value).astype(bool), set()
+        for batch in batches:
+            for chunk in tb.chunks(batch.column("text")):
+                ls = _Lines(chunk)
+                h1, h2 = ls.names()
+                pick = [x for x in np.flatnonzero(taken[h1 % FILTER]).tolist() if h1[x] not in seen]
+                if len(seen) < 1 << 20:  # only spares repeats
+                    seen.update(h1[pick].tolist())
+                yield pa.RecordBatch.from_arrays([pa.array(h1[pick]), pa.array(h2[pick]), pa.array([ls.token[ls.first[x] : ls.first[x + 1]].tobytes() for x in pick], pa.binary())], ["h1", "h2", "tokens"])
+
+    found = map_partitions(docs.select("text"), run, "h1 long, h2 int, tokens binary")
+    return found.join(ends, ["h1", "h2"], "left_semi").dropDuplicates(["h1", "h2"])
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -233,50 +267,55 @@ def _verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
             ok = overlap >= threshold * (sizes[0] + sizes[1] - overlap) - 1e-9
             yield pa.RecordBatch.from_arrays([part.column(c) for c in ("a1", "a2", "b1", "b2")], ["a1", "a2", "b1", "b2"]).filter(pa.array(ok))
 
-    return map_batches(joined, step, "a1 long, a2 long, b1 long, b2 long")
+    return map_batches(joined, step, "a1 long, a2 int, b1 long, b2 int")
 
 
-def find_lines(docs: DataFrame, threshold: float = 0.8, block: int = 200_000) -> DataFrame:
-    """Every line with a word: doc_id, number, removed, n_links (different token
-    sets similar to the line's)."""
+def find_lines(docs: DataFrame, threshold: float = 0.8, block: int = 200_000) -> tuple[DataFrame, DataFrame]:
+    """Lines that match another (doc_id, number, removed, n_links: different token
+    sets similar to the line's), and (doc_id, n_lines) of every document."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
     scanned = stored(scan(docs), "lines")
-    lines = scanned.where("kind = 0").select("doc_id", "number", "h1", "h2").distinct()
+    lines = scanned.where("kind = 0").select("doc_id", "number", "h1", "h2")
     table = np.ones(BUCKETS, np.int64)
     for r in scanned.where("kind = 1").groupBy("doc_id").agg(F.sum("h1").alias("n")).collect():  # at most BUCKETS rows
         table[r["doc_id"]] = r["n"]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(table.sum() // 8_000_000))
     packed = index(docs, table, threshold, block, parts)
     pairs = stored(_pairs(packed.repartition(parts, "part"), threshold).distinct(), "line-pairs")
-    first = F.min(F.struct("doc_id", "number")).alias("first")
-    sets = stored(scanned.where("kind = 0").groupBy("h1", "h2").agg(first, F.count("*").alias("n")), "line-sets")
     ends = pairs.select(F.col("a1").alias("h1"), F.col("a2").alias("h2")).unionAll(pairs.select("b1", "b2")).distinct()
-    wanted = sets.join(ends, ["h1", "h2"]).select("first.doc_id", "first.number")
-    links = stored(_verify(pairs, _token_sets(docs, wanted), threshold), "line-links")
+    links = stored(_verify(pairs, _token_sets(docs, ends), threshold), "line-links")
     both = links.unionAll(links.select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2")))
+    linked = both.select(F.col("a1").alias("h1"), F.col("a2").alias("h2"), F.lit(True).alias("linked")).distinct()
+    first = F.min(F.struct("doc_id", "number")).alias("first")
+    sets = lines.groupBy("h1", "h2").agg(first, F.count("*").alias("n")).join(linked, ["h1", "h2"], "left")
+    sets = stored(sets.where("n > 1 OR linked").select("h1", "h2", "first"), "line-sets")
     firsts = sets.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("other"))
     best = both.join(firsts, ["b1", "b2"]).groupBy(F.col("a1").alias("h1"), F.col("a2").alias("h2")).agg(F.min("other").alias("other"), F.count("*").alias("n_links"))
-    cut = sets.join(best, ["h1", "h2"], "left").where("n > 1 OR other IS NOT NULL")
+    cut = sets.join(best, ["h1", "h2"], "left")
     cut = cut.select("h1", "h2", F.least("first", F.coalesce("other", "first")).alias("cut"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     here = F.struct("doc_id", "number")
-    return lines.join(cut, ["h1", "h2"], "left").select("doc_id", "number", F.coalesce(here > F.col("cut"), F.lit(False)).alias("removed"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    found = lines.join(cut, ["h1", "h2"]).select("doc_id", "number", (here > F.col("cut")).alias("removed"), "n_links")
+    return stored(found, "line-matches"), scanned.where("kind = 2").groupBy("doc_id").agg(F.max("h1").alias("n_lines"))
 
 
-def by_document(docs: DataFrame, lines: DataFrame) -> DataFrame:
+def by_document(docs: DataFrame, found: DataFrame, counts: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_removed, n_links, removed_lines (sorted numbers) of every document."""
-    gone = F.sort_array(F.collect_list(F.when(F.col("removed"), F.col("number"))))  # bounded by the document
-    per = lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.count_if("removed").alias("n_removed"), F.sum("n_links").alias("n_links"), gone.alias("removed_lines"))
+    gone = F.sort_array(F.collect_set(F.when(F.col("removed"), F.col("number")))).alias("removed_lines")  # bounded by the document
+    links = F.aggregate(F.collect_set(F.struct("number", "n_links")), F.lit(0).cast("long"), lambda a, x: a + x["n_links"]).alias("n_links")
+    per = counts.join(found.groupBy("doc_id").agg(links, gone), "doc_id", "left")
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(per, "doc_id", "left")
-    zero = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_lines", "n_removed", "n_links")]
-    return out.select("doc_id", *zero, F.coalesce(F.col("removed_lines"), F.array().cast("array<int>")).alias("removed_lines"))
+    gone = F.coalesce(F.col("removed_lines"), F.array().cast("array<int>"))
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long"))
+    return out.select("doc_id", zero(F.col("n_lines")).alias("n_lines"), F.size(gone).cast("long").alias("n_removed"), zero(F.col("n_links")).alias("n_links"), gone.alias("removed_lines"))
 
 
-def drop_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
+def drop_lines(docs: DataFrame, found: DataFrame, counts: DataFrame) -> DataFrame:
     """Documents without their removed lines; a document that loses all its lines
     goes.  ``text`` (and ``n_chars``, if there is one) change, all columns stay."""
-    gone = lines.groupBy("doc_id").agg(F.collect_list(F.when(F.col("removed"), F.col("number"))).alias("_gone"), F.every("removed").alias("_all"))
-    joined = docs.join(gone.where(F.size("_gone") > 0).withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")
+    gone = found.where("removed").groupBy("doc_id").agg(F.collect_set("number").alias("_gone")).join(counts, "doc_id")
+    gone = gone.select(F.col("doc_id").alias("_id"), "_gone", (F.size("_gone") >= F.col("n_lines")).alias("_all"))
+    joined = docs.join(gone, F.col("doc_id") == F.col("_id"), "left")
     joined = joined.where(~F.coalesce("_all", F.lit(False)))
     left = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)
@@ -284,7 +323,7 @@ def drop_lines(docs: DataFrame, lines: DataFrame) -> DataFrame:
 
 
 def op6_line_dedup(docs: DataFrame) -> DataFrame:
-    out = by_document(docs, find_lines(docs))
+    out = by_document(docs, *find_lines(docs))
     return out.withColumn("removed_lines", F.array_join("removed_lines", ","))
 
 

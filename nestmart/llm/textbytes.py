@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
