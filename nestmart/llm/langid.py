@@ -158,7 +158,7 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
         m = sent.value
         text = batch.column("text")
         n_langs = len(m["langs"]) if m else 1
-        for chunk in tb.chunks(text, tb.CHUNK_BYTES * 4 // max(4, n_langs)):
+        for chunk in tb.chunks(text, 4 * tb.CHUNK_BYTES // max(4, n_langs)):
             letters = tb.row_sums((FOLD[chunk.data] != 0x20).astype(np.int64), chunk.offsets) > 0
             ascii_letters = tb.row_sums(((FOLD[chunk.data] >= 97) & (FOLD[chunk.data] <= 122)).astype(np.int64), chunk.offsets) > 0
             for r in np.flatnonzero(letters & ~ascii_letters):  # other scripts, or only symbols

@@ -13,10 +13,11 @@ length, and edits are found in a diagonal band of the width that ``threshold`` a
 0.8 for every pair of Jaccard similarity 0.8 in the same order.
 
 Equal item sequences are one node from the start.  In a bucket every member is
-aligned with two members that stand for it (the least id, and one drawn by band);
-confirmed links give components.  Members of a bucket that still lie in different components are
-then compared across components, block by block, so that no link is lost and
-groups of near copies do not turn into all their pairs.
+aligned with a few members that stand for it; confirmed links give components.
+In buckets that still hold several components others stand for it in a second
+round; then their members are compared across components, block by block, on
+signatures of ``BINS`` bins, and aligned where these agree.  So groups of near copies
+do not turn into all their pairs, and links between strays and a group are found.
 
 Cases: null, empty and wordless texts stand alone; rows that repeat a doc_id
 are one document; rows without doc_id are passed over; ties take the least
@@ -194,6 +195,14 @@ def similar(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
     _, ix, iy = np.intersect1d(ux, uy, assume_unique=True, return_indices=True)
     if np.minimum(cx[ix], cy[iy]).sum() < longer - most:  # each edit spoils at most one item of the longer
         return False
+    # items that either holds once and both share: if they come in the same order,
+    # aligning them and replacing all between is an upper bound on the edits
+    alone = ux[ix][(cx[ix] == 1) & (cy[iy] == 1)]
+    px, py = (np.flatnonzero(alone[np.minimum(np.searchsorted(alone, z), len(alone) - 1)] == z) if len(alone) else np.zeros(0, np.int64) for z in (x, y))
+    if len(px) and np.array_equal(x[px], y[py]):
+        gaps = [np.diff(np.concatenate([[-1], at, [n]])) - 1 for at, n in ((px, len(x)), (py, len(y)))]
+        if np.maximum(*gaps).sum() <= most:
+            return True
     return edits_within(x, y, most) is not None
 
 
@@ -218,28 +227,93 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return map_batches(joined, step, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """(doc_id, class_id) of all documents; class_id is the least doc_id of the class."""
+BINS = 256
+
+
+def signatures(texts: DataFrame) -> DataFrame:
+    """doc_id, ``BINS`` bytes: eight bits of the least item hash of each bin of
+    items (one random order), 0 for an empty bin."""
+
+    def step(batch):
+        for chunk in tb.chunks(batch.column("text")):
+            h, first = _items(chunk)
+            h = tb.mix(_labelled(h, first))
+            row = np.repeat(np.arange(chunk.rows), np.diff(first))
+            cell = row * BINS + (h & np.uint64(BINS - 1)).astype(np.int64)
+            order = np.lexsort((h, cell))
+            head = np.flatnonzero(np.concatenate([[True], cell[order][1:] != cell[order][:-1]])) if len(h) else np.zeros(0, np.int64)
+            out = np.zeros((chunk.rows, BINS), np.uint8)
+            least = order[head]
+            out.ravel()[cell[least]] = 1 + ((h[least] >> np.uint64(8)) % np.uint64(255)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(chunk.lo, chunk.rows), pa.array([x.tobytes() for x in out], pa.binary())], ["doc_id", "sig"])
+
+    return map_batches(texts, step, "doc_id long, sig binary")
+
+
+def _across(open_: DataFrame, texts: DataFrame, agree: float, block: int) -> DataFrame:
+    """Pairs (a, b) of one bucket and different components whose signatures agree in
+    ``agree`` of their bins.  Buckets are cut into blocks of about ``block`` members;
+    each pair of blocks is one row."""
+    sizes = open_.groupBy("key").agg(F.count("*").alias("n"))
+    cut = F.pmod(F.xxhash64("rep", F.lit(7)), F.ceil(F.col("n") / F.lit(block)))
+    members = open_.join(sizes, "key").withColumn("blk", cut).join(signatures(texts).withColumnRenamed("doc_id", "rep"), "rep")
+    blocks = stored(members.groupBy("key", "blk").agg(F.collect_list(F.struct("rep", "comp", "sig")).alias("m")), "omh-blocks")
+    left = blocks.select("key", F.col("blk").alias("x"), F.col("m").alias("p"))
+    right = blocks.select("key", F.col("blk").alias("y"), F.col("m").alias("q"))
+    rows = left.join(right, "key").where("x <= y").select("p", "q")
+
+    def step(batch):
+        for i in range(batch.num_rows):
+            side = [batch.column(c)[i].values for c in ("p", "q")]
+            rep, comp = ([x.field(f).to_numpy() for x in side] for f in ("rep", "comp"))
+            sig = [np.frombuffer(b"".join(x.field("sig").to_pylist()), np.uint8).reshape(-1, BINS) for x in side]
+            either = BINS - ((sig[0] == 0).astype(np.float32) @ (sig[1] == 0).T.astype(np.float32))
+            same = np.stack([((sig[1] == row) & (row != 0)).sum(axis=1) for row in sig[0]])
+            ok = (same >= agree * either) & (comp[0][:, None] != comp[1][None])
+            j, k = np.nonzero(ok)
+            a, b = rep[0][j], rep[1][k]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return map_batches(rows, step, "a long, b long").distinct()
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 2, draws: int = 4, agree: float = 0.66, block: int = 64) -> DataFrame:
+    """(doc_id, class_id) of all documents; class_id is the least doc_id of the class.
+
+    ``agree``: share of signature bins in which two members of a bucket must
+    agree to be aligned across components; its expectation is the Jaccard
+    similarity, which is at least two thirds for pairs over the threshold."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
     drawn = stored(sketch(docs), "omh-sketches")
     reps = drawn.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.min_by("keys", "doc_id").alias("keys"))
     bands = stored(reps.select("rep", F.explode("keys").alias("key")), "omh-bands")
-    pick = F.xxhash64("rep", "key")
-    heads = bands.groupBy("key").agg(F.count("*").alias("n"), F.min("rep").alias("l1"), F.min_by("rep", pick).alias("l2")).where("n > 1")
-    shared = stored(bands.join(heads.select("key", "l1", "l2"), "key"), "omh-buckets")
-    pairs = shared.select("rep", F.explode(F.array_distinct(F.array("l1", "l2"))).alias("head")).where("rep <> head")
-    pairs = stored(pairs.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct(), "omh-pairs")
+    many = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    shared = stored(bands.join(many, "key").select("key", "rep", F.col("rep").alias("comp")), "omh-buckets")
     texts = stored(docs.join(shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "omh-texts")
-    links = stored(verify(pairs, texts, threshold), "omh-links")
-    roots = components(links)
-    # buckets that still hold several components
-    placed = shared.select("key", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("root", "rep").alias("comp"))
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    open_ = stored(placed.join(mixed, "key"), "omh-open")
-    left, right = open_.select("key", F.col("rep").alias("a"), F.col("comp").alias("ca")), open_.select("key", F.col("rep").alias("b"), F.col("comp").alias("cb"))
-    rest = left.join(right, "key").where("a < b AND ca <> cb").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = stored(verify(stored(rest, "omh-rest"), texts, threshold), "omh-links")
-    roots = stored(components(links.unionAll(more)), "omh-roots")
+    tried = links = roots = None
+    open_ = shared
+    for r in range(rounds + 1):
+        if r < rounds:  # every member with a few that stand for its bucket
+            heads = [F.min_by("rep", F.xxhash64("rep", "key", F.lit(r * draws + i))) for i in range(draws if r else 1)]
+            heads = open_.groupBy("key").agg(F.array_distinct(F.array(F.min("rep"), *heads)).alias("heads"))
+            pairs = open_.join(heads, "key").select("rep", "comp", F.explode("heads").alias("head"))
+            if r:
+                of = open_.select(F.col("rep").alias("head"), F.col("comp").alias("head_comp")).distinct()
+                pairs = pairs.join(of, "head").where("comp <> head_comp")
+            pairs = pairs.where("rep <> head").select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct()
+        else:  # the rest, block by block
+            pairs = _across(open_, texts, agree, block)
+        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "omh-pairs")
+        tried = pairs if tried is None else tried.unionAll(pairs)
+        found = stored(verify(pairs, texts, threshold), "omh-links")
+        links = found if links is None else links.unionAll(found)
+        roots = stored(components(links), "omh-roots")
+        placed = shared.select("key", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("root", "rep").alias("comp"))
+        mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+        if r < rounds:
+            open_ = stored(placed.join(mixed, "key"), "omh-open")
+            if open_.isEmpty():
+                break
     names = drawn.join(reps.select("k1", "k2", "rep"), ["k1", "k2"]).select("doc_id", "rep").distinct()
     known = names.join(roots, F.col("rep") == F.col("node"), "left").select("doc_id", F.coalesce("root", "rep").alias("class_id"))
     return docs.select("doc_id").distinct().join(known, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
