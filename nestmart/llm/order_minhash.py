@@ -14,9 +14,8 @@ length, and edits are found in a diagonal band of the width that ``threshold`` a
 
 Equal item sequences are one node from the start.  In a bucket every member is
 aligned with a few members that stand for it; confirmed links give components.
-In buckets that still hold several components others stand for it in a second
-round; then their members are compared across components, block by block, on
-signatures of ``BINS`` bins, and aligned where these agree.  So groups of near copies
+In buckets that still hold several components the members are then compared
+across components, block by block, on signatures of ``BINS`` bins, and aligned where these agree.  So groups of near copies
 do not turn into all their pairs, and links between strays and a group are found.
 
 Cases: null, empty and wordless texts stand alone; rows that repeat a doc_id
@@ -277,7 +276,7 @@ def _across(open_: DataFrame, texts: DataFrame, agree: float, block: int) -> Dat
     return map_batches(rows, step, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 2, draws: int = 4, agree: float = 0.66, block: int = 64) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 1, draws: int = 2, agree: float = 0.66, block: int = 64) -> DataFrame:
     """(doc_id, class_id) of all documents; class_id is the least doc_id of the class.
 
     ``agree``: share of signature bins in which two members of a bucket must
@@ -294,7 +293,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 2, dr
     open_ = shared
     for r in range(rounds + 1):
         if r < rounds:  # every member with a few that stand for its bucket
-            heads = [F.min_by("rep", F.xxhash64("rep", "key", F.lit(r * draws + i))) for i in range(draws if r else 1)]
+            heads = [F.min_by("rep", F.xxhash64("rep", "key", F.lit(r * draws + i))) for i in range(draws)]
             heads = open_.groupBy("key").agg(F.array_distinct(F.array(F.min("rep"), *heads)).alias("heads"))
             pairs = open_.join(heads, "key").select("rep", "comp", F.explode("heads").alias("head"))
             if r:

@@ -172,7 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 4000, max_terms:
     some = x.any(axis=1)
     weight = np.array([total.get(0, 0) / max((y == 0).sum(), 1), total.get(1, 0) / max((y == 1).sum(), 1)])[y.astype(int)]
     none = ~some
-    prior = (weight * y).sum() / weight.sum()
+    prior = (weight * y).sum() / max(weight.sum(), 1e-12)
     bare = float(((weight * y)[none].sum() + prior) / (weight[none].sum() + 1))
     base = some & ~cal
     model = {"vocabulary": vocabulary, "idf": idf, "y": y[base], "names": names[base], "bare": bare, "k": k, "soft": soft, "index": None, "knots": np.array([0.0, 1.0]), "values": np.array([0.0, 1.0])}

@@ -7,7 +7,8 @@ smallest page_id is a response; the others are revisits without a payload whose
 stored HTTP header keeps the payload's length.
 
 Reading.  Each archive (a few thousand records) is one task's file.  A record
-is checked: version line, header end, Content-Length, terminator and block
+is checked: version line, header without control
+characters, Content-Length, terminator and block
 digest.  After a failed check the reader searches for the next gzip member or
 version line that passes all of them, goes on from there, and logs the bytes between as
 a quarantined gap with the reason.  Plain files and files of gzip members (also
@@ -110,6 +111,8 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], int, int, int] |
     if close < 0:
         return "header without end"
     head = data[at:close]
+    if re.search(rb"[\x00-\x08\x0b\x0c\x0e-\x1f]", head):
+        return "damaged header"
     m = _LENGTH.search(head)
     if not m:
         return "no content length"
