@@ -1,44 +1,16 @@
 """One row per key.
 
-Both forms are plain aggregations, so Spark combines rows map-side before the
-shuffle: a key holding a third of the table is reduced to one row per input
-partition before it moves, and no task ever holds the whole group.
+Both forms shrink a group before the shuffle (partial aggregate, partial
+group limit): a key holding a third of the table is reduced to one row per
+input partition before it moves, and no task ever holds the whole group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-_FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
-
-
-def _ascending_form(df: DataFrame, column: str, ascending: bool) -> list[Column] | None:
-    """Struct fields that sort ascending exactly as ``column`` sorts in the
-    requested direction (Spark's defaults: nulls first ascending, nulls last
-    descending), or None if the type cannot be reversed (strings, binary)."""
-    c = F.col(column)
-    if ascending:
-        return [c]
-    t = df.schema[column].dataType
-    if isinstance(t, _INTEGRAL):
-        rev = -c.cast("decimal(38,0)")  # no overflow at the minimum value
-    elif isinstance(t, _FRACTIONAL):
-        rev = -c
-    elif isinstance(t, T.DateType):
-        rev = -F.unix_date(c)
-    elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        rev = -F.unix_micros(c.cast("timestamp"))
-    elif isinstance(t, T.BooleanType):
-        rev = ~c
-    else:
-        return None
-    return [c.isNull(), rev]  # non-null first, then reversed order
-
 
 def dedup_by_key(
     df: DataFrame,
@@ -49,13 +21,11 @@ def dedup_by_key(
     """Keep one row per ``keys``.
 
     Without ``order_by`` the survivor is arbitrary (``dropDuplicates``, D1).
-    With ``order_by`` the first row under that order survives (D2): ``min``
-    (or ``max``) over a struct of (order columns, row), an aggregate with
-    map-side combine, so a key holding a third of the rows never lands whole
-    in one task.  Mixed directions reverse the descending columns inside the
-    struct; only a descending string/binary column among ascending ones
-    falls back to ``row_number`` over a key-partitioned window.  A null key
-    is one group.
+    With ``order_by`` the first row under that order survives (D2), by
+    ``row_number() = 1``; Spark limits each group before the exchange
+    (``WindowGroupLimit``), so a key holding a third of the rows arrives as one
+    row per input partition.  Nulls and NaN sort as Spark sorts them; any
+    column type may ride along.  A null key is one group.
     """
     keys = list(keys)
     if not order_by:
@@ -64,23 +34,6 @@ def dedup_by_key(
     directions = [ascending] * len(order_by) if isinstance(ascending, bool) else list(ascending)
     if len(directions) != len(order_by):
         raise ValueError("ascending must match order_by")
-    payload = [c for c in df.columns if c not in keys]
-    if len(set(directions)) == 1:
-        pick = F.min if directions[0] else F.max
-        best = pick(
-            F.struct(
-                *[F.col(c).alias(f"__nm_o{i}") for i, c in enumerate(order_by)],
-                F.struct(*payload).alias("__nm_row"),
-            )
-        ).alias("__nm_best")
-        grouped = df.groupBy(*keys).agg(best)
-        return grouped.select(*keys, *[F.col(f"__nm_best.__nm_row.{c}").alias(c) for c in payload]).select(*df.columns)
-    forms = [_ascending_form(df, c, a) for c, a in zip(order_by, directions)]
-    if all(f is not None for f in forms):
-        fields = [e.alias(f"__nm_o{i}_{j}") for i, f in enumerate(forms) for j, e in enumerate(f)]
-        best = F.min(F.struct(*fields, F.struct(*payload).alias("__nm_row"))).alias("__nm_best")
-        grouped = df.groupBy(*keys).agg(best)
-        return grouped.select(*keys, *[F.col(f"__nm_best.__nm_row.{c}").alias(c) for c in payload]).select(*df.columns)
     ordering = [F.col(c).asc() if a else F.col(c).desc() for c, a in zip(order_by, directions)]
     w = Window.partitionBy(*keys).orderBy(*ordering)
     return df.withColumn("__nm_rn", F.row_number().over(w)).filter("__nm_rn = 1").drop("__nm_rn")

@@ -8,8 +8,9 @@ maximum) keeps appended batches from colliding.
 The frame is range-partitioned and sorted inside each partition; a small job
 counts rows per partition (at most ``spark.sql.shuffle.partitions`` rows,
 safe to broadcast) and each row's id is its partition's offset plus its
-position.  Both branches read the same range exchange, which Spark reuses
-within the plan.
+position.  Partition number and position are written with the rows to the
+shared scratch folder, once: counts and rows then read the same partitioning,
+whatever columns the rows carry and whatever task is run again.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 
 def with_row_id(df: DataFrame, column: str = "id", offset: int = 0) -> DataFrame:
     """Prepend a unique id starting above ``offset`` (IDENTITY-like)."""
@@ -41,13 +44,12 @@ def with_dense_id(
     order_by = list(order_by)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
-    tagged = ranged.select(
-        "*",
-        F.spark_partition_id().alias("__nm_pid"),
-        F.monotonically_increasing_id().alias("__nm_mono"),
-    )
     # position inside the partition: the low 33 bits of the monotonic id
-    tagged = tagged.withColumn("__nm_pos", F.col("__nm_mono") - F.shiftleft(F.col("__nm_pid").cast("long"), 33))
+    mono, pid = F.monotonically_increasing_id(), F.spark_partition_id()
+    tagged = ranged.select("*", pid.alias("__nm_pid"), (mono - F.shiftleft(pid.cast("long"), 33)).alias("__nm_pos"))
+    path = scratch_path(df.sparkSession, "dense-id")
+    tagged.write.parquet(path)
+    tagged = df.sparkSession.read.schema(tagged.schema).parquet(path)
     sizes = tagged.groupBy("__nm_pid").agg(F.count(F.lit(1)).alias("__nm_n"))
     offsets = sizes.select(
         "__nm_pid",

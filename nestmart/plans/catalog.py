@@ -82,7 +82,7 @@ def _supplier_geo(t: Mapping[str, DataFrame]) -> DataFrame:
 
 def _part_genre(t: Mapping[str, DataFrame]) -> DataFrame:
     part = t["part"]
-    genre_ids = part.groupBy("p_type").agg(F.min("p_partkey").cast("int").alias("genre_id"))
+    genre_ids = part.groupBy("p_type").agg(F.min("p_partkey").cast("long").alias("genre_id"))
     brand_no = F.expr("try_cast(substr(p_brand, 7) AS INT)")
     return part.join(genre_ids, "p_type").select(
         "p_partkey", "p_name", "p_type", "p_brand", "p_size", "genre_id", brand_no.alias("brand_id")
@@ -123,7 +123,7 @@ def movies_frame(t: Mapping[str, DataFrame]) -> DataFrame:
         "budget": F.col("o_totalprice") / 2,
         "genres": F.col("genres"),
         "homepage": F.lit(None).cast("string"),
-        "id": key.try_cast("int"),
+        "id": key.cast("long"),
         "imdb_id": F.concat(F.lit("tt"), F.lpad(key.cast("string"), 7, "0")),
         "original_language": F.col("original_language"),
         "original_title": F.concat(F.lit('Order "'), key.cast("string"), F.lit('", '), F.col("o_orderpriority")),
@@ -166,7 +166,7 @@ def credits_frame(t: Mapping[str, DataFrame], chunk: int = CHUNK) -> DataFrame:
         "job": F.col("p_brand"),
     }
     nested = nest_json(lines, ["l_orderkey"], cast_el, "cast", chunk, extra={"crew": crew_el}, chunk="__nm_chunk")
-    return nested.select("cast", "crew", F.col("l_orderkey").try_cast("int").alias("id"))
+    return nested.select("cast", "crew", F.col("l_orderkey").cast("long").alias("id"))
 
 
 def keywords_frame(t: Mapping[str, DataFrame], chunk: int = CHUNK) -> DataFrame:
@@ -174,17 +174,17 @@ def keywords_frame(t: Mapping[str, DataFrame], chunk: int = CHUNK) -> DataFrame:
     li = scan_chunks(t["lineitem"], chunk).select("l_orderkey", "l_partkey", "__nm_chunk")
     li = li.join(t["part"].select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
     nested = nest_json(li, ["l_orderkey"], {"id": F.col("p_partkey"), "name": F.col("p_name")}, "keywords", chunk, chunk="__nm_chunk")
-    return nested.select(F.col("l_orderkey").try_cast("int").alias("id"), "keywords")
+    return nested.select(F.col("l_orderkey").cast("long").alias("id"), "keywords")
 
 
 def ratings_frame(t: Mapping[str, DataFrame]) -> DataFrame:
     """One rating per lineitem, 1-5 from the quantity; epoch-second time."""
     li = t["lineitem"]
     return li.select(
-        F.col("l_suppkey").try_cast("int").alias("userId"),
-        F.col("l_orderkey").try_cast("int").alias("movieId"),
+        F.col("l_suppkey").cast("long").alias("userId"),
+        F.col("l_orderkey").cast("long").alias("movieId"),
         F.ceil(F.col("l_quantity") / 10).cast("float").alias("rating"),
-        (F.unix_date(F.to_date(F.col("l_shipdate"))) * 86400).cast("int").alias("timestamp"),
+        (F.unix_date(F.to_date(F.col("l_shipdate"))) * 86400).cast("long").alias("timestamp"),
     )
 
 

@@ -37,7 +37,7 @@ _LINES = """
   JOIN region r ON n.n_regionkey = r.r_regionkey
 """
 
-_GENRE_IDS = "SELECT p_type, CAST(min(p_partkey) AS INTEGER) AS genre_id FROM part GROUP BY p_type"
+_GENRE_IDS = "SELECT p_type, CAST(min(p_partkey) AS BIGINT) AS genre_id FROM part GROUP BY p_type"
 
 # Region -> language code, as in the catalog.
 _REGION_LANG = """(VALUES ('AFRICA', 'sw'), ('AMERICA', 'en'), ('ASIA', 'zh'),
@@ -82,8 +82,8 @@ UNION ALL SELECT 'fact_rating', count(DISTINCT l_orderkey) FROM lineitem
 """
 
 _RATING_STATS = """
-SELECT CAST(l_orderkey AS INTEGER) AS movie_id,
-       CAST(count(*) AS INTEGER) AS ratings_count,
+SELECT CAST(l_orderkey AS BIGINT) AS movie_id,
+       CAST(count(*) AS BIGINT) AS ratings_count,
        avg(CAST(ceil(l_quantity / 10) AS FLOAT)) AS ratings_average,
        CAST(min(CAST(ceil(l_quantity / 10) AS FLOAT)) AS DOUBLE) AS min_rate,
        CAST(max(CAST(ceil(l_quantity / 10) AS FLOAT)) AS DOUBLE) AS max_rate
@@ -152,10 +152,10 @@ SQL: dict[str, str] = {
     "year_filter": f"SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date FROM orders WHERE {_year('o_orderdate', 1997)}",
     "json_key_lookup": "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events",
     "json_bridge": """
-        SELECT CAST(l.l_orderkey AS INTEGER) AS movie_id, CAST(l.l_partkey AS INTEGER) AS keyword_id
+        SELECT CAST(l.l_orderkey AS BIGINT) AS movie_id, CAST(l.l_partkey AS BIGINT) AS keyword_id
         FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
     "json_dim": f"""
-        SELECT DISTINCT CAST(l_suppkey AS INTEGER) AS id, s_name AS name, 'Agent of ' || n_name AS "character",
+        SELECT DISTINCT CAST(l_suppkey AS BIGINT) AS id, s_name AS name, 'Agent of ' || n_name AS "character",
                {_GENDER.format(x='CAST(floor(s_nationkey / 7) AS INTEGER)')} AS gender
         FROM ({_LINES})""",
     "json_pyliteral": """
@@ -164,7 +164,7 @@ SQL: dict[str, str] = {
                'Yes, None, maybe' AS note, 'a' || chr(160) || 'b' AS tag
         FROM customer""",
     "movies_staged": f"""
-        SELECT CAST(o.o_orderkey AS INTEGER) AS id, 'Order #' || o.o_orderkey AS title,
+        SELECT CAST(o.o_orderkey AS BIGINT) AS id, 'Order #' || o.o_orderkey AS title,
                'Order "' || o.o_orderkey || '", ' || o.o_orderpriority AS original_title,
                CAST(o.o_orderdate AS DATE) AS release_date, o.o_totalprice AS revenue, o.o_totalprice / 2 AS budget,
                COALESCE(CAST(x.vote_average AS FLOAT), 0) AS vote_average, COALESCE(CAST(x.n AS INTEGER), 0) AS vote_count,
@@ -174,7 +174,7 @@ SQL: dict[str, str] = {
             FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN supplier s ON l.l_suppkey = s.s_suppkey
             GROUP BY l_orderkey) x ON o.o_orderkey = x.l_orderkey""",
     "fact_sales": """
-        SELECT CAST(o.o_orderkey AS INTEGER) AS movie_id, o.o_totalprice AS revenue, o.o_totalprice / 2 AS budget,
+        SELECT CAST(o.o_orderkey AS BIGINT) AS movie_id, o.o_totalprice AS revenue, o.o_totalprice / 2 AS budget,
                CAST(COALESCE(CAST(x.vote_average AS FLOAT), 0) AS DOUBLE) AS vote_average,
                COALESCE(CAST(x.n AS INTEGER), 0) AS vote_count
         FROM orders o LEFT JOIN (
@@ -220,9 +220,15 @@ SQL: dict[str, str] = {
     "sorted_orders": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey DESC",
     "top_revenue": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey DESC LIMIT 10",
     "surrogate_key": "SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS id, o_orderkey FROM orders",
+    "surrogate_key_payload": """
+        SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_quantity) AS id, l_orderkey, l_linenumber, l_partkey, l_quantity
+        FROM lineitem""",
+    "shifted_keys": """
+        SELECT o_orderkey + 8589934592 AS movie_id, n AS ratings_count
+        FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey""",
     "distinct_count": "SELECT count(DISTINCT l_partkey) AS parts FROM lineitem",
     "append_read_back": f"""
-        WITH pairs AS (SELECT DISTINCT CAST(li.l_orderkey AS INTEGER) AS movie_id, g.genre_id
+        WITH pairs AS (SELECT DISTINCT CAST(li.l_orderkey AS BIGINT) AS movie_id, g.genre_id
                        FROM ({_LINES}) li JOIN ({_GENRE_IDS}) g ON li.p_type = g.p_type)
         SELECT * FROM pairs UNION ALL SELECT * FROM pairs""",
     "surrogate_ids_unique": f"""
@@ -252,7 +258,7 @@ SQL: dict[str, str] = {
     "quality_gate": _gate_oracle(),
     "quality_gate_defects": _gate_oracle("CAST(o_orderdate AS DATE) < DATE '2000-01-01'"),
     "question_b1": f"""
-        SELECT CAST(o.o_orderkey AS INTEGER) AS id, 'Order #' || o.o_orderkey AS title FROM orders o
+        SELECT CAST(o.o_orderkey AS BIGINT) AS id, 'Order #' || o.o_orderkey AS title FROM orders o
         WHERE {_year('o.o_orderdate', B1_YEAR)}
           AND EXISTS (SELECT 1 FROM ({_MOVIE_LANGS}) m WHERE m.l_orderkey = o.o_orderkey)
           AND NOT EXISTS (SELECT 1 FROM ({_MOVIE_LANGS}) m WHERE m.l_orderkey = o.o_orderkey AND m.lang_code = '{B1_LANGUAGE}')""",
@@ -271,14 +277,14 @@ SQL: dict[str, str] = {
                       AND lpad(CAST(li.s_nationkey AS VARCHAR), 2, '0') = '{B3_COUNTRY}')
           AND EXISTS (SELECT 1 FROM ({_LINES}) li WHERE li.l_orderkey = o.o_orderkey AND li.p_type = '{B3_GENRE}')""",
     "question_b4": f"""
-        SELECT CAST(o.o_orderkey AS INTEGER) AS id, 'Order #' || o.o_orderkey AS title, CAST(o.o_orderdate AS DATE) AS release_date
+        SELECT CAST(o.o_orderkey AS BIGINT) AS id, 'Order #' || o.o_orderkey AS title, CAST(o.o_orderdate AS DATE) AS release_date
         FROM orders o
         WHERE {_year('o.o_orderdate', B4_YEAR)}
           AND EXISTS (SELECT 1 FROM ({_LINES}) li WHERE li.l_orderkey = o.o_orderkey AND li.p_type = '{B4_GENRE}')""",
     "question_b5": f"""
         WITH m AS (SELECT o_orderkey, o_totalprice FROM orders WHERE {_between('o_orderdate', B5_FIRST, B5_LAST)}),
         pairs AS (SELECT DISTINCT l_orderkey, p_brand FROM ({_LINES}))
-        SELECT CAST(substr(p_brand, 7) AS INTEGER) AS company_id, p_brand AS company_name,
+        SELECT CAST(substr(p_brand, 7) AS BIGINT) AS company_id, p_brand AS company_name,
                CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue, count(*) AS movies
         FROM pairs JOIN m ON pairs.l_orderkey = m.o_orderkey
         GROUP BY p_brand ORDER BY revenue DESC, company_id""",
@@ -286,7 +292,7 @@ SQL: dict[str, str] = {
     "full_load": _STAR_COUNTS,
     "incremental_ingest": _RATING_STATS,
     "incremental_dims": """
-        SELECT DISTINCT CAST(p.p_partkey AS INTEGER) AS id, p.p_name AS name
+        SELECT DISTINCT CAST(p.p_partkey AS BIGINT) AS id, p.p_name AS name
         FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
 }
 
@@ -305,53 +311,53 @@ SQL.update({
                CASE WHEN c_mktsegment IN ('HOUSEHOLD', 'MACHINERY', 'FURNITURE', 'BUILDING') THEN 0 ELSE 2 * count(*) END AS elements
         FROM customer GROUP BY c_mktsegment""",
     "table_dim_movies": """
-        SELECT CAST(o_orderkey AS INTEGER) AS id, 'Order #' || o_orderkey AS title,
+        SELECT CAST(o_orderkey AS BIGINT) AS id, 'Order #' || o_orderkey AS title,
                'Order "' || o_orderkey || '", ' || o_orderpriority AS original_title,
                'Priority ' || o_orderpriority || ', status ' || o_orderstatus AS overview,
                o_orderstatus AS status, CAST(o_orderdate AS DATE) AS release_date, o_orderpriority = '1-URGENT' AS video
         FROM orders""",
     "table_dim_genres": f"SELECT DISTINCT g.genre_id AS id, li.p_type AS name FROM {_LI_G}",
-    "table_movie_genres": f"SELECT DISTINCT CAST(li.l_orderkey AS INTEGER) AS movie_id, g.genre_id FROM {_LI_G}",
-    "table_dim_companies": f"SELECT DISTINCT CAST(substr(p_brand, 7) AS INTEGER) AS id, p_brand AS name FROM ({_LINES})",
+    "table_movie_genres": f"SELECT DISTINCT CAST(li.l_orderkey AS BIGINT) AS movie_id, g.genre_id FROM {_LI_G}",
+    "table_dim_companies": f"SELECT DISTINCT CAST(substr(p_brand, 7) AS BIGINT) AS id, p_brand AS name FROM ({_LINES})",
     "table_movie_production_companies": f"""
-        SELECT DISTINCT CAST(l_orderkey AS INTEGER) AS movie_id, CAST(substr(p_brand, 7) AS INTEGER) AS company_id FROM ({_LINES})""",
+        SELECT DISTINCT CAST(l_orderkey AS BIGINT) AS movie_id, CAST(substr(p_brand, 7) AS BIGINT) AS company_id FROM ({_LINES})""",
     "table_dim_countries": f"SELECT DISTINCT lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS iso_code, n_name AS name FROM ({_LINES})",
     "table_movie_countries": f"""
-        SELECT DISTINCT CAST(l_orderkey AS INTEGER) AS movie_id, lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS country_code FROM ({_LINES})""",
-    "table_movie_languages": f"SELECT CAST(l_orderkey AS INTEGER) AS movie_id, lang_code AS language_code FROM ({_MOVIE_LANGS})",
-    "table_movie_cast": f"SELECT CAST(l_orderkey AS INTEGER) AS movie_id, CAST(l_suppkey AS INTEGER) AS cast_id FROM ({_LINES})",
+        SELECT DISTINCT CAST(l_orderkey AS BIGINT) AS movie_id, lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS country_code FROM ({_LINES})""",
+    "table_movie_languages": f"SELECT CAST(l_orderkey AS BIGINT) AS movie_id, lang_code AS language_code FROM ({_MOVIE_LANGS})",
+    "table_movie_cast": f"SELECT CAST(l_orderkey AS BIGINT) AS movie_id, CAST(l_suppkey AS BIGINT) AS cast_id FROM ({_LINES})",
     "table_dim_crew": f"""
-        SELECT DISTINCT CAST(l_partkey AS INTEGER) AS id, p_name AS name, p_type AS department,
+        SELECT DISTINCT CAST(l_partkey AS BIGINT) AS id, p_name AS name, p_type AS department,
                {_GENDER.format(x='CAST(floor(p_size / 13) AS INTEGER)')} AS gender, p_brand AS job
         FROM ({_LINES})""",
-    "table_movie_crew": f"SELECT CAST(l_orderkey AS INTEGER) AS movie_id, CAST(l_partkey AS INTEGER) AS crew_id FROM ({_LINES})",
+    "table_movie_crew": f"SELECT CAST(l_orderkey AS BIGINT) AS movie_id, CAST(l_partkey AS BIGINT) AS crew_id FROM ({_LINES})",
     "table_dim_keywords": """
-        SELECT DISTINCT CAST(p.p_partkey AS INTEGER) AS id, p.p_name AS name
+        SELECT DISTINCT CAST(p.p_partkey AS BIGINT) AS id, p.p_name AS name
         FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
     "table_fact_rating": _RATING_STATS,
 })
 
-_HOT = "CAST(CASE WHEN l.l_linenumber <= 2 THEN 0 ELSE l.l_orderkey END AS INTEGER)"
+_HOT = "CAST(CASE WHEN l.l_linenumber <= 2 THEN 0 ELSE l.l_orderkey END AS BIGINT)"
 
 SQL.update({
     "hot_key_bridge": f"""
-        SELECT {_HOT} AS movie_id, CAST(l.l_partkey AS INTEGER) AS keyword_id
+        SELECT {_HOT} AS movie_id, CAST(l.l_partkey AS BIGINT) AS keyword_id
         FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey""",
     "hot_key_ratings": f"""
-        SELECT {_HOT} AS movie_id, CAST(count(*) AS INTEGER) AS ratings_count,
+        SELECT {_HOT} AS movie_id, CAST(count(*) AS BIGINT) AS ratings_count,
                avg(CAST(ceil(l.l_quantity / 10) AS FLOAT)) AS ratings_average,
                CAST(min(CAST(ceil(l.l_quantity / 10) AS FLOAT)) AS DOUBLE) AS min_rate,
                CAST(max(CAST(ceil(l.l_quantity / 10) AS FLOAT)) AS DOUBLE) AS max_rate
         FROM lineitem l GROUP BY 1""",
     "hot_key_semi": f"""
-        SELECT CAST(o.o_orderkey AS INTEGER) AS id FROM orders o
+        SELECT CAST(o.o_orderkey AS BIGINT) AS id FROM orders o
         WHERE EXISTS (SELECT 1 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
                       WHERE p.p_type = 'PROMO' AND {_HOT} = o.o_orderkey)""",
 })
 
 SQL.update({
     "question_b1_original": f"""
-        SELECT CAST(o.o_orderkey AS INTEGER) AS id, 'Order #' || o.o_orderkey AS title FROM orders o
+        SELECT CAST(o.o_orderkey AS BIGINT) AS id, 'Order #' || o.o_orderkey AS title FROM orders o
         LEFT JOIN (SELECT l_orderkey, min(lang_code) AS lang FROM ({_MOVIE_LANGS}) GROUP BY l_orderkey) x
           ON x.l_orderkey = o.o_orderkey
         WHERE {_year('o.o_orderdate', B1_YEAR)} AND x.lang IS DISTINCT FROM '{B1_LANGUAGE}'""",

@@ -245,6 +245,21 @@ def surrogate_key(spark, sf_dir):
     return ops.with_dense_id(o, ["o_orderdate", "o_orderkey"], "id").select("id", "o_orderkey")
 
 
+def surrogate_key_payload(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return ops.with_dense_id(li.repartition(4), ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity"], "id")
+
+
+def shifted_keys(spark, sf_dir):
+    """Movie ids beyond 32 bits: every movie and its ratings must stay."""
+    t = {n: _t(spark, sf_dir, n) for n in ("nation", "region", "supplier", "part", "orders", "lineitem")}
+    t["orders"] = t["orders"].withColumn("o_orderkey", F.col("o_orderkey") + F.lit(1 << 33))
+    t["lineitem"] = t["lineitem"].withColumn("l_orderkey", F.col("l_orderkey") + F.lit(1 << 33))
+    movies = tables.staged_movies(catalog.movies_frame(t)).select(F.col("id").alias("movie_id"))
+    ratings = tables.fact_rating(catalog.ratings_frame(t)).select("movie_id", "ratings_count")
+    return movies.join(ratings, "movie_id", "left")
+
+
 def distinct_count(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
     return ops.distinct_count(li, "l_partkey", "parts")
@@ -450,7 +465,7 @@ def conform_lengths(spark, sf_dir):
     """Rows that break a declared length (K4): document texts as cast names."""
     docs = _t(spark, sf_dir, "documents")
     as_cast = docs.select(
-        F.col("doc_id").cast("int").alias("id"), F.col("text").alias("name"),
+        F.col("doc_id").cast("long").alias("id"), F.col("text").alias("name"),
         F.col("lang").alias("character"), F.lit(None).cast("string").alias("gender"),
     )
     return sink.conform_report({"dim_cast": as_cast})
@@ -475,7 +490,7 @@ def parse_losses(spark, sf_dir):
 def _hot_movie(col: str = "l_orderkey") -> F.Column:
     """Lineitems 1 and 2 of every order (about 29% of all rows) re-keyed to
     movie 0, the rest keep their order: one key with a third of the data."""
-    return F.when(F.col("l_linenumber") <= 2, F.lit(0)).otherwise(F.col(col)).try_cast("int")
+    return F.when(F.col("l_linenumber") <= 2, F.lit(0)).otherwise(F.col(col)).cast("long")
 
 
 def hot_key_bridge(spark, sf_dir):
@@ -492,7 +507,7 @@ def hot_key_ratings(spark, sf_dir):
     """``fact_rating`` when one movie holds about a third of all ratings."""
     li = _t(spark, sf_dir, "lineitem").select(_hot_movie().alias("movieId"), "l_suppkey", "l_quantity")
     ratings = li.select(
-        F.col("l_suppkey").try_cast("int").alias("userId"), "movieId",
+        F.col("l_suppkey").cast("long").alias("userId"), "movieId",
         F.ceil(F.col("l_quantity") / 10).cast("float").alias("rating"),
     )
     return _no_audit(tables.fact_rating(ratings))
@@ -503,7 +518,7 @@ def hot_key_semi(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem").select(_hot_movie().alias("movie_id"), "l_partkey")
     promo = _t(spark, sf_dir, "part").filter(F.col("p_type") == "PROMO").select("p_partkey")
     hits = ops.semi_join(li, promo, ["l_partkey"], ["p_partkey"])
-    movies = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").try_cast("int").alias("id"))
+    movies = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("long").alias("id"))
     return ops.semi_join(movies, hits, ["id"], ["movie_id"])
 
 
@@ -538,6 +553,8 @@ QUERIES: dict[str, Query] = {
         sorted_orders,
         top_revenue,
         surrogate_key,
+        surrogate_key_payload,
+        shifted_keys,
         distinct_count,
         append_read_back,
         surrogate_ids_unique,

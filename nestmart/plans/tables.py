@@ -23,19 +23,19 @@ from ..operators.dedup import dedup_by_key
 from ..operators.filters import keep_not_null
 
 # Dict keys read from each nested column.
-GENRE_KEYS = [Key("id", "genre_id", "int"), Key("name", "genre_name")]
-COMPANY_KEYS = [Key("id", "company_id", "int"), Key("name", "company_name")]
+GENRE_KEYS = [Key("id", "genre_id", "bigint"), Key("name", "genre_name")]
+COMPANY_KEYS = [Key("id", "company_id", "bigint"), Key("name", "company_name")]
 COUNTRY_KEYS = [Key("iso_3166_1", "country_code"), Key("name", "country_name")]
 LANGUAGE_KEYS = [Key("iso_639_1", "language_code"), Key("name", "language_name")]
-CAST_KEYS = [Key("id", "id", "int"), Key("name", "name"), Key("character", "character"), Key("gender", "gender", "int")]
+CAST_KEYS = [Key("id", "id", "bigint"), Key("name", "name"), Key("character", "character"), Key("gender", "gender", "int")]
 CREW_KEYS = [
-    Key("id", "id", "int"),
+    Key("id", "id", "bigint"),
     Key("name", "name"),
     Key("department", "department"),
     Key("gender", "gender", "int"),
     Key("job", "job"),
 ]
-KEYWORD_KEYS = [Key("id", "id", "int"), Key("name", "name")]
+KEYWORD_KEYS = [Key("id", "id", "bigint"), Key("name", "name")]
 
 DIM_MOVIES_COLUMNS = ["id", "title", "original_title", "overview", "status", "release_date", "video"]
 SALES_COLUMNS = ["movie_id", "revenue", "budget", "vote_average", "vote_count"]
@@ -135,8 +135,8 @@ def crew(credits: DataFrame, reproducible: bool = False, mode: str = "strict"):
 
 # Movie list columns -> (kind, key of the id, id type).
 MOVIE_LISTS = {
-    "genres": ("genre", "id", "int"),
-    "production_companies": ("company", "id", "int"),
+    "genres": ("genre", "id", "bigint"),
+    "production_companies": ("company", "id", "bigint"),
     "production_countries": ("country", "iso_3166_1", None),
     "spoken_languages": ("language", "iso_639_1", None),
 }
@@ -208,7 +208,7 @@ def credit_people(credits: DataFrame, mode: str = "strict") -> DataFrame:
     return rows.select(
         "movie_id",
         F.col("p.role").alias("role"),
-        safe_cast(m.getItem("id"), "int").alias("id"),
+        safe_cast(m.getItem("id"), "bigint").alias("id"),
         m.getItem("name").alias("name"),
         m.getItem("character").alias("character"),
         safe_cast(m.getItem("gender"), "int").alias("gender"),
@@ -256,7 +256,7 @@ def keywords(raw_keywords: DataFrame, reproducible: bool = False, mode: str = "s
 def fact_rating(ratings: DataFrame) -> DataFrame:
     """count/avg/min/max of the rating per movie."""
     stats = ratings.groupBy("movieId").agg(
-        F.count("userId").cast("int").alias("ratings_count"),
+        F.count("userId").alias("ratings_count"),
         F.avg("rating").alias("ratings_average"),
         F.min("rating").cast("double").alias("min_rate"),
         F.max("rating").cast("double").alias("max_rate"),

@@ -21,7 +21,7 @@ MOVIES_SCHEMA = T.StructType(
         T.StructField("budget", T.DoubleType()),
         T.StructField("genres", T.StringType()),  # nested text
         T.StructField("homepage", T.StringType()),
-        T.StructField("id", T.IntegerType()),
+        T.StructField("id", T.LongType()),
         T.StructField("imdb_id", T.StringType()),
         T.StructField("original_language", T.StringType()),
         T.StructField("original_title", T.StringType()),
@@ -47,23 +47,23 @@ CREDITS_SCHEMA = T.StructType(
     [
         T.StructField("cast", T.StringType()),  # nested text
         T.StructField("crew", T.StringType()),  # nested text
-        T.StructField("id", T.IntegerType()),
+        T.StructField("id", T.LongType()),
     ]
 )
 
 KEYWORDS_SCHEMA = T.StructType(
     [
-        T.StructField("id", T.IntegerType()),
+        T.StructField("id", T.LongType()),
         T.StructField("keywords", T.StringType()),  # nested text
     ]
 )
 
 RATINGS_SCHEMA = T.StructType(
     [
-        T.StructField("userId", T.IntegerType()),
-        T.StructField("movieId", T.IntegerType()),
+        T.StructField("userId", T.LongType()),
+        T.StructField("movieId", T.LongType()),
         T.StructField("rating", T.FloatType()),
-        T.StructField("timestamp", T.IntegerType()),
+        T.StructField("timestamp", T.LongType()),
     ]
 )
 
@@ -129,7 +129,7 @@ def _dim(name: str, key: Column, *rest: Column) -> Table:
 def _bridge(name: str, ref: Column, parent: str, parent_column: str) -> Table:
     return Table(
         name,
-        (Column("id", _L), Column("movie_id", _I), ref),
+        (Column("id", _L), Column("movie_id", _L), ref),
         ("id",),
         (
             ForeignKey("movie_id", "dim_movies", "id"),
@@ -144,22 +144,22 @@ TABLES: dict[str, Table] = {
     for t in [
         _dim(
             "dim_cast",
-            Column("id", _I),
+            Column("id", _L),
             Column("name", _S, 255),
             Column("character", _S, VARCHAR),
             Column("gender", _S, 1),
         ),
         _dim(
             "dim_crew",
-            Column("id", _I),
+            Column("id", _L),
             Column("name", _S, 255),
             Column("department", _S, VARCHAR),
             Column("gender", _S, 1),
             Column("job", _S, VARCHAR),
         ),
-        _dim("dim_keywords", Column("id", _I), Column("name", _S, VARCHAR)),
-        _dim("dim_genres", Column("id", _I), Column("name", _S, VARCHAR)),
-        _dim("dim_companies", Column("id", _I), Column("name", _S, VARCHAR)),
+        _dim("dim_keywords", Column("id", _L), Column("name", _S, VARCHAR)),
+        _dim("dim_genres", Column("id", _L), Column("name", _S, VARCHAR)),
+        _dim("dim_companies", Column("id", _L), Column("name", _S, VARCHAR)),
         _dim("dim_countries", Column("iso_code", _S, 2), Column("name", _S, VARCHAR)),
         _dim(
             "dim_languages",
@@ -169,7 +169,7 @@ TABLES: dict[str, Table] = {
         ),
         _dim(
             "dim_movies",
-            Column("id", _I),
+            Column("id", _L),
             Column("title", _S, VARCHAR),
             Column("original_title", _S, VARCHAR),
             Column("overview", _S, VARCHAR_MAX),
@@ -180,8 +180,8 @@ TABLES: dict[str, Table] = {
         Table(
             "fact_rating",
             (
-                Column("movie_id", _I),
-                Column("ratings_count", _I),
+                Column("movie_id", _L),
+                Column("ratings_count", _L),
                 Column("ratings_average", _D),
                 Column("min_rate", _D),
                 Column("max_rate", _D),
@@ -193,7 +193,7 @@ TABLES: dict[str, Table] = {
         Table(
             "fact_movie_sales",
             (
-                Column("movie_id", _I),
+                Column("movie_id", _L),
                 Column("revenue", _D),
                 Column("budget", _D),
                 Column("vote_average", _D),
@@ -203,12 +203,12 @@ TABLES: dict[str, Table] = {
             ("movie_id",),
             (ForeignKey("movie_id", "dim_movies", "id"),),
         ),
-        _bridge("movie_cast", Column("cast_id", _I), "dim_cast", "id"),
-        _bridge("movie_crew", Column("crew_id", _I), "dim_crew", "id"),
-        _bridge("movie_genres", Column("genre_id", _I), "dim_genres", "id"),
-        _bridge("movie_keywords", Column("keyword_id", _I), "dim_keywords", "id"),
+        _bridge("movie_cast", Column("cast_id", _L), "dim_cast", "id"),
+        _bridge("movie_crew", Column("crew_id", _L), "dim_crew", "id"),
+        _bridge("movie_genres", Column("genre_id", _L), "dim_genres", "id"),
+        _bridge("movie_keywords", Column("keyword_id", _L), "dim_keywords", "id"),
         _bridge(
-            "movie_production_companies", Column("company_id", _I), "dim_companies", "id"
+            "movie_production_companies", Column("company_id", _L), "dim_companies", "id"
         ),
         _bridge(
             "movie_languages", Column("language_code", _S, 2), "dim_languages", "iso_code"

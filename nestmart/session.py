@@ -9,6 +9,7 @@ session has none, which is the case in unit tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -48,14 +49,18 @@ def build_session(
 def shared_root(spark: SparkSession) -> str:
     """Root of the shared folder named by ``spark.checkpoint.dir``.
 
-    If the session has no such setting (tests), a fresh folder is created and
+    A local session without such a setting (tests) gets a fresh folder,
     registered as the checkpoint directory, so ``DataFrame.checkpoint()`` and
-    our scratch writes land in the same place.
+    our scratch writes land in the same place.  On a cluster a machine's own
+    folder would not be shared, so a missing setting is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="nestmart-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     elif spark.sparkContext.getCheckpointDir() is None:

@@ -136,11 +136,15 @@ def read_all(spark: SparkSession, database: str, tables=None) -> dict[str, DataF
 
 
 def conform_report(frames: Mapping[str, DataFrame]) -> DataFrame:
-    """Per table: rows that break a declared length (K4)."""
+    """Per table: rows that break a declared length (``violations``) and values
+    that are there but fail the cast to the declared type, which ``conform``
+    stores as null (``failed_casts``) (K4)."""
     parts = []
     for name, df in frames.items():
         t = TABLES[name]
-        parts.append(df.agg(F.count_if(length_violations(df, t)).alias("violations")).select(F.lit(name).alias("table"), "violations"))
+        failed = [F.count_if(F.col(c.name).isNotNull() & safe_cast(F.col(c.name), c.type).isNull()) for c in t.columns if c.name in df.columns]
+        counts = df.agg(F.count_if(length_violations(df, t)).alias("violations"), sum(failed, F.lit(0)).alias("failed_casts"))
+        parts.append(counts.select(F.lit(name).alias("table"), "violations", "failed_casts"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -48,3 +48,24 @@ def test_csv_binds_by_position_and_nulls_only_bad_fields(spark, tmp_root):
     rows = sorted((tuple(r) for r in read_csv(spark, path, schema).collect()), key=repr)
     # '81.0' is no int (null), 'nope' is no int (null); the rest of each row is kept
     assert rows == sorted([(1, None, "ok"), (None, 7, "fine")], key=repr)
+
+
+def test_prefix_takes_glob_characters_literally(spark, tmp_root):
+    from pyspark.sql import types as T
+
+    from nestmart.sources import read_prefix
+
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    write_text(f"{tmp_root}/kw[1]/a.csv", "id\n1\n8589934592\n")
+    write_text(f"{tmp_root}/kw1/b.csv", "id\n7\n")
+    assert sorted(r.id for r in read_prefix(spark, f"{tmp_root}/kw[1]", schema).collect()) == [1, 1 << 33]
+
+
+def test_dense_ids_with_payload_and_scratch_rule(spark):
+    from pyspark.sql import functions as F
+
+    from nestmart import operators as ops
+
+    df = spark.range(5000).select(F.xxhash64("id").alias("k"), F.concat(F.lit("x"), "id").alias("text")).repartition(5)
+    ids = ops.with_dense_id(df, ["k"], "n").toPandas().sort_values("k")
+    assert ids["n"].tolist() == list(range(1, 5001))

@@ -87,3 +87,51 @@ def test_credits_ingest_appends_people_once(spark, tmp_root):
     assert cast == [(100, "Ann", "F"), (101, "Cy", "U")]
     assert sorted((r.movie_id, r.cast_id) for r in spark.table(f"{db}.movie_cast").collect()) == [(10, 100), (20, 100), (20, 101)]
     assert sorted((r.id, r.job, r.gender) for r in spark.table(f"{db}.dim_crew").collect()) == [(7, "Painter", "M")]
+
+
+def test_replayed_batches_lose_and_repeat_nothing(spark, tmp_root, monkeypatch):
+    from nestmart.streaming import ingest
+
+    from .test_pipeline import MOVIES_HEADER, _movie
+
+    db = "nm_stream_replay"
+    create_all(spark, db, os.path.join(tmp_root, "wh"))
+    landing, ckpt = os.path.join(tmp_root, "landing"), os.path.join(tmp_root, "ckpt")
+    langs = "[{'iso_639_1': 'en', 'name': 'English'}]"
+    row = _movie(10, "[{'id': 28, 'name': 'Action'}]", "[{'name': 'A', 'id': 1}]", "[{'iso_3166_1': 'DE', 'name': 'Germany'}]", langs, "2004-05-01", "1000.0", "First")
+    write_text(f"{landing}/movies/m1.csv", MOVIES_HEADER + row)
+    write_text(f"{landing}/keywords/k1.csv", "id,keywords\n10,\"[{'id': 1, 'name': 'hero'}, {'id': 2, 'name': 'city'}]\"\n")
+    real, fails = ingest.write_table, [True]
+
+    def write_then_fail(df, database, name, mode="append"):
+        out = real(df, database, name, mode)
+        if fails and name in ("movie_genres", "movie_keywords"):
+            fails.clear()
+            raise OSError("lost after this table")
+        return out
+
+    monkeypatch.setattr(ingest, "write_table", write_then_fail)
+    for family, folder in (("movies_metadata", "movies"), ("keywords", "keywords")):
+        fails[:] = [True]
+        try:
+            run_ingest(spark, family, f"{landing}/{folder}", db, f"{ckpt}/{family}")
+        except Exception:
+            assert not fails
+        run_ingest(spark, family, f"{landing}/{folder}", db, f"{ckpt}/{family}")
+    for table, n in (("dim_movies", 1), ("fact_movie_sales", 1), ("dim_genres", 1), ("movie_genres", 1), ("movie_countries", 1), ("dim_keywords", 2), ("movie_keywords", 2)):
+        spark.catalog.refreshTable(f"{db}.{table}")
+        assert spark.table(f"{db}.{table}").count() == n, table
+
+
+def test_ratings_stream_continues_a_batch_load(spark, tmp_root):
+    from nestmart.plans.tables import fact_rating
+    from nestmart.sinks.warehouse import write_table
+
+    db = "nm_stream_seed"
+    create_all(spark, db, os.path.join(tmp_root, "wh"), ["fact_rating"])
+    loaded = spark.createDataFrame([(1, 1, 4.0, 1), (2, 1, 2.0, 1), (1, 2, 5.0, 1)], "userId long, movieId long, rating float, timestamp long")
+    write_table(fact_rating(loaded), db, "fact_rating")
+    landing = os.path.join(tmp_root, "landing")
+    write_text(f"{landing}/r1.csv", "userId,movieId,rating,timestamp\n3,1,3.0,1\n")
+    run_ingest(spark, "ratings", landing, db, os.path.join(tmp_root, "ckpt"))
+    assert _stats(spark, db) == [(1, 3, 3.0, 2.0, 4.0), (2, 1, 5.0, 5.0, 5.0)]
