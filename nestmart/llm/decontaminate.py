@@ -10,8 +10,8 @@ Three passes over the documents, none of them sampled:
    come from the Nystrom form ``Y (omega' Y)^-1 Y'``.  The benchmark's own
    rows enter with the weight of the whole corpus, so that its terms span the
    latent space;
-3. search: overlapping windows are folded into the latent space; those whose
-   cosine with an item reaches ``min_cosine`` are verified: the longest common
+3. search: overlapping windows with two different terms are folded into the
+   latent space; those whose cosine with an item reaches ``min_cosine`` are verified: the longest common
    subsequence covers at least ``exact`` of the item's words, or ``paraphrase`` of them
    while at least half of its answer words (the rarest terms of its last
    sentence) are there.
@@ -198,6 +198,14 @@ def _search(docs: DataFrame, model: dict, min_cosine: float, exact: float, parap
             where, term = np.concatenate([at, at]), np.concatenate([t, t])
             order = np.argsort(window, kind="stable")
             window, where, term = window[order], where[order], term[order]
+            # two different terms at least: one alone says little and is everywhere
+            cell = np.unique(window * len(m["terms"]) + term) // len(m["terms"])
+            several = np.unique(cell[1:][cell[1:] == cell[:-1]])
+            if not len(several):
+                continue
+            place = np.minimum(np.searchsorted(several, window), len(several) - 1)
+            some = several[place] == window
+            window, where, term = window[some], where[some], term[some]
             entry, weight, start, of = _rows(window, term, m["idf"])
             z = np.add.reduceat(weight[:, None] * m["vectors"][entry], start, axis=0)
             z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
@@ -229,7 +237,7 @@ def _search(docs: DataFrame, model: dict, min_cosine: float, exact: float, parap
     return map_batches(docs, step, schema)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 128, common: float = 0.02, min_cosine: float = 0.35, exact: float = 0.8, paraphrase: float = 0.6, block: int = 512) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 128, common: float = 0.002, min_cosine: float = 0.35, exact: float = 0.8, paraphrase: float = 0.6, block: int = 512) -> DataFrame:
     """(doc_id, item_id, start, stop, cosine, lcs, answer): documents that hold a
     benchmark item, with the place and the evidence."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
