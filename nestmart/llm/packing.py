@@ -65,7 +65,7 @@ class Encoder:
             fresh = list({w for ws in split for w in ws})
         for lo in range(0, len(fresh), 5000):
             part = fresh[lo : lo + 5000]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 known[w] = np.asarray(e.ids, "<u4").tobytes()
         return [b"".join([known[w] for w in ws]) for ws in split]
 
