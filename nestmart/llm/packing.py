@@ -10,8 +10,8 @@ sequences are opened as the remaining ids fill, so a task pads fewer than
 ``size`` ids in all.
 
 Tokens: white space separates words for this tokenizer, so the ids of a text are
-those of its words in order; each task keeps the ids of words it has met
-(dropped when ``CACHE_WORDS`` are held) and encodes new words in one batch.
+those of its words in order; each worker keeps the ids of words and word parts it has met
+(dropped when ``CACHE_WORDS`` are held) and encodes new parts together.
 
 Cases: a null or empty text is one id (the end id); very long texts are cut
 into full sequences; repeated rows are packed one by one; a null doc_id is
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import map_partitions
 
 SIZE, END_ID = 2048, 1
-CACHE_WORDS = 200_000
+CACHE_WORDS = 500_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, cost double"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -47,6 +47,11 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Fixed values of the tokenizer: how it parts words (ASCII forms, lower case).
+PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+PRINTABLE = re.compile(r"[\x21-\x7e]+")
+
+
 class Encoder:
     """Texts to little-endian uint32 ids, by words."""
 
@@ -55,21 +60,52 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _learn_parts(self, parts: list[str]) -> None:
+        """Ids of word parts, many to a call: set apart by spaces, each stays one part."""
+        for lo in range(0, len(parts), 5000):
+            some = parts[lo : lo + 5000]
+            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids, cuts = np.asarray(e.ids, "<u4").tobytes(), (4 * np.searchsorted(e.word_ids, np.arange(len(some) + 1))).tolist()
+            self.parts.update(zip(some, (ids[x:y] for x, y in zip(cuts, cuts[1:], strict=False)), strict=True))
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words: printable ASCII ones by their parts, the others whole
+        (lower case and composition, or the names of special tokens, concern all of these)."""
+        known, parts = self.known, self.parts
+        ascii_ = [w for w in words if PRINTABLE.fullmatch(w) and "<|" not in w]
+        cut = [PART.findall(w.lower()) for w in ascii_]
+        self._learn_parts(list({p for ps in cut for p in ps if p not in parts}))
+        known.update(zip(ascii_, [b"".join([parts[p] for p in ps]) for ps in cut], strict=True))
+        others = [w for w in words if w not in known]
+        for lo in range(0, len(others), 5000):
+            some = others[lo : lo + 5000]
+            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                known[w] = np.asarray(e.ids, "<u4").tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [WORD.findall(t) for t in texts]
         known = self.known
-        fresh = list({w for ws in split for w in ws if w not in known})
-        if len(known) + len(fresh) > CACHE_WORDS:
+        fresh = {w for ws in split for w in ws if w not in known}
+        if len(known) + len(fresh) > CACHE_WORDS or len(self.parts) > CACHE_WORDS:
             known.clear()
-            fresh = list({w for ws in split for w in ws})
-        for lo in range(0, len(fresh), 5000):
-            part = fresh[lo : lo + 5000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[w] = np.asarray(e.ids, "<u4").tobytes()
+            self.parts.clear()
+            fresh = {w for ws in split for w in ws}
+        self._learn(list(fresh))
         return [b"".join([known[w] for w in ws]) for ws in split]
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder: what it has met serves its later tasks, too."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def cost(n: int, quadratic: float) -> float:
     return n + n * n / quadratic
 
@@ -117,7 +153,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, size: int = SIZE, e
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encode, partition, sequences = Encoder(path), TaskContext.get().partitionId(), 0
+        encode, partition, sequences = encoder(path), TaskContext.get().partitionId(), 0
         ids: list = []
         bodies: list[bytes] = []
         held = 0
