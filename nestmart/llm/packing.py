@@ -25,7 +25,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import map_partitions
 
 SIZE, END_ID = 2048, 1
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_000_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, cost double"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -49,7 +49,8 @@ def vocabulary_path() -> str:
 
 #: Fixed values of the tokenizer: how it parts words (ASCII forms, lower case).
 PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-PRINTABLE = re.compile(r"[\x21-\x7e]+")
+#: Python parts words here, too, the tokenizer does not.
+SEPARATOR = re.compile(r"[\x1c-\x1f]")
 
 
 class Encoder:
@@ -74,10 +75,12 @@ class Encoder:
         """Ids of new words: printable ASCII ones by their parts, the others whole
         (lower case and composition, or the names of special tokens, concern all of these)."""
         known, parts = self.known, self.parts
-        ascii_ = [w for w in words if PRINTABLE.fullmatch(w) and "<|" not in w]
+        alone = {w: w.lower() for w in words if w.isascii() and w.isalpha()}
+        ascii_ = [w for w in words if w not in alone and w.isascii() and w.isprintable() and "<|" not in w]
         cut = [PART.findall(w.lower()) for w in ascii_]
-        self._learn_parts(list({p for ps in cut for p in ps if p not in parts}))
-        known.update(zip(ascii_, [b"".join([parts[p] for p in ps]) for ps in cut], strict=True))
+        self._learn_parts(list({p for p in chain(alone.values(), chain.from_iterable(cut)) if p not in parts}))
+        known.update((w, parts[p]) for w, p in alone.items())
+        known.update((w, b"".join([parts[p] for p in ps])) for w, ps in zip(ascii_, cut, strict=True))
         others = [w for w in words if w not in known]
         for lo in range(0, len(others), 5000):
             some = others[lo : lo + 5000]
@@ -85,15 +88,16 @@ class Encoder:
                 known[w] = np.asarray(e.ids, "<u4").tobytes()
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [WORD.findall(t) for t in texts]
+        split = [WORD.findall(t) if SEPARATOR.search(t) else t.split() for t in texts]
         known = self.known
-        fresh = {w for ws in split for w in ws if w not in known}
-        if len(known) + len(fresh) > CACHE_WORDS or len(self.parts) > CACHE_WORDS:
+        fresh = set(chain.from_iterable(split)).difference(known)
+        if len(known) + len(fresh) > CACHE_WORDS:
             known.clear()
+            fresh = set(chain.from_iterable(split))
+        if len(self.parts) > CACHE_WORDS:
             self.parts.clear()
-            fresh = {w for ws in split for w in ws}
         self._learn(list(fresh))
-        return [b"".join([known[w] for w in ws]) for ws in split]
+        return [b"".join(map(known.__getitem__, ws)) for ws in split]
 
 
 _encoders: dict[str, Encoder] = {}
