@@ -13,7 +13,8 @@ length, and edits are found in a diagonal band of the width that ``threshold`` a
 0.8 for every pair of Jaccard similarity 0.8 in the same order.
 
 Equal item sequences are one node from the start.  In a bucket every member is
-aligned with a few members that stand for it; confirmed links give components.
+aligned with a few members that stand for it, the same ones in all buckets that
+hold them; confirmed links give components.
 In buckets that still hold several components the members are then compared
 across components, block by block, on signatures of ``BINS`` bins, and aligned where these agree.  So groups of near copies
 do not turn into all their pairs, and links between strays and a group are found.
@@ -252,14 +253,17 @@ def signatures(texts: DataFrame) -> DataFrame:
 def _across(open_: DataFrame, texts: DataFrame, agree: float, block: int) -> DataFrame:
     """Pairs (a, b) of one bucket and different components whose signatures agree in
     ``agree`` of their bins.  Buckets are cut into blocks of about ``block`` members;
-    each pair of blocks is one row."""
-    sizes = open_.groupBy("key").agg(F.count("*").alias("n"))
-    cut = F.pmod(F.xxhash64("rep", F.lit(7)), F.ceil(F.col("n") / F.lit(block)))
-    members = open_.join(sizes, "key").withColumn("blk", cut).join(signatures(texts).withColumnRenamed("doc_id", "rep"), "rep")
-    blocks = stored(members.groupBy("key", "blk").agg(F.collect_list(F.struct("rep", "comp", "sig")).alias("m")), "omh-blocks")
-    left = blocks.select("key", F.col("blk").alias("x"), F.col("m").alias("p"))
-    right = blocks.select("key", F.col("blk").alias("y"), F.col("m").alias("q"))
-    rows = left.join(right, "key").where("x <= y").select("p", "q")
+    each pair of blocks is one row, but for two blocks of the same component."""
+    sizes = open_.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    # components of a block or more get blocks of their own, the small ones of a bucket share blocks
+    sizes = sizes.select("key", "comp", "n", F.when(F.col("n") >= block, F.col("comp")).alias("own"))
+    wide = sizes.groupBy(F.col("key").alias("in_key"), F.col("own").alias("in_own")).agg(F.sum("n").alias("all"))
+    sizes = sizes.join(wide, (F.col("key") == F.col("in_key")) & F.col("own").eqNullSafe(F.col("in_own"))).select("key", "comp", "own", "all")
+    part = F.pmod(F.xxhash64("rep", F.lit(7)), F.ceil(F.col("all") / F.lit(block)))
+    members = open_.join(sizes, ["key", "comp"]).withColumn("part", part).join(signatures(texts).withColumnRenamed("doc_id", "rep"), "rep")
+    blocks = stored(members.groupBy("key", "own", "part").agg(F.collect_list(F.struct("rep", "comp", "sig")).alias("m")), "omh-blocks")
+    side = lambda x, m: blocks.select("key", F.col("own").alias(x + "own"), F.struct("own", "part").alias(x), F.col("m").alias(m))
+    rows = side("x", "p").join(side("y", "q"), "key").where("x <= y and not coalesce(xown = yown, false)").select("p", "q")
 
     def step(batch):
         for i in range(batch.num_rows):
@@ -293,7 +297,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 1, dr
     open_ = shared
     for r in range(rounds + 1):
         if r < rounds:  # every member with a few that stand for its bucket
-            heads = [F.min_by("rep", F.xxhash64("rep", "key", F.lit(r * draws + i))) for i in range(draws)]
+            heads = [F.min_by("rep", F.xxhash64("rep", F.lit(r * draws + i))) for i in range(draws)]
             heads = open_.groupBy("key").agg(F.array_distinct(F.array(F.min("rep"), *heads)).alias("heads"))
             pairs = open_.join(heads, "key").select("rep", "comp", F.explode("heads").alias("head"))
             if r:
