@@ -25,14 +25,18 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return moved.where("u > v").distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node has one edge down, to a node that has none."""
+    down = edges.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+    up = edges.select(F.col("v").alias("x"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    nodes = down.unionAll(up).groupBy("x").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return nodes.where("down > 1 or (down = 1 and up = 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the undirected edges (a, b) that is not
     its own root; root is the least node of its component."""
     now = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges")
-    mark = None
-    while True:
-        seen = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if seen == mark or not seen["n"]:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        mark = seen
+    while not _settled(now):
         now = stored(_stars(_stars(now, True), False), "edges")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))

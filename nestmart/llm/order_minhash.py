@@ -26,6 +26,8 @@ doc_id; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -184,25 +186,41 @@ def edits_within(x: np.ndarray, y: np.ndarray, most: int) -> int | None:
     return None
 
 
-def similar(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
-    """Whether two item sequences align with at least ``threshold`` similarity."""
+def _rising(values: np.ndarray) -> np.ndarray:
+    """Places of a longest rising subsequence of distinct values."""
+    if len(values) < 2 or (values[1:] > values[:-1]).all():
+        return np.arange(len(values))
+    ends, at, before = [], [], []  # least end value of a subsequence per length, its place
+    for i, v in enumerate(values.tolist()):
+        j = bisect_left(ends, v)
+        before.append(at[j - 1] if j else -1)
+        ends[j : j + 1] = [v]
+        at[j : j + 1] = [i]
+    out, i = [], at[-1]
+    while i >= 0:
+        out.append(i)
+        i = before[i]
+    return np.array(out[::-1])
+
+
+def similar(x: np.ndarray, y: np.ndarray, lx: np.ndarray, ly: np.ndarray, threshold: float) -> bool:
+    """Whether two item sequences (``lx`` and ``ly``: labelled, so distinct) align
+    with at least ``threshold`` similarity."""
     longer = max(len(x), len(y))
     most = int((1 - threshold) * longer + 1e-9)
     if abs(len(x) - len(y)) > most:
         return False
-    ux, cx = np.unique(x, return_counts=True)
-    uy, cy = np.unique(y, return_counts=True)
-    _, ix, iy = np.intersect1d(ux, uy, assume_unique=True, return_indices=True)
-    if np.minimum(cx[ix], cy[iy]).sum() < longer - most:  # each edit spoils at most one item of the longer
+    _, px, py = np.intersect1d(lx, ly, assume_unique=True, return_indices=True)
+    if len(px) < longer - most:  # each edit spoils at most one item of the longer
         return False
-    # items that either holds once and both share: if they come in the same order,
-    # aligning them and replacing all between is an upper bound on the edits
-    alone = ux[ix][(cx[ix] == 1) & (cy[iy] == 1)]
-    px, py = (np.flatnonzero(alone[np.minimum(np.searchsorted(alone, z), len(alone) - 1)] == z) if len(alone) else np.zeros(0, np.int64) for z in (x, y))
-    if len(px) and np.array_equal(x[px], y[py]):
-        gaps = [np.diff(np.concatenate([[-1], at, [n]])) - 1 for at, n in ((px, len(x)), (py, len(y)))]
-        if np.maximum(*gaps).sum() <= most:
-            return True
+    # aligning shared items that come in the same order and replacing all between
+    # is an upper bound on the edits
+    order = np.argsort(px)
+    px, py = px[order], py[order]
+    rising = _rising(py)
+    gaps = [np.diff(np.concatenate([[-1], at[rising], [n]])) - 1 for at, n in ((px, len(x)), (py, len(y)))]
+    if np.maximum(*gaps).sum() <= most:
+        return True
     return edits_within(x, y, most) is not None
 
 
@@ -215,13 +233,14 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     def items(column):
         for chunk in tb.chunks(column):
             h, first = _items(chunk)
+            labelled = _labelled(h, first)
             for r in range(chunk.rows):
-                yield h[first[r] : first[r + 1]]
+                yield h[first[r] : first[r + 1]], labelled[first[r] : first[r + 1]]
 
     def step(batch):
         for lo in range(0, batch.num_rows, 64):
             part = batch.slice(lo, 64)
-            ok = [similar(x, y, threshold) for x, y in zip(items(part.column("ta")), items(part.column("tb")), strict=True)]
+            ok = [similar(x, y, lx, ly, threshold) for (x, lx), (y, ly) in zip(items(part.column("ta")), items(part.column("tb")), strict=True)]
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return map_batches(joined, step, "a long, b long")
@@ -293,7 +312,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 1, dr
     many = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     shared = stored(bands.join(many, "key").select("key", "rep", F.col("rep").alias("comp")), "omh-buckets")
     texts = stored(docs.join(shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "omh-texts")
-    tried = links = roots = None
+    tried = roots = None
     open_ = shared
     for r in range(rounds + 1):
         if r < rounds:  # every member with a few that stand for its bucket
@@ -309,8 +328,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 1, dr
         pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "omh-pairs")
         tried = pairs if tried is None else tried.unionAll(pairs)
         found = stored(verify(pairs, texts, threshold), "omh-links")
-        links = found if links is None else links.unionAll(found)
-        roots = stored(components(links), "omh-roots")
+        if roots is not None:  # what is known as links to roots, and the new links
+            found = found.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        roots = stored(components(found), "omh-roots")
         placed = shared.select("key", "rep").join(roots, F.col("rep") == F.col("node"), "left").select("key", "rep", F.coalesce("root", "rep").alias("comp"))
         mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
         if r < rounds:
