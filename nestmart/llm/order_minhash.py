@@ -269,34 +269,46 @@ def signatures(texts: DataFrame) -> DataFrame:
     return map_batches(texts, step, "doc_id long, sig binary")
 
 
-def _across(open_: DataFrame, texts: DataFrame, agree: float, block: int) -> DataFrame:
+def _across(open_: DataFrame, texts: DataFrame, keys: DataFrame, agree: float, block: int) -> DataFrame:
     """Pairs (a, b) of one bucket and different components whose signatures agree in
     ``agree`` of their bins.  Buckets are cut into blocks of about ``block`` members;
-    each pair of blocks is one row, but for two blocks of the same component."""
+    each pair of blocks is one row, but for two blocks of the same component.  A pair
+    that shares several buckets is compared in that of its first common key only."""
     sizes = open_.groupBy("key", "comp").agg(F.count("*").alias("n"))
     # components of a block or more get blocks of their own, the small ones of a bucket share blocks
     sizes = sizes.select("key", "comp", "n", F.when(F.col("n") >= block, F.col("comp")).alias("own"))
     wide = sizes.groupBy(F.col("key").alias("in_key"), F.col("own").alias("in_own")).agg(F.sum("n").alias("all"))
     sizes = sizes.join(wide, (F.col("key") == F.col("in_key")) & F.col("own").eqNullSafe(F.col("in_own"))).select("key", "comp", "own", "all")
     part = F.pmod(F.xxhash64("rep", F.lit(7)), F.ceil(F.col("all") / F.lit(block)))
-    members = open_.join(sizes, ["key", "comp"]).withColumn("part", part).join(signatures(texts).withColumnRenamed("doc_id", "rep"), "rep")
-    blocks = stored(members.groupBy("key", "own", "part").agg(F.collect_list(F.struct("rep", "comp", "sig")).alias("m")), "omh-blocks")
-    side = lambda x, m: blocks.select("key", F.col("own").alias(x + "own"), F.struct("own", "part").alias(x), F.col("m").alias(m))
-    rows = side("x", "p").join(side("y", "q"), "key").where("x <= y and not coalesce(xown = yown, false)").select("p", "q")
+    members = open_.join(sizes, ["key", "comp"]).withColumn("part", part).join(signatures(texts).withColumnRenamed("doc_id", "rep"), "rep").join(keys, "rep")
+    blocks = members.groupBy("key", "own", "part").agg(F.collect_list(F.struct("rep", "comp", "sig", "keys")).alias("m"))
+    blocks = stored(blocks.withColumn("block", F.monotonically_increasing_id()), "omh-blocks")
+    # pairs of block numbers first, so that a hot bucket is dealt out by its blocks
+    side = lambda x: blocks.select("key", F.col("own").alias(x + "own"), F.col("block").alias(x))
+    twos = side("x").join(side("y"), "key").where("x <= y and not coalesce(xown = yown, false)").select("key", "x", "y")
+    body = lambda x, m: blocks.select(F.col("block").alias(x), F.col("m").alias(m))
+    rows = twos.join(body("x", "p"), "x").join(body("y", "q"), "y").select("key", "p", "q")
 
     def step(batch):
         for i in range(batch.num_rows):
             side = [batch.column(c)[i].values for c in ("p", "q")]
             rep, comp = ([x.field(f).to_numpy() for x in side] for f in ("rep", "comp"))
             sig = [np.frombuffer(b"".join(x.field("sig").to_pylist()), np.uint8).reshape(-1, BINS) for x in side]
+            keys = [x.field("keys").flatten().to_numpy().reshape(-1, SKETCHES) for x in side]
+            key = batch.column("key")[i].as_py()
+            at = int(np.flatnonzero(keys[0][0] == key)[0])  # all members of a bucket hold its key at one place
+            before = np.zeros((len(rep[0]), len(rep[1])), bool)
+            for s in range(at):
+                before |= keys[0][:, s][:, None] == keys[1][:, s][None]
             either = BINS - ((sig[0] == 0).astype(np.float32) @ (sig[1] == 0).T.astype(np.float32))
             same = np.stack([((sig[1] == row) & (row != 0)).sum(axis=1) for row in sig[0]])
-            ok = (same >= agree * either) & (comp[0][:, None] != comp[1][None])
+            ok = (same >= agree * either) & (comp[0][:, None] != comp[1][None]) & ~before
             j, k = np.nonzero(ok)
             a, b = rep[0][j], rep[1][k]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)  # a block with itself gives each pair twice
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return map_batches(rows, step, "a long, b long").distinct()
+    return map_batches(rows, step, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 1, draws: int = 2, agree: float = 0.66, block: int = 64) -> DataFrame:
@@ -324,7 +336,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 1, dr
                 pairs = pairs.join(of, "head").where("comp <> head_comp")
             pairs = pairs.where("rep <> head").select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct()
         else:  # the rest, block by block
-            pairs = _across(open_, texts, agree, block)
+            pairs = _across(open_, texts, reps.select("rep", "keys"), agree, block)
         pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "omh-pairs")
         tried = pairs if tried is None else tried.unionAll(pairs)
         found = stored(verify(pairs, texts, threshold), "omh-links")
