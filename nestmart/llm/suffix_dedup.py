@@ -219,6 +219,7 @@ def find_repeats(docs: DataFrame, hot: int = 20_000, per_task: int = 40_000) ->
     if total["hot"]:
         windows = stored(_hot_windows(suffixes.where("hot")), "suffix-hot")
         least = windows.groupBy("window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most")
+        least = stored(least, "suffix-least")  # both sides of the join are plain shuffles then, so a window of many suffixes can be split
         again = windows.join(least, "window").where("doc_id > least")
         found = found.unionAll(again.select("doc_id", "first", (F.col("first") + SIZE).alias("stop")))
     return found, copies
