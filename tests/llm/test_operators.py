@@ -14,7 +14,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from nestmart.llm import decontaminate, langid, line_dedup, order_minhash, packing, perplexity, pii, suffix_dedup, toxicity, warc
+from nestmart.llm import components, decontaminate, langid, line_dedup, order_minhash, packing, perplexity, pii, suffix_dedup, toxicity, warc
 
 from ..conftest import SF_SMALL
 
@@ -88,6 +88,28 @@ def test_edit_distance_in_a_band():
         assert order_minhash.edits_within(np.array(x, np.uint64), np.array(y, np.uint64), most) == (row[-1] if row[-1] <= most else None)
 
 
+def test_alignment_against_brute_force():
+    rng = np.random.default_rng(4)
+    for _ in range(400):
+        x = rng.integers(0, rng.integers(2, 50), rng.integers(2, 30)).astype(np.uint64)
+        y = np.concatenate([x[k:], x[:k]]) if (k := int(rng.integers(0, 3))) else x.copy()
+        y[rng.integers(0, len(y), rng.integers(1, 6))] = rng.integers(0, 50)
+        row = list(range(len(y) + 1))
+        for i, a in enumerate(x, 1):
+            last, row = row, [i]
+            for j, b in enumerate(y, 1):
+                row.append(min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (a != b)))
+        labelled = [order_minhash._labelled(z, np.array([0, len(z)])) for z in (x, y)]
+        assert order_minhash.similar(x, y, *labelled, 0.8) == (row[-1] <= int(0.2 * len(x) + 1e-9))
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 102), (101, 102), (100, 101), (7, 7)]
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(1, 41)} | {101: 100, 102: 100}
+    assert components.components(spark.createDataFrame([], "a long, b long")).isEmpty()
+
+
 def test_line_dedup_against_sql(spark, odd, empty):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     con = duckdb.connect()
