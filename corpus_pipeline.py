@@ -20,7 +20,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = order_minhash.near_duplicates(docs).where(F.col("class_id") == F.col("doc_id"))
-    return keep_ids(docs, kept.select("doc_id"))
+    unnamed = spark.range(1).select(F.lit(None).cast("long").alias("doc_id"))  # rows without doc_id stand alone and stay
+    return keep_ids(docs, kept.select("doc_id").unionAll(unnamed))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
