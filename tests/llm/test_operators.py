@@ -143,6 +143,22 @@ def test_quality_counts(spark, odd, empty):
     assert perplexity.op8_quality_rules(empty).count() == 0
 
 
+def test_quality_band_rejects_planted_junk(spark):
+    rng = random.Random(6)
+    words = [rng.choice("bdfgklmnprst") + rng.choice("aeiou") + rng.choice("bdfgklmnprst") + rng.choice(["", "en", "ou", "ast"]) for _ in range(2000)]
+    some = lambda n: rng.choices(words, [1 / (k + 100) for k in range(2000)], k=n)
+    clean = {i: " ".join(w + rng.choice(["", "", "", ",", ".\n"]) for w in some(rng.randint(250, 350))) for i in range(300)}
+    noise = {1000 + i: " ".join("".join(rng.choices("qxzvjwh#4", k=5)) for _ in range(150)) for i in range(5)}
+    spattered = {2000 + i: " ".join(w + rng.choice("#*$%&") * 6 for w in some(150)) for i in range(5)}
+    copies = {3000 + i: clean[0] for i in range(400)}  # more than half of the rows
+    got = {r.doc_id: r for r in perplexity.op8_quality_rules(_docs(spark, [(i, t, "en") for i, t in (clean | noise | spattered | copies).items()])).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert not any(got[i].kept for i in noise | spattered)
+    assert sum(got[i].kept for i in clean) >= 0.98 * len(clean) and all(got[i].kept for i in copies)
+    few = perplexity.op8_quality_rules(_docs(spark, [(i, clean[i], "en") for i in range(3)])).collect()
+    assert all(r.kept for r in few)
+
+
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(2)
     code, n = np.unique(rng.integers(0, 6, (4000, 4)) @ (32 ** np.arange(3, -1, -1)), return_counts=True)
