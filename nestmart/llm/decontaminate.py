@@ -1,7 +1,9 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Terms are the benchmark's words (case folded, punctuation off) that occur in at
-most ``common`` of all passages; passages are tiles of ``TILE`` words of every document.
+most ``common`` of all passages, beyond the passages that copies of their item
+account for (the lower quartile of its words' passages); every item keeps at
+least its ``LEAST`` rarest different words.  Passages are tiles of ``TILE`` words of every document.
 Three passes over the documents, none of them sampled:
 
 1. passage frequencies of the terms, for the TF-IDF weights;
@@ -10,8 +12,7 @@ Three passes over the documents, none of them sampled:
    come from the Nystrom form ``Y (omega' Y)^-1 Y'``.  The benchmark's own
    rows enter with the weight of the whole corpus, so that its terms span the
    latent space;
-3. search: overlapping windows with two different terms are folded into the
-   latent space; those whose cosine with an item reaches ``min_cosine`` are verified: the longest common
+3. search: overlapping windows with a term are folded into the latent space; those whose cosine with an item reaches ``min_cosine`` are verified: the longest common
    subsequence covers at least ``exact`` of the item's words, or ``paraphrase`` of them
    while at least half of its answer words (the rarest terms of its last
    sentence) are there.
@@ -37,7 +38,7 @@ from pyspark.sql import functions as F
 from . import textbytes as tb
 from .common import map_batches, map_partitions
 
-TILE = 48
+TILE, LEAST = 48, 8
 
 
 def _words(chunk: tb.Chunk) -> tb.Words:
@@ -198,14 +199,6 @@ def _search(docs: DataFrame, model: dict, min_cosine: float, exact: float, parap
             where, term = np.concatenate([at, at]), np.concatenate([t, t])
             order = np.argsort(window, kind="stable")
             window, where, term = window[order], where[order], term[order]
-            # two different terms at least: one alone says little and is everywhere
-            cell = np.unique(window * len(m["terms"]) + term) // len(m["terms"])
-            several = np.unique(cell[1:][cell[1:] == cell[:-1]])
-            if not len(several):
-                continue
-            place = np.minimum(np.searchsorted(several, window), len(several) - 1)
-            some = several[place] == window
-            window, where, term = window[some], where[some], term[some]
             entry, weight, start, of = _rows(window, term, m["idf"])
             z = np.add.reduceat(weight[:, None] * m["vectors"][entry], start, axis=0)
             z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
@@ -237,7 +230,7 @@ def _search(docs: DataFrame, model: dict, min_cosine: float, exact: float, parap
     return map_batches(docs, step, schema)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 128, common: float = 0.002, min_cosine: float = 0.35, exact: float = 0.8, paraphrase: float = 0.6, block: int = 512) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 128, common: float = 0.02, min_cosine: float = 0.35, exact: float = 0.8, paraphrase: float = 0.6, block: int = 512) -> DataFrame:
     """(doc_id, item_id, start, stop, cosine, lcs, answer): documents that hold a
     benchmark item, with the place and the evidence."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
@@ -254,11 +247,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 128, common:
         df, n = _passage_counts(docs, terms)
         idf_all = np.log((1 + n) / (1 + df)) + 1
         idf_of = dict(zip(terms.tolist(), idf_all.tolist(), strict=True))
-        rare = df <= max(common * n, 20)
+        rare = np.zeros(len(terms), bool)
+        for r in rows:
+            mine = np.unique(np.searchsorted(terms, r[2]))
+            own = np.quantile(df[mine], 0.25, method="lower")  # its own copies do not make its words common
+            rare[mine[df[mine] - own <= max(common * n, 20)]] = True
         for r in rows:  # an item of common words keeps its rarest
-            mine = np.searchsorted(terms, r[2])
-            if rare[mine].sum() < 3:
-                rare[mine[np.argsort(-idf_all[mine], kind="stable")[:3]]] = True
+            mine = np.unique(np.searchsorted(terms, r[2]))
+            if rare[mine].sum() < LEAST:
+                rare[mine[np.argsort(df[mine], kind="stable")[:LEAST]]] = True
         terms, idf = terms[rare], idf_all[rare].astype(np.float32)
         r = min(rank, len(terms))
         omega = np.random.default_rng(4).standard_normal((len(terms), min(r + 10, len(terms)))).astype(np.float32)

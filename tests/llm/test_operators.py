@@ -221,6 +221,19 @@ def test_decontamination(spark, empty):
     assert decontaminate.contaminated(empty, bench).count() == decontaminate.contaminated(docs, bench.where("false")).count() == 0
 
 
+def test_decontamination_finds_paraphrases_of_frequent_items(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(3))
+    filler = lambda n: " ".join(word() for _ in range(n))
+    items = [(i, filler(30) + ". " + filler(6) + ".") for i in range(2)]
+    rows = [(100 * i + k, filler(20) + " " + items[i][1] + " " + filler(30), "en") for i in range(2) for k in range(40)]
+    for k in range(5):  # the first words replaced, the rest kept
+        rows.append((1000 + k, filler(40) + " " + filler(12) + " " + " ".join(items[k % 2][1].split()[12:]) + " " + filler(40), "en"))
+    rows += [(2000 + k, filler(150), "en") for k in range(50)]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(_docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(100 * i + k, i) for i in range(2) for k in range(40)} | {(1000 + k, k % 2) for k in range(5)}
+
+
 def test_pii(spark, empty):
     text = "Mr. John Smith met Mrs Jane Smith; Mr Smith +1 (017) 555-7713, +10175557713. a.b.34@mail7.example.com A.B.34@MAIL7.EXAMPLE.COM ip 97.51.17.173 card 4111 1111 1111 1111"
     rows = [(1, text), (1, text), (2, None), (3, ""), (None, "x@y.org"), (4, "no entity 2019 here"), *[(i, f"mail u{i}@host{i}.org from 10.0.{i}.1") for i in range(100, 160)]]
