@@ -269,9 +269,9 @@ def signatures(texts: DataFrame) -> DataFrame:
     return map_batches(texts, step, "doc_id long, sig binary")
 
 
-def _across(open_: DataFrame, texts: DataFrame, keys: DataFrame, agree: float, block: int) -> DataFrame:
+def _across(open_: DataFrame, texts: DataFrame, keys: DataFrame, agree: float, block: int, sigmas: float = 4.0) -> DataFrame:
     """Pairs (a, b) of one bucket and different components whose signatures agree in
-    ``agree`` of their bins.  Buckets are cut into blocks of about ``block`` members;
+    ``agree`` of their bins, less ``sigmas`` standard deviations of that count.  Buckets are cut into blocks of about ``block`` members;
     each pair of blocks is one row, but for two blocks of the same component.  A pair
     that shares several buckets is compared in that of its first common key only."""
     sizes = open_.groupBy("key", "comp").agg(F.count("*").alias("n"))
@@ -302,7 +302,7 @@ def _across(open_: DataFrame, texts: DataFrame, keys: DataFrame, agree: float, b
                 before |= keys[0][:, s][:, None] == keys[1][:, s][None]
             either = BINS - ((sig[0] == 0).astype(np.float32) @ (sig[1] == 0).T.astype(np.float32))
             same = np.stack([((sig[1] == row) & (row != 0)).sum(axis=1) for row in sig[0]])
-            ok = (same >= agree * either) & (comp[0][:, None] != comp[1][None]) & ~before
+            ok = (same >= agree * either - sigmas * np.sqrt(agree * (1 - agree) * either)) & (comp[0][:, None] != comp[1][None]) & ~before
             j, k = np.nonzero(ok)
             a, b = rep[0][j], rep[1][k]
             a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)  # a block with itself gives each pair twice
@@ -311,12 +311,14 @@ def _across(open_: DataFrame, texts: DataFrame, keys: DataFrame, agree: float, b
     return map_batches(rows, step, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 1, draws: int = 2, agree: float = 0.66, block: int = 64) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 1, draws: int = 2, agree: float = 2 / 3, block: int = 64) -> DataFrame:
     """(doc_id, class_id) of all documents; class_id is the least doc_id of the class.
 
-    ``agree``: share of signature bins in which two members of a bucket must
-    agree to be aligned across components; its expectation is the Jaccard
-    similarity, which is at least two thirds for pairs over the threshold."""
+    ``agree``: share of signature bins in which two members of a bucket are
+    expected to agree when they just align: the Jaccard similarity, which is at
+    least two thirds for pairs over the threshold.  They are aligned across
+    components down to four standard deviations below it (0.55 with all bins
+    filled), so that chance drops few pairs."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
     drawn = stored(sketch(docs), "omh-sketches")
     reps = drawn.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.min_by("keys", "doc_id").alias("keys"))

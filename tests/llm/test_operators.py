@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import inspect
 import random
 import re
 import zlib
@@ -103,6 +104,24 @@ def test_alignment_against_brute_force():
         assert order_minhash.similar(x, y, *labelled, 0.8) == (row[-1] <= int(0.2 * len(x) + 1e-9))
 
 
+def test_block_screen_keeps_pairs_at_the_threshold(spark):
+    rng = random.Random(11)
+    texts, open_, keys = [], [], []
+    for p in range(150):  # a bucket for each pair: four single-word edits in 101 to 106 words
+        ws = ["w%d" % rng.randrange(10**6) for _ in range(101 + p % 6)]
+        other = list(ws)
+        for k in (10, 30, 50, 70):
+            other[k] = "x%d" % rng.randrange(10**6)
+        for i, x in ((2 * p, ws), (2 * p + 1, other)):
+            texts.append((i, " ".join(x)))
+            open_.append((p, i, i))
+            keys.append((i, [p] + [1000 + i] * (order_minhash.SKETCHES - 1)))
+    agree = inspect.signature(order_minhash.near_duplicates).parameters["agree"].default
+    tables = [spark.createDataFrame(r, s) for r, s in ((open_, "key long, rep long, comp long"), (texts, "doc_id long, text string"), (keys, "rep long, keys array<long>"))]
+    got = {(r.a, r.b) for r in order_minhash._across(*tables, agree, 64).collect()}
+    assert got == {(2 * p, 2 * p + 1) for p in range(150)}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 102), (101, 102), (100, 101), (7, 7)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
