@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, fill_middle, langid, line_dedup, order_minhash, packing, perplexity, pii, suffix_dedup, token_store, toxicity, warc
+from . import decontaminate, fill_middle, langid, line_dedup, order_minhash, packing, perplexity, pii, suffix_dedup, token_align, token_store, toxicity, warc
 from .common import table
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_quality_rules": lambda spark, d: perplexity.op8_quality_rules(table(spark, d, "documents")),
     "op9_language_id": lambda spark, d: langid.op9_language_id(table(spark, d, "documents")),
     "op10_pii": lambda spark, d: pii.op10_pii(table(spark, d, "documents")),
+    "op11_token_align": lambda spark, d: token_align.op11_token_align(table(spark, d, "documents")),
     "op12_token_store": lambda spark, d: token_store.op12_token_store(table(spark, d, "documents")),
     "op13_fill_middle": lambda spark, d: fill_middle.op13_fill_middle(table(spark, d, "documents")),
 }
