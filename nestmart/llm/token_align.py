@@ -39,9 +39,10 @@ from pyspark.sql import functions as F
 
 from .common import map_partitions, ship, stored
 from .memo import Memo
-from .textbytes import _BASE, _INVERSE, _WEIGHTS, CHUNK_BYTES, Chunk, chunks, mix, plain, powers
+from .textbytes import _BASE, _INVERSE, _WEIGHTS, Chunk, chunks, mix, plain, powers
 
-UNIT_ENTRIES = 1_500_000
+UNIT_ENTRIES, PER_CALL = 1_000_000, 4096
+RUN_BYTES = 1 << 19
 BLOCK_BYTES = 4 << 20
 PAIR_ROWS = 8_000_000
 COUNTS = ["n_a", "n_b", "n_groups", "n_links"]
@@ -99,6 +100,12 @@ class Tokenizers:
         self.memo = Memo([np.uint32, np.uint32, np.bool_], UNIT_ENTRIES)
 
     def learn(self, units: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(values in a row, counts) of A's ids, B's ids and whether both give the unit back;
+        a few units at a time, as encodings are large."""
+        parts = [self._learn(units[i : i + PER_CALL]) for i in range(0, len(units), PER_CALL)]
+        return [(np.concatenate([p[k][0] for p in parts]), np.concatenate([p[k][1] for p in parts])) for k in range(3)]
+
+    def _learn(self, units: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         texts = [u.decode() for u in units]
         a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         b = self.b.encode([t[1:] for t in texts], num_threads=1)  # B adds the space
@@ -257,11 +264,12 @@ def align(docs: DataFrame, paths: tuple[str, str] | None = None, block_bytes: in
             yield pa.RecordBatch.from_arrays([pa.array([block]), *(pa.nulls(1, pa.int64()) for _ in range(5)), pa.nulls(1, pa.string()), *(pa.nulls(1, pa.binary()) for _ in range(2)), *lists], names)
             block += 1
             held.clear()
+            pa.default_memory_pool().release_unused()
 
         for batch in batches:
             text = plain(batch.column("text"))
             text = pc.if_else(pc.equal(pc.binary_length(text), 0), "", pc.binary_join_element_wise(" ", text, ""))
-            for rows in chunks(text, min(CHUNK_BYTES, block_bytes)):
+            for rows in chunks(text, min(RUN_BYTES, block_bytes)):
                 held.append((batch.column("doc_id").slice(rows.lo, rows.rows), *align_run(t, rows)))
                 size += len(rows.data)
                 if size >= block_bytes:
