@@ -9,19 +9,32 @@ survivor for ``dim_movies`` and ``fact_movie_sales`` alike, even when a task
 is retried).  Likewise the cast and crew lists, the bulk of the credits
 files, are parsed once into a staged table that feeds the four cast/crew
 outputs (one scan and one parse instead of four).
+
+A load has an id.  All of its tables are written under it and published
+together by one ledger entry, so readers never see half a load; a load
+that failed is run again under the same id, and one that is published is not run
+twice.  While the lists are staged, named observations count the texts that
+do not parse and the elements that cannot be stored; both come with the gate's
+report, without another pass over the data.
 """
 
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+import re
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from ..schemas import QUOTED_SOURCES, SOURCE_SCHEMAS
-from ..session import scratch_path
-from ..sinks.warehouse import create_all, read_all, write_all
+from ..functions.values import values_frame
+from ..schemas import CREATE_ORDER, QUOTED_SOURCES, SOURCE_SCHEMAS
+from ..session import remove_scratch, scratch_path
+from ..sinks import ledger
+from ..sinks.ledger import Entry
+from ..sinks.warehouse import create_all, last_seq, read_all, stage_table, write_rejects
 from ..sources.csv import read_prefix, write_csv
 from . import quality, tables
 
@@ -53,27 +66,113 @@ def read_sources(spark: SparkSession, prefixes: Mapping[str, str], multi_line: b
     }
 
 
-def _stage(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to a new folder under the shared root and read it back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, tag)
+@dataclass
+class Staged:
+    """What a load writes, read back from its staging folders."""
+
+    frames: dict[str, DataFrame] = field(default_factory=dict)
+    #: (source, column, texts that do not parse)
+    losses: list[tuple[str, str, int]] = field(default_factory=list)
+    #: (table, elements that cannot be stored, their number)
+    refused: list[tuple[str, DataFrame, int]] = field(default_factory=list)
+    paths: list[str] = field(default_factory=list)
+
+    def add(self, other: Staged) -> None:
+        self.frames.update(other.frames)
+        self.losses += other.losses
+        self.refused += other.refused
+        self.paths += other.paths
+
+
+def _store(df: DataFrame, tag: str, out: Staged) -> DataFrame:
+    path = scratch_path(df.sparkSession, tag)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    out.paths.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _store_elements(source: str, columns: list[str], elements, kinds: dict[str, tuple[str, F.Column]], out: Staged) -> DataFrame:
+    """Write the elements of a source's lists once, counting what is lost and what
+    is refused as the rows pass (a narrow job, so no row is counted twice)."""
+    losses, bad = Observation(f"losses_{source}"), Observation(f"refused_{source}")
+    rows = elements(losses)
+    counts = [F.count_if(F.col("bad").isNotNull() & which).alias(kind) for kind, (_, which) in kinds.items()]
+    stored = _store(rows.observe(bad, *counts), f"staged-{source}", out)
+    told, refused = losses.get, bad.get
+    out.losses += [(source, c, int(told.get(c, 0))) for c in columns]
+    for kind, (table, which) in kinds.items():
+        if refused.get(kind, 0):
+            out.refused.append((table, stored.where(F.col("bad").isNotNull() & which), int(refused[kind])))
+    return stored
+
+
+_KIND_TABLE = {"genre": "movie_genres", "company": "movie_production_companies"}
+
+
+def stage_movies(raw: DataFrame, reproducible: bool = False, nested_mode: str = "strict", narrow: Callable[[DataFrame], DataFrame] | None = None) -> Staged:
+    """Deduplicated movies and their lists' elements; ``narrow`` keeps some of the movies."""
+    out = Staged()
+    movies = tables.staged_movies(raw, reproducible)
+    columns = ["id", *tables.DIM_MOVIES_COLUMNS[1:], *tables.SALES_COLUMNS[1:], *tables.MOVIE_LISTS]
+    movies = _store((narrow(movies) if narrow else movies).select(*columns), "staged-movies", out)
+    kinds = {k: (t, F.col("kind") == k) for k, t in _KIND_TABLE.items()}
+    elements = _store_elements("movies_metadata", list(tables.MOVIE_LISTS), lambda o: tables.movie_elements(movies, nested_mode, o), kinds, out)
+    out.frames = tables.build_warehouse({}, reproducible, nested_mode, staged=movies, elements=elements)
+    return out
+
+
+def stage_credits(raw: DataFrame, reproducible: bool = False, nested_mode: str = "strict") -> Staged:
+    """Cast and crew elements, parsed once."""
+    out = Staged()
+    kinds = {role: (f"movie_{role}", F.col("role") == role) for role in ("cast", "crew")}
+    people = _store_elements("credits", ["cast", "crew"], lambda o: tables.credit_people(raw, nested_mode, o), kinds, out)
+    out.frames = tables.build_warehouse({}, reproducible, nested_mode, people=people)
+    return out
+
+
+def stage_keywords(raw: DataFrame, reproducible: bool = False, nested_mode: str = "strict") -> Staged:
+    """Keyword elements, parsed once."""
+    out = Staged()
+    kinds = {"keyword": ("movie_keywords", F.lit(True))}
+    rows = _store_elements("keywords", ["keywords"], lambda o: tables.keyword_elements(raw, nested_mode, o), kinds, out)
+    out.frames = tables.build_warehouse({}, reproducible, nested_mode, keyword_rows=rows)
+    return out
+
 
+def stage_ratings(raw: DataFrame, reproducible: bool = False, nested_mode: str = "strict") -> Staged:
+    return Staged({"fact_rating": tables.rating_stats(raw)})
 
-def stage_movies(raw: DataFrame, reproducible: bool = False) -> DataFrame:
-    """Deduplicated movies, written once to the shared folder."""
-    return _stage(tables.staged_movies(raw, reproducible), "staged-movies")
 
+STAGE = {"movies_metadata": stage_movies, "credits": stage_credits, "keywords": stage_keywords, "ratings": stage_ratings}
 
-def stage_elements(staged: DataFrame, nested_mode: str = "strict") -> DataFrame:
-    """The movies' four list columns, parsed once and written to the shared folder."""
-    return _stage(tables.movie_elements(staged, nested_mode), "staged-elements")
 
+def write_load(spark: SparkSession, staged: Staged, database: str, load_id: str, mode: str = "append", parallelism: int = 4, on_table: Callable[[str], None] | None = None) -> list[Entry]:
+    """Write all tables of a load, then publish them together.
 
-def stage_people(raw: DataFrame, nested_mode: str = "strict") -> DataFrame:
-    """Cast and crew elements, parsed once and written to the shared folder."""
-    return _stage(tables.credit_people(raw, nested_mode), "staged-people")
+    Each table is its own job; small dimensions leave most of a cluster idle,
+    so several run side by side (as the original ran its families in
+    parallel).  ``on_table`` is called after each table.  If anything fails,
+    nothing is published.
+    """
+    until = last_seq(spark, database)
+    ledger.drop_load(spark, f"{database}.{ledger.REJECTS}", load_id)  # of a failed try
+
+    def one(name: str) -> list[Entry]:
+        new = stage_table(staged.frames[name], database, name, load_id, mode)
+        if on_table:
+            on_table(name)
+        return new
+
+    names = [n for n in CREATE_ORDER if n in staged.frames]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        new = [e for of in pool.map(one, names) for e in of]
+    refused: dict[str, int] = {}
+    for table, rows, n in staged.refused:
+        write_rejects(rows.select(F.col("bad").alias("reason"), F.to_json(F.struct(*[c for c in rows.columns if c != "bad"])).alias("row")), database, table, load_id)
+        refused[table] = n
+    new = [e if e.table not in refused else Entry(e.table, e.load_id, e.part, e.replaces, e.rows, e.rejected + refused[e.table]) for e in new]
+    ledger.publish(spark, database, new, until if mode == "append" else None)
+    return new
 
 
 def run_load(
@@ -87,55 +186,41 @@ def run_load(
     parallelism: int = 4,
     multi_line: bool = False,
     buckets: int | None = None,
+    load_id: str | None = None,
+    on_table: Callable[[str], None] | None = None,
 ) -> DataFrame:
     """Load every family into ``database`` and return the gate report.
 
     The report is a frame ``(rule, table, column, violations)``; pass it to
-    ``quality.enforce`` to stop on failures.  ``buckets`` creates new tables
-    bucketed by movie id (see ``sinks.warehouse.create_all``).
+    ``quality.enforce`` to stop on failures.  Besides the gate's rules it has
+    ``parse_loss`` (texts of a list column that do not parse) and
+    ``rejected_rows`` (rows and list elements kept in the reject table), which do
+    not count as failures.  ``buckets`` creates new tables bucketed by movie id (see
+    ``sinks.warehouse.create_all``).  ``load_id`` names the load: run again
+    after a failure it starts anew, run again after success it only reports.
     """
     create_all(spark, database, location, buckets=buckets)
+    load_id = load_id or ledger.new_load_id()
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", load_id):
+        raise ValueError("a load id has letters, digits, _ and - only")
+    if ledger.published(ledger.entries(spark, database), load_id):
+        log.info("load %s is published already", load_id)
+        return quality.gate(read_all(spark, database))
     raw = read_sources(spark, prefixes, multi_line)
-
-    def movies_chain():
-        staged = stage_movies(raw["movies_metadata"], reproducible)
-        return staged, stage_elements(staged, nested_mode)
-
-    # independent staging jobs run side by side (movies -> lists is a chain)
+    staged = Staged()
+    # independent staging jobs run side by side
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, 3))) as pool:
-        movies_f = pool.submit(movies_chain) if "movies_metadata" in raw else None
-        people_f = pool.submit(stage_people, raw["credits"], nested_mode) if "credits" in raw else None
-        keywords_f = (
-            pool.submit(_stage, tables.keyword_elements(raw["keywords"], nested_mode), "staged-keywords") if "keywords" in raw else None
-        )
-        movies = movies_f.result() if movies_f else None
-        people = people_f.result() if people_f else None
-        keyword_rows = keywords_f.result() if keywords_f else None
-
-    frames: dict[str, DataFrame] = {}
-    if movies is not None:
-        staged, elements = movies
-        frames.update(tables.build_warehouse({}, reproducible, nested_mode, staged=staged, elements=elements))
-    rest = {k: v for k, v in raw.items() if k not in ("movies_metadata", "credits", "keywords")}
-    frames.update(tables.build_warehouse(rest, reproducible, nested_mode, people=people, keyword_rows=keyword_rows))
-    counts = write_concurrently(frames, database, mode, parallelism)
-    for name, rows in counts.items():
-        log.info("wrote %s rows to %s.%s", rows, database, name)
-    return quality.gate(read_all(spark, database))
-
-
-def write_concurrently(frames: Mapping[str, DataFrame], database: str, mode: str, parallelism: int = 4) -> dict[str, int]:
-    """Write independent tables as concurrent Spark jobs.
-
-    Each table is its own job; small dimensions leave most of a cluster idle,
-    so several run side by side (as the original ran its families in
-    parallel).  Any failure is re-raised after the others finish.
-    """
-    if parallelism <= 1:
-        return write_all(frames, database, mode)
-    counts: dict[str, int] = {}
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        futures = [pool.submit(write_all, {name: df}, database, mode) for name, df in frames.items()]
-        for f in futures:
-            counts.update(f.result())
-    return counts
+        parts = [pool.submit(STAGE[f], raw[f], reproducible, nested_mode) for f in FAMILIES if f in raw]
+        for part in parts:
+            staged.add(part.result())
+    new = write_load(spark, staged, database, load_id, mode, parallelism, on_table)
+    remove_scratch(spark, *staged.paths)
+    rejected = {}
+    for e in new:
+        log.info("wrote %s rows to %s.%s", e.rows, database, e.table)
+        rejected[e.table] = rejected.get(e.table, 0) + e.rejected
+    rows = [("parse_loss", t, c, n) for t, c, n in staged.losses] + [("rejected_rows", t, "*", n) for t, n in rejected.items()]
+    report = quality.gate(read_all(spark, database))
+    if not rows:
+        return report
+    return report.unionByName(values_frame(spark, rows, report.columns).withColumn("violations", F.col("violations").cast("long")))

@@ -301,7 +301,8 @@ _LI_G = f"({_LINES}) li JOIN ({_GENRE_IDS}) g ON li.p_type = g.p_type"
 
 SQL.update({
     "conform_lengths": """
-        SELECT 'dim_cast' AS "table", count(*) FILTER (WHERE strlen(text) > 255) AS violations FROM documents""",
+        SELECT 'dim_cast' AS "table", count(*) FILTER (WHERE strlen(text) > 255) AS violations,
+               CAST(0 AS BIGINT) AS failed_casts FROM documents""",
     "parse_losses": """
         SELECT c_mktsegment AS segment, count(*) AS rows,
                count(*) FILTER (WHERE c_mktsegment = 'BUILDING') AS null_or_blank,
@@ -364,3 +365,43 @@ SQL.update({
 })
 
 SQL["json_python_literal"] = SQL["json_pyliteral"]
+
+
+def _digest_sql() -> str:
+    """Rows and digest of the 17 tables: none after the failed try, all after."""
+    from ..schemas import CREATE_ORDER, TABLES
+
+    by_other_name = {"movie_keywords": "json_bridge", "dim_cast": "json_dim", "dim_languages": "language_dim", "fact_movie_sales": "fact_sales"}
+    parts = []
+    for name in CREATE_ORDER:
+        t = TABLES[name]
+        kept = sorted((c for c in t.columns if c.name not in ("last_updated", t.identity)), key=lambda c: c.name)
+        texts = [f'CAST("{c.name}" AS DECIMAL(18,4))' if c.type.simpleString() == "double" else f'"{c.name}"' for c in kept]
+        text = " || '|' || ".join(f"coalesce(CAST({x} AS VARCHAR), '~')" for x in texts)
+        parts.append(f"""
+            SELECT '{name}' AS "table", count(*) AS rows,
+                   CAST(coalesce(sum(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT)), 0) AS BIGINT) AS digest
+            FROM ({SQL[by_other_name.get(name, f"table_{name}")]}) x""")
+    return f"""
+        WITH d AS ({" UNION ALL ".join(parts)})
+        SELECT 'failed' AS step, "table", CAST(0 AS BIGINT) AS rows, CAST(0 AS BIGINT) AS digest FROM d
+        UNION ALL SELECT 'rerun', * FROM d UNION ALL SELECT 'again', * FROM d"""
+
+
+SQL.update({
+    "load_retry": _digest_sql(),
+    "rating_batches": _RATING_STATS,
+    "replayed_batch": SQL["json_bridge"],
+    "reject_sink": """
+        WITH c AS (SELECT c_mktsegment = 'HOUSEHOLD' AS bad_id, c_mktsegment = 'MACHINERY' AND 40 * strlen(c_name) > 256 AS long_name FROM customer),
+        n AS (SELECT count(*) AS n, count(*) FILTER (WHERE bad_id) AS ids, count(*) FILTER (WHERE long_name) AS names FROM c)
+        SELECT 'report' AS kind, 'dim_keywords' AS "table", '' AS reason, names AS n FROM n
+        UNION ALL SELECT 'report', 'movie_keywords', '', ids FROM n
+        UNION ALL SELECT 'reject', 'dim_keywords', 'name: over 256 bytes', names FROM n WHERE names > 0
+        UNION ALL SELECT 'reject', 'movie_keywords', 'id: not bigint', ids FROM n WHERE ids > 0
+        UNION ALL SELECT 'stored', 'dim_keywords', '', n - ids - names FROM n
+        UNION ALL SELECT 'stored', 'movie_keywords', '', n - ids FROM n""",
+    "load_parse_losses": """
+        SELECT 'parse_loss' AS rule, 'keywords' AS "table", 'keywords' AS "column", count(*) FILTER (WHERE c_mktsegment IN ('HOUSEHOLD', 'MACHINERY')) AS n FROM customer
+        UNION ALL SELECT 'stored', 'movie_keywords', '*', count(*) FILTER (WHERE c_mktsegment NOT IN ('HOUSEHOLD', 'MACHINERY', 'FURNITURE', 'BUILDING')) FROM customer""",
+})

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from .. import operators as ops
+from ..schemas import TABLES
 from ..session import cut_lineage, scratch_path
+from ..sinks import ledger
 from ..sinks import warehouse as sink
 from ..sources import TABLE_NAMES, read_csv, read_parquet_table, read_prefix, register_view, write_csv
-from ..streaming.ingest import run_ingest
+from ..streaming.ingest import process_batch, run_ingest
 from . import catalog, load, quality, questions, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -486,6 +488,128 @@ def parse_losses(spark, sf_dir):
     nested = c.select(seg.alias("segment"), text.alias("people"))
     return fn.nested_parse_report(nested, "people", by=["segment"])
 
+
+# --- loads: published whole, rejects and losses told, batches merged ---------
+def _text_of(name: str) -> F.Column:
+    """A stored row as one text: declared columns by name, without the audit
+    column and surrogate ids; doubles with four decimals."""
+    t = TABLES[name]
+    kept = sorted((c for c in t.columns if c.name not in ("last_updated", t.identity)), key=lambda c: c.name)
+    texts = [(F.col(c.name).cast("decimal(18,4)") if c.type.simpleString() == "double" else F.col(c.name)).cast("string") for c in kept]
+    return F.concat_ws("|", *[F.coalesce(x, F.lit("~")) for x in texts])
+
+
+def table_digests(w: dict[str, DataFrame], step: str) -> DataFrame:
+    """``(step, table, rows, digest)``: the digest adds up a hash of every row."""
+    out = None
+    for name, df in w.items():
+        part = F.conv(F.substring(F.md5(_text_of(name).cast("binary")), 1, 8), 16, 10).cast("long")
+        one = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(part), F.lit(0)).alias("digest"))
+        one = one.select(F.lit(step).alias("step"), F.lit(name).alias("table"), "rows", "digest")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def load_retry(spark, sf_dir):
+    """A load that fails after its ninth table shows nothing; run again under
+    its id it shows all 17 tables; run a third time it changes nothing."""
+    root = scratch_path(spark, "load-retry")
+    prefixes = load.write_sources(catalog.derive_catalog(spark, sf_dir), f"{root}/landing")
+    db, location = _database(spark, "load-retry-db")
+    written: list[str] = []
+
+    def fail(name: str) -> None:
+        written.append(name)
+        if len(written) == 9:
+            raise ConnectionError("lost after the ninth table")
+
+    try:
+        load.run_load(spark, prefixes, db, location, load_id="retried", parallelism=1, on_table=fail)
+    except ConnectionError:
+        failed = table_digests(sink.read_all(spark, db), "failed")
+    quality.enforce(load.run_load(spark, prefixes, db, load_id="retried"))
+    rerun = table_digests(sink.read_all(spark, db), "rerun")
+    load.run_load(spark, prefixes, db, load_id="retried")
+    return failed.unionByName(rerun).unionByName(table_digests(sink.read_all(spark, db), "again"))
+
+
+def rating_batches(spark, sf_dir):
+    """Ratings by batch load, stream, batch load and stream into one ``fact_rating``."""
+    root = scratch_path(spark, "rating-batches")
+    db, location = _database(spark, "rating-batches-db")
+    ratings = catalog.ratings_frame(catalog.load_tables(spark, sf_dir, ["lineitem"]))
+    day = F.floor(F.col("timestamp") / 86400) % 4
+    for i in range(4):
+        drop = ratings.filter(day == i)
+        if i % 2 == 0:
+            prefixes = load.write_sources({"ratings": drop}, f"{root}/batch{i}")
+            load.run_load(spark, prefixes, db, location)
+        else:
+            write_csv(drop, f"{root}/landing/drop{i}", quoted=False)
+            run_ingest(spark, "ratings", f"{root}/landing/*", db, f"{root}/checkpoint")
+    return _no_audit(sink.read_all(spark, db, ["fact_rating"])["fact_rating"])
+
+
+def replayed_batch(spark, sf_dir):
+    """The same micro-batch applied three times (a stream's replays): once in the tables."""
+    root = scratch_path(spark, "replayed")
+    db, location = _database(spark, "replayed-db")
+    sink.create_all(spark, db, location, ["dim_keywords", "movie_keywords"])
+    batch = catalog.keywords_frame(catalog.load_tables(spark, sf_dir, ["lineitem", "part"]))
+    for _ in range(3):
+        process_batch(batch, 0, "keywords", db, f"{root}/state")
+    return sink.read_all(spark, db, ["movie_keywords"])["movie_keywords"].select("movie_id", "keyword_id")
+
+
+def _customer_keywords(spark, sf_dir, item, text) -> DataFrame:
+    c = _t(spark, sf_dir, "customer")
+    return c.select(F.col("c_custkey").cast("long").alias("id"), text(F.col("c_mktsegment"), item).alias("keywords"))
+
+
+def reject_sink(spark, sf_dir):
+    """Planted defects (K4): ids that are no numbers, names over the declared
+    length; what is stored, what is rejected and what the load's report says."""
+    seg = F.col("c_mktsegment")
+    ident = F.concat(F.col("c_custkey").cast("string"), F.when(seg == "HOUSEHOLD", F.lit("a")).otherwise(F.lit("")))
+    name = F.when(seg == "MACHINERY", F.repeat("c_name", 40)).otherwise(F.col("c_name"))
+    item = F.concat(F.lit("[{'id': '"), ident, F.lit("', 'name': '"), name, F.lit("'}]"))
+    root = scratch_path(spark, "reject-sink")
+    db, location = _database(spark, "reject-sink-db")
+    prefixes = load.write_sources({"keywords": _customer_keywords(spark, sf_dir, item, lambda _, i: i)}, root)
+    report = load.run_load(spark, prefixes, db, location)
+    told = report.filter((F.col("rule") == "rejected_rows")).select(F.lit("report").alias("kind"), "table", F.lit("").alias("reason"), F.col("violations").alias("n"))
+    why = F.substring_index("reason", ":", 2)
+    rejects = ledger.read_rejects(spark, db).groupBy(F.col("table_name").alias("table"), why.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    stored = ops.row_counts(sink.read_all(spark, db, ["dim_keywords", "movie_keywords"]))
+    return (
+        told.unionByName(rejects.select(F.lit("reject").alias("kind"), "table", "reason", "n"))
+        .unionByName(stored.select(F.lit("stored").alias("kind"), "table", F.lit("").alias("reason"), F.col("rows").alias("n")))
+    )
+
+
+def load_parse_losses(spark, sf_dir):
+    """Planted ``None``, truncated, blank, missing and empty lists (Q6): losses
+    counted while staging, as told by the load's report, beside what is stored."""
+    item = F.concat(F.lit("{'id': "), F.col("c_custkey").cast("string"), F.lit(", 'name': '"), F.col("c_name"), F.lit("'"))
+
+    def text(seg, item):
+        return (
+            F.when(seg == "HOUSEHOLD", F.concat(F.lit("["), item, F.lit(", 'x': None}]")))
+            .when(seg == "MACHINERY", F.concat(F.lit("["), item))
+            .when(seg == "FURNITURE", F.when(F.col("c_acctbal") > 0, F.lit("[]")).otherwise(F.lit("  ")))
+            .when(seg == "BUILDING", F.lit(None).cast("string"))
+            .otherwise(F.concat(F.lit("["), item, F.lit("}]")))
+        )
+
+    root = scratch_path(spark, "parse-losses")
+    db, location = _database(spark, "parse-losses-db")
+    prefixes = load.write_sources({"keywords": _customer_keywords(spark, sf_dir, item, text)}, root)
+    report = load.run_load(spark, prefixes, db, location)
+    told = report.filter(F.col("rule") == "parse_loss").select("rule", "table", "column", F.col("violations").alias("n"))
+    stored = ops.row_counts(sink.read_all(spark, db, ["movie_keywords"]))
+    return told.unionByName(stored.select(F.lit("stored").alias("rule"), "table", F.lit("*").alias("column"), F.col("rows").alias("n")))
+
+
 # --- one hot key holding about a third of the rows ----------------------------
 def _hot_movie(col: str = "l_orderkey") -> F.Column:
     """Lineitems 1 and 2 of every order (about 29% of all rows) re-keyed to
@@ -578,6 +702,11 @@ QUERIES: dict[str, Query] = {
         incremental_dims,
         conform_lengths,
         parse_losses,
+        load_retry,
+        rating_batches,
+        replayed_batch,
+        reject_sink,
+        load_parse_losses,
         hot_key_bridge,
         hot_key_ratings,
         hot_key_semi,

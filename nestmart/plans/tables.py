@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.languages import with_language_name
@@ -142,25 +142,50 @@ MOVIE_LISTS = {
 }
 
 
-def movie_elements(movies: DataFrame, mode: str = "strict") -> DataFrame:
+def _lost(text: str, parsed: str) -> F.Column:
+    """Text that is there but does not parse: all of its elements are lost."""
+    there = F.col(text).isNotNull() & (F.trim(F.col(text)) != "")
+    return F.count_if(there & F.col(parsed).isNull()).alias(text)
+
+
+def _parsed(df: DataFrame, columns: list[str], mode: str, losses: Observation | None) -> DataFrame:
+    """Add ``__nm_<column>``, the parsed list of each column; ``losses`` counts per
+    column, while the rows pass, the texts that do not parse (Q6)."""
+    out = df.withColumns({f"__nm_{c}": parse_elements(F.col(c), mode) for c in columns})
+    return out.observe(losses, *[_lost(c, f"__nm_{c}") for c in columns]) if losses is not None else out
+
+
+def _refused(raw: dict[str, tuple[F.Column, str | None]]) -> F.Column:
+    """Reason why an element cannot be stored: texts that fail their cast (K4)."""
+    reasons = [F.when(v.isNotNull() & safe_cast(v, t).isNull(), F.concat(F.lit(f"{name}: not {t}: "), v)) for name, (v, t) in raw.items() if t]
+    return F.nullif(F.concat_ws("; ", *reasons), F.lit("")) if reasons else F.lit(None).cast("string")
+
+
+def movie_elements(movies: DataFrame, mode: str = "strict", losses: Observation | None = None) -> DataFrame:
     """All four movie list columns in one pass: ``(movie_id, kind, key,
-    name)``, ``key`` still text.  One generator over the concatenated lists,
-    so the eight genre/company/country/language tables can share one parse."""
+    name, bad)``, ``key`` still text, ``bad`` why it cannot be stored.  One generator
+    over the concatenated lists, so the eight genre/company/country/language
+    tables can share one parse."""
     empty = F.array().cast("array<struct<kind:string,key:string,name:string>>")
     lists = []
     def element(kind: str, id_key: str):
         return lambda m: F.struct(F.lit(kind).alias("kind"), m.getItem(id_key).alias("key"), m.getItem("name").alias("name"))
 
+    parsed = _parsed(movies.select(F.col("id").alias("movie_id"), *MOVIE_LISTS), list(MOVIE_LISTS), mode, losses)
     for column, (kind, id_key, _) in MOVIE_LISTS.items():
-        parsed = F.transform(parse_elements(F.col(column), mode), element(kind, id_key))
-        lists.append(F.coalesce(parsed, empty))
-    rows = movies.select(F.col("id").alias("movie_id"), F.explode(F.concat(*lists)).alias("e"))
-    return rows.select("movie_id", "e.kind", "e.key", "e.name")
+        lists.append(F.coalesce(F.transform(f"__nm_{column}", element(kind, id_key)), empty))
+    rows = parsed.select("movie_id", F.explode(F.concat(*lists)).alias("e")).select("movie_id", "e.kind", "e.key", "e.name")
+    bad = None
+    for kind, id_key, id_type in MOVIE_LISTS.values():
+        if id_type:
+            why = _refused({id_key: (F.col("key"), id_type)})
+            bad = F.when(F.col("kind") == kind, why) if bad is None else bad.when(F.col("kind") == kind, why)
+    return rows.withColumn("bad", bad)
 
 
 def movie_list_tables(elements: DataFrame, reproducible: bool = False, sort_languages: bool = True) -> dict[str, DataFrame]:
     """The eight genre/company/country/language tables from ``movie_elements``
-    rows: same result as ``genres``, ``companies``, ``countries``, ``languages``."""
+    rows that can be stored: otherwise same result as ``genres``, ``companies``, ``countries``, ``languages``."""
     out = {}
     names = {
         "genre": ("dim_genres", "movie_genres", "genre_id"),
@@ -170,7 +195,7 @@ def movie_list_tables(elements: DataFrame, reproducible: bool = False, sort_lang
     }
     for _, (kind, _, id_type) in MOVIE_LISTS.items():
         dim_name, bridge_name, ref = names[kind]
-        rows = elements.filter(F.col("kind") == kind)
+        rows = elements.filter((F.col("kind") == kind) & F.col("bad").isNull())
         key = safe_cast(F.col("key"), id_type) if id_type else F.col("key")
         rows = rows.select("movie_id", key.alias(ref), F.col("name").alias("__nm_name"))
         dim = _dedup(rows.select(ref, "__nm_name"), ref, reproducible)
@@ -187,10 +212,7 @@ def movie_list_tables(elements: DataFrame, reproducible: bool = False, sort_lang
     return out
 
 
-PEOPLE_COLUMNS = ["movie_id", "role", "id", "name", "character", "gender", "department", "job"]
-
-
-def credit_people(credits: DataFrame, mode: str = "strict") -> DataFrame:
+def credit_people(credits: DataFrame, mode: str = "strict", losses: Observation | None = None) -> DataFrame:
     """Cast and crew of every credits row in one pass: one row per element,
     ``role`` = ``cast`` or ``crew``.
 
@@ -199,11 +221,12 @@ def credit_people(credits: DataFrame, mode: str = "strict") -> DataFrame:
     files instead of four.  Element semantics are those of ``explode_json``.
     """
     def tagged(column: str, role: str):
-        return F.transform(parse_elements(F.col(column), mode), lambda m: F.struct(F.lit(role).alias("role"), m.alias("m")))
+        return F.transform(f"__nm_{column}", lambda m: F.struct(F.lit(role).alias("role"), m.alias("m")))
 
     empty = F.array().cast("array<struct<role:string,m:map<string,string>>>")
     both = F.concat(F.coalesce(tagged("cast", "cast"), empty), F.coalesce(tagged("crew", "crew"), empty))
-    rows = credits.select(F.col("id").alias("movie_id"), F.explode(both).alias("p"))
+    parsed = _parsed(credits.select(F.col("id").alias("movie_id"), "cast", "crew"), ["cast", "crew"], mode, losses)
+    rows = parsed.select("movie_id", F.explode(both).alias("p"))
     m = F.col("p.m")
     return rows.select(
         "movie_id",
@@ -214,6 +237,7 @@ def credit_people(credits: DataFrame, mode: str = "strict") -> DataFrame:
         safe_cast(m.getItem("gender"), "int").alias("gender"),
         m.getItem("department").alias("department"),
         m.getItem("job").alias("job"),
+        _refused({"id": (m.getItem("id"), "bigint"), "gender": (m.getItem("gender"), "int")}).alias("bad"),
     )
 
 
@@ -224,24 +248,27 @@ def people_tables(people: DataFrame, reproducible: bool = False) -> dict[str, Da
         ("cast", ["id", "name", "character", "gender"], "cast_id"),
         ("crew", ["id", "name", "department", "gender", "job"], "crew_id"),
     ]:
-        rows = people.filter(F.col("role") == role)
+        rows = people.filter((F.col("role") == role) & F.col("bad").isNull())
         dim = _dedup(rows.select(*dim_cols), "id", reproducible)
         out[f"dim_{role}"] = with_audit(dim).withColumn("gender", gender_label(F.col("gender")))
         out[f"movie_{role}"] = rows.select("movie_id", F.col("id").alias(ref))
     return out
 
 
-def keyword_elements(raw_keywords: DataFrame, mode: str = "strict") -> DataFrame:
-    """``(movie_id, id, name)`` per keyword element, parsed once."""
-    exploded = explode_json(raw_keywords.withColumnRenamed("id", "movie_id"), "keywords", KEYWORD_KEYS, mode=mode)
-    return exploded.select("movie_id", "id", "name")
+def keyword_elements(raw_keywords: DataFrame, mode: str = "strict", losses: Observation | None = None) -> DataFrame:
+    """``(movie_id, id, name, bad)`` per keyword element, parsed once."""
+    parsed = _parsed(raw_keywords.select(F.col("id").alias("movie_id"), "keywords"), ["keywords"], mode, losses)
+    m = F.col("m")
+    rows = parsed.select("movie_id", F.explode("__nm_keywords").alias("m"))
+    return rows.select("movie_id", safe_cast(m.getItem("id"), "bigint").alias("id"), m.getItem("name").alias("name"), _refused({"id": (m.getItem("id"), "bigint")}).alias("bad"))
 
 
 def keyword_tables(elements: DataFrame, reproducible: bool = False) -> dict[str, DataFrame]:
     """T10 from ``keyword_elements`` rows: same result as ``keywords``."""
+    good = elements.filter(F.col("bad").isNull())
     return {
-        "dim_keywords": with_audit(_dedup(elements.select("id", "name"), "id", reproducible)),
-        "movie_keywords": elements.select("movie_id", F.col("id").alias("keyword_id")),
+        "dim_keywords": with_audit(_dedup(good.select("id", "name"), "id", reproducible)),
+        "movie_keywords": good.select("movie_id", F.col("id").alias("keyword_id")),
     }
 
 
@@ -264,6 +291,17 @@ def fact_rating(ratings: DataFrame) -> DataFrame:
     return with_audit(stats).withColumnRenamed("movieId", "movie_id")
 
 
+def rating_stats(ratings: DataFrame) -> DataFrame:
+    """T11 with the sum and number of ratings, so that batches can be merged."""
+    return ratings.groupBy(F.col("movieId").alias("movie_id")).agg(
+        F.count("userId").alias("ratings_count"),
+        F.sum(F.col("rating").cast("double")).alias("rating_total"),
+        F.count("rating").alias("rating_values"),
+        F.min("rating").cast("double").alias("min_rate"),
+        F.max("rating").cast("double").alias("max_rate"),
+    )
+
+
 def build_warehouse(
     sources: Mapping[str, DataFrame],
     reproducible: bool = False,
@@ -285,22 +323,15 @@ def build_warehouse(
         movies = staged if staged is not None else staged_movies(sources["movies_metadata"], reproducible)
         out["dim_movies"] = dim_movies(movies)
         out["fact_movie_sales"] = fact_movie_sales(movies)
-        if elements is not None:
-            out.update(movie_list_tables(elements, reproducible))
-        else:
-            out["dim_genres"], out["movie_genres"] = genres(movies, reproducible, mode)
-            out["dim_companies"], out["movie_production_companies"] = companies(movies, reproducible, mode)
-            out["dim_countries"], out["movie_countries"] = countries(movies, reproducible, mode)
-            out["dim_languages"], out["movie_languages"] = languages(movies, reproducible, mode)
+        out.update(movie_list_tables(elements if elements is not None else movie_elements(movies, mode), reproducible))
+    if people is None and "credits" in sources:
+        people = credit_people(sources["credits"], mode)
     if people is not None:
         out.update(people_tables(people, reproducible))
-    elif "credits" in sources:
-        out["dim_cast"], out["movie_cast"] = cast(sources["credits"], reproducible, mode)
-        out["dim_crew"], out["movie_crew"] = crew(sources["credits"], reproducible, mode)
+    if keyword_rows is None and "keywords" in sources:
+        keyword_rows = keyword_elements(sources["keywords"], mode)
     if keyword_rows is not None:
         out.update(keyword_tables(keyword_rows, reproducible))
-    elif "keywords" in sources:
-        out["dim_keywords"], out["movie_keywords"] = keywords(sources["keywords"], reproducible, mode)
     if "ratings" in sources:
         out["fact_rating"] = fact_rating(sources["ratings"])
     return out

@@ -73,6 +73,16 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_root(spark)}/nestmart/{tag}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch folders that nothing will read again."""
+    root = f"{shared_root(spark)}/nestmart/"
+    for path in paths:
+        if not path.startswith(root):
+            raise ValueError(f"not a scratch folder: {path}")
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     shared_root(df.sparkSession)

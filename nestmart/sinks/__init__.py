@@ -1,5 +1,6 @@
-"""Warehouse sinks: create, drop, conform, write."""
+"""Warehouse sinks: create, drop, conform, write, publish."""
 
+from .ledger import compact, drop_unpublished, read_rejects
 from .warehouse import (
     conform,
     conform_report,
@@ -12,6 +13,9 @@ from .warehouse import (
 )
 
 __all__ = [
+    "compact",
+    "drop_unpublished",
+    "read_rejects",
     "conform",
     "conform_report",
     "create_all",

@@ -5,41 +5,38 @@ processes the files that arrived since the last run and stops; the streaming
 checkpoint (in the shared folder) records which files were taken, so each
 file is loaded exactly once, and a failed batch is replayed with the same id.
 
-Per micro-batch (``foreachBatch``):
-
-* movies already loaded are skipped (anti-join on ``dim_movies.id``, written
-  once per batch id to the checkpoint folder, so every table of the batch
-  sees the same new movies; a replay reads what its first try wrote);
-* nested lists are parsed once per batch into a folder named by the batch id
-  (overwritten on replay) that feeds every table of the family;
-* dimension rows are appended only for keys not stored yet;
-* bridge rows are appended with ids after the stored maximum; the maxima of
-  before the batch are kept under its id, so a replay skips the tables that
-  its first try has written (one writer per table);
-* ``fact_rating`` is kept as mergeable partial state (count, sum, min, max
-  per movie; averages do not add).  Batch ``b`` writes state version ``b``
-  from version ``b-1`` plus the batch, so a replay rewrites the same version,
-  and the fact table is rewritten from the newest state.  Version 0 starts from
-  what a batch load had left in ``fact_rating``.
+A micro-batch is a load like any other (``plans.load``): its load id is the
+stream's own name (kept beside the checkpoint) and the batch id, its tables are written
+under it and published together.  A replayed batch writes the same partitions
+anew, or nothing if it was published.  Batch loads and streams may take turns on
+one warehouse:
+
+* movies, sales and dimension rows are appended only for keys not published yet;
+* nested lists are parsed once per batch;
+* bridge rows are appended with ids after the stored maximum;
+* ``fact_rating`` keeps sums beside its averages, in parts by a hash of the movie id;
+  a batch, or a batch load, writes a new version of the parts it touches.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.scalar import with_audit
 from ..functions.values import values_frame
 from ..operators.joins import anti_join
-from ..plans import tables
-from ..schemas import QUOTED_SOURCES, SOURCE_SCHEMAS, TABLES
-from ..sinks.warehouse import create_all, current_max_id, refresh_all, write_table
+from ..plans import load
+from ..schemas import QUOTED_SOURCES, SOURCE_SCHEMAS
+from ..session import remove_scratch
+from ..sinks import ledger
+from ..sinks.warehouse import create_all, read_all, refresh_all
 
 _DIM_KEY = {
-    "dim_movies": "id",
     "dim_cast": "id",
     "dim_crew": "id",
     "dim_keywords": "id",
@@ -50,119 +47,41 @@ _DIM_KEY = {
 }
 
 
-def _append_new_keys(df: DataFrame, database: str, name: str) -> None:
-    key = _DIM_KEY[name]
-    stored = df.sparkSession.table(f"{database}.{name}").select(F.col(key).alias("__nm_key")).distinct()
-    fresh = df.join(stored, F.col(key).eqNullSafe(F.col("__nm_key")), "left_anti")
-    write_table(fresh, database, name, "append")
-
-
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    """A folder that a finished write left, or None."""
+def _stream_name(spark: SparkSession, path: str) -> str:
+    """The stream's own name, written once beside its checkpoint."""
     try:
-        return spark.read.parquet(path)
+        kept = spark.read.schema("name string").parquet(path).first()
     except AnalysisException as exc:
-        if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if exc.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
-
-
-def _seed(spark: SparkSession, database: str, path: str) -> DataFrame:
-    """Ratings state of what was in ``fact_rating`` before the stream began,
-    written once so that a replay starts from the same."""
-    kept = _stored(spark, path)
-    if kept is None:
-        n = F.col("ratings_count").cast("long")
-        old = spark.table(f"{database}.fact_rating")
-        old.select("movie_id", n.alias("n"), (F.col("ratings_average") * n).cast("double").alias("total"), F.col("min_rate").cast("double").alias("lo"), F.col("max_rate").cast("double").alias("hi")).write.mode("overwrite").parquet(path)
-        kept = spark.read.parquet(path)
-    return kept
-
-
-def _first_ids(spark: SparkSession, database: str, names: list[str], path: str) -> dict[str, int]:
-    """Largest id of each table before the batch's first try (kept for replays)."""
-    kept = _stored(spark, path)
+        kept = None
     if kept is None:
-        rows = [(n, current_max_id(spark, database, TABLES[n])) for n in names]
-        values_frame(spark, rows, ["name", "last_id"]).write.mode("overwrite").parquet(path)
-        kept = spark.read.parquet(path)
-    return {r["name"]: int(r["last_id"]) for r in kept.collect()}  # one row per table
+        values_frame(spark, [(uuid.uuid4().hex,)], ["name"]).write.mode("overwrite").parquet(path)
+        kept = spark.read.schema("name string").parquet(path).first()
+    return kept["name"]
 
 
-def _merge_ratings(batch: DataFrame, database: str, state_root: str, batch_id: int) -> None:
-    spark = batch.sparkSession
-    part = batch.groupBy(F.col("movieId").alias("movie_id")).agg(
-        F.count("userId").alias("n"),
-        F.sum(F.col("rating").cast("double")).alias("total"),
-        F.min("rating").cast("double").alias("lo"),
-        F.max("rating").cast("double").alias("hi"),
-    )
-    if batch_id > 0:  # a missing version is an error, not an empty history
-        previous = spark.read.parquet(f"{state_root}/v{batch_id - 1}")
-    else:
-        previous = _seed(spark, database, f"{state_root}/seed")
-    part = previous.unionByName(part)
-    state = part.groupBy("movie_id").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    path = f"{state_root}/v{batch_id}"
-    state.write.mode("overwrite").parquet(path)
-    stored = spark.read.parquet(path)
-    fact = with_audit(
-        stored.select(
-            "movie_id",
-            F.col("n").alias("ratings_count"),
-            (F.col("total") / F.col("n")).alias("ratings_average"),
-            F.col("lo").alias("min_rate"),
-            F.col("hi").alias("max_rate"),
-        )
-    )
-    write_table(fact, database, "fact_rating", "overwrite")
-
-
-def _stage_batch(df: DataFrame, path: str) -> DataFrame:
-    """Parse a batch's nested lists once: write under the batch id (a replay
-    overwrites the same folder) and read back for every table it feeds."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def _new_keys(df: DataFrame, stored: DataFrame, key: str) -> DataFrame:
+    known = stored.select(F.col(key).alias("__nm_key")).distinct()
+    return df.join(known, F.col(key).eqNullSafe(F.col("__nm_key")), "left_anti")
 
 
 def process_batch(batch: DataFrame, batch_id: int, family: str, database: str, state_root: str) -> None:
     """Apply one micro-batch of ``family`` rows to the warehouse."""
-    if family == "ratings":
-        _merge_ratings(batch, database, state_root, batch_id)
-        return
+    spark = batch.sparkSession
+    load_id = f"{_stream_name(spark, f'{state_root}/name')}-{batch_id}"
+    refresh_all(spark, database)  # other sessions may have published
+    if ledger.published(ledger.entries(spark, database), load_id):
+        return  # a replay of a batch that went through
     if family == "movies_metadata":
-        # Materialize the batch's new movies before writing anything: the
-        # anti-join reads dim_movies, which this batch is about to extend, so a
-        # lazy frame would find nothing new for the tables written after it.
-        spark = batch.sparkSession
-        path = f"{state_root}/movies-batch-{batch_id}"
-        movies = _stored(spark, path)
-        if movies is None:  # a replay keeps what its first try found new
-            stored = spark.table(f"{database}.dim_movies")
-            anti_join(tables.staged_movies(batch), stored, ["id"]).write.mode("overwrite").parquet(path)
-            movies = spark.read.parquet(path)
-        elements = _stage_batch(tables.movie_elements(movies), f"{state_root}/elements-batch-{batch_id}")
-        frames = tables.build_warehouse({}, staged=movies, elements=elements)
-    elif family == "credits":
-        people = _stage_batch(tables.credit_people(batch), f"{state_root}/people-batch-{batch_id}")
-        frames = tables.build_warehouse({}, people=people)
-    elif family == "keywords":
-        rows = _stage_batch(tables.keyword_elements(batch), f"{state_root}/keywords-batch-{batch_id}")
-        frames = tables.build_warehouse({}, keyword_rows=rows)
+        known = read_all(spark, database, ["dim_movies"])["dim_movies"]
+        staged = load.stage_movies(batch, narrow=lambda movies: anti_join(movies, known, ["id"]))
     else:
-        frames = tables.build_warehouse({family: batch})
-    spark = batch.sparkSession
-    numbered = [n for n in frames if n not in _DIM_KEY and TABLES[n].identity]
-    before = _first_ids(spark, database, numbered, f"{state_root}/ids-batch-{batch_id}") if numbered else {}
-    for name, df in frames.items():
-        if name in _DIM_KEY:
-            _append_new_keys(df, database, name)
-        elif name in before:
-            # ids beyond those of before the batch: its first try wrote this table
-            if current_max_id(spark, database, TABLES[name]) <= before[name]:
-                write_table(df, database, name, "append")
-        else:  # one row per new movie
-            write_table(anti_join(df, spark.table(f"{database}.{name}"), ["movie_id"]), database, name, "append")
+        staged = load.STAGE[family](batch)
+    stored = read_all(spark, database, [n for n in staged.frames if n in _DIM_KEY])
+    staged.frames.update({n: _new_keys(staged.frames[n], df, _DIM_KEY[n]) for n, df in stored.items()})
+    load.write_load(spark, staged, database, load_id)
+    remove_scratch(spark, *staged.paths)
 
 
 def start_ingest(

@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from nestmart.plans import registry
 from nestmart.sources import TABLE_NAMES
 
 from .conftest import SF_SMALL
@@ -45,7 +46,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(SQL)
+    """All but those of the training-data subpackage, whose tests hold the others."""
+    assert set(registry.QUERIES) <= set(SQL) <= set(QUERIES)
 
 
 def test_entry_runs(spark):
@@ -53,7 +55,7 @@ def test_entry_runs(spark):
     assert df.count() > 0 and df.columns == ["id", "title", "release_date"]
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]

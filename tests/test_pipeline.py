@@ -135,7 +135,12 @@ def test_full_load_tables(spark, sources, tmp_root):
         ("fk_orphans", "movie_cast", "movie_id"),
         ("fk_orphans", "fact_rating", "movie_id"),
         ("pk_not_null", "dim_countries", "iso_code"),
+        ("parse_loss", "movies_metadata", "genres"),
+        ("parse_loss", "movies_metadata", "production_companies"),
+        ("parse_loss", "credits", "cast"),
+        ("parse_loss", "credits", "crew"),
     }
+    assert report[("parse_loss", "keywords", "keywords")] == 0 and report[("rejected_rows", "movie_cast", "*")] == 0
     with pytest.raises(quality.QualityError):
         quality.enforce(load.quality.gate(w))
 

@@ -90,7 +90,7 @@ def test_credits_ingest_appends_people_once(spark, tmp_root):
 
 
 def test_replayed_batches_lose_and_repeat_nothing(spark, tmp_root, monkeypatch):
-    from nestmart.streaming import ingest
+    from nestmart.plans import load
 
     from .test_pipeline import MOVIES_HEADER, _movie
 
@@ -101,16 +101,16 @@ def test_replayed_batches_lose_and_repeat_nothing(spark, tmp_root, monkeypatch):
     row = _movie(10, "[{'id': 28, 'name': 'Action'}]", "[{'name': 'A', 'id': 1}]", "[{'iso_3166_1': 'DE', 'name': 'Germany'}]", langs, "2004-05-01", "1000.0", "First")
     write_text(f"{landing}/movies/m1.csv", MOVIES_HEADER + row)
     write_text(f"{landing}/keywords/k1.csv", "id,keywords\n10,\"[{'id': 1, 'name': 'hero'}, {'id': 2, 'name': 'city'}]\"\n")
-    real, fails = ingest.write_table, [True]
+    real, fails = load.stage_table, [True]
 
-    def write_then_fail(df, database, name, mode="append"):
-        out = real(df, database, name, mode)
+    def write_then_fail(df, database, name, *args):
+        out = real(df, database, name, *args)
         if fails and name in ("movie_genres", "movie_keywords"):
             fails.clear()
             raise OSError("lost after this table")
         return out
 
-    monkeypatch.setattr(ingest, "write_table", write_then_fail)
+    monkeypatch.setattr(load, "stage_table", write_then_fail)
     for family, folder in (("movies_metadata", "movies"), ("keywords", "keywords")):
         fails[:] = [True]
         try:
