@@ -11,6 +11,7 @@ from .nested import (
     parse_list,
     repair_pyliteral,
     scan_chunks,
+    split_large,
 )
 from .scalar import (
     GENDER_LABELS,
@@ -39,6 +40,7 @@ __all__ = [
     "repair_pyliteral",
     "safe_cast",
     "scan_chunks",
+    "split_large",
     "unknown_language",
     "with_audit",
     "with_language_name",

@@ -211,6 +211,18 @@ def scan_chunks(df: DataFrame, max_elements: int = 1000, column: str = "__nm_chu
     return df.withColumn(column, F.floor(F.monotonically_increasing_id() / F.lit(max_elements)))
 
 
+def split_large(df: DataFrame, key: str, max_elements: int = 1000, chunk: str = "__nm_chunk") -> DataFrame:
+    """Keep the chunk number of keys with more than ``max_elements`` rows and
+    drop it (null) for all others, so that only large keys are split.
+
+    Two phases: rows are counted per key (combined map-side), and the keys over
+    the limit, at most one in ``max_elements`` rows, are joined back.
+    """
+    large = df.groupBy(F.col(key).alias("__nm_large")).agg(F.count(F.lit(1)).alias("__nm_n")).filter(F.col("__nm_n") > max_elements)
+    marked = df.join(large.select("__nm_large", F.lit(True).alias("__nm_split")), F.col(key).eqNullSafe(F.col("__nm_large")), "left")
+    return marked.withColumn(chunk, F.when(F.col("__nm_split"), F.col(chunk))).drop("__nm_large", "__nm_split")
+
+
 def nest_json(
     df: DataFrame,
     key: Sequence[str],

@@ -22,8 +22,8 @@ rating          one per lineitem: user = supplier, 1-5 from the quantity
 
 Movies carry sets over small domains (types, brands, nations, regions), so
 their lists are bounded by the domain size however skewed an order is.
-Credits and keywords carry one element per lineitem; they are built with
-``nest_json`` in chunks of bounded size, several rows per movie where needed,
+Credits and keywords carry one element per lineitem, all of a movie in one list;
+a movie of more than ``CHUNK`` lineitems is cut into several rows of bounded size,
 which the pipeline treats as a bag, exactly as the original did with
 repeated credits rows.
 """
@@ -35,7 +35,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.nested import nest_json, scan_chunks
+from ..functions.nested import nest_json, scan_chunks, split_large
 from ..functions.values import values_frame
 from ..schemas import SOURCE_SCHEMAS
 from ..sources import read_parquet_table
@@ -89,10 +89,17 @@ def _part_genre(t: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def _lines(t: Mapping[str, DataFrame], chunk: int = CHUNK) -> DataFrame:
-    """lineitem with its part and supplier attributes; ``__nm_chunk`` is
-    assigned on the scan, so it is stable under task retries."""
-    li = scan_chunks(t["lineitem"], chunk).select(
+def _chunked(lineitem: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """lineitem with ``__nm_chunk``: null but for orders of more than ``chunk``
+    lines, whose lists are cut; assigned on the scan, so it is stable under task
+    retries."""
+    return split_large(scan_chunks(lineitem, chunk), "l_orderkey", chunk)
+
+
+def _lines(t: Mapping[str, DataFrame], chunk: int | None = None) -> DataFrame:
+    """lineitem with its part and supplier attributes (and chunk numbers, if asked for)."""
+    li = _chunked(t["lineitem"], chunk) if chunk else t["lineitem"].withColumn("__nm_chunk", F.lit(None))
+    li = li.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_shipdate", "__nm_chunk"
     )
     li = li.join(_part_genre(t), F.col("l_partkey") == F.col("p_partkey"))
@@ -144,8 +151,8 @@ def movies_frame(t: Mapping[str, DataFrame]) -> DataFrame:
         "vote_count": F.col("lines"),
     }
     schema = SOURCE_SCHEMAS["movies_metadata"]
-    # try_cast: a key outside the declared type becomes null, exactly as a CSV
-    # scan with the declared schema would read it (and T1 then drops it).
+    # try_cast: a value outside its declared type becomes null, exactly as a CSV
+    # scan with the declared schema would read it (keys are long and fit).
     return m.select(*[cols[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
@@ -171,7 +178,7 @@ def credits_frame(t: Mapping[str, DataFrame], chunk: int = CHUNK) -> DataFrame:
 
 def keywords_frame(t: Mapping[str, DataFrame], chunk: int = CHUNK) -> DataFrame:
     """``(id, keywords)``: the order's part names, per lineitem."""
-    li = scan_chunks(t["lineitem"], chunk).select("l_orderkey", "l_partkey", "__nm_chunk")
+    li = _chunked(t["lineitem"], chunk).select("l_orderkey", "l_partkey", "__nm_chunk")
     li = li.join(t["part"].select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
     nested = nest_json(li, ["l_orderkey"], {"id": F.col("p_partkey"), "name": F.col("p_name")}, "keywords", chunk, chunk="__nm_chunk")
     return nested.select(F.col("l_orderkey").cast("long").alias("id"), "keywords")

@@ -163,7 +163,8 @@ def write_load(spark: SparkSession, staged: Staged, database: str, load_id: str,
             on_table(name)
         return new
 
-    names = [n for n in CREATE_ORDER if n in staged.frames]
+    # the table that is aggregated on the way takes longest: it starts first
+    names = sorted((n for n in CREATE_ORDER if n in staged.frames), key=lambda n: n not in ledger.EXTRA)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         new = [e for of in pool.map(one, names) for e in of]
     refused: dict[str, int] = {}

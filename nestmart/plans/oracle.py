@@ -367,6 +367,19 @@ SQL.update({
 SQL["json_python_literal"] = SQL["json_pyliteral"]
 
 
+def _lengths_sql(kind: str, movie: str, joins: str) -> str:
+    return f"""
+        SELECT '{kind}' AS kind, count(*) FILTER (WHERE n <= 1000) AS whole, count(*) FILTER (WHERE n > 1000) AS cut,
+               CAST(sum(n) AS BIGINT) AS elements, CAST(0 AS BIGINT) AS too_long
+        FROM (SELECT {movie} AS m, count(*) AS n FROM lineitem l {joins} GROUP BY 1)"""
+
+
+_PART, _SUPP = "JOIN part p ON l.l_partkey = p.p_partkey", "JOIN supplier s ON l.l_suppkey = s.s_suppkey"
+SQL["list_lengths"] = " UNION ALL ".join([
+    _lengths_sql("keywords", "l.l_orderkey", _PART), _lengths_sql("credits", "l.l_orderkey", f"{_PART} {_SUPP}"), _lengths_sql("hot", _HOT, _PART),
+])
+
+
 def _digest_sql() -> str:
     """Rows and digest of the 17 tables: none after the failed try, all after."""
     from ..schemas import CREATE_ORDER, TABLES

@@ -621,12 +621,33 @@ def hot_key_bridge(spark, sf_dir):
     """Keywords of a hot movie: nested in bounded chunks, exploded back."""
     t = catalog.load_tables(spark, sf_dir, ["lineitem", "part"])
     li = fn.scan_chunks(t["lineitem"], catalog.CHUNK).select(_hot_movie().alias("movie"), "l_partkey", "__nm_chunk")
+    li = fn.split_large(li, "movie", catalog.CHUNK)
     li = li.join(t["part"].select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
     nested = fn.nest_json(li, ["movie"], {"id": F.col("p_partkey"), "name": F.col("p_name")}, "keywords", catalog.CHUNK, chunk="__nm_chunk")
     _, bridge = tables.keywords(nested.withColumnRenamed("movie", "id"))
     return bridge
 
 
+def list_lengths(spark, sf_dir):
+    """Keyword and credit rows per movie and the elements they carry: one whole list for a
+    movie, several of at most ``CHUNK`` elements for the hot one."""
+    t = catalog.load_tables(spark, sf_dir)
+    hot = {**t, "lineitem": t["lineitem"].withColumn("l_orderkey", _hot_movie())}
+    out = None
+    for kind, frame, column in (
+        ("keywords", catalog.keywords_frame(t), "keywords"), ("credits", catalog.credits_frame(t), "cast"), ("hot", catalog.keywords_frame(hot), "keywords"),
+    ):
+        n = F.size(fn.parse_list(F.col(column)))
+        per = frame.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.sum(n).alias("elements"), F.max(n).alias("longest"))
+        whole = per.agg(
+            F.count_if(F.col("rows") == 1).alias("whole"), F.count_if(F.col("rows") > 1).alias("cut"),
+            F.sum("elements").alias("elements"), F.count_if(F.col("longest") > catalog.CHUNK).alias("too_long"),
+        )
+        one = whole.select(F.lit(kind).alias("kind"), "whole", "cut", "elements", "too_long")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def hot_key_ratings(spark, sf_dir):
     """``fact_rating`` when one movie holds about a third of all ratings."""
     li = _t(spark, sf_dir, "lineitem").select(_hot_movie().alias("movieId"), "l_suppkey", "l_quantity")
@@ -708,6 +729,7 @@ QUERIES: dict[str, Query] = {
         reject_sink,
         load_parse_losses,
         hot_key_bridge,
+        list_lengths,
         hot_key_ratings,
         hot_key_semi,
         *[_table_query(name) for name in _TABLE_FAMILY],

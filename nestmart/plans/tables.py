@@ -142,17 +142,15 @@ MOVIE_LISTS = {
 }
 
 
-def _lost(text: str, parsed: str) -> F.Column:
-    """Text that is there but does not parse: all of its elements are lost."""
-    there = F.col(text).isNotNull() & (F.trim(F.col(text)) != "")
-    return F.count_if(there & F.col(parsed).isNull()).alias(text)
-
-
-def _parsed(df: DataFrame, columns: list[str], mode: str, losses: Observation | None) -> DataFrame:
-    """Add ``__nm_<column>``, the parsed list of each column; ``losses`` counts per
-    column, while the rows pass, the texts that do not parse (Q6)."""
-    out = df.withColumns({f"__nm_{c}": parse_elements(F.col(c), mode) for c in columns})
-    return out.observe(losses, *[_lost(c, f"__nm_{c}") for c in columns]) if losses is not None else out
+def _with_losses(rows: DataFrame, parsed: dict[str, F.Column], lists: F.Column, losses: Observation | None) -> DataFrame:
+    """``movie_id`` and ``__nm_e``, the elements of all lists; ``losses`` counts per
+    list column, while the rows pass, the texts that are there but do not parse
+    (all of their elements are lost, Q6)."""
+    if losses is None:
+        return rows.select("movie_id", lists.alias("__nm_e"))
+    # the parse comes first in both expressions, so that it is worked out once
+    lost = [(p.isNull() & F.col(c).isNotNull() & (F.trim(F.col(c)) != "")).alias(f"__nm_lost_{c}") for c, p in parsed.items()]
+    return rows.select("movie_id", lists.alias("__nm_e"), *lost).observe(losses, *[F.count_if(f"__nm_lost_{c}").alias(c) for c in parsed])
 
 
 def _refused(raw: dict[str, tuple[F.Column, str | None]]) -> F.Column:
@@ -171,10 +169,11 @@ def movie_elements(movies: DataFrame, mode: str = "strict", losses: Observation
     def element(kind: str, id_key: str):
         return lambda m: F.struct(F.lit(kind).alias("kind"), m.getItem(id_key).alias("key"), m.getItem("name").alias("name"))
 
-    parsed = _parsed(movies.select(F.col("id").alias("movie_id"), *MOVIE_LISTS), list(MOVIE_LISTS), mode, losses)
+    parsed = {column: parse_elements(F.col(column), mode) for column in MOVIE_LISTS}
     for column, (kind, id_key, _) in MOVIE_LISTS.items():
-        lists.append(F.coalesce(F.transform(f"__nm_{column}", element(kind, id_key)), empty))
-    rows = parsed.select("movie_id", F.explode(F.concat(*lists)).alias("e")).select("movie_id", "e.kind", "e.key", "e.name")
+        lists.append(F.coalesce(F.transform(parsed[column], element(kind, id_key)), empty))
+    rows = _with_losses(movies.select(F.col("id").alias("movie_id"), *MOVIE_LISTS), parsed, F.concat(*lists), losses)
+    rows = rows.select("movie_id", F.explode("__nm_e").alias("e")).select("movie_id", "e.kind", "e.key", "e.name")
     bad = None
     for kind, id_key, id_type in MOVIE_LISTS.values():
         if id_type:
@@ -220,13 +219,15 @@ def credit_people(credits: DataFrame, mode: str = "strict", losses: Observation
     four cast/crew tables can come from one scan of the (large) credits
     files instead of four.  Element semantics are those of ``explode_json``.
     """
+    parsed = {column: parse_elements(F.col(column), mode) for column in ("cast", "crew")}
+
     def tagged(column: str, role: str):
-        return F.transform(f"__nm_{column}", lambda m: F.struct(F.lit(role).alias("role"), m.alias("m")))
+        return F.transform(parsed[column], lambda m: F.struct(F.lit(role).alias("role"), m.alias("m")))
 
     empty = F.array().cast("array<struct<role:string,m:map<string,string>>>")
     both = F.concat(F.coalesce(tagged("cast", "cast"), empty), F.coalesce(tagged("crew", "crew"), empty))
-    parsed = _parsed(credits.select(F.col("id").alias("movie_id"), "cast", "crew"), ["cast", "crew"], mode, losses)
-    rows = parsed.select("movie_id", F.explode(both).alias("p"))
+    rows = _with_losses(credits.select(F.col("id").alias("movie_id"), "cast", "crew"), parsed, both, losses)
+    rows = rows.select("movie_id", F.explode("__nm_e").alias("p"))
     m = F.col("p.m")
     return rows.select(
         "movie_id",
@@ -257,9 +258,10 @@ def people_tables(people: DataFrame, reproducible: bool = False) -> dict[str, Da
 
 def keyword_elements(raw_keywords: DataFrame, mode: str = "strict", losses: Observation | None = None) -> DataFrame:
     """``(movie_id, id, name, bad)`` per keyword element, parsed once."""
-    parsed = _parsed(raw_keywords.select(F.col("id").alias("movie_id"), "keywords"), ["keywords"], mode, losses)
+    parsed = parse_elements(F.col("keywords"), mode)
     m = F.col("m")
-    rows = parsed.select("movie_id", F.explode("__nm_keywords").alias("m"))
+    rows = _with_losses(raw_keywords.select(F.col("id").alias("movie_id"), "keywords"), {"keywords": parsed}, parsed, losses)
+    rows = rows.select("movie_id", F.explode("__nm_e").alias("m"))
     return rows.select("movie_id", safe_cast(m.getItem("id"), "bigint").alias("id"), m.getItem("name").alias("name"), _refused({"id": (m.getItem("id"), "bigint")}).alias("bad"))
 
 
