@@ -4,14 +4,13 @@ A document's ids are its tokens and one end id.  A piece of n ids costs
 ``n + n * n / quadratic`` (linear layers plus attention).  Each task packs the documents
 of its partition, so packing needs no shuffle: full sequences are cut off long
 documents first; what remains is taken in descending cost, each piece going to
-the open sequence of lowest cost that has room for it whole (of the ``look`` cheapest),
-else it is cut to fill the cheapest one and its rest goes on.  As many
+the open sequence of lowest cost that has room for it whole; if none has,
+it is cut to fill the cheapest one and its rest goes on.  As many
 sequences are opened as the remaining ids fill, so a task pads fewer than
 ``size`` ids in all.
 
 Tokens: white space separates words for this tokenizer, so the ids of a text are
-those of its words in order; each worker keeps the ids of words and word parts it has met
-(dropped when ``CACHE_WORDS`` are held) and encodes new parts together.
+those of its words in order (``word_ids``).
 
 Cases: a null or empty text is one id (the end id); very long texts are cut
 into full sequences; repeated rows are packed one by one; a null doc_id is
@@ -23,9 +22,7 @@ within it, so a task that runs again gives the same rows.
 from __future__ import annotations
 
 import heapq
-import re
 import zlib
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,87 +31,55 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_partitions
+from .textbytes import chunks
+from .word_ids import vocabulary_path, word_ids
 
 SIZE, END_ID = 2048, 1
-CACHE_WORDS = 1_000_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, cost double"
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-
-
-def vocabulary_path() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
-
-
-#: Fixed values of the tokenizer: how it parts words (ASCII forms, lower case).
-PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-#: Python parts words here, too, the tokenizer does not.
-SEPARATOR = re.compile(r"[\x1c-\x1f]")
-
-
-class Encoder:
-    """Texts to little-endian uint32 ids, by words."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _learn_parts(self, parts: list[str]) -> None:
-        """Ids of word parts, many to a call: set apart by spaces, each stays one part."""
-        for lo in range(0, len(parts), 5000):
-            some = parts[lo : lo + 5000]
-            e = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids, cuts = np.asarray(e.ids, "<u4").tobytes(), (4 * np.searchsorted(e.word_ids, np.arange(len(some) + 1))).tolist()
-            self.parts.update(zip(some, (ids[x:y] for x, y in zip(cuts, cuts[1:], strict=False)), strict=True))
-
-    def _learn(self, words: list[str]) -> None:
-        """Ids of new words: printable ASCII ones by their parts, the others whole
-        (lower case and composition, or the names of special tokens, concern all of these)."""
-        known, parts = self.known, self.parts
-        alone = {w: w.lower() for w in words if w.isascii() and w.isalpha()}
-        ascii_ = [w for w in words if w not in alone and w.isascii() and w.isprintable() and "<|" not in w]
-        cut = [PART.findall(w.lower()) for w in ascii_]
-        self._learn_parts(list({p for p in chain(alone.values(), chain.from_iterable(cut)) if p not in parts}))
-        known.update((w, parts[p]) for w, p in alone.items())
-        known.update((w, b"".join([parts[p] for p in ps])) for w, ps in zip(ascii_, cut, strict=True))
-        others = [w for w in words if w not in known]
-        for lo in range(0, len(others), 5000):
-            some = others[lo : lo + 5000]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                known[w] = np.asarray(e.ids, "<u4").tobytes()
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [WORD.findall(t) if SEPARATOR.search(t) else t.split() for t in texts]
-        known = self.known
-        fresh = set(chain.from_iterable(split)).difference(known)
-        if len(known) + len(fresh) > CACHE_WORDS:
-            known.clear()
-            fresh = set(chain.from_iterable(split))
-        if len(self.parts) > CACHE_WORDS:
-            self.parts.clear()
-        self._learn(list(fresh))
-        return [b"".join(map(known.__getitem__, ws)) for ws in split]
-
-
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """The worker's encoder: what it has met serves its later tasks, too."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
 
 
 def cost(n: int, quadratic: float) -> float:
     return n + n * n / quadratic
 
 
-def assign(lengths: np.ndarray, size: int, quadratic: float, look: int = 8) -> list[tuple[int, int, int, int, int]]:
+class OpenSequences:
+    """Sequences with room left: a heap by cost for every amount of room, and a
+    tree over the amounts that knows the cheapest of each range."""
+
+    def __init__(self, size: int, sequences: range):
+        self.width = 1 << size.bit_length()
+        self.heaps: list[list] = [[] for _ in range(size + 1)]
+        self.heaps[size] = [(0.0, s) for s in sequences]
+        self.best = [(float("inf"), 0, 0)] * (2 * self.width)
+        self._renew(size)
+
+    def _renew(self, room: int) -> None:
+        heap, best, i = self.heaps[room], self.best, room + self.width
+        best[i] = (*heap[0], room) if heap else (float("inf"), 0, 0)
+        while i > 1:
+            i >>= 1
+            best[i] = min(best[2 * i], best[2 * i + 1])
+
+    def take(self, room: int) -> tuple[float, int, int] | None:
+        """Remove the cheapest sequence with at least so much room: (cost, sequence, room)."""
+        i = room + self.width
+        found = self.best[i]
+        while i > 1:
+            if not i & 1:
+                found = min(found, self.best[i + 1])
+            i >>= 1
+        if not found[2]:
+            return None
+        heapq.heappop(self.heaps[found[2]])
+        self._renew(found[2])
+        return found
+
+    def put(self, spent: float, sequence: int, room: int) -> None:
+        heapq.heappush(self.heaps[room], (spent, sequence))
+        self._renew(room)
+
+
+def assign(lengths: np.ndarray, size: int, quadratic: float) -> list[tuple[int, int, int, int, int]]:
     """(document, start, length, sequence, offset) of all pieces."""
     pieces, sequence, rest = [], 0, []
     for d, n in enumerate(lengths.tolist()):
@@ -127,24 +92,14 @@ def assign(lengths: np.ndarray, size: int, quadratic: float, look: int = 8) -> l
             rest.append((n - start, d, start))
     rest.sort(key=lambda x: (-x[0], x[1]))
     opened = -(-sum(x[0] for x in rest) // size)
-    heap = [(0.0, sequence + i, 0) for i in range(opened)]
+    free = OpenSequences(size, range(sequence, sequence + opened))
     for n, d, start in rest:
         while n:
-            tried = []
-            while heap and len(tried) < look and heap[0][2] + n > size:
-                tried.append(heapq.heappop(heap))
-            if heap and heap[0][2] + n <= size:
-                spent, s, used = heapq.heappop(heap)
-            else:
-                if not tried:
-                    tried.append(heapq.heappop(heap))
-                spent, s, used = tried.pop(0)
-            for x in tried:
-                heapq.heappush(heap, x)
-            take = min(n, size - used)
-            pieces.append((d, start, take, s, used))
-            if used + take < size:
-                heapq.heappush(heap, (spent + cost(take, quadratic), s, used + take))
+            spent, s, room = free.take(n) or free.take(1)  # whole if it fits anywhere, else cut
+            take = min(n, room)
+            pieces.append((d, start, take, s, size - room))
+            if take < room:
+                free.put(spent + cost(take, quadratic), s, room - take)
             start += take
             n -= take
     return pieces
@@ -157,7 +112,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, size: int = SIZE, e
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encode, partition, sequences = encoder(path), TaskContext.get().partitionId(), 0
+        encode, partition, sequences = word_ids(path), TaskContext.get().partitionId(), 0
         ids: list = []
         bodies: list[bytes] = []
         held = 0
@@ -177,12 +132,13 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, size: int = SIZE, e
             held = 0
 
         for batch in batches:
-            rows = iter(zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True))
-            while part := list(islice(rows, 256)):
-                for (doc_id, _), body in zip(part, encode([t.as_py() or "" for _, t in part]), strict=True):
+            for rows in chunks(batch.column("text")):
+                found, counts = encode(rows)
+                body, at = found.tobytes(), np.concatenate([[0], 4 * np.cumsum(counts)]).tolist()
+                for doc_id, x, y in zip(batch.column("doc_id").slice(rows.lo, rows.rows).to_pylist(), at, at[1:], strict=False):
                     ids.append(doc_id)
-                    bodies.append(body + end)
-                    held += len(body) // 4 + 1
+                    bodies.append(body[x:y] + end)
+                    held += (y - x) // 4 + 1
                     if held >= group_ids:
                         yield from flush()
         if bodies:

@@ -13,6 +13,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from nestmart.llm import components, decontaminate, langid, line_dedup, order_minhash, packing, perplexity, pii, suffix_dedup, toxicity, warc
@@ -50,6 +51,36 @@ def _texts(df):
     return {r.doc_id: r.text for r in df.collect() if r.doc_id is not None}
 
 
+def _plain_assign(lengths, size, quadratic):
+    """Descending pieces, each looked up among all open sequences."""
+    pieces, rest, used, spent = [], [], {}, {}
+    for d, n in enumerate(lengths):
+        for start in range(0, n - n % size, size):
+            pieces.append((d, start, size, len(pieces), 0))
+        if n % size:
+            rest.append((n % size, d, n - n % size))
+    full = len(pieces)
+    for s in range(full, full - (-sum(n for n, _, _ in rest) // size)):
+        used[s], spent[s] = 0, 0.0
+    for n, d, start in sorted(rest, key=lambda x: (-x[0], x[1])):
+        while n:
+            room = [s for s in used if size - used[s] >= n] or [s for s in used if used[s] < size]
+            s = min(room, key=lambda s: (spent[s], s))
+            take = min(n, size - used[s])
+            pieces.append((d, start, take, s, used[s]))
+            used[s] += take
+            spent[s] += take + take * take / quadratic
+            start, n = start + take, n - take
+    return pieces
+
+
+def test_packing_takes_the_cheapest_sequence_with_room():
+    rng = np.random.default_rng(4)
+    for size, mean in ((16, 1.5), (64, 3.0), (2048, 5.0)):
+        lengths = np.maximum(1, rng.lognormal(mean, 1.0, 400).astype(np.int64))
+        assert packing.assign(lengths, size, 1024.0) == _plain_assign(lengths.tolist(), size, 1024.0)
+
+
 def test_substring_dedup(spark, odd, empty):
     for hot in (20_000, 1):
         got = {r.doc_id: r for r in suffix_dedup.remove(odd, *suffix_dedup.find_repeats(odd, hot=hot)).collect() if r.doc_id is not None}
@@ -189,7 +220,7 @@ def test_kneser_ney_sums_to_one():
 
 def test_packing(spark, odd, empty):
     rows = packing.op5_packing(odd).toPandas()
-    encode = packing.Encoder(packing.vocabulary_path()).tokenizer
+    encode = Tokenizer.from_file(packing.vocabulary_path())
     for i, t in _texts(odd).items():
         ids = np.array(encode.encode(t or "", add_special_tokens=False).ids + [1], "<u4")
         mine = rows[rows.doc_id == i].drop_duplicates(["start"]).sort_values("start")
