@@ -15,8 +15,12 @@ tokens than the 64-bit parity maps of both sets do (a lower bound).  Entries are
 dealt out by prefix token as packed arrays; a token with more lines than
 ``block`` is split into blocks that meet pair by pair.
 
-Candidates are verified on their token sets.  Equal sets are one set, so copies
-never pair up; a set's links give the earliest similar line.
+Equal sets are one set, so copies never pair up.  Candidate pairs of *light*
+groups (at most ``light`` for each entry) are verified on their token sets.  A
+*heavy* group, such as many near copies, is not paired out: its token sets are
+brought together in order of first occurrence, and each is held against earlier ones
+until the first similar one is found.  Either way a set learns the first
+line similar to it.
 
 Cases: lines without a word are kept and never match; null and empty texts have
 no lines; rows that repeat a doc_id are taken as repeats of one row; rows with
@@ -32,15 +36,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import map_batches, map_partitions, stored
+from .common import map_batches, map_partitions, ship, stored
+from .memo import spread
 
 BUCKETS = 1 << 18
 FEED = np.zeros(256, bool)
 FEED[0x0A] = True
 
 
-#: Token identity: the upper 44 bits of its hash.
-DROP = np.uint64(20)
+RUN_BYTES = 1 << 19
+
+
+def _within_lines(line: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Order by line, then value: one sort by the upper 44 bits where lines are few
+    enough, then the rare ties by all bits."""
+    if len(line) and line[-1] < 1 << 20:
+        key = (line.astype(np.uint64) << np.uint64(44)) | (value >> np.uint64(20))
+        order = np.argsort(key, kind="stable")
+        tie = (key[order][1:] == key[order][:-1]) & (value[order][1:] != value[order][:-1])
+        if not tie.any():
+            return order
+    return np.lexsort((value, line))
 
 
 class _Lines:
@@ -57,13 +73,8 @@ class _Lines:
         at = np.flatnonzero(new)
         self.row = w.row[at]
         self.number = line[at] - feeds[chunk.offsets[:-1]][self.row]
-        h = w.hashes >> DROP
-        if len(at) < 1 << 20:  # line and token fit one number: sort values
-            both = np.sort((l_of.astype(np.uint64) << np.uint64(44)) | h)
-            h, l_of = both & np.uint64((1 << 44) - 1), (both >> np.uint64(44)).astype(np.int64)
-        else:
-            order = np.lexsort((h, l_of))
-            h, l_of = h[order], l_of[order]
+        order = _within_lines(l_of, w.hashes)
+        h, l_of = w.hashes[order], l_of[order]
         keep = np.ones(len(h), bool)
         keep[1:] = (h[1:] != h[:-1]) | (l_of[1:] != l_of[:-1])
         self.token, self.line = h[keep], l_of[keep]
@@ -95,7 +106,7 @@ def scan(docs: DataFrame) -> DataFrame:
     def run(batches):
         table = np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for chunk in tb.chunks(batch.column("text")):
+            for chunk in tb.chunks(batch.column("text"), RUN_BYTES):
                 ls = _Lines(chunk)
                 table += np.bincount((ls.token % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
                 ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[chunk.lo : chunk.hi]
@@ -140,20 +151,16 @@ def index(docs: DataFrame, table: np.ndarray, threshold: float, block: int, part
             yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([entries[order[cuts[p] : cuts[p + 1]]].tobytes() for p in full], pa.binary())], ["part", "entries"])
 
         for batch in batches:
-            for chunk in tb.chunks(batch.column("text")):
+            for chunk in tb.chunks(batch.column("text"), RUN_BYTES):
                 ls = _Lines(chunk)
                 if not len(ls.size):
                     continue
                 h1, h2 = ls.names()
                 parity = np.bitwise_xor.reduceat(np.uint64(1) << (tb.mix(ls.token) >> np.uint64(58)), ls.first[:-1])
                 bucket = (ls.token % np.uint64(BUCKETS)).astype(np.int64)
-                ranked = (rank[bucket] << np.uint64(36)) | (ls.token >> np.uint64(8))
+                ranked = (rank[bucket] << np.uint64(56)) | (ls.token >> np.uint64(8))  # names and orders prefix tokens; a tie only adds candidates
                 df = counts[bucket]
-                if len(ls.size) < 1 << 20:
-                    # the bucket of a token is not part of its rank: carry it by sorting places
-                    order = np.argsort((ls.line.astype(np.uint64) << np.uint64(44)) | ranked)
-                else:
-                    order = np.lexsort((ranked, ls.line))
+                order = _within_lines(ls.line, ranked)
                 pos = np.arange(len(ranked)) - ls.first[ls.line]
                 size = ls.size[ls.line]
                 ok = np.flatnonzero((pos < size - np.ceil(threshold * size - 1e-9) + 1) & (size + 1 >= smallest - 1e-9))
@@ -169,7 +176,7 @@ def index(docs: DataFrame, table: np.ndarray, threshold: float, block: int, part
                 e["pos"] = np.minimum(pos[ok], 65535)[at]
                 held.append(e)
                 count += len(e)
-                if count > 1 << 20:
+                if count > 1 << 19:
                     yield from flush()
                     held, count = [], 0
         if held:
@@ -178,8 +185,10 @@ def index(docs: DataFrame, table: np.ndarray, threshold: float, block: int, part
     return map_partitions(docs.select("text"), run, "part int, entries binary")
 
 
-def candidates(entries: np.ndarray, threshold: float, at_once: int = 1 << 18):
-    """Pairs of entry numbers that pass all filters, in bounded runs."""
+def candidates(entries: np.ndarray, threshold: float, light: int, at_once: int = 1 << 18):
+    """Pairs of entry numbers that pass all filters, in bounded runs, and in the
+    end, as one array, the entries of heavy groups: those with more than ``light`` pairs
+    for each entry.  Of a heavy group no pair is needed."""
     order = np.argsort((entries["group"].astype(np.uint64) << np.uint64(32)) | entries["size"])
     e = entries[order]
     group, size, place = e["group"], e["size"].astype(np.int64), e["pos"].astype(np.int64)
@@ -188,11 +197,15 @@ def candidates(entries: np.ndarray, threshold: float, at_once: int = 1 << 18):
     key = run * span + size
     stop = np.searchsorted(key, run * span + np.floor(size / threshold + 1e-9).astype(np.int64), "right")
     partners = stop - np.arange(len(e)) - 1
+    members = np.bincount(run) if len(e) else np.zeros(0, np.int64)
+    passed, heavy = np.zeros(len(members), np.int64), np.zeros(len(members), bool)
     total = np.concatenate([[0], np.cumsum(partners)])
     lo = 0
     while lo < len(e):
         hi = max(lo + 1, int(np.searchsorted(total, total[lo] + at_once, "right")) - 1)
         for part in range(0, int(total[hi] - total[lo]), at_once):  # one entry may have more partners than that
+            if heavy[run[lo]] and heavy[run[hi - 1]] and run[lo] == run[hi - 1]:
+                break
             k = np.arange(part, min(part + at_once, int(total[hi] - total[lo]))) + total[lo]
             i = np.searchsorted(total, k, "right") - 1
             j = i + 1 + (k - total[i])
@@ -200,22 +213,44 @@ def candidates(entries: np.ndarray, threshold: float, at_once: int = 1 << 18):
             ok = np.minimum(size[i] - place[i], size[j] - place[j]) >= need
             ok &= np.bitwise_count(e["parity"][i] ^ e["parity"][j]) <= size[i] + size[j] - 2 * need
             ok &= (e["h1"][i] != e["h1"][j]) | (e["h2"][i] != e["h2"][j])
-            yield order[i[ok]], order[j[ok]]
+            i, j = i[ok], j[ok]
+            passed += np.bincount(run[i], minlength=len(passed))
+            heavy = passed > light * members
+            keep = ~heavy[run[i]]
+            yield order[i[keep]], order[j[keep]]
         lo = hi
+        if lo < len(e) and heavy[run[lo]]:  # the rest of a heavy group
+            lo = int(np.searchsorted(run, run[lo], "right"))
+    yield (order[heavy[run]] if len(e) else np.zeros(0, np.int64)), None
+
+
+PAIRS = "gid long, a1 long, a2 int, b1 long, b2 int"
+
+
+def _pairs(packed: DataFrame, threshold: float, light: int) -> DataFrame:
+    """Candidate pairs (a, b), and the members a of heavy groups (``gid``; b null)."""
+    names = [c.split()[0] for c in PAIRS.split(", ")]
 
+    def rows(gid, a, b):
+        n = len(a)
+        other = [pa.array(b["h1"]), pa.array(b["h2"])] if b is not None else [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())]
+        gid = pa.nulls(n, pa.int64()) if gid is None else pa.array(gid, pa.int64())
+        return pa.RecordBatch.from_arrays([gid, pa.array(a["h1"]), pa.array(a["h2"]), *other], names)
 
-def _pairs(packed: DataFrame, threshold: float) -> DataFrame:
     def run(batches):
         blobs = [x.as_py() for b in batches for x in b.column("entries")]
         entries = _once(np.frombuffer(b"".join(blobs), ENTRY))
-        for i, j in candidates(entries, threshold):
-            a, b = entries[i], entries[j]
+        del blobs
+        for i, j in candidates(entries, threshold, light):
+            a = entries[i]
+            if j is None:
+                yield rows(a["group"].astype(np.int64), a, None)
+                continue
+            b = entries[j]
             swap = (a["h1"] > b["h1"]) | ((a["h1"] == b["h1"]) & (a["h2"] > b["h2"]))
-            a, b = np.where(swap, b, a), np.where(swap, a, b)
-            both = np.unique(np.stack([a["h1"], a["h2"].astype(np.int64), b["h1"], b["h2"].astype(np.int64)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(both, (pa.int64(), pa.int32()) * 2, strict=True)], ["a1", "a2", "b1", "b2"])
+            yield rows(None, np.where(swap, b, a), np.where(swap, a, b))
 
-    return map_partitions(packed.select("entries"), run, "a1 long, a2 int, b1 long, b2 int")
+    return map_partitions(packed.select("entries"), run, PAIRS)
 
 
 FILTER = 1 << 22
@@ -232,11 +267,11 @@ def _token_sets(docs: DataFrame, ends: DataFrame) -> DataFrame:
     def run(batches):
         taken, seen = np.unpackbits(sent.value).astype(bool), set()
         for batch in batches:
-            for chunk in tb.chunks(batch.column("text")):
+            for chunk in tb.chunks(batch.column("text"), RUN_BYTES):
                 ls = _Lines(chunk)
                 h1, h2 = ls.names()
                 pick = [x for x in np.flatnonzero(taken[h1 % FILTER]).tolist() if h1[x] not in seen]
-                if len(seen) < 1 << 20:  # only spares repeats
+                if len(seen) < 1 << 16:  # only spares repeats
                     seen.update(h1[pick].tolist())
                 yield pa.RecordBatch.from_arrays([pa.array(h1[pick]), pa.array(h2[pick]), pa.array([ls.token[ls.first[x] : ls.first[x + 1]].tobytes() for x in pick], pa.binary())], ["h1", "h2", "tokens"])
 
@@ -270,9 +305,62 @@ def _verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return map_batches(joined, step, "a1 long, a2 int, b1 long, b2 int")
 
 
-def find_lines(docs: DataFrame, threshold: float = 0.8, block: int = 200_000) -> tuple[DataFrame, DataFrame]:
-    """Lines that match another (doc_id, number, removed, n_links: different token
-    sets similar to the line's), and (doc_id, n_lines) of every document."""
+def earliest_similar(sets: list[np.ndarray], threshold: float, at_once: int = 1 << 22) -> np.ndarray:
+    """For each of many token sets, given by their order of first occurrence, the number of
+    the first one before it that is similar (-1: none)."""
+    n = len(sets)
+    out = np.full(n, -1, np.int64)
+    if n < 2:
+        return out
+    size = np.array([len(x) for x in sets])
+    names, token = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(size)
+    left, lo, step = np.arange(1, n), 0, 16
+    while len(left):  # all sets that are left against sets lo .. lo + step
+        hi = min(lo + step, n)
+        mine = token[ends[lo] - size[lo] : ends[hi - 1]]
+        used, column = np.unique(mine, return_inverse=True)
+        slot = np.full(len(names), len(used))
+        slot[used] = np.arange(len(used))
+        block = np.zeros((hi - lo, len(used) + 1), bool)  # the last column: tokens of none of these sets
+        block[np.repeat(np.arange(hi - lo), size[lo:hi]), column] = True
+        done = np.zeros(len(left), bool)
+        some_at_once = max(1, at_once // ((hi - lo) * max(1, int(size.max()))))
+        for at in range(0, len(left), some_at_once):
+            some = left[at : at + some_at_once]
+            lengths = size[some]
+            where = spread(ends[some] - lengths, lengths)
+            overlap = np.add.reduceat(block[:, slot[token[where]]], np.cumsum(lengths) - lengths, axis=1, dtype=np.int64)
+            similar = overlap >= threshold * (size[lo:hi, None] + lengths - overlap) - 1e-9
+            similar &= np.arange(lo, hi)[:, None] < some
+            hit = similar.any(0)
+            out[some[hit]] = lo + similar[:, hit].argmax(0)
+            done[at : at + len(some)] = hit
+        left = left[~done & (left > hi)]
+        lo, step = hi, min(2 * step, 512)
+    return out
+
+
+def _heavy_links(members: DataFrame, sets: DataFrame, firsts: DataFrame, threshold: float) -> DataFrame:
+    """``h1, h2, other``: of each member of a heavy group the first similar set before it.
+    A group has at most two blocks of lines."""
+    ship(members.sparkSession)
+    rows = members.join(sets, ["h1", "h2"]).join(firsts, ["h1", "h2"]).select("gid", "h1", "h2", "tokens", F.col("first.doc_id").alias("doc_id"), F.col("first.number").alias("number"))
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("doc_id", "ascending"), ("number", "ascending")])
+        other = earliest_similar([np.frombuffer(x, np.uint64) for x in group["tokens"].to_pylist()], threshold)
+        at = np.flatnonzero(other >= 0)
+        of, to = group.take(pa.array(at)), group.take(pa.array(other[at]))
+        return pa.table([of["h1"], of["h2"], to["doc_id"], to["number"]], names=["h1", "h2", "doc_id", "number"])
+
+    found = rows.groupBy("gid").applyInArrow(run, "h1 long, h2 int, doc_id long, number int")
+    return found.select("h1", "h2", F.struct("doc_id", "number").alias("other"))
+
+
+def find_lines(docs: DataFrame, threshold: float = 0.8, block: int = 200_000, light: int = 8) -> tuple[DataFrame, DataFrame]:
+    """Lines that go (doc_id, number, and ``cut``, the first line that they match), and
+    (doc_id, n_lines) of every document."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
     scanned = stored(scan(docs), "lines")
@@ -282,38 +370,49 @@ def find_lines(docs: DataFrame, threshold: float = 0.8, block: int = 200_000) ->
         table[r["doc_id"]] = r["n"]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(table.sum() // 8_000_000))
     packed = index(docs, table, threshold, block, parts)
-    pairs = stored(_pairs(packed.repartition(parts, "part"), threshold).distinct(), "line-pairs")
-    ends = pairs.select(F.col("a1").alias("h1"), F.col("a2").alias("h2")).unionAll(pairs.select("b1", "b2")).distinct()
-    links = stored(_verify(pairs, _token_sets(docs, ends), threshold), "line-links")
-    both = links.unionAll(links.select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2")))
-    linked = both.select(F.col("a1").alias("h1"), F.col("a2").alias("h2"), F.lit(True).alias("linked")).distinct()
+    found = stored(_pairs(packed.repartition(parts, "part"), threshold, light).distinct(), "line-pairs")
+    pairs = found.where("gid IS NULL").select("a1", "a2", "b1", "b2")
+    members = found.where("gid IS NOT NULL").select("gid", F.col("a1").alias("h1"), F.col("a2").alias("h2"))
+    ends = pairs.select(F.col("a1").alias("h1"), F.col("a2").alias("h2")).unionAll(pairs.select("b1", "b2")).unionAll(members.select("h1", "h2")).distinct()
+    ends = stored(ends, "line-ends")
+    sets = stored(_token_sets(docs, ends), "line-tokens")
     first = F.min(F.struct("doc_id", "number")).alias("first")
-    sets = lines.groupBy("h1", "h2").agg(first, F.count("*").alias("n")).join(linked, ["h1", "h2"], "left")
-    sets = stored(sets.where("n > 1 OR linked").select("h1", "h2", "first"), "line-sets")
-    firsts = sets.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("first").alias("other"))
-    best = both.join(firsts, ["b1", "b2"]).groupBy(F.col("a1").alias("h1"), F.col("a2").alias("h2")).agg(F.min("other").alias("other"), F.count("*").alias("n_links"))
-    cut = sets.join(best, ["h1", "h2"], "left")
-    cut = cut.select("h1", "h2", F.least("first", F.coalesce("other", "first")).alias("cut"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    every = lines.groupBy("h1", "h2").agg(first, F.count("*").alias("n")).join(ends.withColumn("linked", F.lit(True)), ["h1", "h2"], "left")
+    every = stored(every.where("n > 1 OR linked").select("h1", "h2", "first", "linked"), "line-sets")
+    firsts = every.where("linked").select("h1", "h2", "first")
+    links = _verify(pairs, sets, threshold)
+    side = lambda x: firsts.select(F.col("h1").alias(x + "1"), F.col("h2").alias(x + "2"), F.col("first").alias("f" + x))
+    links = links.join(side("a"), ["a1", "a2"]).join(side("b"), ["b1", "b2"])
+    a_later = F.col("fa") > F.col("fb")
+    later = lambda k: F.when(a_later, F.col("a" + k)).otherwise(F.col("b" + k)).alias("h" + k)
+    links = links.select(later("1"), later("2"), F.least("fa", "fb").alias("other"))
+    links = links.unionAll(_heavy_links(members, sets, firsts, threshold))
+    best = links.groupBy("h1", "h2").agg(F.min("other").alias("other"))
+    cut = every.join(best, ["h1", "h2"], "left").select("h1", "h2", F.least("first", F.coalesce("other", "first")).alias("cut"))
     here = F.struct("doc_id", "number")
-    found = lines.join(cut, ["h1", "h2"]).select("doc_id", "number", (here > F.col("cut")).alias("removed"), "n_links")
-    return stored(found, "line-matches"), scanned.where("kind = 2").groupBy("doc_id").agg(F.max("h1").alias("n_lines"))
+    gone = lines.join(cut, ["h1", "h2"]).where(here > F.col("cut")).select("doc_id", "number", "cut")
+    return stored(gone, "line-matches"), scanned.where("kind = 2").groupBy("doc_id").agg(F.max("h1").alias("n_lines"))
 
 
 def by_document(docs: DataFrame, found: DataFrame, counts: DataFrame) -> DataFrame:
-    """doc_id, n_lines, n_removed, n_links, removed_lines (sorted numbers) of every document."""
-    gone = F.sort_array(F.collect_set(F.when(F.col("removed"), F.col("number")))).alias("removed_lines")  # bounded by the document
-    links = F.aggregate(F.collect_set(F.struct("number", "n_links")), F.lit(0).cast("long"), lambda a, x: a + x["n_links"]).alias("n_links")
-    per = counts.join(found.groupBy("doc_id").agg(links, gone), "doc_id", "left")
+    """doc_id, n_lines, n_removed, removed_lines (sorted numbers), first_lines (of each
+    removed line the first line that it matches, ``doc_id:number``) and n_followers
+    (lines anywhere whose first match is in this document) of every document."""
+    found = found.distinct()  # rows that repeat a doc_id
+    lists = F.sort_array(F.collect_list(F.struct("number", F.concat_ws(":", "cut.doc_id", "cut.number").alias("first")))).alias("gone")  # bounded by the document
+    followers = found.groupBy(F.col("cut.doc_id").alias("doc_id")).agg(F.count("*").alias("n_followers"))
+    per = counts.join(found.groupBy("doc_id").agg(lists), "doc_id", "left").join(followers, "doc_id", "left")
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(per, "doc_id", "left")
-    gone = F.coalesce(F.col("removed_lines"), F.array().cast("array<int>"))
+    none = lambda kind: F.array().cast(f"array<{kind}>")
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long"))
-    return out.select("doc_id", zero(F.col("n_lines")).alias("n_lines"), F.size(gone).cast("long").alias("n_removed"), zero(F.col("n_links")).alias("n_links"), gone.alias("removed_lines"))
+    numbers, firsts = F.coalesce(F.col("gone.number"), none("int")), F.coalesce(F.col("gone.first"), none("string"))
+    return out.select("doc_id", zero(F.col("n_lines")).alias("n_lines"), F.size(numbers).cast("long").alias("n_removed"), numbers.alias("removed_lines"), firsts.alias("first_lines"), zero(F.col("n_followers")).alias("n_followers"))
 
 
 def drop_lines(docs: DataFrame, found: DataFrame, counts: DataFrame) -> DataFrame:
     """Documents without their removed lines; a document that loses all its lines
     goes.  ``text`` (and ``n_chars``, if there is one) change, all columns stay."""
-    gone = found.where("removed").groupBy("doc_id").agg(F.collect_set("number").alias("_gone")).join(counts, "doc_id")
+    gone = found.groupBy("doc_id").agg(F.collect_set("number").alias("_gone")).join(counts, "doc_id")
     gone = gone.select(F.col("doc_id").alias("_id"), "_gone", (F.size("_gone") >= F.col("n_lines")).alias("_all"))
     joined = docs.join(gone, F.col("doc_id") == F.col("_id"), "left")
     joined = joined.where(~F.coalesce("_all", F.lit(False)))
@@ -324,7 +423,7 @@ def drop_lines(docs: DataFrame, found: DataFrame, counts: DataFrame) -> DataFram
 
 def op6_line_dedup(docs: DataFrame) -> DataFrame:
     out = by_document(docs, *find_lines(docs))
-    return out.withColumn("removed_lines", F.array_join("removed_lines", ","))
+    return out.withColumns({c: F.array_join(c, ",") for c in ("removed_lines", "first_lines")})
 
 
 SQL = r"""
@@ -339,11 +438,14 @@ prefix AS (SELECT * FROM ranked WHERE pos <= n - ((4 * n + 4) // 5) + 1),
 pairs AS (SELECT DISTINCT a.sid AS a, b.sid AS b FROM prefix a JOIN prefix b ON a.w = b.w AND a.sid < b.sid AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n),
 links AS (SELECT a, b FROM (SELECT p.a, p.b, len(list_intersect(x.ws, y.ws)) AS o, len(x.ws) AS m, len(y.ws) AS n FROM pairs p JOIN sets x ON x.sid = p.a JOIN sets y ON y.sid = p.b) WHERE 5 * o >= 4 * (m + n - o)),
 mirrored AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-best AS (SELECT a AS sid, min(s.first) AS other, count(*) AS n_links FROM mirrored JOIN sets s ON s.sid = mirrored.b GROUP BY a),
+best AS (SELECT a AS sid, min(s.first) AS other FROM mirrored JOIN sets s ON s.sid = mirrored.b GROUP BY a),
 judged AS (
-  SELECT w.doc_id, w.number, coalesce(n_links, 0) AS n_links, row(w.doc_id, w.number) > s.first OR coalesce(row(w.doc_id, w.number) > other, false) AS removed
-  FROM worded w JOIN sets s USING (ws) LEFT JOIN best USING (sid))
-SELECT d.doc_id, count(j.doc_id) AS n_lines, count(*) FILTER (WHERE removed) AS n_removed, CAST(coalesce(sum(n_links), 0) AS BIGINT) AS n_links,
-  coalesce(string_agg(number, ',' ORDER BY number) FILTER (WHERE removed), '') AS removed_lines
-FROM documents d LEFT JOIN judged j ON j.doc_id = d.doc_id GROUP BY d.doc_id
+  SELECT w.doc_id, w.number, CASE WHEN other < s.first THEN other ELSE s.first END AS cut
+  FROM worded w JOIN sets s USING (ws) LEFT JOIN best USING (sid)),
+gone AS (SELECT doc_id, number, struct_extract(cut, 1) AS cut_doc, struct_extract(cut, 2) AS cut_number FROM judged WHERE row(doc_id, number) > cut),
+lists AS (SELECT doc_id, count(*) AS n, string_agg(number, ',' ORDER BY number) AS numbers, string_agg(cut_doc || ':' || cut_number, ',' ORDER BY number) AS firsts FROM gone GROUP BY doc_id)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_lines, coalesce(l.n, 0) AS n_removed, coalesce(l.numbers, '') AS removed_lines,
+  coalesce(l.firsts, '') AS first_lines, coalesce(f.n, 0) AS n_followers
+FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n FROM worded GROUP BY doc_id) c ON c.doc_id = d.doc_id
+LEFT JOIN lists l ON l.doc_id = d.doc_id LEFT JOIN (SELECT cut_doc, count(*) AS n FROM gone GROUP BY cut_doc) f ON f.cut_doc = d.doc_id
 """

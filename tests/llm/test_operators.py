@@ -165,15 +165,37 @@ def test_line_dedup_against_sql(spark, odd, empty):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_SMALL}/documents.parquet'")
     want = sorted(map(tuple, con.execute(line_dedup.SQL).fetchall()))
-    for block in (200_000, 3):  # 3: nearly all tokens are split into blocks
-        found = line_dedup.by_document(docs, *line_dedup.find_lines(docs, block=block))
-        assert sorted((r.doc_id, r.n_lines, r.n_removed, r.n_links, ",".join(map(str, r.removed_lines))) for r in found.collect()) == want
+    for block, light in ((200_000, 8), (3, 8), (200_000, 0)):  # 3: nearly all tokens are split into blocks; 0: every group is heavy
+        found = line_dedup.by_document(docs, *line_dedup.find_lines(docs, block=block, light=light))
+        assert sorted((r.doc_id, r.n_lines, r.n_removed, ",".join(map(str, r.removed_lines)), ",".join(r.first_lines), r.n_followers) for r in found.collect()) == want
     assert line_dedup.op6_line_dedup(odd).count() == odd.count()
     kept = line_dedup.drop_lines(odd, *line_dedup.find_lines(odd))
     assert kept.columns == odd.columns and 2 not in _texts(kept) and 4 in _texts(kept)
     assert line_dedup.op6_line_dedup(empty).count() == 0
 
 
+def test_near_copies_of_a_line_are_not_paired_out(spark):
+    rng = random.Random(9)
+    words = ["w%d" % i for i in range(20)]
+    rows = []
+    for i in range(800):
+        line = words.copy()
+        line[rng.randrange(20)] = f"x{i}"
+        rows.append((i, " ".join(line) + f"\nalone {i} b{i} c{i} d{i} e{i}", "en"))
+    docs = _docs(spark, rows)
+    packed = line_dedup.index(docs.select("text"), np.ones(line_dedup.BUCKETS, np.int64), 0.8, 200_000, 4)
+    assert line_dedup._pairs(packed.repartition(4, "part"), 0.8, 8).distinct().count() < 40_000
+    sets = {i: set(t.split("\n")[0].split()) for i, t, _ in rows}
+    got = {(r.doc_id, r.number): (r.cut.doc_id, r.cut.number) for r in line_dedup.find_lines(docs)[0].collect()}
+    want = {}
+    for i in range(800):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                want[i, 0] = (j, 0)
+                break
+    assert got == want
+
+
 def test_quality_counts(spark, odd, empty):
     docs = odd.where("doc_id IS NOT NULL").unionAll(_docs(spark, [(20, "a b c a b c # x\nline\nline\n \n[*$]" + " z" * 60, "en"), (21, "é ñ è", "fr")]))
     got = {r.doc_id: r for r in perplexity.op8_quality_rules(docs).collect()}
