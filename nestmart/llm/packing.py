@@ -35,6 +35,7 @@ from .textbytes import chunks
 from .word_ids import vocabulary_path, word_ids
 
 SIZE, END_ID = 2048, 1
+WORDS_KEPT = 500_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, cost double"
 
 
@@ -112,7 +113,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, size: int = SIZE, e
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encode, partition, sequences = word_ids(path), TaskContext.get().partitionId(), 0
+        encode, partition, sequences = word_ids(path, WORDS_KEPT), TaskContext.get().partitionId(), 0
         ids: list = []
         bodies: list[bytes] = []
         held = 0

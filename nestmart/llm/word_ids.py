@@ -18,7 +18,7 @@ from .textbytes import SPACE, Chunk, words
 #: Fixed values of the tokenizer: how it parts words of these letters (lower case, composed), and which words these are.
 SIMPLE = re.compile(r"[!-~À-ÖØ-öø-įı-ɏ]+")
 PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[^a-z0-9ß-öø-ɏ]+")
-PARTS_KEPT, PER_CALL = 400_000, 500
+PER_CALL = 500
 
 
 def vocabulary_path() -> str:
@@ -28,7 +28,9 @@ def vocabulary_path() -> str:
 
 
 class WordIds:
-    def __init__(self, path: str):
+    """``entries`` bounds the words kept (parts: a fifth of it); what is dropped is encoded anew."""
+
+    def __init__(self, path: str, entries: int = 2_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
@@ -37,7 +39,7 @@ class WordIds:
         self.size = max(vocabulary.values()) + 1
         self.closing = np.zeros(self.size, bool)  # the last id of a part
         self.closing[[i for s, i in vocabulary.items() if s.endswith("</w>")]] = True
-        self.memo = Memo([np.uint32])
+        self.memo, self.parts_kept = Memo([np.uint32], entries), entries // 5
         self.parts: dict[str, bytes] = {}
 
     def _learn_parts(self, parts: list[str]) -> None:
@@ -61,7 +63,7 @@ class WordIds:
                 cut.append(None)  # names of special tokens, other scripts: whole
             else:
                 cut.append([low] if w.isascii() and w.isalpha() else PART.findall(low))
-        if len(self.parts) > PARTS_KEPT:
+        if len(self.parts) > self.parts_kept:
             self.parts = {}
         parts = self.parts
         self._learn_parts(list({p for p in joined.from_iterable(c for c in cut if c) if p not in parts}))
@@ -89,11 +91,11 @@ class WordIds:
         return ids, np.diff(ends)
 
 
-_ready: dict[str, WordIds] = {}
+_ready: dict[tuple[str, int], WordIds] = {}
 
 
-def word_ids(path: str) -> WordIds:
+def word_ids(path: str, entries: int = 2_000_000) -> WordIds:
     """The worker's encoder: what it has met serves its later tasks, too."""
-    if path not in _ready:
-        _ready[path] = WordIds(path)
-    return _ready[path]
+    if (path, entries) not in _ready:
+        _ready[path, entries] = WordIds(path, entries)
+    return _ready[path, entries]
