@@ -4,16 +4,17 @@ softmax, trained by stochastic gradient descent in numpy.
 Every byte 2-, 3- and 4-gram of a text (ASCII case folded, everything between words
 one blank) falls into one of ``BUCKETS`` hashed buckets; a text is the mean
 of its buckets' embeddings, a linear layer and a softmax give the languages.
-The model is fitted on a bounded sample of at most ``per_lang`` documents per
-language and ``max_langs`` languages (the lowest hashes of doc_id among the rows
-to learn from, so it does not depend on partitioning); a fifth of them are held back to fit
+The model is fitted on a bounded sample of at most ``per_lang`` different documents per
+language (the lowest hashes of doc_id among the rows to learn from, so it does not
+depend on partitioning), and fewer per language, at least one, where that would be more than
+``max_sample`` in all; no language is left out.  A fifth of them are held back to fit
 the softmax temperature and the rejection limit.  The fitted layers multiply
 out to one vector of language scores per bucket, so prediction over all
 texts is a table lookup and a sum.
 
 Cases: a null text, an empty one and one without a letter give ``und`` with
 score 0; without any row to learn from every text gives ``und``; a null
-doc_id is never learnt from; repeated rows are predicted one by one; an empty table
+doc_id is never learnt from; repeated rows are learnt once and predicted one by one; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -137,15 +138,16 @@ def fit(samples: list, epochs: int = 8, batch: int = 16, rate: float = 6.0, seed
     return {"langs": langs, "table": table, "bias": bias, "temperature": best, "limit": limit}
 
 
-def train(docs: DataFrame, per_lang: int = 600, max_langs: int = 256) -> dict | None:
-    """Model from rows (doc_id, text, lang); ``per_lang * max_langs`` bounds the sample."""
+def train(docs: DataFrame, per_lang: int = 600, max_sample: int = 150_000) -> dict | None:
+    """Model from rows (doc_id, text, lang); ``max_sample`` (or one per language) bounds the sample."""
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0))
     k = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("k", "text"))
-    ids = known.select("lang", k.alias("k"), F.xxhash64("text").alias("text")).withColumn("r", rank).where(F.col("r") <= per_lang)
-    langs = [r["lang"] for r in ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()]
-    picked = ids.where(F.col("lang").isin(langs)).select("lang", "k").distinct()
-    rows = known.select("lang", "text", k.alias("k")).join(F.broadcast(picked), ["lang", "k"], "left_semi")  # at most per_lang * max_langs rows of two small columns
+    named = known.select("lang", k.alias("k"), F.xxhash64("text").alias("h"))
+    per_lang = max(1, min(per_lang, max_sample // max(1, named.select("lang").distinct().count())))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("k", "h"))
+    picked = named.distinct().withColumn("r", rank).where(F.col("r") <= per_lang).drop("r")  # at most max_sample small rows
+    rows = known.select("lang", "text", k.alias("k"), F.xxhash64("text").alias("h")).join(F.broadcast(picked), ["lang", "k", "h"], "left_semi")
+    rows = rows.dropDuplicates(["lang", "k", "h"])  # a repeated row is one document
     return fit(sorted(bags(rows).collect(), key=lambda r: (r["k"], r["lang"], r["ids"], r["counts"])))
 
 
