@@ -1,7 +1,8 @@
 """Toxicity: nearest labelled examples by exact TF-IDF cosine.
 
 Examples are a bounded sample of the labelled rows: ``per_label`` documents of
-either label with the lowest id hash, one per distinct text.  Their terms
+either label with the lowest id hash, one text (the least) per doc_id and one example per
+distinct text.  Their terms
 (ASCII case folded, punctuation off) that go with the label beyond chance
 (chi-square of at least ``min_chi2``, at most ``max_terms`` of them) are the
 vocabulary; document frequencies are counted over all documents.
@@ -133,8 +134,9 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 4000, max_terms:
         return None
     rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id"))
     ids = known.withColumn("r", rank).where(F.col("r") <= per_label).select("doc_id", "y")
-    # at most 2 * per_label rows of ids
-    sample = docs.join(F.broadcast(ids), "doc_id").groupBy(F.coalesce("text", F.lit("")).alias("text")).agg(F.min("doc_id").alias("doc_id"), F.max("y").alias("y"))
+    # at most 2 * per_label rows of ids, and of texts: rows that repeat a doc_id are reduced to one before they are gathered
+    texts = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.first("y").alias("y"))
+    sample = texts.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("y").alias("y"))
     sample = stored(sample, "toxicity-sample")
 
     def term_rows(batch):
