@@ -12,7 +12,10 @@ characters, Content-Length, terminator and block
 digest.  After a failed check the reader searches for the next gzip member or
 version line that passes all of them, goes on from there, and logs the bytes between as
 a quarantined gap with the reason.  Plain files and files of gzip members (also
-mixed) are read alike.
+mixed) are read alike.  A member of several records is searched in the same way
+inside, also what came out of it before a broken stream; its gaps count bytes of its
+content and name the member (``member``), whose own place in the file is logged too
+where the stream breaks.
 
 Cases: a null html is an empty payload; a null url gets a ``urn:`` target;
 control characters and blanks in a url are percent-encoded; a page without
@@ -27,6 +30,7 @@ import base64
 import hashlib
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -133,48 +137,99 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, str], int, int, int] |
     return headers, start, stop, stop + 4
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int] | str:
-    """(content, end) of the gzip member at a position, or why it fails."""
-    unzip = zlib.decompressobj(31)
+def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """(content, end, damage) of the gzip member at a position; of a damaged one
+    the content up to the damage, and "" as the damage of a sound one."""
+    unzip, body, step = zlib.decompressobj(31), bytearray(), 1 << 16
+    for lo in range(at, len(data), step):
+        try:
+            body += unzip.decompress(data[lo : lo + step])
+        except zlib.error:
+            # what comes before the damage inside the last step, byte by byte
+            body += _before_damage(data[at:lo], data[lo : lo + step])
+            return bytes(body), at, "damaged gzip member"
+        if unzip.eof:
+            return bytes(body), min(lo + step, len(data)) - len(unzip.unused_data), ""
+    return bytes(body), at, "gzip member cut short"
+
+
+def _before_damage(sound: bytes, last: bytes) -> bytes:
+    unzip, out = zlib.decompressobj(31), bytearray()
+    for lo in range(0, len(sound), 1 << 16):
+        unzip.decompress(sound[lo : lo + (1 << 16)])
     try:
-        body = unzip.decompress(memoryview(data)[at:]) + unzip.flush()
+        for lo in range(len(last)):
+            out += unzip.decompress(last[lo : lo + 1])
     except zlib.error:
-        return "damaged gzip member"
-    if not unzip.eof:
-        return "gzip member cut short"
-    return body, len(data) - len(unzip.unused_data)
+        pass
+    return bytes(out)
 
 
 _CANDIDATE = re.compile(rb"\x1f\x8b\x08|WARC/\d\.\d\r\n")
+_VERSION = re.compile(rb"WARC/\d\.\d\r\n")
 
+#: ("record", start, end, (headers, block), member) or ("gap", start, end, reason, member);
+#: member is None outside gzip members, else the member's position in the file.
+Found = tuple[str, int, int, object, int | None]
 
-def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
-    """("record", start, end, (headers, block)) and ("gap", start, end, reason)
-    in order; together they cover all bytes."""
+
+def _inside(body: bytes, at: int, end: int) -> Iterator[Found]:
+    """Records and gaps of a gzip member's content.  Records keep the member's
+    place in the file, gaps count bytes of the content."""
+    inner, gap, reason = 0, -1, ""
+    while inner < len(body):
+        rec = parse_record(body, inner)
+        if isinstance(rec, str):
+            if gap < 0:
+                gap, reason = inner, rec
+            m = _VERSION.search(body, inner + 1)
+            inner = m.start() if m else len(body)
+            continue
+        if gap >= 0:
+            yield "gap", gap, inner, reason, at
+            gap = -1
+        yield "record", at, end, (rec[0], body[rec[1] : rec[2]]), at
+        inner = rec[3]
+    if gap >= 0:
+        yield "gap", gap, len(body), reason, at
+
+
+def salvage(data: bytes) -> Iterator[Found]:
+    """Records and gaps in order; those outside members and the members together cover all
+    bytes.  Of a member whose stream breaks, the records before the damage are
+    given, then the gap from the member's start to the next sound place; a record that
+    a broken member stores uncompressed is found once."""
     at, gap, reason = 0, -1, ""
+    given: Counter = Counter()  # records salvaged from the broken member last met
     while at < len(data):
-        found: list | str = "neither gzip member nor version line"
+        found: Iterator[Found] | str = "neither gzip member nor version line"
         end = at
         if data[at : at + 3] == b"\x1f\x8b\x08":
-            got = _member(data, at)
-            if isinstance(got, str):
-                found = got
+            body, end, damage = _member(data, at)
+            if damage:
+                found = damage
+                # the search for a sound place goes on inside, so what is salvaged here is given at once
+                given = Counter()
+                for x in _inside(body, at, len(data)):
+                    if x[0] == "record":
+                        given[_sha1(x[3][1]), x[3][0].get("warc-record-id")] += 1
+                        yield x
+            elif body:
+                found = _inside(body, at, end)
             else:
-                body, end = got
-                inner, found = 0, []
-                while inner < len(body):
-                    rec = parse_record(body, inner)
-                    if isinstance(rec, str):
-                        found = rec
-                        break
-                    found.append((rec[0], body[rec[1] : rec[2]]))
-                    inner = rec[3]
+                found = iter(())
         elif data[at : at + 5] == b"WARC/":
             rec = parse_record(data, at)
             if isinstance(rec, str):
                 found = rec
             else:
-                found, end = [(rec[0], data[rec[1] : rec[2]])], rec[3]
+                end = rec[3]
+                what = rec[0], data[rec[1] : rec[2]]
+                name = _sha1(what[1]), rec[0].get("warc-record-id")
+                found = iter([("record", at, end, what, None)])
+                if gap >= 0 and given[name]:
+                    given[name] -= 1
+                    found = reason
         if isinstance(found, str):
             if gap < 0:
                 gap, reason = at, found
@@ -182,16 +237,15 @@ def salvage(data: bytes) -> Iterator[tuple[str, int, int, object]]:
             at = m.start() if m else len(data)
             continue
         if gap >= 0:
-            yield "gap", gap, at, reason
+            yield "gap", gap, at, reason, None
             gap = -1
-        for rec in found:
-            yield "record", at, end, rec
+        yield from found
         at = end
     if gap >= 0:
-        yield "gap", gap, len(data), reason
+        yield "gap", gap, len(data), reason, None
 
 
-_SCHEMA = "file string, kind string, start long, stop long, reason string, record_type string, record_id string, refers_to_id string, uri string, page_id long, payload_bytes long, payload_digest string, digest_ok boolean, payload binary"
+_SCHEMA = "file string, kind string, start long, stop long, member long, reason string, record_type string, record_id string, refers_to_id string, uri string, page_id long, payload_bytes long, payload_digest string, digest_ok boolean, payload binary"
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
@@ -203,8 +257,8 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
     def step(batch):
         for name, body in zip(batch.column("path"), batch.column("content"), strict=True):
             rows, held = [], 0
-            for kind, start, stop, what in salvage(body.as_py()):
-                row = {"file": name.as_py(), "kind": kind, "start": start, "stop": stop}
+            for kind, start, stop, what, member in salvage(body.as_py()):
+                row = {"file": name.as_py(), "kind": kind, "start": start, "stop": stop, "member": member}
                 if kind == "gap":
                     row["reason"] = what
                 else:
