@@ -9,14 +9,17 @@ import inspect
 import random
 import re
 import zlib
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from nestmart.llm import components, decontaminate, langid, line_dedup, order_minhash, packing, perplexity, pii, suffix_dedup, toxicity, warc
+from nestmart.llm.common import stored
 
 from ..conftest import SF_SMALL
 
@@ -347,10 +350,131 @@ def test_warc_round_trip_and_salvage(spark, tmp_path):
     kinds = [f[0] for f in warc.salvage(hurt)]
     assert kinds.count("record") == len(raw) and kinds.count("gap") == 1
 
-
-def test_pipeline_keeps_clean_documents(spark):
-    out = corpus_pipeline.run(spark, SF_SMALL)
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "line dedup", "near dedup", "decontamination", "packing"]
-    ids = {r.doc_id for r in out.select("doc_id").distinct().collect()}
-    docs = {r.doc_id for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id").collect()}
-    assert ids and ids <= docs
+    # all records in one gzip member: a damaged body costs its own record only
+    whole = gzip.compress(bytes(broken))
+    found = list(warc.salvage(whole))
+    assert [f[0] for f in found].count("record") == len(raw) - 1
+    gaps = [f for f in found if f[0] == "gap"]
+    assert [(g[1], g[2], g[4]) for g in gaps] == [(cuts[1], cuts[2], 0)]
+    # a stream that breaks off gives what came before the break, then the next member
+    big = raw * 50
+    stream = gzip.compress(b"".join(big), 0)
+    half = stream[: len(stream) // 2]
+    found = list(warc.salvage(half + members[0]))
+    got = sum(f[0] == "record" for f in found)
+    whole_before = sum(c <= len(half) - 200 for c in np.cumsum([len(b) for b in big]))  # the rest is gzip framing
+    assert got >= whole_before + 1
+    assert [(f[1], f[2], f[3]) for f in found if f[0] == "gap"] in ([(0, len(half), r)] for r in ("damaged gzip member", "gzip member cut short"))
+
+
+def test_quality_stage_judges_rows(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    good = [r.doc_id for r in perplexity.judge(docs).where("kept").orderBy("doc_id").limit(3).collect()]
+    short = "too short to pass"
+    planted = docs.where(F.col("doc_id").isin(good)).withColumn("doc_id", F.lit(None).cast("long"))
+    bad = spark.createDataFrame([(None, short, "en"), (good[0], short, "en"), (None, None, None)], "doc_id long, text string, lang string")
+    mixed = docs.select("doc_id", "text", "lang").unionByName(planted.select("doc_id", "text", "lang")).unionByName(bad)
+    mixed = mixed.withColumn("text_hash", F.lit("clash")).withColumn("_hash", F.lit(1))
+    kept = perplexity.keep_good(mixed)
+    assert kept.columns == mixed.columns
+    rows = kept.collect()
+    assert not any(r.text in (short, None) for r in rows)
+    assert sum(r.doc_id == good[0] for r in rows) == 1
+    verdicts = perplexity.judge(mixed).select("doc_id", "kept").collect()
+    assert len(verdicts) == mixed.count() and sum(v.kept for v in verdicts) == len(rows)
+
+
+def test_samples_are_bounded_by_rows(spark, monkeypatch):
+    # one doc_id repeated over many different texts, beside ordinary rows
+    hot = spark.range(3000).select(F.lit(7).cast("long").alias("doc_id"), F.concat(F.lit("insult number "), F.col("id").cast("string")).alias("text"), F.lit("en").alias("lang"))
+    rest = spark.range(40).select((F.col("id") + 100).alias("doc_id"), F.concat(F.lit("kind words "), F.col("id").cast("string")).alias("text"), F.lit("de").alias("lang"))
+    more = spark.range(300).select((F.col("id") + 1000).alias("doc_id"), F.lit("rare tongue").alias("text"), F.concat(F.lit("x"), F.col("id").cast("string")).alias("lang"))
+    docs = hot.unionByName(rest).unionByName(rest)
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda samples, **_: seen.append(samples))
+    langid.train(docs, per_lang=30)
+    langid.train(docs.unionByName(more), per_lang=30, max_sample=600)
+    assert sorted((s["lang"] for s in seen[0])) == ["de"] * 30 + ["en"] * 30  # repeated rows count once
+    assert len({s["lang"] for s in seen[1]}) == 302 and len(seen[1]) <= 600  # no language is left out
+
+    labels = spark.createDataFrame([(7, 1), *((100 + i, 0) for i in range(40))], "doc_id long, toxic int")
+    model = toxicity.train(docs.select("doc_id", "text"), labels, per_label=10)
+    assert len(model["names"]) <= 20
+
+
+def _shingles(text: str) -> set:
+    words = re.findall(r"[a-z0-9]+", text.lower())
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_pipeline_stage_by_stage(spark):
+    """Each stage, on what its predecessor kept, against plain Python over planted cases."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").withColumn("good_id", F.lit("clash"))
+    names = docs.columns
+    plain = {r.doc_id: r for r in docs.collect()}
+    top = max(plain)
+    by_length = sorted((r for r in plain.values() if r.lang == "en" and r.text), key=lambda r: (len(r.text.split()), r.doc_id))
+    sound = perplexity.judge(docs).where("kept").select("doc_id").collect()
+    sound = [r for r in by_length if r.doc_id in {s.doc_id for s in sound} and 80 <= len(r.text.split()) <= 300][:6]
+    bench = [r.text for r in spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").orderBy("item_id").collect()]
+    words = sound[0].text.split(" ")
+    near = " ".join([*words[:-1], "changed"])
+    planted = [
+        sound[1],  # the same row once more
+        sound[0].asDict() | {"doc_id": top + 1, "text": near},
+        sound[2].asDict() | {"doc_id": top + 2, "text": "too short"},
+        sound[2].asDict() | {"doc_id": None, "text": "too short"},
+        sound[2].asDict() | {"doc_id": top + 3, "text": None},
+        sound[3].asDict() | {"doc_id": top + 4, "text": "a b c " * 60},
+        sound[4].asDict() | {"text": sound[4].text + "\n" + bench[0]},  # in place of the row as it was
+    ]
+    planted = [r if isinstance(r, dict) else r.asDict() for r in planted]
+    mixed = docs.where(F.col("doc_id") != sound[4].doc_id).unionByName(spark.createDataFrame([tuple(r[c] for c in names) for r in planted], docs.schema))
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["quality rules", "line dedup", "near dedup", "decontamination", "packing"]
+
+    def rows(df):
+        return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+
+    good = stored(stages["quality rules"](spark, mixed, SF_SMALL), "test-quality")
+    assert good.columns == names
+    got = rows(good)
+    for _, text in got:  # base rules, by hand
+        w = WORD.findall(text)
+        seen = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+        twice = {i + j for i in range(len(w) - 2) if seen[tuple(w[i : i + 3])] > 1 for j in range(3)}
+        assert len(w) >= 50 and 100 * len(twice) <= 50 * len(w)
+    assert {i for i, _ in got}.isdisjoint({None, top + 2, top + 3, top + 4}) and [i for i, _ in got].count(sound[1].doc_id) == 2
+
+    lined = stored(stages["line dedup"](spark, good, SF_SMALL), "test-lines")
+    assert lined.columns == names and {i for i, _ in rows(lined)} <= {i for i, _ in got}
+
+    single = stored(stages["near dedup"](spark, lined, SF_SMALL), "test-near")
+    assert single.columns == names
+    left = rows(single)
+    assert len({i for i, _ in left}) == len(left)  # one row per document
+    sets = [(i, _shingles(t)) for i, t in left]
+    inverted = defaultdict(set)
+    for n, (_, s) in enumerate(sets):
+        for x in s:
+            inverted[x].add(n)
+    pairs = {(a, b) for group in inverted.values() for a in group for b in group if a < b}
+    assert not [(sets[a][0], sets[b][0]) for a, b in pairs if len(sets[a][1] & sets[b][1]) >= 0.8 * len(sets[a][1] | sets[b][1])]
+    before = {i: _shingles(t) for i, t in rows(lined)}
+    for gone in before.keys() - {i for i, _ in left}:  # each document that went has an earlier relative
+        assert any(o < gone and len(before[gone] & s) >= 0.5 * len(before[gone] | s) for o, s in before.items())
+
+    clean = stored(stages["decontamination"](spark, single, SF_SMALL), "test-clean")
+    assert clean.columns == names and {i for i, _ in rows(clean)} <= {i for i, _ in left}
+    assert not any(q in t for q in bench for _, t in rows(clean))
+    packed = stages["packing"](spark, clean, SF_SMALL)
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {i for i, _ in rows(clean)}
+    # clean documents stay: those that pass the base rules and have no relative
+    assert len(rows(clean)) >= 0.8 * len(left)
+
+
+def test_pipeline_of_nothing(spark):
+    empty = spark.read.parquet(f"{SF_SMALL}/documents.parquet").where("false")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, SF_SMALL)
+        assert out.count() == 0, name
