@@ -1,5 +1,11 @@
 """Training-data pipeline over ``documents``: STAGES in order, each written as
-Parquet and read again as the next one's input."""
+Parquet and read again as the next one's input.
+
+Cases: null and empty texts fail the quality rules and go; rows are judged one by
+one there, also those that share a doc_id or have none; of rows that repeat a doc_id
+and text one stays after near dedup; an empty table gives an empty result; further
+columns, whatever their names, are carried up to packing.
+"""
 
 from __future__ import annotations
 
@@ -19,9 +25,14 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The least doc_id of each group stays.  Rows that repeat a doc_id with the same text
+    are copies, too: one of them stays; rows without doc_id stand alone and stay."""
     kept = order_minhash.near_duplicates(docs).where(F.col("class_id") == F.col("doc_id"))
-    unnamed = spark.range(1).select(F.lit(None).cast("long").alias("doc_id"))  # rows without doc_id stand alone and stay
-    return keep_ids(docs, kept.select("doc_id").unionAll(unnamed))
+    unnamed = spark.range(1).select(F.lit(None).cast("long").alias("doc_id"))
+    left = keep_ids(docs, kept.select("doc_id").unionAll(unnamed))
+    again = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n_rows")).where("n_rows > 1").select("doc_id")
+    # only rows of repeated ids are shuffled with their texts
+    return left.join(again, "doc_id", "left_anti").unionByName(left.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
