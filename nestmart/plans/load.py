@@ -30,11 +30,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.values import values_frame
+from ..operators.joins import anti_join
 from ..schemas import CREATE_ORDER, QUOTED_SOURCES, SOURCE_SCHEMAS
 from ..session import remove_scratch, scratch_path
 from ..sinks import ledger
 from ..sinks.ledger import Entry
-from ..sinks.warehouse import create_all, last_seq, read_all, stage_table, write_rejects
+from ..sinks.warehouse import create_all, last_seq, merges, read_all, stage_table, write_rejects
 from ..sources.csv import read_prefix, write_csv
 from . import quality, tables
 
@@ -109,11 +110,12 @@ def _store_elements(source: str, columns: list[str], elements, kinds: dict[str,
 _KIND_TABLE = {"genre": "movie_genres", "company": "movie_production_companies"}
 
 
-def stage_movies(raw: DataFrame, reproducible: bool = False, nested_mode: str = "strict", narrow: Callable[[DataFrame], DataFrame] | None = None) -> Staged:
+def stage_movies(raw: DataFrame, reproducible: bool | str = False, nested_mode: str = "strict", narrow: Callable[[DataFrame], DataFrame] | None = None) -> Staged:
     """Deduplicated movies and their lists' elements; ``narrow`` keeps some of the movies."""
     out = Staged()
     movies = tables.staged_movies(raw, reproducible)
     columns = ["id", *tables.DIM_MOVIES_COLUMNS[1:], *tables.SALES_COLUMNS[1:], *tables.MOVIE_LISTS]
+    columns += ["order_key"] if reproducible == tables.MERGED else []
     movies = _store((narrow(movies) if narrow else movies).select(*columns), "staged-movies", out)
     kinds = {k: (t, F.col("kind") == k) for k, t in _KIND_TABLE.items()}
     elements = _store_elements("movies_metadata", list(tables.MOVIE_LISTS), lambda o: tables.movie_elements(movies, nested_mode, o), kinds, out)
@@ -121,7 +123,7 @@ def stage_movies(raw: DataFrame, reproducible: bool = False, nested_mode: str =
     return out
 
 
-def stage_credits(raw: DataFrame, reproducible: bool = False, nested_mode: str = "strict") -> Staged:
+def stage_credits(raw: DataFrame, reproducible: bool | str = False, nested_mode: str = "strict") -> Staged:
     """Cast and crew elements, parsed once."""
     out = Staged()
     kinds = {role: (f"movie_{role}", F.col("role") == role) for role in ("cast", "crew")}
@@ -130,7 +132,7 @@ def stage_credits(raw: DataFrame, reproducible: bool = False, nested_mode: str =
     return out
 
 
-def stage_keywords(raw: DataFrame, reproducible: bool = False, nested_mode: str = "strict") -> Staged:
+def stage_keywords(raw: DataFrame, reproducible: bool | str = False, nested_mode: str = "strict") -> Staged:
     """Keyword elements, parsed once."""
     out = Staged()
     kinds = {"keyword": ("movie_keywords", F.lit(True))}
@@ -139,13 +141,22 @@ def stage_keywords(raw: DataFrame, reproducible: bool = False, nested_mode: str
     return out
 
 
-def stage_ratings(raw: DataFrame, reproducible: bool = False, nested_mode: str = "strict") -> Staged:
+def stage_ratings(raw: DataFrame, reproducible: bool | str = False, nested_mode: str = "strict") -> Staged:
     return Staged({"fact_rating": tables.rating_stats(raw)})
 
 
 STAGE = {"movies_metadata": stage_movies, "credits": stage_credits, "keywords": stage_keywords, "ratings": stage_ratings}
 
 
+def new_lists(spark: SparkSession, staged: Staged, database: str) -> None:
+    """Where survivors are merged, a movie that an earlier load has brought may come again:
+    its list rows are in the bridges already and are not appended twice."""
+    bridges = [n for n in ("movie_genres", "movie_production_companies", "movie_countries", "movie_languages") if n in staged.frames]
+    if bridges:
+        known = read_all(spark, database, ["dim_movies"])["dim_movies"].select("id")
+        staged.frames.update({n: anti_join(staged.frames[n], known, ["movie_id"], ["id"]) for n in bridges})
+
+
 def write_load(spark: SparkSession, staged: Staged, database: str, load_id: str, mode: str = "append", parallelism: int = 4, on_table: Callable[[str], None] | None = None) -> list[Entry]:
     """Write all tables of a load, then publish them together.
 
@@ -182,13 +193,14 @@ def run_load(
     database: str,
     location: str | None = None,
     mode: str = "append",
-    reproducible: bool = False,
+    reproducible: bool | str = False,
     nested_mode: str = "strict",
     parallelism: int = 4,
     multi_line: bool = False,
     buckets: int | None = None,
     load_id: str | None = None,
     on_table: Callable[[str], None] | None = None,
+    merge_parts: int | None = None,
 ) -> DataFrame:
     """Load every family into ``database`` and return the gate report.
 
@@ -199,8 +211,10 @@ def run_load(
     not count as failures.  ``buckets`` creates new tables bucketed by movie id (see
     ``sinks.warehouse.create_all``).  ``load_id`` names the load: run again
     after a failure it starts anew, run again after success it only reports.
+    ``merge_parts`` creates new tables with survivors merged across loads (see
+    ``create_all``); later loads and streams of such a warehouse merge without it.
     """
-    create_all(spark, database, location, buckets=buckets)
+    create_all(spark, database, location, buckets=buckets, merge_parts=merge_parts)
     load_id = load_id or ledger.new_load_id()
     if not re.fullmatch(r"[A-Za-z0-9_-]+", load_id):
         raise ValueError("a load id has letters, digits, _ and - only")
@@ -208,12 +222,17 @@ def run_load(
         log.info("load %s is published already", load_id)
         return quality.gate(read_all(spark, database))
     raw = read_sources(spark, prefixes, multi_line)
+    merged = merges(spark, database)
+    if merged:
+        reproducible = tables.MERGED
     staged = Staged()
     # independent staging jobs run side by side
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, 3))) as pool:
         parts = [pool.submit(STAGE[f], raw[f], reproducible, nested_mode) for f in FAMILIES if f in raw]
         for part in parts:
             staged.add(part.result())
+    if merged and mode == "append":
+        new_lists(spark, staged, database)
     new = write_load(spark, staged, database, load_id, mode, parallelism, on_table)
     remove_scratch(spark, *staged.paths)
     rejected = {}

@@ -404,6 +404,15 @@ def _digest_sql() -> str:
 SQL.update({
     "load_retry": _digest_sql(),
     "rating_batches": _RATING_STATS,
+    "merged_survivors": """
+        SELECT step, CAST(p.p_partkey AS BIGINT) AS id,
+               min(CASE WHEN l.l_linenumber % 2 = 1 THEN p.p_name WHEN p.p_partkey % 2 = 0 THEN 'A ' || p.p_name ELSE 'zz ' || p.p_name END) AS name
+        FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey, (VALUES ('one'), ('two'), ('reversed')) AS s(step)
+        GROUP BY step, p.p_partkey""",
+    "merged_movies": f"""
+        SELECT step, (SELECT count(*) FROM orders) AS movies, CAST(0 AS BIGINT) AS unlike_one, CAST(0 AS BIGINT) AS mixed,
+               (SELECT count(*) FROM ({SQL["table_movie_genres"]}) g) AS genre_rows
+        FROM (VALUES ('one'), ('two'), ('reversed')) AS s(step)""",
     "replayed_batch": SQL["json_bridge"],
     "reject_sink": """
         WITH c AS (SELECT c_mktsegment = 'HOUSEHOLD' AS bad_id, c_mktsegment = 'MACHINERY' AND 40 * strlen(c_name) > 256 AS long_name FROM customer),

@@ -550,6 +550,57 @@ def rating_batches(spark, sf_dir):
     return _no_audit(sink.read_all(spark, db, ["fact_rating"])["fact_rating"])
 
 
+def _in_drops(spark: SparkSession, tag: str, family: str, first: DataFrame, second: DataFrame) -> dict[str, str]:
+    """Three warehouses with merged survivors: both drops in one load, one after the
+    other, and the other way round; their databases by step."""
+    out = {}
+    for step, drops in {"one": [first.unionByName(second)], "two": [first, second], "reversed": [second, first]}.items():
+        db, location = _database(spark, f"{tag}-{step}-db")
+        for i, drop in enumerate(drops):
+            prefixes = load.write_sources({family: drop}, scratch_path(spark, f"{tag}-{step}-{i}"))
+            load.run_load(spark, prefixes, db, location, merge_parts=8)
+        out[step] = db
+    return out
+
+
+def merged_survivors(spark, sf_dir):
+    """Keywords whose names differ between two drops (D2): one load, both
+    drops in turn and in reverse give the same dimension."""
+    t = catalog.load_tables(spark, sf_dir, ["lineitem", "part"])
+    odd = F.col("l_linenumber") % 2 == 1
+    other = F.concat(F.when(F.col("p_partkey") % 2 == 0, F.lit("A ")).otherwise(F.lit("zz ")), F.col("p_name"))
+    first = catalog.keywords_frame({**t, "lineitem": t["lineitem"].where(odd)})
+    second = catalog.keywords_frame({"lineitem": t["lineitem"].where(~odd), "part": t["part"].withColumn("p_name", other)})
+    out = None
+    for step, db in _in_drops(spark, "merged-keywords", "keywords", first, second).items():
+        part = sink.read_all(spark, db, ["dim_keywords"])["dim_keywords"].select(F.lit(step).alias("step"), "id", "name")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def merged_movies(spark, sf_dir):
+    """Movies in two drops, half of them in both with another title and revenue (D1, D2): per
+    order of the drops the movies, those unlike the single load, those whose
+    dimension and sales come from different rows, and the genre rows."""
+    movies = catalog.movies_frame(catalog.load_tables(spark, sf_dir))
+    quarter = F.col("id") % 4
+    first = movies.where(quarter != 1)
+    second = movies.where(quarter != 3).withColumns({"title": F.lit("Again"), "revenue": F.lit(-1.0).cast(movies.schema["revenue"].dataType)})
+    read = {step: sink.read_all(spark, db) for step, db in _in_drops(spark, "merged-movies", "movies_metadata", first, second).items()}
+    single = read["one"]["dim_movies"].select(F.col("id").alias("one_id"), F.col("title").alias("one_title"))
+    out = None
+    for step, w in read.items():
+        rows = w["dim_movies"].join(w["fact_movie_sales"], F.col("id") == F.col("movie_id"), "full").join(single, F.col("id") == F.col("one_id"), "full")
+        part = rows.agg(
+            F.count("id").alias("movies"),
+            F.count_if(~F.col("title").eqNullSafe(F.col("one_title"))).alias("unlike_one"),
+            F.count_if(~(F.col("title") == "Again").eqNullSafe(F.col("revenue") == -1)).alias("mixed"),
+        )
+        part = part.crossJoin(w["movie_genres"].agg(F.count(F.lit(1)).alias("genre_rows"))).select(F.lit(step).alias("step"), "*")  # one row beside one row
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def replayed_batch(spark, sf_dir):
     """The same micro-batch applied three times (a stream's replays): once in the tables."""
     root = scratch_path(spark, "replayed")
@@ -725,6 +776,8 @@ QUERIES: dict[str, Query] = {
         parse_losses,
         load_retry,
         rating_batches,
+        merged_survivors,
+        merged_movies,
         replayed_batch,
         reject_sink,
         load_parse_losses,

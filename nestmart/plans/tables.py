@@ -41,28 +41,43 @@ DIM_MOVIES_COLUMNS = ["id", "title", "original_title", "overview", "status", "re
 SALES_COLUMNS = ["movie_id", "revenue", "budget", "vote_average", "vote_count"]
 
 
-def _dedup(df: DataFrame, key: str, reproducible: bool) -> DataFrame:
+#: Value of ``reproducible`` for warehouses that merge survivors across loads: rows of a
+#: key are left to the sink, which keeps the least one.
+MERGED = "merged"
+
+
+def _dedup(df: DataFrame, key: str, reproducible: bool | str) -> DataFrame:
     """D1 by default; with ``reproducible`` the smallest row survives."""
+    if reproducible == MERGED:
+        return df
     if not reproducible:
         return dedup_by_key(df, [key])
     others = [c for c in df.columns if c != key]
     return dedup_by_key(df, [key], order_by=others) if others else df.dropDuplicates([key])
 
 
-def staged_movies(raw: DataFrame, reproducible: bool = False) -> DataFrame:
-    """Keep rows with an id, one row per id, numeric nulls -> 0."""
+def staged_movies(raw: DataFrame, reproducible: bool | str = False) -> DataFrame:
+    """Keep rows with an id, one row per id, numeric nulls -> 0.  To be merged
+    across loads, the row with the least hash of all its columns stays, and carries it."""
     kept = keep_not_null(raw, "id")
+    if reproducible == MERGED:
+        kept = kept.withColumn("order_key", F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in raw.columns]))))
+        return fill_numeric_nulls(dedup_by_key(kept, ["id"], order_by=["order_key"]))
     return fill_numeric_nulls(_dedup(kept, "id", reproducible))
 
 
+def _order_key(movies: DataFrame) -> list[str]:
+    return [c for c in movies.columns if c == "order_key"]
+
+
 def dim_movies(movies: DataFrame) -> DataFrame:
     """T2."""
-    return with_audit(movies.select(*DIM_MOVIES_COLUMNS))
+    return with_audit(movies.select(*DIM_MOVIES_COLUMNS, *_order_key(movies)))
 
 
 def fact_movie_sales(movies: DataFrame) -> DataFrame:
     """One row per movie, id renamed ``movie_id``."""
-    sales = movies.withColumnRenamed("id", "movie_id").select(*SALES_COLUMNS)
+    sales = movies.withColumnRenamed("id", "movie_id").select(*SALES_COLUMNS, *_order_key(movies))
     return with_audit(sales.withColumn("vote_average", F.col("vote_average").cast("double")))
 
 
@@ -83,26 +98,26 @@ def _dim_and_bridge(
     return dim, bridge
 
 
-def genres(movies: DataFrame, reproducible: bool = False, mode: str = "strict"):
+def genres(movies: DataFrame, reproducible: bool | str = False, mode: str = "strict"):
     """T4: ``dim_genres`` and ``movie_genres``."""
     return _dim_and_bridge(movies, "genres", GENRE_KEYS, {"genre_id": "id", "genre_name": "name"}, "genre_id", reproducible, mode)
 
 
-def companies(movies: DataFrame, reproducible: bool = False, mode: str = "strict"):
+def companies(movies: DataFrame, reproducible: bool | str = False, mode: str = "strict"):
     """T5: ``dim_companies`` and ``movie_production_companies``."""
     return _dim_and_bridge(
         movies, "production_companies", COMPANY_KEYS, {"company_id": "id", "company_name": "name"}, "company_id", reproducible, mode
     )
 
 
-def countries(movies: DataFrame, reproducible: bool = False, mode: str = "strict"):
+def countries(movies: DataFrame, reproducible: bool | str = False, mode: str = "strict"):
     """``dim_countries`` and ``movie_countries`` (string keys, no cast)."""
     return _dim_and_bridge(
         movies, "production_countries", COUNTRY_KEYS, {"country_code": "iso_code", "country_name": "name"}, "country_code", reproducible, mode
     )
 
 
-def languages(movies: DataFrame, reproducible: bool = False, mode: str = "strict", sort: bool = True):
+def languages(movies: DataFrame, reproducible: bool | str = False, mode: str = "strict", sort: bool = True):
     """``dim_languages`` (with English names) and ``movie_languages``."""
     exploded = explode_json(movies.withColumnRenamed("id", "movie_id"), "spoken_languages", LANGUAGE_KEYS, mode=mode)
     dim = _dedup(exploded.select("language_code", "language_name"), "language_code", reproducible)
@@ -123,12 +138,12 @@ def _people(credits: DataFrame, column: str, keys: list[Key], dim_cols: list[str
     return dim, bridge
 
 
-def cast(credits: DataFrame, reproducible: bool = False, mode: str = "strict"):
+def cast(credits: DataFrame, reproducible: bool | str = False, mode: str = "strict"):
     """``dim_cast`` and ``movie_cast`` (the role is not kept)."""
     return _people(credits, "cast", CAST_KEYS, ["id", "name", "character", "gender"], "cast_id", reproducible, mode)
 
 
-def crew(credits: DataFrame, reproducible: bool = False, mode: str = "strict"):
+def crew(credits: DataFrame, reproducible: bool | str = False, mode: str = "strict"):
     """``dim_crew`` and ``movie_crew``."""
     return _people(credits, "crew", CREW_KEYS, ["id", "name", "department", "gender", "job"], "crew_id", reproducible, mode)
 
@@ -182,7 +197,7 @@ def movie_elements(movies: DataFrame, mode: str = "strict", losses: Observation
     return rows.withColumn("bad", bad)
 
 
-def movie_list_tables(elements: DataFrame, reproducible: bool = False, sort_languages: bool = True) -> dict[str, DataFrame]:
+def movie_list_tables(elements: DataFrame, reproducible: bool | str = False, sort_languages: bool = True) -> dict[str, DataFrame]:
     """The eight genre/company/country/language tables from ``movie_elements``
     rows that can be stored: otherwise same result as ``genres``, ``companies``, ``countries``, ``languages``."""
     out = {}
@@ -242,7 +257,7 @@ def credit_people(credits: DataFrame, mode: str = "strict", losses: Observation
     )
 
 
-def people_tables(people: DataFrame, reproducible: bool = False) -> dict[str, DataFrame]:
+def people_tables(people: DataFrame, reproducible: bool | str = False) -> dict[str, DataFrame]:
     """T8/T9 from ``credit_people`` rows: same result as ``cast`` and ``crew``."""
     out = {}
     for role, dim_cols, ref in [
@@ -265,7 +280,7 @@ def keyword_elements(raw_keywords: DataFrame, mode: str = "strict", losses: Obse
     return rows.select("movie_id", safe_cast(m.getItem("id"), "bigint").alias("id"), m.getItem("name").alias("name"), _refused({"id": (m.getItem("id"), "bigint")}).alias("bad"))
 
 
-def keyword_tables(elements: DataFrame, reproducible: bool = False) -> dict[str, DataFrame]:
+def keyword_tables(elements: DataFrame, reproducible: bool | str = False) -> dict[str, DataFrame]:
     """T10 from ``keyword_elements`` rows: same result as ``keywords``."""
     good = elements.filter(F.col("bad").isNull())
     return {
@@ -274,7 +289,7 @@ def keyword_tables(elements: DataFrame, reproducible: bool = False) -> dict[str,
     }
 
 
-def keywords(raw_keywords: DataFrame, reproducible: bool = False, mode: str = "strict"):
+def keywords(raw_keywords: DataFrame, reproducible: bool | str = False, mode: str = "strict"):
     """``dim_keywords`` and ``movie_keywords``."""
     exploded = explode_json(raw_keywords.withColumnRenamed("id", "movie_id"), "keywords", KEYWORD_KEYS, mode=mode)
     dim = with_audit(_dedup(exploded.select("id", "name"), "id", reproducible))
@@ -306,7 +321,7 @@ def rating_stats(ratings: DataFrame) -> DataFrame:
 
 def build_warehouse(
     sources: Mapping[str, DataFrame],
-    reproducible: bool = False,
+    reproducible: bool | str = False,
     mode: str = "strict",
     staged: DataFrame | None = None,
     people: DataFrame | None = None,
@@ -325,7 +340,7 @@ def build_warehouse(
         movies = staged if staged is not None else staged_movies(sources["movies_metadata"], reproducible)
         out["dim_movies"] = dim_movies(movies)
         out["fact_movie_sales"] = fact_movie_sales(movies)
-        out.update(movie_list_tables(elements if elements is not None else movie_elements(movies, mode), reproducible))
+        out.update(movie_list_tables(elements if elements is not None else movie_elements(movies, mode), reproducible, sort_languages=reproducible != MERGED))
     if people is None and "credits" in sources:
         people = credit_people(sources["credits"], mode)
     if people is not None:

@@ -39,6 +39,22 @@ _COLUMNS = "seq BIGINT, load_id STRING, table_name STRING, part INT, replaces BO
 #: Columns kept beside the declared ones, so that averages can be merged.
 EXTRA = {"fact_rating": {"rating_total": "double", "rating_values": "bigint"}}
 
+#: Tables of one row per key whose survivors can be merged across loads, and their keys.
+MERGEABLE = {
+    "dim_movies": "id",
+    "fact_movie_sales": "movie_id",
+    "dim_genres": "id",
+    "dim_companies": "id",
+    "dim_countries": "iso_code",
+    "dim_languages": "iso_code",
+    "dim_cast": "id",
+    "dim_crew": "id",
+    "dim_keywords": "id",
+}
+
+#: Of these, the ones kept with an order key of the source row, so that both choose the same row.
+ORDER_KEY = {"dim_movies": "order_key", "fact_movie_sales": "order_key"}
+
 #: table -> load_id -> parts (None: all)
 Live = Mapping[str, Mapping[str, frozenset[int] | None]]
 

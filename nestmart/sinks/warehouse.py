@@ -37,6 +37,7 @@ def create_all(
     tables=None,
     buckets: int | None = None,
     rating_parts: int = 16,
+    merge_parts: int | None = None,
 ) -> None:
     """Create every registered table if it is not there, and the load ledger (K2).
 
@@ -44,6 +45,9 @@ def create_all(
     and the seven bridges) by the movie id into that many buckets, so joins
     between them on the movie id read co-located buckets with no shuffle.
     ``rating_parts``: parts (by a hash of the movie id) that ``fact_rating`` is kept in.
+    ``merge_parts`` keeps the dimensions and ``fact_movie_sales`` in that many parts by a
+    hash of their key, with one survivor per key across loads: the least row, so
+    that tables do not depend on how files are split into loads, or on their order (D2).
     """
     loc = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
@@ -55,6 +59,9 @@ def create_all(
         key = movie_key(name)
         clustered = f" CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS" if buckets and key else ""
         parts = f" TBLPROPERTIES ('rating_parts' = '{rating_parts}')" if name in ledger.EXTRA else ""
+        if merge_parts and name in ledger.MERGEABLE:
+            parts = f" TBLPROPERTIES ('merge_parts' = '{merge_parts}')"
+            cols += [f"`{ledger.ORDER_KEY[name]}` string"] if name in ledger.ORDER_KEY else []
         spark.sql(f"CREATE TABLE IF NOT EXISTS {ledger.physical(database, name)} ({', '.join(cols)}, load_id STRING, part INT) USING parquet PARTITIONED BY (load_id, part){clustered}{parts}")
     if new:
         ledger.refresh_views(spark, database, new, ledger.live(ledger.entries(spark, database)))
@@ -68,6 +75,17 @@ def bucket_count(spark: SparkSession, database: str, name: str) -> int | None:
     return None
 
 
+def _property(spark: SparkSession, database: str, name: str, key: str) -> str | None:
+    found = spark.sql(f"SHOW TBLPROPERTIES {ledger.physical(database, name)}").collect()
+    return {r["key"]: r["value"] for r in found}.get(key)
+
+
+def merges(spark: SparkSession, database: str) -> bool:
+    """Whether the warehouse merges survivors across loads (catalog metadata only)."""
+    there = (n for n in ledger.MERGEABLE if spark.catalog.tableExists(ledger.physical(database, n)))
+    return any(_property(spark, database, n, "merge_parts") for n in there)
+
+
 def drop_all(spark: SparkSession, database: str, tables=None) -> None:
     """Drop tables if they are there, dependents first (K3)."""
     names = [n for n in reversed(tables or CREATE_ORDER) if spark.catalog.tableExists(ledger.physical(database, n))]
@@ -150,6 +168,8 @@ def stage_table(df: DataFrame, database: str, name: str, load_id: str, mode: str
         return _stage_ratings(df, database, name, load_id, mode)
     spark = df.sparkSession
     t = TABLES[name]
+    if name in ledger.MERGEABLE and (n_parts := _property(spark, database, name, "merge_parts")):
+        return _stage_merged(df, database, name, load_id, mode, int(n_parts))
     checked = df.withColumn("__nm_reject", reject_reasons(df, t))
     offset = current_max_id(spark, database, t, load_id) if t.identity else 0
     conformed = conform(checked, t, offset, keep=["__nm_reject"])
@@ -177,7 +197,7 @@ def _stage_ratings(df: DataFrame, database: str, name: str, load_id: str, mode:
     and the batch, other parts are not read or written.
     """
     spark = df.sparkSession
-    n_parts = int(spark.sql(f"SHOW TBLPROPERTIES {ledger.physical(database, name)} ('rating_parts')").first()["value"])
+    n_parts = int(_property(spark, database, name, "rating_parts"))
     if "rating_total" not in df.columns:
         n = F.col("ratings_count").cast("bigint")
         df = df.withColumns({"rating_total": F.col("ratings_average").cast("double") * n, "rating_values": n})
@@ -209,6 +229,60 @@ def _stage_ratings(df: DataFrame, database: str, name: str, load_id: str, mode:
     return [Entry(name, None, None, True), *new] if mode == "overwrite" else new
 
 
+def _least(df: DataFrame, t: Table, key: str) -> DataFrame:
+    """Per key the least row: by its order key if the table has one, then by the columns
+    in declared order (nulls first), the audit column last.  Any split of
+    the rows into loads gives the same row."""
+    order = ([ledger.ORDER_KEY[t.name]] if t.name in ledger.ORDER_KEY else []) + [c for c in t.column_names if c not in (key, "last_updated")]
+    order += [c for c in t.column_names if c == "last_updated"]
+    least = df.groupBy("part", key).agg(F.min(F.struct(*order)).alias("__nm_row"))
+    kept = [*t.column_names, *([ledger.ORDER_KEY[t.name]] if t.name in ledger.ORDER_KEY else [])]
+    return least.select(key, "__nm_row.*", "part").select(*kept, "part")
+
+
+def _stage_merged(df: DataFrame, database: str, name: str, load_id: str, mode: str, n_parts: int) -> list[Entry]:
+    """Merge a load's rows of a table of one row per key with the stored ones.
+
+    ``df`` may hold many rows of a key.  Rows that the table would refuse go to the
+    reject table and do not take part.  The load's least rows are put down once,
+    then merged with the live rows of the parts they touch; other parts are not
+    read or written.  Both steps combine map-side, so a hot key arrives as one row
+    per task.
+    """
+    spark = df.sparkSession
+    t, key = TABLES[name], ledger.MERGEABLE[name]
+    extra = [ledger.ORDER_KEY[name]] if name in ledger.ORDER_KEY else []
+    if extra and extra[0] not in df.columns:
+        df = df.withColumn(extra[0], F.md5(F.to_json(F.struct(*[c for c in df.columns if c != "last_updated"]))))
+    checked = df.withColumn("__nm_reject", reject_reasons(df, t))
+    good = F.col("__nm_reject").isNull()
+    counted, parts = Observation(f"rejected_{name}_{load_id}"), Observation(f"parts_{name}_{load_id}")
+    conformed = conform(checked, t, keep=[*extra, "__nm_reject"]).observe(counted, F.count_if(~good).alias("rejected"))
+    batch = _least(conformed.where(good).drop("__nm_reject").withColumn("part", F.pmod(F.hash(key), F.lit(n_parts))), t, key)
+    path = scratch_path(spark, f"merge-{name}")
+    batch.observe(parts, F.collect_set("part").alias("parts")).write.parquet(path)  # at most n_parts values
+    batch = spark.read.schema(batch.schema).parquet(path)
+    touched = sorted(parts.get.get("parts") or [])
+    rejected = int(counted.get.get("rejected", 0))
+    if rejected:
+        bad = checked.where(~good).select(F.col("__nm_reject").alias("reason"), F.to_json(F.struct(*df.columns)).alias("row"))
+        write_rejects(bad, database, name, load_id)
+    if not touched:
+        remove_scratch(spark, path)
+        return [Entry(name, load_id, None, mode == "overwrite", 0, rejected)]
+    if mode == "append":
+        seen = ledger.predicate(ledger.live(ledger.entries(spark, database)).get(name))
+        stored = spark.table(ledger.physical(database, name)).where(seen).where(F.col("part").isin(touched))
+        batch = _least(batch.unionByName(stored.select(*batch.columns)), t, key)
+    buckets = bucket_count(spark, database, name)
+    out = batch.repartition(buckets, key) if buckets else batch.hint("rebalance", "part")
+    out, rows = observed(out, f"rows_{name}_{load_id}")
+    ledger.insert(out, database, name, load_id)
+    remove_scratch(spark, path)
+    new = [Entry(name, load_id, p, True, *((int(rows.get.get("rows", 0)), rejected) if p == touched[0] else (0, 0))) for p in touched]
+    return [Entry(name, None, None, True), *new] if mode == "overwrite" else new
+
+
 def last_seq(spark: SparkSession, database: str) -> int:
     """Where the ledger stands; pass it to ``ledger.publish`` of what is built on it."""
     return max((r["seq"] for r in ledger.entries(spark, database)), default=0)

@@ -30,11 +30,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.values import values_frame
 from ..operators.joins import anti_join
-from ..plans import load
+from ..plans import load, tables
 from ..schemas import QUOTED_SOURCES, SOURCE_SCHEMAS
 from ..session import remove_scratch
 from ..sinks import ledger
-from ..sinks.warehouse import create_all, read_all, refresh_all
+from ..sinks.warehouse import create_all, merges, read_all, refresh_all
 
 _DIM_KEY = {
     "dim_cast": "id",
@@ -73,6 +73,12 @@ def process_batch(batch: DataFrame, batch_id: int, family: str, database: str, s
     refresh_all(spark, database)  # other sessions may have published
     if ledger.published(ledger.entries(spark, database), load_id):
         return  # a replay of a batch that went through
+    if merges(spark, database):
+        staged = load.STAGE[family](batch, tables.MERGED)
+        load.new_lists(spark, staged, database)
+        load.write_load(spark, staged, database, load_id)
+        remove_scratch(spark, *staged.paths)
+        return
     if family == "movies_metadata":
         known = read_all(spark, database, ["dim_movies"])["dim_movies"]
         staged = load.stage_movies(batch, narrow=lambda movies: anti_join(movies, known, ["id"]))

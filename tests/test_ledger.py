@@ -140,3 +140,71 @@ def test_refused_rows_and_elements(spark, tmp_root):
 def test_load_ids_are_plain_names(spark, tmp_root):
     with pytest.raises(ValueError):
         load.run_load(spark, {}, "nm_ledger_h", os.path.join(tmp_root, "wh"), load_id="a/b")
+
+
+def _merged(spark, tmp_root, db, *tables, parts=4):
+    sink.create_all(spark, db, os.path.join(tmp_root, "wh", db), list(tables), merge_parts=parts)
+
+
+def test_survivors_do_not_depend_on_the_split_into_loads(spark, tmp_root):
+    rows = [(1, "b", None), (1, "a", None), (2, None, None), (2, "x", None), (None, "n", None), (None, "m", None), (3, "c", None), (3, "c", None)]
+    want = [(None, "m"), (1, "a"), (2, None), (3, "c")]
+    for i, drops in enumerate(([rows], [rows[:3], rows[3:]], [rows[3:], rows[:3]], [[r] for r in reversed(rows[:4])] + [rows[4:]], [[], rows])):
+        db = f"nm_merge_a{i}"
+        _merged(spark, tmp_root, db, "dim_genres")
+        for drop in drops:
+            sink.write_table(spark.createDataFrame(drop, GENRES), db, "dim_genres")
+        got = sink.read_all(spark, db, ["dim_genres"])["dim_genres"].select("id", "name").collect()
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert sink.merges(spark, "nm_merge_a0")
+
+
+def test_a_merged_load_rewrites_only_the_parts_it_touches(spark, tmp_root):
+    db = "nm_merge_b"
+    _merged(spark, tmp_root, db, "dim_genres", parts=16)
+    sink.write_table(_genres(spark, *range(200)), db, "dim_genres")
+    root = os.path.join(tmp_root, "wh")
+    before = set(glob.glob(f"{root}/**/*.parquet", recursive=True))
+    sink.write_table(_genres(spark, 7, 1000), db, "dim_genres")
+    new = [p for p in set(glob.glob(f"{root}/**/*.parquet", recursive=True)) - before if "dim_genres__loads" in p]
+    assert 1 <= len({os.path.dirname(p) for p in new}) <= 2
+    assert _ids(spark, db) == [*range(200), 1000]
+    sink.write_table(_genres(spark, 5), db, "dim_genres", "overwrite")
+    assert _ids(spark, db) == [5]
+    ledger.compact(spark, db, "dim_genres")
+    sink.write_table(_genres(spark, 6), db, "dim_genres")
+    assert _ids(spark, db) == [5, 6]
+
+
+def test_refused_rows_do_not_survive(spark, tmp_root):
+    db = "nm_merge_c"
+    _merged(spark, tmp_root, db, "dim_genres")
+    rows = spark.createDataFrame([("1", "A" * 300, None), ("1", "b", None), ("x", "c", None)], "id string, name string, last_updated timestamp")
+    sink.write_table(rows, db, "dim_genres")
+    got = sink.read_all(spark, db, ["dim_genres"])["dim_genres"].select("id", "name").collect()
+    assert [tuple(r) for r in got] == [(1, "b")]
+    assert sorted(r.reason for r in ledger.read_rejects(spark, db).collect()) == ["id: not bigint", "name: over 256 bytes"]
+
+
+def test_movies_merge_as_whole_rows_by_load_and_stream(spark, tmp_root):
+    def movies(title, revenue, ids):
+        head = "adult,belongs_to_collection,budget,genres,homepage,id,imdb_id,original_language,original_title,overview,popularity,poster_path,production_companies,production_countries,release_date,revenue,runtime,spoken_languages,status,tagline,title,video,vote_average,vote_count"
+        genres = "\"[{'id': 1, 'name': 'g'}]\""
+        return "\n".join([head, *(f"False,,1,{genres},,{i},tt,en,o,v,1.0,,[],[],2000-01-01,{revenue},1.0,[],ok,,{title},False,1.0,1" for i in ids)]) + "\n"
+
+    first, second = movies("A", 1, range(40)), movies("B", 2, range(20, 60))
+    got = {}
+    for step, drops in {"ab": (first, second), "ba": (second, first)}.items():
+        db, root = f"nm_merge_{step}", os.path.join(tmp_root, step)
+        write_text(f"{root}/batch/movies.csv", drops[0])
+        load.run_load(spark, {"movies_metadata": f"{root}/batch/"}, db, os.path.join(root, "wh"), merge_parts=4)
+        write_text(f"{root}/landing/movies.csv", drops[1])
+        run_ingest(spark, "movies_metadata", f"{root}/landing", db, f"{root}/checkpoint")
+        w = sink.read_all(spark, db)
+        titles = {r.id: r.title for r in w["dim_movies"].collect()}
+        sales = {r.movie_id: r.revenue for r in w["fact_movie_sales"].collect()}
+        assert w["dim_movies"].count() == w["fact_movie_sales"].count() == w["movie_genres"].count() == len(titles) == 60
+        assert all(sales[i] == {"A": 1, "B": 2}[t] for i, t in titles.items())
+        assert w["dim_genres"].select("id", "name").collect() == [(1, "g")]
+        got[step] = titles
+    assert got["ab"] == got["ba"] and {got["ab"][i] for i in range(20, 40)} == {"A", "B"}
