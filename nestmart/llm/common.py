@@ -8,7 +8,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nestmart.session import scratch_path
@@ -63,6 +63,16 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lowest(df: DataFrame, by: str, hash_col: str, order: list[str], n: int, salts: int = 64) -> DataFrame:
+    """The ``n`` first rows per value of ``by``, in order.  Ranked within salted groups
+    first, so that the task that ranks a hot value sees at most ``salts * n`` rows,
+    however many tasks the rows come from."""
+    for salt in ([F.pmod(hash_col, F.lit(salts))], []):
+        rank = F.row_number().over(Window.partitionBy(by, *salt).orderBy(*order))
+        df = df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
+    return df
+
+
 def keep_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows of df whose key is in ids (null keys compare equal)."""
     names = ids.select(F.col(key).alias("_keep")).distinct()

@@ -22,11 +22,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import map_batches
+from .common import lowest, map_batches
 
 BITS = 13
 BUCKETS = 1 << BITS
@@ -144,8 +144,7 @@ def train(docs: DataFrame, per_lang: int = 600, max_sample: int = 150_000) -> di
     k = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40))
     named = known.select("lang", k.alias("k"), F.xxhash64("text").alias("h"))
     per_lang = max(1, min(per_lang, max_sample // max(1, named.select("lang").distinct().count())))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("k", "h"))
-    picked = named.distinct().withColumn("r", rank).where(F.col("r") <= per_lang).drop("r")  # at most max_sample small rows
+    picked = lowest(named.distinct(), "lang", "h", ["k", "h"], per_lang)  # at most max_sample small rows
     rows = known.select("lang", "text", k.alias("k"), F.xxhash64("text").alias("h")).join(F.broadcast(picked), ["lang", "k", "h"], "left_semi")
     rows = rows.dropDuplicates(["lang", "k", "h"])  # a repeated row is one document
     return fit(sorted(bags(rows).collect(), key=lambda r: (r["k"], r["lang"], r["ids"], r["counts"])))

@@ -29,11 +29,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import map_batches, map_partitions, stored
+from .common import lowest, map_batches, map_partitions, stored
 
 BLOCK = 128
 
@@ -132,8 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = 4000, max_terms:
     total = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not total:
         return None
-    rank = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id"))
-    ids = known.withColumn("r", rank).where(F.col("r") <= per_label).select("doc_id", "y")
+    ids = lowest(known.withColumn("h", F.xxhash64(F.col("doc_id").cast("string"))), "y", "h", ["h", "doc_id"], per_label).drop("h")
     # at most 2 * per_label rows of ids, and of texts: rows that repeat a doc_id are reduced to one before they are gathered
     texts = docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.first("y").alias("y"))
     sample = texts.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("y").alias("y"))
