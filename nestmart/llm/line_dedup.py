@@ -20,7 +20,8 @@ groups (at most ``light`` for each entry) are verified on their token sets.  A
 *heavy* group, such as many near copies, is not paired out: its token sets are
 brought together in order of first occurrence, and each is held against earlier ones
 until the first similar one is found.  Either way a set learns the first
-line similar to it.
+line similar to it.  Links are counted over all pairs of similar sets, also those of
+heavy groups: the number of rows there is that of the links between different sets.
 
 Cases: lines without a word are kept and never match; null and empty texts have
 no lines; rows that repeat a doc_id are taken as repeats of one row; rows with
@@ -186,7 +187,7 @@ def index(docs: DataFrame, table: np.ndarray, threshold: float, block: int, part
     return map_partitions(docs.select("text"), run, "part int, entries binary")
 
 
-def candidates(entries: np.ndarray, threshold: float, light: int, at_once: int = 1 << 18):
+def candidates(entries: np.ndarray, threshold: float, light: float, at_once: int = 1 << 18):
     """Pairs of entry numbers that pass all filters, in bounded runs, and in the
     end, as one array, the entries of heavy groups: those with more than ``light`` pairs
     for each entry.  Of a heavy group no pair is needed."""
@@ -228,7 +229,7 @@ def candidates(entries: np.ndarray, threshold: float, light: int, at_once: int =
 PAIRS = "gid long, a1 long, a2 int, b1 long, b2 int"
 
 
-def _pairs(packed: DataFrame, threshold: float, light: int) -> DataFrame:
+def _pairs(packed: DataFrame, threshold: float, light: float) -> DataFrame:
     """Candidate pairs (a, b), and the members a of heavy groups (``gid``; b null)."""
     names = [c.split()[0] for c in PAIRS.split(", ")]
 
@@ -359,9 +360,11 @@ def _heavy_links(members: DataFrame, sets: DataFrame, firsts: DataFrame, thresho
     return found.select("h1", "h2", F.struct("doc_id", "number").alias("other"))
 
 
-def find_lines(docs: DataFrame, threshold: float = 0.8, block: int = 200_000, light: int = 8) -> tuple[DataFrame, DataFrame]:
+def find_lines(docs: DataFrame, threshold: float = 0.8, block: int = 200_000, light: int | None = 8, links: bool = True) -> tuple[DataFrame, DataFrame]:
     """Lines that go (doc_id, number, and ``cut``, the first line that they match), and
-    (doc_id, n_lines) of every document."""
+    (doc_id, n_lines, n_links) of every document; ``n_links`` (different token sets similar
+    to each of its lines) only with ``links``.  ``light`` None: no group is heavy, and
+    both come from the same pairs."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
     scanned = stored(scan(docs), "lines")
@@ -371,34 +374,46 @@ def find_lines(docs: DataFrame, threshold: float = 0.8, block: int = 200_000, li
         table[r["doc_id"]] = r["n"]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(table.sum() // 8_000_000))
     packed = index(docs, table, threshold, block, parts)
-    found = stored(_pairs(packed.repartition(parts, "part"), threshold, light).distinct(), "line-pairs")
-    pairs = found.where("gid IS NULL").select("a1", "a2", "b1", "b2")
-    members = found.where("gid IS NOT NULL").select("gid", F.col("a1").alias("h1"), F.col("a2").alias("h2"))
-    ends = pairs.select(F.col("a1").alias("h1"), F.col("a2").alias("h2")).unionAll(pairs.select("b1", "b2")).unionAll(members.select("h1", "h2")).distinct()
-    ends = stored(ends, "line-ends")
-    sets = stored(_token_sets(docs, ends), "line-tokens")
+
+    def linked(light: float) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+        found = stored(_pairs(packed.repartition(parts, "part"), threshold, light).distinct(), "line-pairs")
+        pairs = found.where("gid IS NULL").select("a1", "a2", "b1", "b2")
+        members = found.where("gid IS NOT NULL").select("gid", F.col("a1").alias("h1"), F.col("a2").alias("h2"))
+        ends = pairs.select(F.col("a1").alias("h1"), F.col("a2").alias("h2")).unionAll(pairs.select("b1", "b2")).unionAll(members.select("h1", "h2")).distinct()
+        ends = stored(ends, "line-ends")
+        sets = stored(_token_sets(docs, ends), "line-tokens")
+        return members, ends, sets, stored(_verify(pairs, sets, threshold), "line-links")
+
+    members, ends, sets, similar = linked(np.inf if light is None else light)
     first = F.min(F.struct("doc_id", "number")).alias("first")
     every = lines.groupBy("h1", "h2").agg(first, F.count("*").alias("n")).join(ends.withColumn("linked", F.lit(True)), ["h1", "h2"], "left")
     every = stored(every.where("n > 1 OR linked").select("h1", "h2", "first", "linked"), "line-sets")
     firsts = every.where("linked").select("h1", "h2", "first")
-    links = _verify(pairs, sets, threshold)
     side = lambda x: firsts.select(F.col("h1").alias(x + "1"), F.col("h2").alias(x + "2"), F.col("first").alias("f" + x))
-    links = links.join(side("a"), ["a1", "a2"]).join(side("b"), ["b1", "b2"])
+    later_ones = similar.join(side("a"), ["a1", "a2"]).join(side("b"), ["b1", "b2"])
     a_later = F.col("fa") > F.col("fb")
     later = lambda k: F.when(a_later, F.col("a" + k)).otherwise(F.col("b" + k)).alias("h" + k)
-    links = links.select(later("1"), later("2"), F.least("fa", "fb").alias("other"))
-    links = links.unionAll(_heavy_links(members, sets, firsts, threshold))
-    best = links.groupBy("h1", "h2").agg(F.min("other").alias("other"))
+    later_ones = later_ones.select(later("1"), later("2"), F.least("fa", "fb").alias("other"))
+    later_ones = later_ones.unionAll(_heavy_links(members, sets, firsts, threshold))
+    best = later_ones.groupBy("h1", "h2").agg(F.min("other").alias("other"))
     cut = every.join(best, ["h1", "h2"], "left").select("h1", "h2", F.least("first", F.coalesce("other", "first")).alias("cut"))
     here = F.struct("doc_id", "number")
     gone = lines.join(cut, ["h1", "h2"]).where(here > F.col("cut")).select("doc_id", "number", "cut")
-    return stored(gone, "line-matches"), scanned.where("kind = 2").groupBy("doc_id").agg(F.max("h1").alias("n_lines"))
+    counts = scanned.where("kind = 2").groupBy("doc_id").agg(F.max("h1").alias("n_lines"))
+    if links:
+        whole = similar if light is None else linked(np.inf)[3]
+        both = whole.select(F.col("a1").alias("h1"), F.col("a2").alias("h2")).unionAll(whole.select("b1", "b2"))
+        n_links = both.groupBy("h1", "h2").agg(F.count("*").alias("n_links"))
+        per_line = lines.join(n_links, ["h1", "h2"]).select("doc_id", "number", "n_links").distinct()  # rows that repeat a doc_id
+        counts = counts.join(per_line.groupBy("doc_id").agg(F.sum("n_links").alias("n_links")), "doc_id", "left")
+    return stored(gone, "line-matches"), counts
 
 
 def by_document(docs: DataFrame, found: DataFrame, counts: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_removed, removed_lines (sorted numbers), first_lines (of each
     removed line the first line that it matches, ``doc_id:number``) and n_followers
-    (lines anywhere whose first match is in this document) of every document."""
+    (lines anywhere whose first match is in this document) and n_links (different token
+    sets similar to each of its lines, if ``counts`` has them) of every document."""
     found = found.distinct()  # rows that repeat a doc_id
     lists = F.sort_array(F.collect_list(F.struct("number", F.concat_ws(":", "cut.doc_id", "cut.number").alias("first")))).alias("gone")  # bounded by the document
     followers = found.groupBy(F.col("cut.doc_id").alias("doc_id")).agg(F.count("*").alias("n_followers"))
@@ -407,7 +422,7 @@ def by_document(docs: DataFrame, found: DataFrame, counts: DataFrame) -> DataFra
     none = lambda kind: F.array().cast(f"array<{kind}>")
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long"))
     numbers, firsts = F.coalesce(F.col("gone.number"), none("int")), F.coalesce(F.col("gone.first"), none("string"))
-    return out.select("doc_id", zero(F.col("n_lines")).alias("n_lines"), F.size(numbers).cast("long").alias("n_removed"), numbers.alias("removed_lines"), firsts.alias("first_lines"), zero(F.col("n_followers")).alias("n_followers"))
+    return out.select("doc_id", zero(F.col("n_lines")).alias("n_lines"), F.size(numbers).cast("long").alias("n_removed"), numbers.alias("removed_lines"), firsts.alias("first_lines"), zero(F.col("n_followers")).alias("n_followers"), *[zero(F.col("n_links")).alias("n_links") for c in counts.columns if c == "n_links"])
 
 
 def drop_lines(docs: DataFrame, found: DataFrame, counts: DataFrame) -> DataFrame:
@@ -423,7 +438,7 @@ def drop_lines(docs: DataFrame, found: DataFrame, counts: DataFrame) -> DataFram
 
 
 def op6_line_dedup(docs: DataFrame) -> DataFrame:
-    out = by_document(docs, *find_lines(docs))
+    out = by_document(docs, *find_lines(docs, light=None))
     return out.withColumns({c: F.array_join(c, ",") for c in ("removed_lines", "first_lines")})
 
 
@@ -439,14 +454,15 @@ prefix AS (SELECT * FROM ranked WHERE pos <= n - ((4 * n + 4) // 5) + 1),
 pairs AS (SELECT DISTINCT a.sid AS a, b.sid AS b FROM prefix a JOIN prefix b ON a.w = b.w AND a.sid < b.sid AND 5 * a.n >= 4 * b.n AND 5 * b.n >= 4 * a.n),
 links AS (SELECT a, b FROM (SELECT p.a, p.b, len(list_intersect(x.ws, y.ws)) AS o, len(x.ws) AS m, len(y.ws) AS n FROM pairs p JOIN sets x ON x.sid = p.a JOIN sets y ON y.sid = p.b) WHERE 5 * o >= 4 * (m + n - o)),
 mirrored AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-best AS (SELECT a AS sid, min(s.first) AS other FROM mirrored JOIN sets s ON s.sid = mirrored.b GROUP BY a),
+best AS (SELECT a AS sid, min(s.first) AS other, count(*) AS n_links FROM mirrored JOIN sets s ON s.sid = mirrored.b GROUP BY a),
 judged AS (
   SELECT w.doc_id, w.number, CASE WHEN other < s.first THEN other ELSE s.first END AS cut
   FROM worded w JOIN sets s USING (ws) LEFT JOIN best USING (sid)),
 gone AS (SELECT doc_id, number, struct_extract(cut, 1) AS cut_doc, struct_extract(cut, 2) AS cut_number FROM judged WHERE row(doc_id, number) > cut),
 lists AS (SELECT doc_id, count(*) AS n, string_agg(number, ',' ORDER BY number) AS numbers, string_agg(cut_doc || ':' || cut_number, ',' ORDER BY number) AS firsts FROM gone GROUP BY doc_id)
 SELECT d.doc_id, coalesce(c.n, 0) AS n_lines, coalesce(l.n, 0) AS n_removed, coalesce(l.numbers, '') AS removed_lines,
-  coalesce(l.firsts, '') AS first_lines, coalesce(f.n, 0) AS n_followers
+  coalesce(l.firsts, '') AS first_lines, coalesce(f.n, 0) AS n_followers, CAST(coalesce(k.n, 0) AS BIGINT) AS n_links
 FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n FROM worded GROUP BY doc_id) c ON c.doc_id = d.doc_id
 LEFT JOIN lists l ON l.doc_id = d.doc_id LEFT JOIN (SELECT cut_doc, count(*) AS n FROM gone GROUP BY cut_doc) f ON f.cut_doc = d.doc_id
+LEFT JOIN (SELECT w.doc_id, sum(n_links) AS n FROM worded w JOIN sets s USING (ws) JOIN best USING (sid) GROUP BY w.doc_id) k ON k.doc_id = d.doc_id
 """

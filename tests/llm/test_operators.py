@@ -170,7 +170,7 @@ def test_line_dedup_against_sql(spark, odd, empty):
     want = sorted(map(tuple, con.execute(line_dedup.SQL).fetchall()))
     for block, light in ((200_000, 8), (3, 8), (200_000, 0)):  # 3: nearly all tokens are split into blocks; 0: every group is heavy
         found = line_dedup.by_document(docs, *line_dedup.find_lines(docs, block=block, light=light))
-        assert sorted((r.doc_id, r.n_lines, r.n_removed, ",".join(map(str, r.removed_lines)), ",".join(r.first_lines), r.n_followers) for r in found.collect()) == want
+        assert sorted((r.doc_id, r.n_lines, r.n_removed, ",".join(map(str, r.removed_lines)), ",".join(r.first_lines), r.n_followers, r.n_links) for r in found.collect()) == want
     assert line_dedup.op6_line_dedup(odd).count() == odd.count()
     kept = line_dedup.drop_lines(odd, *line_dedup.find_lines(odd))
     assert kept.columns == odd.columns and 2 not in _texts(kept) and 4 in _texts(kept)
