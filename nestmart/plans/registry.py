@@ -48,8 +48,8 @@ def _staged(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
 def _warehouse(spark: SparkSession, sf_dir: str, lists=tuple(tables.MOVIE_LISTS), families=load.FAMILIES) -> dict[str, DataFrame]:
     """The frames of ``families`` built from the derived catalog.
 
-    As in a load, nested lists are derived and parsed once: the elements are staged
-    in the shared folder and every table that comes from them reads that.  ``lists``
+    As in a load, movies are derived and deduplicated once, and nested lists parsed once:
+    both are staged in the shared folder and every table that comes from them reads that.  ``lists``
     are the movie lists that are asked for; of cast and crew the numbers and
     genders are kept, which is what the questions and the gate read.
     """
@@ -57,8 +57,11 @@ def _warehouse(spark: SparkSession, sf_dir: str, lists=tuple(tables.MOVIE_LISTS)
     staged = {}
     sources = {}
     if "movies_metadata" in families:
-        movies = sources["movies_metadata"] = catalog.movies_frame(t)
-        staged["elements"] = _staged(spark, tables.movie_elements(tables.staged_movies(movies), lists=lists), "warehouse-elements")
+        movies = tables.staged_movies(catalog.movies_frame(t))
+        kept = dict.fromkeys([*tables.DIM_MOVIES_COLUMNS, *tables.SALES_COLUMNS, *lists, "id"])
+        movies = staged["staged"] = _staged(spark, movies.select(*[c for c in kept if c != "movie_id"]), "warehouse-movies")
+        if lists:
+            staged["elements"] = _staged(spark, tables.movie_elements(movies, lists=lists), "warehouse-elements")
     if "credits" in families:
         people = tables.credit_people(catalog.credits_frame(t))
         staged["people"] = _staged(spark, people.select("movie_id", "role", "id", "gender", "bad"), "warehouse-people")

@@ -62,6 +62,14 @@ def test_tables_read_lists_that_are_staged_once(spark, small):
     assert "movie_genres" not in registry._warehouse(spark, small, ["spoken_languages"], ["movies_metadata"])
 
 
+def test_movies_are_derived_once(spark, small):
+    """Both movie tables and the parse read the staged movies, not the catalog again."""
+    w = registry._warehouse(spark, small, ["genres"], ["movies_metadata"])
+    for name in ("dim_movies", "fact_movie_sales"):
+        assert w[name].inputFiles() and all("/warehouse-movies-" in f for f in w[name].inputFiles()), name
+    assert sorted((r.movie_id, r.revenue) for r in w["fact_movie_sales"].collect()) == [(i, 10.5 * i) for i in range(1, 5)]
+
+
 def test_drops_are_written_once_for_all_orders(spark, small, monkeypatch):
     written = []
     write = load.write_sources
