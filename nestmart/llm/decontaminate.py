@@ -12,7 +12,8 @@ Three passes over the documents, none of them sampled:
    come from the Nystrom form ``Y (omega' Y)^-1 Y'``.  The benchmark's own
    rows enter with the weight of the whole corpus, so that its terms span the
    latent space;
-3. search: overlapping windows with a term are folded into the latent space; those whose cosine with an item reaches ``min_cosine`` are verified: the longest common
+3. search: overlapping windows with a term are folded into the latent space; those whose cosine with an item reaches ``min_cosine`` and that have
+   enough of its words in any order are verified: the longest common
    subsequence covers at least ``exact`` of the item's words, or ``paraphrase`` of them
    while at least half of its answer words (the rarest terms of its last
    sentence) are there.
@@ -37,6 +38,7 @@ from pyspark.sql import functions as F
 
 from . import textbytes as tb
 from .common import map_batches, map_partitions
+from .memo import spread
 
 TILE, LEAST = 48, 8
 
@@ -171,6 +173,38 @@ def lcs(x: np.ndarray, y: np.ndarray) -> int:
     return len(x) - row.bit_count()
 
 
+def _vocabulary(items: list[np.ndarray]) -> dict[str, np.ndarray]:
+    """All words of the items, and per item (in a row) its distinct words and how often it has them."""
+    vocab, at = np.unique(np.concatenate(items), return_inverse=True)
+    of = np.repeat(np.arange(len(items)), [len(x) for x in items])
+    cell, times = np.unique(of * len(vocab) + at, return_counts=True)
+    return {"vocab": vocab, "cell": cell, "times": times, "size": np.array([len(x) for x in items])}
+
+
+def most_shared(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, item: np.ndarray, v: dict[str, np.ndarray], at_once: int = 1 << 20) -> np.ndarray:
+    """For spans a[k] .. b[k] of a chunk's words and an item each: how many words both have,
+    copies counted; no common subsequence is longer."""
+    out = np.zeros(len(a), np.int64)
+    t = np.minimum(np.searchsorted(v["vocab"], hashes), len(v["vocab"]) - 1)
+    t[v["vocab"][t] != hashes] = -1  # a word of no item
+    ends = np.cumsum(b - a)
+    lo = 0
+    while lo < len(a):  # spans of about ``at_once`` words together
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + at_once, "right")))
+        lengths = b[lo:hi] - a[lo:hi]
+        span = np.repeat(np.arange(hi - lo), lengths)
+        word = t[spread(a[lo:hi], lengths)]
+        some = np.flatnonzero(word >= 0)
+        span = span[some]
+        cell = item[lo:hi][span] * len(v["vocab"]) + word[some]
+        c = np.minimum(np.searchsorted(v["cell"], cell), len(v["cell"]) - 1)
+        has = v["cell"][c] == cell
+        key, n = np.unique(span[has] * len(v["cell"]) + c[has], return_counts=True)
+        out[lo:hi] = np.bincount(key // len(v["cell"]), np.minimum(n, v["times"][key % len(v["cell"])]), minlength=hi - lo)
+        lo = hi
+    return out
+
+
 def _answers(text: str | None, idf_of: dict[int, float], n: int = 3) -> list[int]:
     """The rarest terms of the last sentence with one."""
     for part in reversed([p for p in re.split(r"[.!?\n]+", text or "") if p.strip()]):
@@ -208,10 +242,14 @@ def _search(docs: DataFrame, model: dict, min_cosine: float, exact: float, parap
             best: dict[tuple[int, int], tuple] = {}
             for lo in range(0, len(z), 8192):
                 cos = z[lo : lo + 8192] @ m["items"].T
-                for k, i in zip(*np.nonzero(cos >= min_cosine), strict=True):
+                near, item = np.nonzero(cos >= min_cosine)
+                size, r_of = m["vocabulary"]["size"][item], row[lo + near]
+                left = np.maximum(w.first[r_of], begin[lo + near] - size)
+                right = np.minimum(w.first[r_of + 1], begin[lo + near] + TILE + size)
+                # few share enough words, in any order, to be aligned
+                may = np.zeros(0, bool) if not len(near) else most_shared(w.hashes, left, right, item, m["vocabulary"]) / size >= paraphrase
+                for k, i, a, b in zip(near[may], item[may], left[may], right[may], strict=True):
                     r, words = int(row[lo + k]), m["words"][i]
-                    a = max(w.first[r], begin[lo + k] - len(words))
-                    b = min(w.first[r + 1], begin[lo + k] + TILE + len(words))
                     span = w.hashes[a:b]
                     share = lcs(words, span) / len(words)
                     if share < paraphrase:
@@ -268,7 +306,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rank: int = 128, common:
         vectors = nystrom(y + mine * max(1.0, passages / len(rows)), omega.astype(np.float64), r).astype(np.float32)
         z = np.add.reduceat(own[1][:, None] * vectors[own[0]], own[2], axis=0)
         z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
-        model = {"terms": terms, "idf": idf, "vectors": vectors, "items": z.astype(np.float32), "names": [x[0] for x in rows], "words": [x[2] for x in rows], "answers": [_answers(x[1], idf_of) for x in rows]}
+        model = {"terms": terms, "idf": idf, "vectors": vectors, "items": z.astype(np.float32), "names": [x[0] for x in rows], "words": [x[2] for x in rows], "vocabulary": _vocabulary([x[2] for x in rows]), "answers": [_answers(x[1], idf_of) for x in rows]}
         return _search(docs, model, min_cosine, exact, paraphrase)
 
     for row in items.toLocalIterator():  # the query set, block by block

@@ -13,6 +13,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -478,3 +479,27 @@ def test_pipeline_of_nothing(spark):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, empty, SF_SMALL)
         assert out.count() == 0, name
+
+
+def test_alignments_are_tried_only_with_enough_shared_words(spark, monkeypatch):
+    """The count of shared words bounds every common subsequence, and spares alignments without losing one."""
+    d, rng = decontaminate, np.random.default_rng(0)
+    items = [rng.integers(0, 9, n).astype(np.uint64) for n in (1, 5, 11)]
+    words = rng.integers(0, 11, 60).astype(np.uint64)
+    a, item = rng.integers(0, 59, 50), rng.integers(0, 3, 50)
+    b = np.array([rng.integers(x, 61) for x in a])
+    got = d.most_shared(words, a, b, item, d._vocabulary(items), at_once=7).tolist()
+    assert got == [(Counter(words[x:y].tolist()) & Counter(items[i].tolist())).total() for x, y, i in zip(a, b, item, strict=True)]
+    assert all(d.lcs(items[i], words[x:y]) <= n for x, y, i, n in zip(a, b, item, got, strict=True))
+
+    tried, lcs, steps = [], d.lcs, {}
+    monkeypatch.setattr(d, "lcs", lambda x, y: tried.append(1) or lcs(x, y))
+    monkeypatch.setattr(d, "map_batches", lambda docs, step, schema: steps.update(step=step))
+    h = d._item_words("one two three four five six seven eight nine ten")
+    z = np.ones((1, 1), np.float32)
+    model = {"terms": np.sort(h), "idf": np.ones(10, np.float32), "vectors": np.ones((10, 1), np.float32), "items": z, "names": [7], "words": [h], "vocabulary": d._vocabulary([h]), "answers": [[]]}
+    d._search(spark.range(1), model, 0.35, 0.8, 0.6)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["one two three and nothing else", "x one two three four five six seven eight nine y"]})
+    found = [r for out in steps["step"](batch) for r in out.to_pylist()]
+    assert [(r["doc_id"], r["item_id"], r["lcs"]) for r in found] == [(2, 7, 0.9)]
+    assert len(tried) == 2  # the two windows that document 2 lies in
