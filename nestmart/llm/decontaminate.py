@@ -99,14 +99,27 @@ def _rows(tile: np.ndarray, t: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray,
     return term, (weight / norm[of]).astype(np.float32), start, of
 
 
+def _row_sums(term: np.ndarray, weight: np.ndarray, start: np.ndarray, matrix: np.ndarray, at_once: int = 1 << 12) -> np.ndarray:
+    """Sparse rows times a matrix, about ``at_once`` entries at a time, which stay in the cache."""
+    out = np.empty((len(start), matrix.shape[1]), np.result_type(weight, matrix))
+    ends = np.append(start[1:], len(term))
+    lo = 0
+    while lo < len(start):
+        hi = max(lo + 1, int(np.searchsorted(ends, start[lo] + at_once, "right")))
+        a, b = start[lo], ends[hi - 1]
+        np.add.reduceat(weight[a:b, None] * matrix[term[a:b]], start[lo:hi] - a, axis=0, out=out[lo:hi])
+        lo = hi
+    return out
+
+
 def _gram_times(term: np.ndarray, weight: np.ndarray, start: np.ndarray, of: np.ndarray, omega: np.ndarray, out: np.ndarray) -> None:
     """out += A' (A omega) for sparse rows."""
     if not len(start):
         return
-    hidden = np.add.reduceat(weight[:, None] * omega[term], start, axis=0)
+    hidden = _row_sums(term, weight, start, omega)
     by = np.argsort(term, kind="stable")
     first = np.flatnonzero(np.concatenate([[True], term[by][1:] != term[by][:-1]]))
-    out[term[by][first]] += np.add.reduceat(weight[by][:, None] * hidden[of[by]], first, axis=0)
+    out[term[by][first]] += _row_sums(of[by], weight[by], first, hidden)
 
 
 def _sketch(docs: DataFrame, terms: np.ndarray, idf: np.ndarray, omega: np.ndarray) -> tuple[np.ndarray, float]:
@@ -234,7 +247,7 @@ def _search(docs: DataFrame, model: dict, min_cosine: float, exact: float, parap
             order = np.argsort(window, kind="stable")
             window, where, term = window[order], where[order], term[order]
             entry, weight, start, of = _rows(window, term, m["idf"])
-            z = np.add.reduceat(weight[:, None] * m["vectors"][entry], start, axis=0)
+            z = _row_sums(entry, weight, start, m["vectors"])
             z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)
             head = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]]))
             row = w.row[where[head]]
