@@ -39,8 +39,10 @@ from pyspark.sql import functions as F
 
 from nestmart.session import scratch_path
 
-from .common import map_batches
+from .common import map_batches, stored
 
+#: Slots of the filter of payloads that come more than once (2 MB of bits).
+FILTER = 1 << 24
 END = "\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
 
@@ -62,9 +64,18 @@ def records(pages: DataFrame) -> DataFrame:
     """One WARC record per page, as column ``value`` (without terminator)."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     pages = pages.withColumn("digest", base32_sha1(F.col("html")))
-    # only payloads that come more than once have anything to join
+    # only payloads that come more than once have anything to join; of the others, those
+    # whose slot in a filter is free (most) are not shuffled
     first = pages.groupBy("digest").agg(F.min("page_id").alias("first_id"), F.count("*").alias("copies")).where("copies > 1").select("digest", "first_id")
-    p = pages.join(first, "digest", "left")
+    first = stored(first, "warc-first")
+    slot = 1 + F.pmod(F.xxhash64("digest"), F.lit(FILTER))
+    taken = first.groupBy(F.bitmap_bucket_number(slot).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    bit = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring("bits", (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    told = pages.join(F.broadcast(taken), F.bitmap_bucket_number(slot) == F.col("bucket"), "left")
+    told = told.withColumn("maybe", F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))).drop("bucket", "bits")
+    once = told.where(~F.col("maybe")).withColumn("first_id", F.lit(None).cast("long"))
+    p = told.where("maybe").join(first, "digest", "left").unionByName(once)
     revisit = F.col("first_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length("html").cast("string"), F.lit(END))
     p = p.withColumn("revisit", revisit).withColumn("block", F.when(revisit, http).otherwise(F.concat(http, "html")))
