@@ -16,8 +16,8 @@ Equal item sequences are one node from the start.  In a bucket every member is
 aligned with a few members that stand for it, the same ones in all buckets that
 hold them; confirmed links give components.
 In buckets that still hold several components the members are then compared
-across components, block by block, on signatures of ``BINS`` bins, and aligned where these agree.  So groups of near copies
-do not turn into all their pairs, and links between strays and a group are found.
+across components, block by block, on signatures of ``BINS`` bins, and aligned where these agree, also block by block.  So groups of near copies
+do not turn into all their pairs, no pair of a group becomes a row with its texts, and links between strays and a group are found.
 
 Cases: null, empty and wordless texts stand alone; rows that repeat a doc_id
 are one document; rows without doc_id are passed over; ties take the least
@@ -27,6 +27,7 @@ doc_id; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -224,23 +225,25 @@ def similar(x: np.ndarray, y: np.ndarray, lx: np.ndarray, ly: np.ndarray, thresh
     return edits_within(x, y, most) is not None
 
 
+def _sequences(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(items, labelled items) of each text."""
+    for chunk in tb.chunks(column):
+        h, first = _items(chunk)
+        labelled = _labelled(h, first)
+        for r in range(chunk.rows):
+            yield h[first[r] : first[r + 1]], labelled[first[r] : first[r + 1]]
+
+
 def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) whose documents align."""
     ta = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
     tb_ = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
     joined = pairs.join(ta, "a").join(tb_, "b").select("a", "b", "ta", "tb")
 
-    def items(column):
-        for chunk in tb.chunks(column):
-            h, first = _items(chunk)
-            labelled = _labelled(h, first)
-            for r in range(chunk.rows):
-                yield h[first[r] : first[r + 1]], labelled[first[r] : first[r + 1]]
-
     def step(batch):
         for lo in range(0, batch.num_rows, 64):
             part = batch.slice(lo, 64)
-            ok = [similar(x, y, lx, ly, threshold) for (x, lx), (y, ly) in zip(items(part.column("ta")), items(part.column("tb")), strict=True)]
+            ok = [similar(x, y, lx, ly, threshold) for (x, lx), (y, ly) in zip(_sequences(part.column("ta")), _sequences(part.column("tb")), strict=True)]
             yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     return map_batches(joined, step, "a long, b long")
@@ -269,17 +272,61 @@ def signatures(texts: DataFrame) -> DataFrame:
     return map_batches(texts, step, "doc_id long, sig binary")
 
 
-def _across(open_: DataFrame, texts: DataFrame, keys: DataFrame, agree: float, block: int, sigmas: float = 4.0) -> DataFrame:
+def shared_items(p: list[np.ndarray], q: list[np.ndarray]) -> np.ndarray:
+    """How many items each sequence of p has in common with each of q (labelled items)."""
+    names = np.intersect1d(np.concatenate(p), np.concatenate(q))
+    out = np.zeros((len(p), len(q)), np.float32)
+    for lo in range(0, len(names), 1 << 14):
+        some, sides = names[lo : lo + (1 << 14)], []
+        for side in (p, q):
+            item, row = np.concatenate(side), np.repeat(np.arange(len(side)), [len(x) for x in side])
+            at = np.minimum(np.searchsorted(some, item), len(some) - 1)
+            hit = some[at] == item
+            has = np.zeros((len(side), len(some)), np.float32)
+            has[row[hit], at[hit]] = 1
+            sides.append(has)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def _align_blocks(candidates: DataFrame, blocks: DataFrame, texts: DataFrame, threshold: float | None) -> DataFrame:
+    """Pairs (a, b) of the candidates whose documents align (``threshold`` None: all).  A row is a pair of blocks with
+    their texts, never a pair of documents."""
+    needed = candidates.select(F.col("x").alias("block")).unionAll(candidates.select("y")).distinct()
+    members = blocks.join(needed, "block", "left_semi").select("block", F.posexplode("m.rep").alias("at", "doc_id"))
+    bodies = members.join(texts, "doc_id").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "doc_id", "text"))).alias("m"))
+    bodies = stored(bodies, "omh-bodies")
+    side = lambda x, m: bodies.select(F.col("block").alias(x), F.col("m").alias(m))
+    rows = candidates.join(side("x", "p"), "x").join(side("y", "q"), "y").select("pairs", "p", "q")
+
+    def step(batch):
+        for i in range(batch.num_rows):
+            at = np.frombuffer(batch.column("pairs")[i].as_py(), np.uint32).reshape(-1, 2)
+            p, q = (batch.column(c)[i].values for c in ("p", "q"))
+            if threshold is not None:
+                x, y = list(_sequences(p.field("text"))), list(_sequences(q.field("text")))
+                common = shared_items([s[1] for s in x], [s[1] for s in y])[at[:, 0], at[:, 1]]
+                longer = np.maximum(np.array([len(s[0]) for s in x])[at[:, 0]], np.array([len(s[0]) for s in y])[at[:, 1]])
+                at = at[common >= threshold * longer - 1e-6]  # each edit spoils at most one item of the longer
+                at = at[[similar(x[j][0], y[k][0], x[j][1], y[k][1], threshold) for j, k in at.tolist()]] if len(at) else at
+            a, b = p.field("doc_id").to_numpy()[at[:, 0]], q.field("doc_id").to_numpy()[at[:, 1]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    return map_batches(rows, step, "a long, b long")
+
+
+def _across(open_: DataFrame, texts: DataFrame, keys: DataFrame, agree: float, block: int, sigmas: float = 4.0, threshold: float | None = None, block_bytes: int = 1 << 19) -> DataFrame:
     """Pairs (a, b) of one bucket and different components whose signatures agree in
-    ``agree`` of their bins, less ``sigmas`` standard deviations of that count.  Buckets are cut into blocks of about ``block`` members;
-    each pair of blocks is one row, but for two blocks of the same component.  A pair
+    ``agree`` of their bins, less ``sigmas`` standard deviations of that count, and that align (``threshold`` None: all).  Buckets are cut into blocks of about ``block`` members
+    (fewer where their texts have over ``block_bytes`` bytes); each pair of blocks is one row, but for two blocks of the same component.  A pair
     that shares several buckets is compared in that of its first common key only."""
-    sizes = open_.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    open_ = open_.join(texts.select(F.col("doc_id").alias("rep"), F.octet_length("text").cast("long").alias("bytes")), "rep")
+    sizes = open_.groupBy("key", "comp").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
     # components of a block or more get blocks of their own, the small ones of a bucket share blocks
-    sizes = sizes.select("key", "comp", "n", F.when(F.col("n") >= block, F.col("comp")).alias("own"))
-    wide = sizes.groupBy(F.col("key").alias("in_key"), F.col("own").alias("in_own")).agg(F.sum("n").alias("all"))
-    sizes = sizes.join(wide, (F.col("key") == F.col("in_key")) & F.col("own").eqNullSafe(F.col("in_own"))).select("key", "comp", "own", "all")
-    part = F.pmod(F.xxhash64("rep", F.lit(7)), F.ceil(F.col("all") / F.lit(block)))
+    sizes = sizes.select("key", "comp", "n", "bytes", F.when(F.col("n") >= block, F.col("comp")).alias("own"))
+    wide = sizes.groupBy(F.col("key").alias("in_key"), F.col("own").alias("in_own")).agg(F.ceil(F.greatest(F.sum("n") / block, F.sum("bytes") / block_bytes)).alias("parts"))
+    sizes = sizes.join(wide, (F.col("key") == F.col("in_key")) & F.col("own").eqNullSafe(F.col("in_own"))).select("key", "comp", "own", "parts")
+    part = F.pmod(F.xxhash64("rep", F.lit(7)), "parts")
     members = open_.join(sizes, ["key", "comp"]).withColumn("part", part).join(signatures(texts).withColumnRenamed("doc_id", "rep"), "rep").join(keys, "rep")
     blocks = members.groupBy("key", "own", "part").agg(F.collect_list(F.struct("rep", "comp", "sig", "keys")).alias("m"))
     blocks = stored(blocks.withColumn("block", F.monotonically_increasing_id()), "omh-blocks")
@@ -287,7 +334,7 @@ def _across(open_: DataFrame, texts: DataFrame, keys: DataFrame, agree: float, b
     side = lambda x: blocks.select("key", F.col("own").alias(x + "own"), F.col("block").alias(x))
     twos = side("x").join(side("y"), "key").where("x <= y and not coalesce(xown = yown, false)").select("key", "x", "y")
     body = lambda x, m: blocks.select(F.col("block").alias(x), F.col("m").alias(m))
-    rows = twos.join(body("x", "p"), "x").join(body("y", "q"), "y").select("key", "p", "q")
+    rows = twos.join(body("x", "p"), "x").join(body("y", "q"), "y").select("key", "x", "y", "p", "q")
 
     def step(batch):
         for i in range(batch.num_rows):
@@ -303,12 +350,15 @@ def _across(open_: DataFrame, texts: DataFrame, keys: DataFrame, agree: float, b
             either = BINS - ((sig[0] == 0).astype(np.float32) @ (sig[1] == 0).T.astype(np.float32))
             same = np.stack([((sig[1] == row) & (row != 0)).sum(axis=1) for row in sig[0]])
             ok = (same >= agree * either - sigmas * np.sqrt(agree * (1 - agree) * either)) & (comp[0][:, None] != comp[1][None]) & ~before
+            if batch.column("x")[i] == batch.column("y")[i]:
+                ok = np.triu(ok)  # a block with itself has each pair twice
             j, k = np.nonzero(ok)
-            a, b = rep[0][j], rep[1][k]
-            a, b = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)  # a block with itself gives each pair twice
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            if len(j):
+                pairs = np.stack([j, k], axis=1).astype(np.uint32).tobytes()
+                yield pa.RecordBatch.from_arrays([batch.column("x").slice(i, 1), batch.column("y").slice(i, 1), pa.array([pairs], pa.binary())], ["x", "y", "pairs"])
 
-    return map_batches(rows, step, "a long, b long")
+    candidates = stored(map_batches(rows, step, "x long, y long, pairs binary"), "omh-pairs")
+    return _align_blocks(candidates, blocks, texts, threshold)
 
 
 def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 1, draws: int = 2, agree: float = 2 / 3, block: int = 64) -> DataFrame:
@@ -337,11 +387,12 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, rounds: int = 1, dr
                 of = open_.select(F.col("rep").alias("head"), F.col("comp").alias("head_comp")).distinct()
                 pairs = pairs.join(of, "head").where("comp <> head_comp")
             pairs = pairs.where("rep <> head").select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct()
+            pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "omh-pairs")
+            tried = pairs if tried is None else tried.unionAll(pairs)
+            found = verify(pairs, texts, threshold)
         else:  # the rest, block by block
-            pairs = _across(open_, texts, reps.select("rep", "keys"), agree, block)
-        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "omh-pairs")
-        tried = pairs if tried is None else tried.unionAll(pairs)
-        found = stored(verify(pairs, texts, threshold), "omh-links")
+            found = _across(open_, texts, reps.select("rep", "keys"), agree, block, threshold=threshold)
+        found = stored(found, "omh-links")
         if roots is not None:  # what is known as links to roots, and the new links
             found = found.unionAll(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
         roots = stored(components(found), "omh-roots")
