@@ -46,8 +46,9 @@ class Pool:
 
 
 class Memo:
-    """Hash to entry number.  ``entries`` bounds what is kept between calls:
-    beyond it all is dropped and met anew, which changes no result."""
+    """Hash to entry number.  ``entries`` bounds what is kept between calls: beyond
+    it all is dropped that was not met again since it came or since the last such
+    drop (and what was, over half of the bound); it is met anew, which changes no result."""
 
     def __init__(self, dtypes: list, entries: int = 2_000_000):
         self.dtypes, self.entries = dtypes, entries
@@ -55,6 +56,7 @@ class Memo:
 
     def clear(self) -> None:
         self.keys, self.entry, self.n = np.zeros(1 << 16, U), np.zeros(1 << 16, np.int32), 0
+        self.again = np.zeros(1 << 16, bool)  # entries met again
         self.pools = [Pool(t) for t in self.dtypes]
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
@@ -99,15 +101,29 @@ class Memo:
         for pool, (flat, counts) in zip(self.pools, columns, strict=True):
             pool.add(flat, counts)
         self.n += len(hashes)
+        self.again = _grown(self.again, self.n)
+
+    def _thin(self) -> None:
+        """Room for newcomers: only entries met again stay."""
+        stay = np.flatnonzero(self.again[: self.n])[: self.entries // 2]
+        full = self.keys != 0
+        key = np.zeros(self.n, U)
+        key[self.entry[full]] = self.keys[full]
+        columns = [pool.take(stay) for pool in self.pools]
+        self.clear()
+        if len(stay):
+            self.add(key[stay], columns)
 
     def entries_of(self, hashes: np.ndarray, learn) -> np.ndarray:
         """Entries of all hashes; ``learn(positions)`` gives the columns of
         those not met before (one position for each distinct hash)."""
         found = self.find(hashes)
+        self.again[found[found >= 0]] = True
         lost = np.flatnonzero(found < 0)
         if len(lost) and self.n + len(lost) > self.entries and self.n:
-            self.clear()
-            found[:], lost = -1, np.arange(len(hashes))
+            self._thin()
+            found = self.find(hashes)
+            lost = np.flatnonzero(found < 0)
         if len(lost):
             new, one, back = np.unique(hashes[lost], return_index=True, return_inverse=True)
             first = self.n

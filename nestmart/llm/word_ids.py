@@ -28,7 +28,7 @@ def vocabulary_path() -> str:
 
 
 class WordIds:
-    """``entries`` bounds the words kept (parts: a fifth of it); what is dropped is encoded anew."""
+    """``entries`` bounds the words kept (parts: a fifth of it), those met again first; what is dropped is encoded anew."""
 
     def __init__(self, path: str, entries: int = 2_000_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
@@ -80,7 +80,9 @@ class WordIds:
         body = rows.data.tobytes()
 
         def learn(at: np.ndarray) -> list:
-            stops = np.union1d(np.flatnonzero(SPACE[rows.data]), rows.offsets[1:])
+            stop = np.append(SPACE[rows.data], True)
+            stop[rows.offsets[1:]] = True
+            stops = np.flatnonzero(stop)
             lo = found.starts[at]
             hi = stops[np.searchsorted(stops, lo, "right")]
             return [self.learn([body[a:b].decode() for a, b in zip(lo.tolist(), hi.tolist(), strict=True)])]
