@@ -11,7 +11,7 @@ corpus; any fixed order gives exact results, rare tokens first make them cheap.
 Filters.  Sets of similarity t and sizes a <= b have a >= t * b (length), share one
 of the first ``size - ceil(t * size) + 1`` tokens (prefix), still have room
 for the needed overlap behind that token (positional), and differ in no more
-tokens than the 64-bit parity maps of both sets do (a lower bound).  Entries are
+tokens than the 128-bit parity maps of both sets do (a lower bound).  Entries are
 dealt out by prefix token as packed arrays; a token with more lines than
 ``block`` is split into blocks that meet pair by pair.
 
@@ -20,8 +20,11 @@ groups (at most ``light`` for each entry) are verified on their token sets.  A
 *heavy* group, such as many near copies, is not paired out: its token sets are
 brought together in order of first occurrence, and each is held against earlier ones
 until the first similar one is found.  Either way a set learns the first
-line similar to it.  Links are counted over all pairs of similar sets, also those of
-heavy groups: the number of rows there is that of the links between different sets.
+line similar to it.  Where links are counted, too, no pair becomes a row: the entries that have a
+candidate go, group by group, to tasks that have their token sets, all pairs of similar sets are
+found there (in the group of the first token that both have, so once), and what a set
+learns is added up.  The comparisons in a group of near copies stay quadratic, as the links
+are; large groups are cut into cells that meet pair by pair.
 
 Cases: lines without a word are kept and never match; null and empty texts have
 no lines; rows that repeat a doc_id are taken as repeats of one row; rows with
@@ -53,9 +56,10 @@ def _within_lines(line: np.ndarray, value: np.ndarray) -> np.ndarray:
     enough, then the rare ties by all bits."""
     if len(line) and line[-1] < 1 << 20:
         key = (line.astype(np.uint64) << np.uint64(44)) | (value >> np.uint64(20))
-        order = np.argsort(key, kind="stable")
-        tie = (key[order][1:] == key[order][:-1]) & (value[order][1:] != value[order][:-1])
-        if not tie.any():
+        order = np.argsort(key)
+        key = key[order]
+        tie = np.flatnonzero(key[1:] == key[:-1])
+        if not (value[order[tie + 1]] != value[order[tie]]).any():
             return order
     return np.lexsort((value, line))
 
@@ -91,18 +95,20 @@ class _Lines:
         return out[0].view(np.int64), (out[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-COLUMNS = ["kind", "doc_id", "number", "h1", "h2"]
+COLUMNS = ["kind", "doc_id", "number", "h1", "h2", "counts"]
+SLICE = 1 << 12
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """Lines (kind 0: doc_id, number, name), token counters (kind 1: bucket in
-    ``doc_id``, count in ``h1``) and lines per document (kind 2: count in ``h1``)."""
+    """Lines (kind 0: doc_id, number, name), token counters (kind 1: slice of ``SLICE``
+    buckets in ``doc_id``, their ``counts``) and lines per document (kind 2: count in ``h1``)."""
 
-    def rows(kind, doc_id, number, h1, h2):
+    def rows(kind, doc_id, number, h1, h2, counts=None):
         n = len(doc_id)
         full = lambda x: x if isinstance(x, np.ndarray) else np.full(n, x)
         types = (pa.int8(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
-        return pa.RecordBatch.from_arrays([pa.array(full(x), t) for x, t in zip((kind, doc_id, number, h1, h2), types, strict=True)], COLUMNS)
+        arrays = [pa.array(full(x), t) for x, t in zip((kind, doc_id, number, h1, h2), types, strict=True)]
+        return pa.RecordBatch.from_arrays([*arrays, pa.nulls(n, pa.binary()) if counts is None else pa.array(counts, pa.binary())], COLUMNS)
 
     def run(batches):
         table = np.zeros(BUCKETS, np.int64)
@@ -113,20 +119,44 @@ def scan(docs: DataFrame) -> DataFrame:
                 ids = batch.column("doc_id").to_numpy(zero_copy_only=False)[chunk.lo : chunk.hi]
                 yield rows(0, ids[ls.row], ls.number, *ls.names())
                 yield rows(2, ids, 0, np.bincount(ls.row, minlength=chunk.rows), 0)
-        at = np.flatnonzero(table)
-        yield rows(1, at, 0, table[at], 0)
+        slices = table.reshape(-1, SLICE)
+        at = np.flatnonzero(slices.any(axis=1))
+        yield rows(1, at, 0, 0, 0, [x.tobytes() for x in slices[at]])
 
-    return map_partitions(docs, run, "kind byte, doc_id long, number int, h1 long, h2 int")
+    return map_partitions(docs, run, "kind byte, doc_id long, number int, h1 long, h2 int, counts binary")
 
 
-#: Prefix entry; ``pos`` holds at most 65535 (a smaller place only weakens its filter).
-ENTRY = np.dtype([("group", "<u4"), ("h1", "<i8"), ("h2", "<i4"), ("parity", "<u8"), ("size", "<u4"), ("pos", "<u2")])
+def _counters(scanned: DataFrame) -> np.ndarray:
+    """Token counters of all tasks; buckets without a token have 1."""
+
+    def add(group: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(x, np.int64) for x in group["counts"].to_pylist()], axis=0)
+        return pa.table({"at": group["doc_id"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    ship(scanned.sparkSession)
+    table = np.zeros(BUCKETS, np.int64)
+    for r in scanned.where("kind = 1").select("doc_id", "counts").groupBy("doc_id").applyInArrow(add, "at long, counts binary").collect():  # at most BUCKETS / SLICE rows
+        table[r["at"] * SLICE : (r["at"] + 1) * SLICE] = np.frombuffer(r["counts"], np.int64)
+    return np.maximum(table, 1)
+
+
+def _ranked(token: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Names and orders prefix tokens, rare ones (in steps of an eighth) first; a tie only adds candidates."""
+    rank = np.minimum(6 * np.log2(counts), 255).astype(np.uint64)
+    return (rank[(token % np.uint64(BUCKETS)).astype(np.int64)] << np.uint64(56)) | (token >> np.uint64(8))
+
+
+#: Prefix entry.  ``side``: 0 in a group of one block of lines, in a group of two
+#: blocks 1 (the lower) or 2.
+ENTRY = np.dtype([("group", "<u4"), ("h1", "<i8"), ("h2", "<i4"), ("parity", "<u8"), ("parity2", "<u8"), ("size", "<u4"), ("pos", "<u4"), ("side", "u1")])
 
 
 def _once(entries: np.ndarray) -> np.ndarray:
-    """One entry per group and set."""
-    key = tb.mix((entries["group"].astype(np.uint64) << np.uint64(32)) ^ entries["h1"].view(np.uint64))
-    return entries[np.unique(key, return_index=True)[1]]
+    """One entry per group, set and place (two tokens of a set may name one group)."""
+    key = tb.mix((entries["group"].astype(np.uint64) << np.uint64(32)) ^ entries["h1"].view(np.uint64)) + entries["pos"]
+    order = np.argsort(key)
+    key = key[order]
+    return entries[order[np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]]]
 
 
 def _least_overlap(a: np.ndarray, b: np.ndarray, t: float) -> np.ndarray:
@@ -140,12 +170,11 @@ def index(docs: DataFrame, table: np.ndarray, threshold: float, block: int, part
 
     def run(batches):
         counts = sent.value
-        rank = np.minimum(6 * np.log2(counts), 255).astype(np.uint64)  # rarity in steps of an eighth
         held, count = [], 0
 
         def flush():
             entries = _once(np.concatenate(held))
-            part = (entries["group"] % np.uint32(parts)).astype(np.int64)
+            part = (entries["group"] % np.uint32(parts)).astype(np.min_scalar_type(parts))
             order = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[order], np.arange(parts + 1))
             full = np.flatnonzero(np.diff(cuts))
@@ -157,10 +186,11 @@ def index(docs: DataFrame, table: np.ndarray, threshold: float, block: int, part
                 if not len(ls.size):
                     continue
                 h1, h2 = ls.names()
-                parity = np.bitwise_xor.reduceat(np.uint64(1) << (tb.mix(ls.token) >> np.uint64(58)), ls.first[:-1])
-                bucket = (ls.token % np.uint64(BUCKETS)).astype(np.int64)
-                ranked = (rank[bucket] << np.uint64(56)) | (ls.token >> np.uint64(8))  # names and orders prefix tokens; a tie only adds candidates
-                df = counts[bucket]
+                mixed = tb.mix(ls.token)
+                bit, upper = np.uint64(1) << (mixed >> np.uint64(58)), (mixed >> np.uint64(57)) & np.uint64(1)
+                parity, parity2 = (np.bitwise_xor.reduceat(bit * half, ls.first[:-1]) for half in (upper, upper ^ np.uint64(1)))
+                ranked = _ranked(ls.token, counts)
+                df = counts[(ls.token % np.uint64(BUCKETS)).astype(np.int64)]
                 order = _within_lines(ls.line, ranked)
                 pos = np.arange(len(ranked)) - ls.first[ls.line]
                 size = ls.size[ls.line]
@@ -173,8 +203,9 @@ def index(docs: DataFrame, table: np.ndarray, threshold: float, block: int, part
                 lo, hi = np.minimum(mine[at], other), np.maximum(mine[at], other)
                 e = np.empty(len(at), ENTRY)
                 e["group"] = tb.mix(ranked[from_][at] + (lo * 1_000_003 + hi).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
-                e["h1"], e["h2"], e["parity"], e["size"] = h1[line][at], h2[line][at], parity[line][at], size[ok][at]
-                e["pos"] = np.minimum(pos[ok], 65535)[at]
+                owner = line[at]
+                e["h1"], e["h2"], e["parity"], e["parity2"], e["size"] = h1[owner], h2[owner], parity[owner], parity2[owner], size[ok][at]
+                e["pos"], e["side"] = pos[ok][at], np.where(mine[at] == other, 0, np.where(mine[at] < other, 1, 2))
                 held.append(e)
                 count += len(e)
                 if count > 1 << 19:
@@ -194,6 +225,7 @@ def candidates(entries: np.ndarray, threshold: float, light: float, at_once: int
     order = np.argsort((entries["group"].astype(np.uint64) << np.uint64(32)) | entries["size"])
     e = entries[order]
     group, size, place = e["group"], e["size"].astype(np.int64), e["pos"].astype(np.int64)
+    parities = [np.ascontiguousarray(e[p]) for p in ("parity", "parity2")]
     run = np.cumsum(np.concatenate([[0], group[1:] != group[:-1]])) if len(e) else np.zeros(0, np.int64)
     span = int(size.max() / threshold) + 2 if len(e) else 1
     key = run * span + size
@@ -213,7 +245,9 @@ def candidates(entries: np.ndarray, threshold: float, light: float, at_once: int
             j = i + 1 + (k - total[i])
             need = _least_overlap(size[i], size[j], threshold)
             ok = np.minimum(size[i] - place[i], size[j] - place[j]) >= need
-            ok &= np.bitwise_count(e["parity"][i] ^ e["parity"][j]) <= size[i] + size[j] - 2 * need
+            i, j, need = i[ok], j[ok], need[ok]
+            apart = sum(np.bitwise_count(p[i] ^ p[j]).astype(np.int64) for p in parities)
+            ok = apart <= size[i] + size[j] - 2 * need
             ok &= (e["h1"][i] != e["h1"][j]) | (e["h2"][i] != e["h2"][j])
             i, j = i[ok], j[ok]
             passed += np.bincount(run[i], minlength=len(passed))
@@ -307,6 +341,239 @@ def _verify(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return map_batches(joined, step, "a1 long, a2 int, b1 long, b2 int")
 
 
+MEMBERS = "part int, bundle long, cell long, side byte, h1 long, h2 int, pos int"
+CELL = 4096
+
+
+def _connected(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Least number of the component of each of n nodes."""
+    least = np.arange(n)
+    while len(i):
+        low = np.minimum(least[i], least[j])
+        open_ = np.flatnonzero((least[i] != low) | (least[j] != low))
+        if not len(open_):
+            break
+        for side in (i, j):
+            np.minimum.at(least, least[side[open_]], low[open_])
+            np.minimum.at(least, side[open_], low[open_])
+        least = least[least]
+    return least
+
+
+def _cells(e: np.ndarray, least: np.ndarray, parts: int, cell: int = CELL, at_once: int = 1 << 20):
+    """Batches of ``MEMBERS``: the entries dealt into cells.  Entries of a group that candidates connect (``least``: the least name
+    among them) are one cell; over ``cell`` entries are cut into shares that meet pair by pair, as blocks of lines do (``side``).  Cells
+    with the same least name are one bundle, so groups of the same near copies share a task."""
+    order = np.argsort(tb.mix((e["group"].astype(np.uint64) << np.uint64(32)) ^ least.view(np.uint64)))
+    e, least = e[order], least[order]
+    head = np.flatnonzero(np.concatenate([[True], (e["group"][1:] != e["group"][:-1]) | (least[1:] != least[:-1])])) if len(e) else np.zeros(0, np.int64)
+    n = np.diff(np.concatenate([head, [len(e)]]))
+    shares = np.repeat(1 << np.ceil(np.log2(np.maximum(n / cell, 1))).astype(np.int64), n)
+    total = np.concatenate([[0], np.cumsum(shares)])
+    lo = 0
+    while lo < len(e):
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] + at_once, "right")) - 1)
+        at = np.repeat(np.arange(lo, hi), shares[lo:hi])
+        other = np.arange(len(at)) + total[lo] - total[at]
+        mine = (tb.mix(e["h1"][at].view(np.uint64) + np.uint64(1)) % shares[at].astype(np.uint64)).astype(np.int64)
+        was = e["side"][at]
+        first = np.where(was == 0, np.minimum(mine, other), np.where(was == 1, mine, other))
+        second = np.where(was == 0, np.maximum(mine, other), np.where(was == 1, other, mine))
+        side = np.where(was > 0, was, np.where(mine == other, 0, np.where(mine < other, 1, 2)))
+        salt = (first * 1_000_003 + second).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        bundle = tb.mix(least[at].view(np.uint64) + salt)
+        columns = [(bundle % np.uint64(parts)).astype(np.int32), bundle.view(np.int64), tb.mix(tb.mix(e["group"][at].astype(np.uint64) + salt) + least[at].view(np.uint64)).view(np.int64), side.astype(np.int8), e["h1"][at], e["h2"][at], e["pos"][at].astype(np.int32)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], [c.split()[0] for c in MEMBERS.split(", ")])
+        lo = hi
+
+
+def _members(packed: DataFrame, threshold: float, light: float, parts: int) -> DataFrame:
+    """Cells of the entries that have a candidate in their group, and of all entries of heavy groups."""
+
+    def run(batches):
+        blobs = [x.as_py() for b in batches for x in b.column("entries")]
+        entries = _once(np.frombuffer(b"".join(blobs), ENTRY))
+        del blobs
+        entries = entries[np.argsort(entries["h1"])]  # numbers go by name
+        *pairs, (heavy, _) = candidates(entries, threshold, light)  # at most ``light`` pairs for each entry
+        i, j = (np.concatenate([x[k].astype(np.int32) for x in pairs] or [np.zeros(0, np.int32)]) for k in (0, 1))
+        del pairs
+        new = np.concatenate([[True], entries["group"][heavy][1:] != entries["group"][heavy][:-1]])[: len(heavy)]
+        i, j = np.concatenate([i, heavy]), np.concatenate([j, heavy[np.flatnonzero(new)][np.cumsum(new) - 1]])
+        has = np.zeros(len(entries), bool)
+        has[i] = has[j] = True
+        least = entries["h1"][_connected(len(entries), i, j)]
+        del i, j
+        yield from _cells(entries[has], least[has], parts)
+
+    return map_partitions(packed.select("entries"), run, MEMBERS)
+
+
+def _in_rows(sets: list[np.ndarray], names: np.ndarray) -> np.ndarray:
+    """(set, name) matrix of the names (sorted) that each set has."""
+    out = np.zeros((len(sets), len(names)), np.float32)
+    if len(names):
+        token, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        at = np.minimum(np.searchsorted(names, token), len(names) - 1)
+        hit = names[at] == token
+        out[row[hit], at[hit]] = 1
+    return out
+
+
+def linked_pairs(sets: list[np.ndarray], cells: list[tuple[int, np.ndarray, np.ndarray]], threshold: float, step: int = 512, wide: int = 1 << 13):
+    """Similar pairs of a bundle, as (i, j) number arrays with i < j, block by block of ``step`` sets.  Tokens are
+    numbers in the order of rarity; ``cells``: (token, members, sides), by token.  A pair belongs to the cell of the first
+    token that both sets have, so no other bundle has it."""
+    size = np.array([len(x) for x in sets])
+    for a in range(0, len(sets), step):
+        for b in range(a, len(sets), step):
+            p, q = sets[a : a + step], sets[b : b + step]
+            names = np.unique(np.concatenate(p))
+            if a < b:
+                names = np.intersect1d(names, np.concatenate(q))
+            common = np.zeros((len(p), len(q)), np.float32)
+            mine = np.zeros(common.shape, bool)
+            todo = []
+            for token, members, side in cells:
+                x, y = ((members >= c) & (members < c + step) for c in (a, b))
+                if x.any() and y.any():
+                    todo.append((int(np.searchsorted(names, token)), members[x] - a, side[x], members[y] - b, side[y]))
+            todo.append((len(names), None, None, None, None))
+            at = k = 0
+            for lo in range(0, max(len(names), 1), wide):
+                some = names[lo : lo + wide]
+                left = _in_rows(p, some)
+                right = left if a == b else _in_rows(q, some)
+                while k < len(todo) and todo[k][0] <= lo + len(some):
+                    stop, i, si, j, sj = todo[k]
+                    if stop > at:
+                        common += left[:, at - lo : stop - lo] @ right[:, at - lo : stop - lo].T
+                        at = stop
+                    if i is not None:
+                        for u, v in ((0, 0), (1, 2), (2, 1)) if si.any() else ((0, 0),):
+                            cut = np.ix_(i[si == u], j[sj == v])
+                            if cut[0].size and cut[1].size:
+                                mine[cut] |= common[cut] == 0
+                    k += 1
+                if at < lo + len(some):
+                    common += left[:, at - lo :] @ right[:, at - lo :].T
+                    at = lo + len(some)
+            mine &= common >= threshold * (size[a : a + step, None] + size[None, b : b + step] - common) - 1e-9
+            if a == b:
+                mine = np.triu(mine, 1)
+            i, j = np.nonzero(mine)
+            yield i + a, j + b
+
+
+FEW = 32
+
+
+def pairs_of_few(held: np.ndarray, span: int, starts: np.ndarray, size: np.ndarray, cuts: np.ndarray, stops: np.ndarray, of: np.ndarray, first: np.ndarray, side: np.ndarray, threshold: float, at_once: int = 1 << 16):
+    """As ``linked_pairs``, for many small cells at once: cell c has the sets of[cuts[c]:stops[c]] (ascending), set s
+    the tokens held[starts[s] :][: size[s]] - s * span (``held``: ascending, tokens below ``span``)."""
+
+    def common(i, j, n):
+        """Whether set j has each of the first n tokens of set i."""
+        ask = held[spread(starts[i], n)] + np.repeat((j - i) * span, n)
+        return held[np.minimum(np.searchsorted(held, ask), len(held) - 1)] == ask
+
+    at = spread(cuts, stops - cuts)
+    after = np.repeat(stops, stops - cuts) - at - 1
+    total = np.concatenate([[0], np.cumsum(after)])
+    lo = 0
+    while lo < len(at):
+        hi = max(lo + 1, int(np.searchsorted(total, total[lo] + at_once, "right")) - 1)
+        x = np.repeat(at[lo:hi], after[lo:hi])
+        y = spread(at[lo:hi] + 1, after[lo:hi])
+        lo = hi
+        i, j, cell_token = of[x], of[y], first[x]
+        need = _least_overlap(size[i], size[j], threshold)
+        ok = (side[x] + side[y] == 3 * (side[x] > 0)) & (np.minimum(size[i], size[j]) >= need)
+        i, j, cell_token = i[ok], j[ok], cell_token[ok]
+        # a pair belongs to the cell of the first token that both sets have
+        before = np.searchsorted(held, i * span + cell_token) - starts[i]
+        earlier = np.flatnonzero(before)
+        if len(earlier):
+            n = before[earlier]
+            shared = np.logical_or.reduceat(common(i[earlier], j[earlier], n), np.cumsum(n) - n)
+            ok = np.ones(len(i), bool)
+            ok[earlier[shared]] = False
+            i, j = i[ok], j[ok]
+        if len(i):
+            n = size[i]
+            overlap = np.add.reduceat(common(i, j, n), np.cumsum(n) - n, dtype=np.int64)
+            ok = overlap >= threshold * (n + size[j] - overlap) - 1e-9
+            yield i[ok], j[ok]
+
+
+LINKED = "h1 long, h2 int, n_links long, doc_id long, number int"
+
+
+def _links_of_task(batches, counts: np.ndarray, threshold: float, few: int = FEW, step: int = 512):
+    """The task of ``_count_links``; cells of up to ``few`` sets are compared many at once."""
+    held = {False: [], True: []}
+    for batch in batches:
+        held[True].append(batch.filter(batch.column("bundle").is_null()).select(["h1", "h2", "doc_id", "number", "tokens"]))
+        held[False].append(batch.filter(batch.column("bundle").is_valid()).select([c.split()[0] for c in MEMBERS.split(", ")]))
+    if not sum(len(x) for x in held[False]):
+        return
+    m, s = (pa.Table.from_batches(held[kind]) for kind in (False, True))
+    held.clear()
+    s = s.sort_by([("doc_id", "ascending"), ("number", "ascending")])
+    name = lambda t: tb.mix(t["h1"].to_numpy().view(np.uint64) + tb.mix(t["h2"].to_numpy().astype(np.uint64)))
+    by_name = np.argsort(name(s), kind="stable")
+    of = by_name[np.searchsorted(name(s)[by_name], name(m))]  # number of each member's set: earlier sets have lower ones
+    bodies = s["tokens"].to_pylist()
+    size = np.array([len(x) // 8 for x in bodies])
+    s = s.drop_columns(["tokens"])
+    vocabulary, token = np.unique(np.frombuffer(b"".join(bodies), np.uint64), return_inverse=True)
+    del bodies
+    place = np.empty(len(vocabulary), np.int64)
+    place[np.argsort(_ranked(vocabulary, counts), kind="stable")] = np.arange(len(vocabulary))
+    held = np.sort(np.repeat(np.arange(len(size)), size) * len(vocabulary) + place[token])  # set and token, rare tokens first
+    token = held % len(vocabulary)
+    ends = np.cumsum(size)
+    first = token[ends[of] - size[of] + m["pos"].to_numpy()]
+    bundle, cell, side = (m[c].to_numpy() for c in ("bundle", "cell", "side"))
+    order = np.lexsort((of, cell, first, bundle))
+    bundle, cell, side, first, of = (x[order] for x in (bundle, cell, side, first, of))
+    n_links, other = np.zeros(len(size), np.int64), np.full(len(size), len(size))
+
+    def count(i, j):
+        np.add.at(n_links, i, 1)
+        np.add.at(n_links, j, 1)
+        np.minimum.at(other, j, i)
+
+    new = np.concatenate([[True], bundle[1:] != bundle[:-1]])
+    cuts = np.flatnonzero(new | np.concatenate([[True], (cell[1:] != cell[:-1]) | (first[1:] != first[:-1])]))  # one hash may name the groups of two tokens
+    stops = np.append(cuts[1:], len(of))
+    small = stops - cuts <= few
+    for i, j in pairs_of_few(held, len(vocabulary), ends - size, size, cuts[small], stops[small], of, first, side, threshold):
+        count(i, j)
+    cuts, stops = cuts[~small], stops[~small]
+    which = np.cumsum(new)[cuts]
+    heads = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1]])) if len(which) else np.zeros(0, np.int64)
+    for lo, hi in zip(heads, np.append(heads, len(which))[1:], strict=True):
+        numbers = np.unique(np.concatenate([of[c:d] for c, d in zip(cuts[lo:hi], stops[lo:hi], strict=True)]))
+        cells = [(first[c], np.searchsorted(numbers, of[c:d]), side[c:d]) for c, d in zip(cuts[lo:hi], stops[lo:hi], strict=True)]
+        for i, j in linked_pairs([token[ends[x] - size[x] : ends[x]] for x in numbers], cells, threshold, step):
+            count(numbers[i], numbers[j])
+    at = np.flatnonzero(n_links)
+    to = pa.array(other[at], mask=other[at] == len(size))
+    of, to = s.take(pa.array(at)), s.take(to)
+    for batch in pa.table([of["h1"], of["h2"], pa.array(n_links[at]), to["doc_id"], to["number"]], names=[c.split()[0] for c in LINKED.split(", ")]).to_batches():
+        yield batch
+
+
+def _count_links(members: DataFrame, sets: DataFrame, table: np.ndarray, threshold: float, parts: int) -> DataFrame:
+    """Of each set (``sets``: with tokens, doc_id and number of the first line) that is similar to others: how many, and the first
+    line of the earliest before it (null: none before it), per task.  A task gets a set once, and pairs are counted where they are found: none becomes a row."""
+    sent = members.sparkSession.sparkContext.broadcast(table)  # BUCKETS counters
+    bodies = members.select("part", "h1", "h2").distinct().join(sets, ["h1", "h2"])
+    rows = members.unionByName(bodies, allowMissingColumns=True).repartition(parts, "part")
+    return map_partitions(rows, lambda batches: _links_of_task(batches, sent.value, threshold), LINKED)
+
+
 def earliest_similar(sets: list[np.ndarray], threshold: float, at_once: int = 1 << 22) -> np.ndarray:
     """For each of many token sets, given by their order of first occurrence, the number of
     the first one before it that is similar (-1: none)."""
@@ -363,15 +630,12 @@ def _heavy_links(members: DataFrame, sets: DataFrame, firsts: DataFrame, thresho
 def find_lines(docs: DataFrame, threshold: float = 0.8, block: int = 200_000, light: int | None = 8, links: bool = True) -> tuple[DataFrame, DataFrame]:
     """Lines that go (doc_id, number, and ``cut``, the first line that they match), and
     (doc_id, n_lines, n_links) of every document; ``n_links`` (different token sets similar
-    to each of its lines) only with ``links``.  ``light`` None: no group is heavy, and
-    both come from the same pairs."""
+    to each of its lines) only with ``links``.  ``light`` None: no group is heavy."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(F.col("doc_id").isNotNull())
     scanned = stored(scan(docs), "lines")
     lines = scanned.where("kind = 0").select("doc_id", "number", "h1", "h2")
-    table = np.ones(BUCKETS, np.int64)
-    for r in scanned.where("kind = 1").groupBy("doc_id").agg(F.sum("h1").alias("n")).collect():  # at most BUCKETS rows
-        table[r["doc_id"]] = r["n"]
+    table = _counters(scanned)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(table.sum() // 8_000_000))
     packed = index(docs, table, threshold, block, parts)
 
@@ -384,10 +648,33 @@ def find_lines(docs: DataFrame, threshold: float = 0.8, block: int = 200_000, li
         sets = stored(_token_sets(docs, ends), "line-tokens")
         return members, ends, sets, stored(_verify(pairs, sets, threshold), "line-links")
 
+    def known(ends: DataFrame) -> DataFrame:
+        """Sets that come more than once or are in ``ends`` (``linked``), with their first line."""
+        # one number for doc_id and line: its least is found by hashing, that of a struct by sorting all lines
+        at = (F.col("doc_id").cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("number").cast("decimal(10,0)")).cast("decimal(32,0)").alias("at")
+        every = lines.select("h1", "h2", at).groupBy("h1", "h2").agg(F.min("at").alias("at"), F.count("*").alias("n"))
+        every = every.join(ends.withColumn("linked", F.lit(True)), ["h1", "h2"], "left").where("n > 1 OR linked")
+        number = F.pmod("at", F.lit(1 << 32).cast("decimal(10,0)"))
+        doc_id = ((F.col("at") - number) / F.lit(1 << 32).cast("decimal(10,0)")).cast("long")
+        return stored(every.select("h1", "h2", F.struct(doc_id.alias("doc_id"), number.cast("int").alias("number")).alias("first"), "linked"), "line-sets")
+
+    here = F.struct("doc_id", "number")
+    counts = scanned.where("kind = 2").groupBy("doc_id").agg(F.max("h1").alias("n_lines"))
+    if links:
+        members = stored(_members(packed.repartition(parts, "part"), threshold, np.inf if light is None else light, parts), "line-members")
+        ends = stored(members.select("h1", "h2").distinct(), "line-ends")
+        every = known(ends)
+        sets = _token_sets(docs, ends).join(every.where("linked").select("h1", "h2", "first.*"), ["h1", "h2"])
+        found = _count_links(members, sets, table, threshold, parts)
+        best = stored(found, "line-links").groupBy("h1", "h2").agg(F.sum("n_links").alias("n_links"), F.min(F.when(F.col("doc_id").isNotNull(), here)).alias("other"))
+        cut = every.join(best, ["h1", "h2"], "left").select("h1", "h2", F.least("first", F.coalesce("other", "first")).alias("cut"), "n_links")
+        hit = stored(lines.join(cut, ["h1", "h2"]).where((here > F.col("cut")) | F.col("n_links").isNotNull()).select("doc_id", "number", "cut", "n_links"), "line-matches")
+        per_line = hit.where("n_links IS NOT NULL").select("doc_id", "number", "n_links").distinct()  # rows that repeat a doc_id
+        counts = counts.join(per_line.groupBy("doc_id").agg(F.sum("n_links").alias("n_links")), "doc_id", "left")
+        return hit.where(here > F.col("cut")).select("doc_id", "number", "cut"), counts
+
     members, ends, sets, similar = linked(np.inf if light is None else light)
-    first = F.min(F.struct("doc_id", "number")).alias("first")
-    every = lines.groupBy("h1", "h2").agg(first, F.count("*").alias("n")).join(ends.withColumn("linked", F.lit(True)), ["h1", "h2"], "left")
-    every = stored(every.where("n > 1 OR linked").select("h1", "h2", "first", "linked"), "line-sets")
+    every = known(ends)
     firsts = every.where("linked").select("h1", "h2", "first")
     side = lambda x: firsts.select(F.col("h1").alias(x + "1"), F.col("h2").alias(x + "2"), F.col("first").alias("f" + x))
     later_ones = similar.join(side("a"), ["a1", "a2"]).join(side("b"), ["b1", "b2"])
@@ -397,15 +684,7 @@ def find_lines(docs: DataFrame, threshold: float = 0.8, block: int = 200_000, li
     later_ones = later_ones.unionAll(_heavy_links(members, sets, firsts, threshold))
     best = later_ones.groupBy("h1", "h2").agg(F.min("other").alias("other"))
     cut = every.join(best, ["h1", "h2"], "left").select("h1", "h2", F.least("first", F.coalesce("other", "first")).alias("cut"))
-    here = F.struct("doc_id", "number")
     gone = lines.join(cut, ["h1", "h2"]).where(here > F.col("cut")).select("doc_id", "number", "cut")
-    counts = scanned.where("kind = 2").groupBy("doc_id").agg(F.max("h1").alias("n_lines"))
-    if links:
-        whole = similar if light is None else linked(np.inf)[3]
-        both = whole.select(F.col("a1").alias("h1"), F.col("a2").alias("h2")).unionAll(whole.select("b1", "b2"))
-        n_links = both.groupBy("h1", "h2").agg(F.count("*").alias("n_links"))
-        per_line = lines.join(n_links, ["h1", "h2"]).select("doc_id", "number", "n_links").distinct()  # rows that repeat a doc_id
-        counts = counts.join(per_line.groupBy("doc_id").agg(F.sum("n_links").alias("n_links")), "doc_id", "left")
     return stored(gone, "line-matches"), counts
 
 
@@ -438,7 +717,7 @@ def drop_lines(docs: DataFrame, found: DataFrame, counts: DataFrame) -> DataFram
 
 
 def op6_line_dedup(docs: DataFrame) -> DataFrame:
-    out = by_document(docs, *find_lines(docs, light=None))
+    out = by_document(docs, *find_lines(docs))
     return out.withColumns({c: F.array_join(c, ",") for c in ("removed_lines", "first_lines")})
 
 
